@@ -68,3 +68,11 @@ def ranking_ctes(src: str, target: str = "y", score: str = "p", by: list[str] |
     2.0 * (SUM(pos * (nb + neg / 2.0)) / NULLIF(MAX(tp_) * MAX(tn_), 0)) - 1.0 AS gini
   FROM {prefix}_cu {grp}
 )"""
+
+
+GAPS_CTE = """gaps AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, NULLIF(l_discount, 0.0) AS l_discount,
+         NULLIF(l_tax, 0.0) AS l_tax, l_extendedprice, l_linestatus, NULLIF(l_returnflag, 'R') AS l_returnflag,
+         l_shipdate, p, y, split
+  FROM loans
+)"""

@@ -49,3 +49,16 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
+
+
+# Fixed values of the fixture's missing-value variant: sentinels turned into NULL.
+GAP_SENTINELS = {"l_discount": 0.0, "l_tax": 0.0, "l_returnflag": "R"}
+GAP_COLUMNS = [*LOAN_KEY, "l_quantity", "l_discount", "l_tax", "l_extendedprice", "l_linestatus", "l_returnflag",
+               "l_shipdate", "p", "y", "split"]
+
+
+def loans_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``loans`` with missing values: zero discount/tax and return flag 'R' become NULL."""
+    base = loans(spark, sf_dir)
+    return base.select(*[F.nullif(F.col(c), F.lit(GAP_SENTINELS[c])).alias(c) if c in GAP_SENTINELS else F.col(c)
+                         for c in GAP_COLUMNS])
