@@ -76,3 +76,45 @@ GAPS_CTE = """gaps AS (
          l_shipdate, p, y, split
   FROM loans
 )"""
+
+
+def calib_ctes(sc: str, by: list[str] | None = None, n_bins: int = 10, prefix: str = "cal") -> str:
+    """From a collapsed CTE ``sc(by..., s, pos, neg)``: ``{prefix}_bins`` and ``{prefix}``
+    (by..., ece, mce, calibration_slope, calibration_intercept, n_bins_used)."""
+    from riskframe.functions.bins import linspace
+    by = by or []
+    g = ", ".join(by)
+    gsel = (g + ", ") if by else ""
+    grp = f"GROUP BY {g}" if by else ""
+    idx = left_index_sql("s", linspace(0.0, 1.0, n_bins + 1)[1:-1])
+    lx = "LN((mean_pred + 1e-6) / (1 - mean_pred + 1e-6))"
+    ly = "LN((event_rate + 1e-6) / (1 - event_rate + 1e-6))"
+    return f"""{prefix}_bins AS (
+  SELECT {gsel}bin, SUM(s * (pos + neg)) / SUM(pos + neg) AS mean_pred, SUM(pos) / SUM(pos + neg) AS event_rate,
+         CAST(SUM(pos + neg) AS BIGINT) AS n
+  FROM (SELECT *, {idx} AS bin FROM {sc}) b GROUP BY {gsel}bin HAVING SUM(pos + neg) > 0
+),
+{prefix} AS (
+  SELECT {gsel}SUM(ABS(mean_pred - event_rate) * n) / SUM(n) AS ece, MAX(ABS(mean_pred - event_rate)) AS mce,
+    CASE WHEN COUNT(*) > 1 THEN REGR_SLOPE({ly}, {lx}) ELSE 1.0 END AS calibration_slope,
+    CASE WHEN COUNT(*) > 1 THEN REGR_INTERCEPT({ly}, {lx}) ELSE 0.0 END AS calibration_intercept,
+    CAST(COUNT(*) AS BIGINT) AS n_bins_used
+  FROM {prefix}_bins {grp}
+)"""
+
+
+def point_ctes(sc: str, by: list[str] | None = None, threshold: float = 0.5, prefix: str = "pt") -> str:
+    by = by or []
+    g = ", ".join(by)
+    gsel = (g + ", ") if by else ""
+    grp = f"GROUP BY {g}" if by else ""
+    t = sql_float(threshold)
+    tp = f"SUM(CASE WHEN s >= {t} THEN pos ELSE 0 END)"
+    fp = f"SUM(CASE WHEN s >= {t} THEN neg ELSE 0 END)"
+    fn = f"SUM(CASE WHEN s < {t} THEN pos ELSE 0 END)"
+    return f"""{prefix} AS (
+  SELECT {gsel}SUM(pos * (s - 1.0) * (s - 1.0) + neg * s * s) / SUM(pos + neg) AS brier,
+    {sdiv(f'2.0 * {tp}', f'2.0 * {tp} + {fp} + {fn}')} AS f1,
+    CAST(SUM(pos + neg) AS BIGINT) AS n, CAST(SUM(pos) AS BIGINT) AS n_pos
+  FROM {sc} {grp}
+)"""
