@@ -92,3 +92,17 @@ def segment_analysis(df: DataFrame, target: str, score: str, segment: str, low:
     return (d.join(auc, on=segment, how="left")
             .withColumn("auc", F.coalesce(F.col("auc"), F.lit(0.5)))
             .withColumnRenamed(segment, "segment"))
+
+
+# Decision of each risk band.
+BAND_DECISIONS = {"Low": "Approve", "Medium": "Manual Review", "High": "Decline"}
+
+
+def assign_decision(df: DataFrame, score: str, low: float = LOW_PD, high: float = HIGH_PD,
+                    out: str = "decision") -> DataFrame:
+    """Band -> Approve / Manual Review / Decline (the scoring decision)."""
+    band = risk_band(score, low, high)
+    expr = None
+    for b, d in BAND_DECISIONS.items():
+        expr = F.when(band == b, d) if expr is None else expr.when(band == b, d)
+    return df.withColumn(out, expr)

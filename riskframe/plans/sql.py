@@ -118,3 +118,8 @@ def point_ctes(sc: str, by: list[str] | None = None, threshold: float = 0.5, pre
     CAST(SUM(pos + neg) AS BIGINT) AS n, CAST(SUM(pos) AS BIGINT) AS n_pos
   FROM {sc} {grp}
 )"""
+
+
+def r2(expr: str, alias: str) -> str:
+    """Money columns: large sums rounded to cents (see ``plans.common.out``)."""
+    return f"ROUND(ROUND(CAST({expr} AS DOUBLE), 6), 2) AS {alias}"
