@@ -123,3 +123,31 @@ def point_ctes(sc: str, by: list[str] | None = None, threshold: float = 0.5, pre
 def r2(expr: str, alias: str) -> str:
     """Money columns: large sums rounded to cents (see ``plans.common.out``)."""
     return f"ROUND(ROUND(CAST({expr} AS DOUBLE), 6), 2) AS {alias}"
+
+
+def psi_ctes(e_src: str, a_src: str, buckets: int = 10) -> str:
+    """From ``e(key, x)`` / ``a(key, x)`` sources: CTE ``psi_det`` with
+    (key, bucket, lo, hi, ec, ac, ep, ap, contrib, ne, na)."""
+    import numpy as np
+    fr = "[" + ", ".join(repr(float(v)) for v in np.linspace(0.0, 1.0, buckets + 1)) + "]"
+    return f"""pe AS ({e_src}),
+pa AS ({a_src}),
+pqa AS (SELECT key, quantile_cont(x, {fr}) AS es FROM pe WHERE x IS NOT NULL GROUP BY key),
+pfr AS (SELECT key, UNNEST(es) AS v, UNNEST({fr}) AS frac FROM pqa),
+ped AS (SELECT DISTINCT key, CASE WHEN frac = 0.0 OR frac = 1.0 THEN v ELSE ROUND(v, 9) END AS v FROM pfr),
+pedo AS (SELECT key, v, ROW_NUMBER() OVER (PARTITION BY key ORDER BY v) - 1 AS i, COUNT(*) OVER (PARTITION BY key) AS k FROM ped),
+pbk AS (SELECT a.key, a.i AS bucket, a.v AS lo, b.v AS hi FROM pedo a JOIN pedo b ON a.key = b.key AND b.i = a.i + 1),
+ptag AS (SELECT key, x, 1 AS is_e FROM pe WHERE x IS NOT NULL UNION ALL SELECT key, x, 0 FROM pa WHERE x IS NOT NULL),
+pas AS (SELECT t.key, t.is_e, (SELECT COUNT(*) FROM pedo WHERE pedo.key = t.key AND pedo.i >= 1 AND pedo.i <= pedo.k - 2
+          AND pedo.v <= t.x) AS bucket FROM ptag t WHERE t.key IN (SELECT key FROM pedo WHERE k >= 2)),
+pcnt AS (SELECT key, bucket, SUM(is_e) AS ec, SUM(1 - is_e) AS ac FROM pas GROUP BY key, bucket),
+pdet AS (SELECT pbk.key, pbk.bucket, pbk.lo, pbk.hi, CAST(COALESCE(ec, 0) AS DOUBLE) AS ec, CAST(COALESCE(ac, 0) AS DOUBLE) AS ac
+         FROM pbk LEFT JOIN pcnt ON pbk.key = pcnt.key AND pbk.bucket = pcnt.bucket),
+ppc AS (SELECT *, SUM(ec) OVER (PARTITION BY key) AS ne, SUM(ac) OVER (PARTITION BY key) AS na FROM pdet),
+psi_det AS (SELECT key, bucket, lo, hi, ec, ac, ne, na, GREATEST(ec / ne, 1e-10) AS ep, GREATEST(ac / na, 1e-10) AS ap,
+            (GREATEST(ac / na, 1e-10) - GREATEST(ec / ne, 1e-10)) * LN(GREATEST(ac / na, 1e-10) / GREATEST(ec / ne, 1e-10)) AS contrib
+            FROM ppc)"""
+
+
+def psi_label_sql(col: str) -> str:
+    return f"CASE WHEN {col} < 0.1 THEN 'stable' WHEN {col} < 0.25 THEN 'moderate_shift' ELSE 'significant_drift' END"
