@@ -22,6 +22,7 @@ _MODULES = [
     "riskframe.plans.q_selection",
     "riskframe.plans.q_models",
     "riskframe.plans.q_reports",
+    "riskframe.plans.q_stream",
 ]
 
 
