@@ -66,6 +66,8 @@ def bucketize_frame(df: DataFrame, col: str, cuts: Sequence[float], out: str) ->
     Output is an int index equal to ``left_closed_index(col, cuts)``.
     """
     cuts = sorted(set(float(c) for c in cuts))
+    if not cuts:  # Bucketizer needs an interior split; one bucket for everything
+        return df.withColumn(out, F.when(F.col(col).isNotNull(), F.lit(0)))
     splits = [float("-inf"), *cuts, float("inf")]
     tmp = f"__{out}_bucket"
     b = Bucketizer(splits=splits, inputCol=col, outputCol=tmp, handleInvalid="keep")
