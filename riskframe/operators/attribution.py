@@ -99,10 +99,10 @@ def pick_diverse_examples(df: DataFrame, score: str, keys: Sequence[str], n: int
         parts.append(df.orderBy(F.col(score).asc(), *key_order).limit(n_low).withColumn("example", F.lit("low")))
         parts.append(df.orderBy(F.col(score).desc(), *key_order).limit(n_high).withColumn("example", F.lit("high")))
     if n_mid:
-        med = df.agg(F.median(F.col(score)).alias("__med")).withColumn("__j", F.lit(1))
-        mid = (df.withColumn("__j", F.lit(1)).join(med, on="__j").drop("__j")
-               .orderBy(F.abs(F.col(score) - F.col("__med")).asc(), *key_order).limit(n_mid)
-               .drop("__med").withColumn("example", F.lit("median")))
+        from riskframe.operators.binning import exact_quantiles
+        med = exact_quantiles(df, {score: F.col(score)}, [0.5])[score][0]
+        mid = (df.orderBy(F.abs(F.col(score) - F.lit(med)).asc(), *key_order).limit(n_mid)
+               .withColumn("example", F.lit("median")))
         parts.append(mid)
     outp = parts[0]
     for x in parts[1:]:

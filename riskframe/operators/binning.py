@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.bins import right_closed_bin
+from riskframe.session import persist
 
 EDGE_DIGITS = 9  # interior edges are rounded so equal data values land in the same bin on every engine
 
@@ -47,13 +48,12 @@ def dedupe_edges(values: Sequence[float | None]) -> list[float]:
 
 def quantile_edges(df: DataFrame, columns: Sequence[str], fractions: Sequence[float], approx: bool = False,
                    accuracy: int = 100000) -> dict[str, list[float | None]]:
-    """Raw quantiles per column at ``fractions`` (linear interpolation, nulls ignored) in one aggregate."""
+    """Raw quantiles per column at ``fractions`` (linear interpolation, nulls ignored).
+    Exact by default (distributed, see ``exact_quantiles``); ``approx`` uses ``percentile_approx``."""
     fr = [float(f) for f in fractions]
-    aggs = []
-    for c in columns:
-        x = clean_double(c)
-        aggs.append((F.percentile_approx(x, fr, accuracy) if approx else F.percentile(x, F.lit(fr))).alias(c))
-    row = df.agg(*aggs).first()
+    if not approx:
+        return exact_quantiles(df, list(columns), fr)
+    row = df.agg(*[F.percentile_approx(clean_double(c), fr, accuracy).alias(c) for c in columns]).first()
     return {c: list(row[c]) if row[c] is not None else [None] * len(fr) for c in columns}
 
 
@@ -87,47 +87,133 @@ def _chosen_edges(cands: dict[int, list[float]], counts_for, n_bins: int, min_co
     return edges
 
 
+def value_counts(df: DataFrame, columns, target: str | None = None) -> DataFrame:
+    """(feature, v, c[, g, b]) for every column and distinct value (null included): ONE scan,
+    map-side combined, so a value held by a third of the rows is one row per partition.
+    ``columns`` is a list of numeric column names or a dict name -> Column expression."""
+    exprs = columns if isinstance(columns, dict) else {c: clean_double(c) for c in columns}
+    cols = list(exprs)
+    sel = [e.cast("double").alias(c) for c, e in exprs.items()]
+    if target is not None:
+        sel.append(F.col(target).alias("__y"))
+    long = df.select(*sel).unpivot(["__y"] if target is not None else [], cols, "feature", "v")
+    aggs = [F.count(F.lit(1)).alias("c")]
+    if target is not None:
+        aggs += [F.count_if(F.col("__y") == 0).alias("g"), F.count_if(F.col("__y") == 1).alias("b")]
+    return long.groupBy("feature", "v").agg(*aggs)
+
+
+def quantiles_from_counts(counts: DataFrame, fractions: Sequence[float], n_buckets: int | None = None
+                          ) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated quantiles (numpy's default) from ``(feature, v, c)``.
+
+    Cumulative counts come from the bucketed prefix sum (no single-partition window, no
+    per-column value map in one task). The ranks each quantile needs are known once the
+    per-feature totals are (<= features rows), so a plain codegen predicate keeps only
+    the distinct values sitting at those ranks (<= 2 per fraction and feature)."""
+    from riskframe.operators.curves import prefix_below
+    fr = [float(f) for f in fractions]
+    nonnull = counts.where(F.col("v").isNotNull()).select("feature", "v", "c")
+    totals = {r["feature"]: int(r["n"]) for r in nonnull.groupBy("feature").agg(F.sum("c").alias("n")).collect()}
+    if not totals:
+        return {}
+    ranks: dict[str, list[int]] = {}
+    for feat, n in totals.items():
+        rs = set()
+        for f in fr:
+            lo = int(np.floor(f * (n - 1)))
+            rs.add(lo)
+            if lo + 1 <= n - 1:
+                rs.add(lo + 1)
+        ranks[feat] = sorted(rs)
+    pre = prefix_below(nonnull, "v", by=["feature"], cols=("c",), n_buckets=n_buckets, persist_input=False)
+    # Needed ranks: <= features x fractions x 2 rows, a proven bound, so the side is broadcast.
+    spark = counts.sparkSession
+    need = spark.createDataFrame([(f, r) for f, rs in ranks.items() for r in rs], "feature string, r long")
+    hit = pre.join(F.broadcast(need), (pre["feature"] == need["feature"]) & (need["r"] >= pre["c_below"])
+                   & (need["r"] < pre["c_below"] + pre["c"]))
+    found = {(r["feature"], int(r["r"])): r["v"] for r in hit.select(pre["feature"], "r", "v").collect()}
+
+    def value_at(feat: str, rank: int) -> float:
+        return found[(feat, rank)]
+
+    out: dict[str, list[float | None]] = {}
+    for feat, n in totals.items():
+        vals = []
+        for f in fr:
+            h = f * (n - 1)
+            lo = int(np.floor(h))
+            a = value_at(feat, lo)
+            b = value_at(feat, lo + 1) if lo + 1 <= n - 1 else a
+            t = h - lo
+            vals.append(float(a + (b - a) * t) if t < 0.5 else float(b - (b - a) * (1 - t)))
+        out[feat] = vals
+    return out
+
+
+def exact_quantiles(df: DataFrame, columns, fractions: Sequence[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles of many numeric columns (names or name -> Column) with distributed work only."""
+    vc = persist(value_counts(df, columns))
+    res = quantiles_from_counts(vc, fractions)
+    vc.unpersist()
+    return {c: res.get(c, [None] * len(fractions)) for c in (list(columns))}
+
+
 def numeric_bin_stats(df: DataFrame, features: Sequence[str], target: str, n_bins: int = 10,
                       min_bin_size: float = 0.05, method: str = "quantile", approx: bool = False,
                       accuracy: int = 100000) -> tuple[list[NumericBins], int, int, int]:
-    """Fit right-closed bins for numeric ``features``; returns (bins, n_rows, n_good, n_bad)."""
+    """Fit right-closed bins for numeric ``features``; returns (bins, n_rows, n_good, n_bad).
+
+    One scan of ``df`` builds the per-feature value counts by class; quantiles, the
+    min-bin-size search and the bin counts are all derived from that (smaller) frame."""
     features = list(features)
-    y = F.col(target)
     per_q = quantile_fractions(n_bins)
     union = sorted(set(v for vs in per_q.values() for v in vs))
-    aggs = [F.count(F.lit(1)).alias("__n"), F.count_if(y == 0).alias("__good"), F.count_if(y == 1).alias("__bad")]
-    for c in features:
-        x = clean_double(c)
-        if method == "width":
-            aggs += [F.min(x).alias(f"__min_{c}"), F.max(x).alias(f"__max_{c}")]
-        aggs.append((F.percentile_approx(x, union, accuracy) if approx else F.percentile(x, F.lit(union))).alias(c))
-    row = df.agg(*aggs).first()
-    n, good, bad = row["__n"], row["__good"], row["__bad"]
+    if not features:
+        r = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(target) == 0).alias("g"),
+                   F.count_if(F.col(target) == 1).alias("b")).first()
+        return [], r["n"], r["g"], r["b"]
+    vc = persist(value_counts(df, features, target))
+    tot = vc.where(F.col("feature") == features[0]).agg(F.sum("c").alias("n"), F.sum("g").alias("g"),
+                                                         F.sum("b").alias("b")).first()
+    n, good, bad = int(tot["n"] or 0), int(tot["g"] or 0), int(tot["b"] or 0)
+    if approx:
+        row = df.agg(*[F.percentile_approx(clean_double(c), union, accuracy).alias(c) for c in features]).first()
+        qs_all = {c: list(row[c]) if row[c] is not None else None for c in features}
+    else:
+        qs_all = quantiles_from_counts(vc, union)
+    mm = {}
+    if method == "width":
+        for r in vc.where(F.col("v").isNotNull()).groupBy("feature").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect():
+            mm[r["feature"]] = (r["lo"], r["hi"])
 
     cands: dict[str, dict[int, list[float]]] = {}
+    pos = {f: i for i, f in enumerate(union)}
     for c in features:
-        qs = row[c]
+        qs = qs_all.get(c)
         if qs is None:
             cands[c] = {q: [] for q in per_q}
             continue
-        pos = {f: i for i, f in enumerate(union)}
         cands[c] = {q: dedupe_edges([qs[pos[f]] for f in fr]) for q, fr in per_q.items()}
-        if method == "width" and row[f"__min_{c}"] is not None:
-            cands[c][n_bins] = width_edges(row[f"__min_{c}"], row[f"__max_{c}"], n_bins)
+        if method == "width" and c in mm:
+            cands[c][n_bins] = width_edges(mm[c][0], mm[c][1], n_bins)
 
-    # Union of candidate edges per feature: elementary right-closed intervals.
+    # Union of candidate edges per feature: elementary right-closed intervals, counted from
+    # the value-count frame (no second scan of the rows).
     elem_edges = {c: sorted(set(e for es in cands[c].values() for e in es)) for c in features}
     active = [c for c in features if len(elem_edges[c]) >= 2]
     elem_counts: dict[str, dict[int, tuple[int, int]]] = {c: {} for c in features}
     if active:
-        cols = [right_closed_bin(clean_double(c), elem_edges[c]).alias(c) for c in active]
-        long = (df.select(y.alias("__y"), *cols)
-                .unpivot(["__y"], active, "feature", "elem")
-                .where(F.col("elem").isNotNull())
-                .groupBy("feature", "elem")
-                .agg(F.count_if(F.col("__y") == 0).alias("g"), F.count_if(F.col("__y") == 1).alias("b")))
-        for r in long.collect():  # bounded: features x elementary intervals
-            elem_counts[r["feature"]][r["elem"]] = (r["g"], r["b"])
+        elem = None
+        for c in active:
+            e = right_closed_bin(F.col("v"), elem_edges[c])
+            elem = F.when(F.col("feature") == c, e) if elem is None else elem.when(F.col("feature") == c, e)
+        agg = (vc.where(F.col("v").isNotNull() & F.col("feature").isin(active))
+               .select("feature", elem.alias("elem"), "g", "b")
+               .where(F.col("elem").isNotNull())
+               .groupBy("feature", "elem").agg(F.sum("g").alias("g"), F.sum("b").alias("b")))
+        for r in agg.collect():  # bounded: features x elementary intervals
+            elem_counts[r["feature"]][r["elem"]] = (int(r["g"]), int(r["b"]))
 
     out = []
     min_count = n * min_bin_size
@@ -154,4 +240,5 @@ def numeric_bin_stats(df: DataFrame, features: Sequence[str], target: str, n_bin
         edges = _chosen_edges(cands[c], lambda e: [g + b for g, b in zip(*sums(e))], n_bins, min_count)
         gs, bs = sums(edges)
         out.append(NumericBins(c, edges, gs, bs))
+    vc.unpersist()
     return out, n, good, bad

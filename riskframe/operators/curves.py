@@ -46,12 +46,13 @@ def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
 
 
 def prefix_below(collapsed: DataFrame, score: str, by: Sequence[str] = (),
-                 cols: Sequence[str] = ("pos", "neg"), n_buckets: int | None = None) -> DataFrame:
+                 cols: Sequence[str] = ("pos", "neg"), n_buckets: int | None = None,
+                 persist_input: bool = True) -> DataFrame:
     """Add ``<c>_below`` (sum of c over strictly smaller scores in the group) and
     ``<c>_total`` (group total) for each c in ``cols``."""
     by = list(by)
     k = _n_buckets(collapsed, n_buckets)
-    base = persist(collapsed)
+    base = persist(collapsed) if persist_input else collapsed
     if k > 1:
         probs = [i / k for i in range(1, k)]
         row = base.agg(F.percentile_approx(score, probs, 10000).alias("q")).first()

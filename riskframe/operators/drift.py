@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.bins import left_closed_index
 from riskframe.functions.exprs import PSI_FLOOR, psi_label
-from riskframe.operators.binning import clean_double, dedupe_edges
+from riskframe.operators.binning import clean_double, dedupe_edges, exact_quantiles
 
 DETAIL_COLS = ["bucket", "bin_edge_lower", "bin_edge_upper", "expected_count", "actual_count",
                "expected_pct", "actual_pct", "psi_contribution"]
@@ -38,11 +38,15 @@ def _bucket_expr(x: Column, edges: list[float]) -> Column:
 
 
 def _edges_for(df: DataFrame, exprs: dict[str, Column], buckets: int, approx: bool = False) -> dict[str, list[float]]:
+    """Reference-side edges for several columns/parts at once: exact quantiles from one
+    value-count scan (or ``percentile_approx`` when ``approx``)."""
     fr = _fractions(buckets)
-    aggs = [(F.percentile_approx(e, fr, 100000) if approx else F.percentile(e, F.lit(fr))).alias(k)
-            for k, e in exprs.items()]
-    row = df.agg(*aggs).first()
-    return {k: psi_edges(row[k]) if row[k] is not None else [] for k in exprs}
+    if approx:
+        row = df.agg(*[F.percentile_approx(e, fr, 100000).alias(k) for k, e in exprs.items()]).first()
+        raw = {k: row[k] for k in exprs}
+    else:
+        raw = exact_quantiles(df, exprs, fr)
+    return {k: psi_edges(raw[k]) if raw[k] is not None and raw[k][0] is not None else [] for k in exprs}
 
 
 def _finish(counts: DataFrame, keys: list[str], edges: dict[tuple, list[float]], spark) -> DataFrame:

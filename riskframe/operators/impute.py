@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
+from riskframe.operators.binning import exact_quantiles
+
 # Fixed value: fill for a categorical column that is missing everywhere.
 ALL_MISSING_CATEGORY = "Unknown"
 
@@ -31,26 +33,37 @@ def _is_numeric(dt) -> bool:
 def fit_imputer(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False,
                 accuracy: int = 100000) -> ImputerState:
     """Fit on columns that have a missing value: numeric -> median (mean of the middle two;
-    ``approx`` switches to ``percentile_approx`` for very high-cardinality columns),
-    other -> most frequent value, smallest on ties, ``Unknown`` if all missing.
-
-    Two jobs in total: one to find the columns with nulls, one for all medians and modes."""
+    ``approx`` switches to ``percentile_approx``), other -> most frequent value, smallest on
+    ties, ``Unknown`` if all missing. Medians and modes are distributed aggregations over
+    value counts; only one value per column reaches the driver."""
     cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     has_null = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
     todo = [c for c in cols if has_null[c] == 1]
     if not todo:
         return ImputerState({}, {})
-    aggs = []
-    for c in todo:
-        if _is_numeric(types[c]):
-            x = F.col(c).cast("double")
-            aggs.append((F.percentile_approx(x, 0.5, accuracy) if approx else F.median(x)).alias(c))
+    num_cols = [c for c in todo if _is_numeric(types[c])]
+    cat_cols = [c for c in todo if not _is_numeric(types[c])]
+    num: dict[str, float | None] = {}
+    if num_cols:
+        if approx:
+            row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in num_cols]).first()
+            num = {c: None if row[c] is None else float(row[c]) for c in num_cols}
         else:
-            aggs.append(F.mode(F.col(c).cast("string"), True).alias(c))
-    row = df.agg(*aggs).first()
-    num = {c: (None if row[c] is None else float(row[c])) for c in todo if _is_numeric(types[c])}
-    cat = {c: (row[c] if row[c] is not None else ALL_MISSING_CATEGORY) for c in todo if not _is_numeric(types[c])}
+            med = exact_quantiles(df, {c: F.col(c).cast("double") for c in num_cols}, [0.5])
+            num = {c: (None if med[c][0] is None else float(med[c][0])) for c in num_cols}
+    cat: dict[str, str] = {c: ALL_MISSING_CATEGORY for c in cat_cols}
+    if cat_cols:
+        # Mode without a per-column value map in one task: counts per value (map-side combined),
+        # the max count per column, then the smallest value holding it.
+        vc = (df.select(*[F.col(c).cast("string").alias(c) for c in cat_cols])
+              .unpivot([], cat_cols, "column_name", "value").where(F.col("value").isNotNull())
+              .groupBy("column_name", "value").count())
+        mx = vc.groupBy("column_name").agg(F.max("count").alias("m"))
+        best = (vc.join(F.broadcast(mx), on="column_name").where(F.col("count") == F.col("m"))
+                .groupBy("column_name").agg(F.min("value").alias("mode")))
+        for r in best.collect():  # one row per column
+            cat[r["column_name"]] = r["mode"]
     return ImputerState(num, cat)
 
 

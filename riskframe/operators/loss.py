@@ -60,8 +60,13 @@ def sensitivity_analysis(df: DataFrame, pd_col: str, ead_range=SENS_EAD_RANGE, l
     over the grid are the pd statistics times ead*lgd: ONE aggregate over the rows,
     joined to the n^2-row parameter grid (never rows x grid)."""
     p = F.col(pd_col).cast("double")
-    med = F.percentile_approx(p, 0.5, 100000) if approx_median else F.median(p)
-    stats = df.agg(F.avg(p).alias("_m"), F.sum(p).alias("_s"), med.alias("_med")).withColumn("_k", F.lit(1))
+    if approx_median:
+        stats = df.agg(F.avg(p).alias("_m"), F.sum(p).alias("_s"), F.percentile_approx(p, 0.5, 100000).alias("_med"))
+    else:  # exact median from distributed value counts; mean and sum from the same aggregate pass
+        from riskframe.operators.binning import exact_quantiles
+        med = exact_quantiles(df, {"p": p}, [0.5])["p"][0]
+        stats = df.agg(F.avg(p).alias("_m"), F.sum(p).alias("_s")).withColumn("_med", F.lit(med).cast("double"))
+    stats = stats.withColumn("_k", F.lit(1))
     grid = [(e, g) for e in linspace(*ead_range, n_points) for g in linspace(*lgd_range, n_points)]
     gdf = df.sparkSession.createDataFrame(grid, "ead double, lgd double").withColumn("_k", F.lit(1))
     j = gdf.join(stats, on="_k").drop("_k")
