@@ -178,3 +178,16 @@ def q_retrain_trigger(spark, sf):
     l = loans(spark, sf)
     te, oot, tr = (l.where(F.col("split") == s) for s in ("test", "oot", "train"))
     return out(retrain_trigger(ranking_metrics(te, "y", "p"), ranking_metrics(oot, "y", "p"), calculate_psi(tr, oot, "p")))
+
+
+@register("training_run")
+def q_training_run(spark, sf):
+    """The whole run on the loans view (features from lineitem, target y, hash split)."""
+    from riskframe.config import RiskConfig
+    from riskframe.plans.q_woe import CAT, NUM
+    from riskframe.plans.training_run import run_training
+    from riskframe.sources.tables import loans_with_gaps
+    df = loans_with_gaps(spark, sf).select(*LOAN_KEY, *NUM, *CAT, "y")
+    cfg = RiskConfig(target="y", iv_max=0.5)
+    res = run_training(spark, df, cfg, LOAN_KEY)
+    return out(res.report)
