@@ -10,8 +10,18 @@ from pyspark.sql import functions as F
 HASH_RANGE = 1 << 30
 
 
-def _ts(col: str) -> F.Column:
-    return F.coalesce(F.try_to_timestamp(F.col(col).cast("string")), F.col(col).cast("timestamp_ntz"))
+def part_predicate(date_column: str, part: str, split_date: str, oot_start: str | None = None) -> F.Column:
+    """Direct range predicate on the date column for one part (pushed down to the Parquet scan,
+    unlike a filter on a derived label). Missing dates belong to no part."""
+    d = F.col(date_column).cast("timestamp_ntz")
+    lo, hi = F.lit(split_date).cast("timestamp_ntz"), (F.lit(oot_start).cast("timestamp_ntz") if oot_start else None)
+    if part == "train":
+        return d < lo
+    if part == "test":
+        return (d >= lo) & (d < hi) if hi is not None else d >= lo
+    if part == "oot":
+        return d >= hi if hi is not None else F.lit(False)
+    raise ValueError(part)
 
 
 def split_label(df: DataFrame, date_column: str, split_date: str, oot_start: str | None = None,
@@ -32,9 +42,9 @@ def time_based_split(df: DataFrame, date_column: str, split_date: str, oot_start
     ``check`` runs one conditional-count aggregate and raises on an empty train or test part."""
     if date_column not in df.columns:
         raise ValueError(f"Date column '{date_column}' not found in data")
-    lab = split_label(df, date_column, split_date, oot_start, "__split")
-    parts = [lab.where(F.col("__split") == name).drop("__split") for name in ("train", "test", "oot")]
+    parts = [df.where(part_predicate(date_column, name, split_date, oot_start)) for name in ("train", "test", "oot")]
     if check:
+        lab = split_label(df, date_column, split_date, oot_start, "__split")
         row = lab.agg(F.count_if(F.col("__split") == "train").alias("tr"),
                       F.count_if(F.col("__split") == "test").alias("te")).first()
         if row["tr"] == 0:

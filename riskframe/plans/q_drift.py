@@ -8,7 +8,7 @@ from riskframe.operators.drift import calculate_psi, psi_buckets, psi_by_period,
 from riskframe.plans.common import out
 from riskframe.plans.registry import register
 from riskframe.plans.sql import psi_ctes, psi_label_sql, r6, with_loans
-from riskframe.sources.tables import events_frame, loans
+from riskframe.sources.tables import events_frame, loans, split_filter
 
 PSI_VARS = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
 BASELINE_END = "2024-01-08"
@@ -17,7 +17,7 @@ PERIOD = "7 days"
 
 def _parts(spark, sf):
     l = loans(spark, sf)
-    return l, l.where(F.col("split") == "train"), l.where(F.col("split") == "test"), l.where(F.col("split") == "oot")
+    return l, l.where(split_filter("train")), l.where(split_filter("test")), l.where(split_filter("oot"))
 
 
 @register("psi_score", with_loans(

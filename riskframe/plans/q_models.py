@@ -12,7 +12,7 @@ from riskframe.plans.common import out
 from riskframe.plans.registry import register
 from riskframe.plans.scoring import score_batch
 from riskframe.plans.sql import r6, with_loans, GAPS_CTE
-from riskframe.sources.tables import LOAN_KEY, loans_with_gaps
+from riskframe.sources.tables import LOAN_KEY, loans_with_gaps, split_filter
 
 MODEL_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 # Registered model settings (forest as configured in the reference: 50 trees, depth 8).
@@ -27,7 +27,7 @@ _CACHE: dict = {}
 def _encoded(spark, sf, part: str):
     from riskframe.plans.q_woe import fitted
     enc = fitted(spark, sf)
-    base = loans_with_gaps(spark, sf).where(F.col("split") == part).select(*LOAN_KEY, "y", "p", *MODEL_FEATURES)
+    base = loans_with_gaps(spark, sf).where(split_filter(part)).select(*LOAN_KEY, "y", "p", *MODEL_FEATURES)
     return enc.transform(base)
 
 
@@ -42,7 +42,7 @@ def model_for(spark, sf, name: str, calibrate: bool = True):
 @register("class_weights", with_loans(GAPS_CTE, "tr AS (SELECT * FROM gaps WHERE split = 'train')", body=f"""SELECT y AS class,
   CAST(COUNT(*) AS BIGINT) AS n, {r6('(SELECT COUNT(*) FROM tr) / (2.0 * COUNT(*))', 'weight')} FROM tr GROUP BY y"""))
 def q_class_weights(spark, sf):
-    tr = loans_with_gaps(spark, sf).where(F.col("split") == "train")
+    tr = loans_with_gaps(spark, sf).where(split_filter("train"))
     return out(class_weight_table(tr, "y"))
 
 
@@ -84,7 +84,7 @@ def q_cv_metrics(spark, sf):
 @register("score_batch")
 def q_score_batch(spark, sf):
     from riskframe.plans.q_woe import fitted
-    te = loans_with_gaps(spark, sf).where(F.col("split") == "test")
+    te = loans_with_gaps(spark, sf).where(split_filter("test"))
     res = score_batch(te, fitted(spark, sf), model_for(spark, sf, "logreg", True), keep=LOAN_KEY)
     return out(res.select(*LOAN_KEY, "pd", "risk_band", "decision"))
 

@@ -15,6 +15,7 @@ from riskframe.plans.common import out
 from riskframe.plans.registry import register
 from riskframe.plans.sql import GAPS_CTE, r6, with_loans
 from riskframe.sources.tables import (
+    split_filter,
     GAP_COLUMNS, LOAN_KEY, SPLIT_TEST_END, SPLIT_TRAIN_END, loans, loans_with_gaps, read_table,
 )
 
@@ -71,7 +72,7 @@ UNION ALL SELECT 'l_returnflag', 'categorical', NULL, (SELECT v FROM rf)""")
 
 
 def _fit_state(spark, sf):
-    tr = loans_with_gaps(spark, sf).where(F.col("split") == "train")
+    tr = loans_with_gaps(spark, sf).where(split_filter("train"))
     return fit_imputer(tr.select(*IMPUTE_COLS))
 
 
@@ -91,7 +92,7 @@ def q_impute_state(spark, sf):
 FROM te GROUP BY l_returnflag"""))
 def q_impute_apply(spark, sf):
     state = _fit_state(spark, sf)
-    te = impute(loans_with_gaps(spark, sf).where(F.col("split") == "test"), state)
+    te = impute(loans_with_gaps(spark, sf).where(split_filter("test")), state)
     return out(te.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_discount").alias("sum_discount"), F.sum("l_tax").alias("sum_tax"),
         F.count_if(F.col("l_discount").isNull() | F.col("l_tax").isNull()).alias("n_missing")))

@@ -20,7 +20,7 @@ from riskframe.plans.scoring import top_drivers
 from riskframe.plans.sql import (
     calib_ctes, point_ctes, psi_ctes, r6, ranking_ctes, risk_band_sql, sdiv, with_loans,
 )
-from riskframe.sources.tables import LOAN_KEY, loans
+from riskframe.sources.tables import LOAN_KEY, loans, split_filter
 
 KEYS_SQL = ", ".join(LOAN_KEY)
 N_EXAMPLES = 6
@@ -43,7 +43,7 @@ def _top_drivers_sql() -> str:
 def q_top_drivers(spark, sf):
     from riskframe.plans.q_woe import CAT, NUM, fitted
     from riskframe.sources.tables import loans_with_gaps
-    te = loans_with_gaps(spark, sf).where(F.col("split") == "test").select(*LOAN_KEY, *NUM, *CAT)
+    te = loans_with_gaps(spark, sf).where(split_filter("test")).select(*LOAN_KEY, *NUM, *CAT)
     enc = fitted(spark, sf).transform(te)
     return out(top_drivers(enc, NUM + CAT, LOAN_KEY, 10).withColumn("rank", F.col("rank").cast("int")))
 
@@ -91,14 +91,14 @@ def _diverse_sql() -> str:
 
 @register("diverse_examples", _diverse_sql())
 def q_diverse_examples(spark, sf):
-    te = loans(spark, sf).where(F.col("split") == "test").select(*LOAN_KEY, "p")
+    te = loans(spark, sf).where(split_filter("test")).select(*LOAN_KEY, "p")
     return out(pick_diverse_examples(te, "p", LOAN_KEY, N_EXAMPLES))
 
 
 @register("local_examples")
 def q_local_examples(spark, sf):
     attr, _ = _linear(spark, sf)
-    te = loans(spark, sf).where(F.col("split") == "test").select(*LOAN_KEY, "p")
+    te = loans(spark, sf).where(split_filter("test")).select(*LOAN_KEY, "p")
     ex = pick_diverse_examples(te, "p", LOAN_KEY, N_EXAMPLES)
     return out(local_examples(attr, ex, LOAN_KEY, "p"))
 
@@ -153,7 +153,7 @@ def _report_sql() -> str:
 @register("metrics_report", _report_sql())
 def q_metrics_report(spark, sf):
     l = loans(spark, sf)
-    te, oot, tr = (l.where(F.col("split") == s) for s in ("test", "oot", "train"))
+    te, oot, tr = (l.where(split_filter(s)) for s in ("test", "oot", "train"))
     sections = {
         "test": evaluate_all(te, "y", "p"),
         "oot": evaluate_all(oot, "y", "p"),
@@ -176,7 +176,7 @@ def _retrain_sql() -> str:
 @register("retrain_trigger", _retrain_sql())
 def q_retrain_trigger(spark, sf):
     l = loans(spark, sf)
-    te, oot, tr = (l.where(F.col("split") == s) for s in ("test", "oot", "train"))
+    te, oot, tr = (l.where(split_filter(s)) for s in ("test", "oot", "train"))
     return out(retrain_trigger(ranking_metrics(te, "y", "p"), ranking_metrics(oot, "y", "p"), calculate_psi(tr, oot, "p")))
 
 

@@ -10,7 +10,7 @@ from riskframe.operators.woe import MISSING_TOKEN, WoeEncoder
 from riskframe.plans.common import out
 from riskframe.plans.registry import register
 from riskframe.plans.sql import GAPS_CTE, r6, with_loans
-from riskframe.sources.tables import LOAN_KEY, loans_with_gaps
+from riskframe.sources.tables import LOAN_KEY, loans_with_gaps, split_filter
 
 NUM = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
 CAT = ["l_linestatus", "l_returnflag"]
@@ -19,7 +19,7 @@ KEYS_SQL = ", ".join(LOAN_KEY)
 
 
 def _train(spark, sf):
-    return loans_with_gaps(spark, sf).where(F.col("split") == "train")
+    return loans_with_gaps(spark, sf).where(split_filter("train"))
 
 
 _MODEL_CACHE: dict = {}
@@ -137,7 +137,7 @@ def q_woe_categorical(spark, sf):
 FROM gaps t WHERE t.split = 'test'""")).replace(" AS l_quantity,", " AS l_quantity,", 1))
 def q_woe_transform(spark, sf):
     m = fitted(spark, sf)
-    te = loans_with_gaps(spark, sf).where(F.col("split") == "test").select(*LOAN_KEY, "y", *NUM, *CAT)
+    te = loans_with_gaps(spark, sf).where(split_filter("test")).select(*LOAN_KEY, "y", *NUM, *CAT)
     return out(m.transform(te))
 
 

@@ -8,7 +8,7 @@ hash, a time-based ``split`` and an exposure ``l_extendedprice``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the fixture (shared with the SQL oracle text).
@@ -47,6 +47,14 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def split_filter(part: str) -> Column:
+    """Rows of one ``split`` of the loans view as a direct ``l_shipdate`` range (pushed to the
+    Parquet scan). Same partition as the ``split`` label: a missing date is 'oot' there."""
+    d = F.col("l_shipdate")
+    lo, hi = F.lit(SPLIT_TRAIN_END).cast("timestamp_ntz"), F.lit(SPLIT_TEST_END).cast("timestamp_ntz")
+    return {"train": d < lo, "test": (d >= lo) & (d < hi), "oot": (d >= hi) | d.isNull()}[part]
+
+
 def events_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
