@@ -161,22 +161,30 @@ def exact_quantiles(df: DataFrame, columns, fractions: Sequence[float]) -> dict[
 
 def numeric_bin_stats(df: DataFrame, features: Sequence[str], target: str, n_bins: int = 10,
                       min_bin_size: float = 0.05, method: str = "quantile", approx: bool = False,
-                      accuracy: int = 100000) -> tuple[list[NumericBins], int, int, int]:
+                      accuracy: int = 100000, counts: DataFrame | None = None,
+                      totals: tuple[int, int, int] | None = None) -> tuple[list[NumericBins], int, int, int]:
     """Fit right-closed bins for numeric ``features``; returns (bins, n_rows, n_good, n_bad).
 
-    One scan of ``df`` builds the per-feature value counts by class; quantiles, the
-    min-bin-size search and the bin counts are all derived from that (smaller) frame."""
+    One scan of ``df`` builds the per-feature value counts by class (or the caller passes
+    ``counts`` = (feature, v, c, g, b) and ``totals`` = (n, good, bad) from a shared scan);
+    quantiles, the min-bin-size search and the bin counts all come from that smaller frame."""
     features = list(features)
     per_q = quantile_fractions(n_bins)
     union = sorted(set(v for vs in per_q.values() for v in vs))
     if not features:
+        if totals is not None:
+            return [], *totals
         r = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(target) == 0).alias("g"),
                    F.count_if(F.col(target) == 1).alias("b")).first()
         return [], r["n"], r["g"], r["b"]
-    vc = persist(value_counts(df, features, target))
-    tot = vc.where(F.col("feature") == features[0]).agg(F.sum("c").alias("n"), F.sum("g").alias("g"),
-                                                         F.sum("b").alias("b")).first()
-    n, good, bad = int(tot["n"] or 0), int(tot["g"] or 0), int(tot["b"] or 0)
+    own = counts is None
+    vc = persist(value_counts(df, features, target)) if own else counts
+    if totals is None:
+        tot = vc.where(F.col("feature") == features[0]).agg(F.sum("c").alias("n"), F.sum("g").alias("g"),
+                                                             F.sum("b").alias("b")).first()
+        n, good, bad = int(tot["n"] or 0), int(tot["g"] or 0), int(tot["b"] or 0)
+    else:
+        n, good, bad = totals
     if approx:
         row = df.agg(*[F.percentile_approx(clean_double(c), union, accuracy).alias(c) for c in features]).first()
         qs_all = {c: list(row[c]) if row[c] is not None else None for c in features}
@@ -240,5 +248,6 @@ def numeric_bin_stats(df: DataFrame, features: Sequence[str], target: str, n_bin
         edges = _chosen_edges(cands[c], lambda e: [g + b for g, b in zip(*sums(e))], n_bins, min_count)
         gs, bs = sums(edges)
         out.append(NumericBins(c, edges, gs, bs))
-    vc.unpersist()
+    if own:
+        vc.unpersist()
     return out, n, good, bad

@@ -166,12 +166,31 @@ class WoeEncoder:
         numeric = [c for c in features if isinstance(types[c], (NumericType, BooleanType))]
         categorical = [c for c in features if c not in numeric]
 
-        nbins, n, G, B = numeric_bin_stats(df, numeric, target, self.n_bins, self.min_bin_size,
-                                           self.method, self.approx)
-        if not numeric:
-            row = df.agg(F.count_if(F.col(target) == 0).alias("g"), F.count_if(F.col(target) == 1).alias("b")).first()
-            G, B = row["g"], row["b"]
+        # ONE scan for all features: numeric values and categories share an unpivot through a
+        # struct<num, cat> value, grouped once by (feature, value) with class counts.
+        y = F.col(target)
+        vals = {c: F.struct(clean_double(c).alias("num"), F.lit(None).cast("string").alias("cat")) for c in numeric}
+        vals.update({c: F.struct(F.lit(None).cast("double").alias("num"), category_key(c).alias("cat"))
+                     for c in categorical})
+        vc_all = persist(
+            df.select(y.alias("__y"), *[e.alias(c) for c, e in vals.items()])
+            .unpivot(["__y"], list(vals), "feature", "val")
+            .groupBy("feature", "val")
+            .agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("__y") == 0).alias("g"),
+                 F.count_if(F.col("__y") == 1).alias("b"))
+        )
+        first = features[0] if features else None
+        if first is None:
+            raise ValueError("no features to encode")
+        tot = vc_all.where(F.col("feature") == first).agg(F.sum("c").alias("n"), F.sum("g").alias("g"),
+                                                           F.sum("b").alias("b")).first()
+        totals = (int(tot["n"] or 0), int(tot["g"] or 0), int(tot["b"] or 0))
+        num_counts = (vc_all.where(F.col("feature").isin(numeric))
+                      .select("feature", F.col("val.num").alias("v"), "c", "g", "b"))
+        nbins, n, G, B = numeric_bin_stats(df, numeric, target, self.n_bins, self.min_bin_size, self.method,
+                                           self.approx, counts=num_counts, totals=totals)
         if G == 0 or B == 0:
+            vc_all.unpersist()
             raise ValueError("Target must contain both classes (0 and 1)")
 
         rows = []
@@ -186,13 +205,9 @@ class WoeEncoder:
         cat_counts: dict[str, int] = {}
         bins = num_df
         if categorical:
-            y = F.col(target)
-            cat = persist(
-                df.select(y.alias("__y"), *[category_key(c).alias(c) for c in categorical])
-                .unpivot(["__y"], categorical, "feature", "category")
-                .groupBy("feature", "category")
-                .agg(F.count_if(F.col("__y") == 0).alias("good"), F.count_if(F.col("__y") == 1).alias("bad"))
-            )
+            cat = (vc_all.where(F.col("feature").isin(categorical))
+                   .select("feature", F.col("val.cat").alias("category"), F.col("g").alias("good"),
+                           F.col("b").alias("bad")))
             cat_counts = {r["feature"]: r["n"] for r in cat.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
             for c in categorical:
                 cat_counts.setdefault(c, 0)
@@ -203,7 +218,9 @@ class WoeEncoder:
                 "category", F.col("good").cast("long").alias("good"), F.col("bad").cast("long").alias("bad"),
                 _woe_col(F.col("good"), F.col("bad"), G, B).alias("woe"),
             )
-            bins = num_df.unionByName(cat_bins)
+            bins = num_df.unionByName(cat_bins)  # stays lazy on the cached value counts (distinct values only)
+        else:
+            vc_all.unpersist()
         params = {"n_bins": self.n_bins, "min_bin_size": self.min_bin_size, "method": self.method}
         return WoeModel(bins, edges, woes, cat_counts, int(G), int(B), self.handle_unknown, params)
 
