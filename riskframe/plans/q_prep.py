@@ -219,3 +219,18 @@ def q_run_all_checks(spark, sf):
     l = loans(spark, sf)
     res = run_all_checks(l, "y", "l_shipdate", forbidden=FORBIDDEN, labelled=l)
     return res.select("check", "passed", "value")
+
+
+def _profile_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing FROM gaps"
+             for c in GAP_COLUMNS]
+    return with_loans(GAPS_CTE, f"m AS ({' UNION ALL '.join(parts)})",
+                      body="SELECT * FROM m ORDER BY n_missing DESC, column_name LIMIT 20")
+
+
+@register("column_profile", _profile_sql())
+def q_column_profile(spark, sf):
+    """The 20 columns with the most missing values (a top-k report)."""
+    from riskframe.operators.cleaning import profile
+    _, missing = profile(loans_with_gaps(spark, sf), "y", top=20)
+    return missing
