@@ -144,7 +144,7 @@ def q_woe_transform(spark, sf):
 def _iv_sql(select_range: bool = False) -> str:
     feats = NUM + CAT
     long = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v, y FROM enc" for c in feats)
-    body = f"""SELECT feature, {r6('SUM((gp - bp) * LN(gp / bp))', 'iv')}, CAST(COUNT(*) AS INTEGER) AS n_bins
+    body = f"""SELECT feature, {r6('SUM((gp - bp) * LN(gp / bp))', 'iv')}, CAST(COUNT(*) AS BIGINT) AS n_bins
 FROM (SELECT feature, (good + 1e-10) / (G + 1e-10) AS gp, (bad + 1e-10) / (B + 1e-10) AS bp FROM (
   SELECT feature, v, SUM(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS good, SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS bad
   FROM ({long}) l WHERE v IS NOT NULL GROUP BY feature, v) g JOIN tot ON TRUE) x GROUP BY feature"""
