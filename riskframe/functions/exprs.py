@@ -64,3 +64,18 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+def melt(df: DataFrame, ids: list[Column], values: dict[str, Column], name_col: str = "feature",
+         value_col: str = "v") -> DataFrame:
+    """Wide -> long (ids..., name, value) with ``inline`` over an array of structs.
+
+    Same result as ``unpivot``; measured faster on wide frames (one generator, no Expand
+    with one projection per column). ``values`` may map to struct columns whose fields
+    become separate output columns when ``value_col`` is None."""
+    arr = F.array(*[F.struct(F.lit(k).alias(name_col), v.alias(value_col) if value_col else v)
+                    for k, v in values.items()])
+    long = df.select(*ids, F.inline(arr))
+    if value_col is None:
+        return long.select(*[c for c in long.columns if c != "col"], "col.*") if "col" in long.columns else long
+    return long

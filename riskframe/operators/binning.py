@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.bins import right_closed_bin
+from riskframe.functions.exprs import melt
 from riskframe.session import persist
 
 EDGE_DIGITS = 9  # interior edges are rounded so equal data values land in the same bin on every engine
@@ -92,31 +93,46 @@ def value_counts(df: DataFrame, columns, target: str | None = None) -> DataFrame
     map-side combined, so a value held by a third of the rows is one row per partition.
     ``columns`` is a list of numeric column names or a dict name -> Column expression."""
     exprs = columns if isinstance(columns, dict) else {c: clean_double(c) for c in columns}
-    cols = list(exprs)
-    sel = [e.cast("double").alias(c) for c, e in exprs.items()]
-    if target is not None:
-        sel.append(F.col(target).alias("__y"))
-    long = df.select(*sel).unpivot(["__y"] if target is not None else [], cols, "feature", "v")
+    ids = [F.col(target).alias("__y")] if target is not None else []
+    long = melt(df, ids, {c: e.cast("double") for c, e in exprs.items()})
     aggs = [F.count(F.lit(1)).alias("c")]
     if target is not None:
         aggs += [F.count_if(F.col("__y") == 0).alias("g"), F.count_if(F.col("__y") == 1).alias("b")]
     return long.groupBy("feature", "v").agg(*aggs)
 
 
-def quantiles_from_counts(counts: DataFrame, fractions: Sequence[float], n_buckets: int | None = None
-                          ) -> dict[str, list[float | None]]:
+# Features with at most this many distinct values take the grouped exact ``percentile`` over their
+# value counts (one bounded buffer per feature); more distinct values take the prefix-sum path.
+GROUPED_PERCENTILE_MAX_NDV = 100_000
+
+
+def quantiles_from_counts(counts: DataFrame, fractions: Sequence[float], n_buckets: int | None = None,
+                          grouped_max_ndv: int = GROUPED_PERCENTILE_MAX_NDV) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles (numpy's default) from ``(feature, v, c)``.
 
-    Cumulative counts come from the bucketed prefix sum (no single-partition window, no
-    per-column value map in one task). The ranks each quantile needs are known once the
-    per-feature totals are (<= features rows), so a plain codegen predicate keeps only
-    the distinct values sitting at those ranks (<= 2 per fraction and feature)."""
+    Per feature, by its checked number of distinct values:
+    * few distinct values: ``percentile(v, fractions, c)`` grouped by feature - the buffer
+      holds at most ``grouped_max_ndv`` values;
+    * many: cumulative counts from the bucketed prefix sum (no single-partition window, no
+      value map in one task); the ranks each quantile needs are known from the totals, and
+      a broadcast range join keeps only the values at those ranks (<= 2 per fraction)."""
     from riskframe.operators.curves import prefix_below
     fr = [float(f) for f in fractions]
     nonnull = counts.where(F.col("v").isNotNull()).select("feature", "v", "c")
-    totals = {r["feature"]: int(r["n"]) for r in nonnull.groupBy("feature").agg(F.sum("c").alias("n")).collect()}
+    stats = nonnull.groupBy("feature").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("ndv")).collect()
+    totals = {r["feature"]: int(r["n"]) for r in stats}
     if not totals:
         return {}
+    small = [r["feature"] for r in stats if r["ndv"] <= grouped_max_ndv]
+    out: dict[str, list[float | None]] = {}
+    if small:
+        rows = (nonnull.where(F.col("feature").isin(small)).groupBy("feature")
+                .agg(F.percentile(F.col("v"), F.lit(fr), F.col("c")).alias("q")).collect())
+        out.update({r["feature"]: [float(x) for x in r["q"]] for r in rows})
+    totals = {f: n for f, n in totals.items() if f not in out}
+    if not totals:
+        return out
+    nonnull = nonnull.where(F.col("feature").isin(list(totals)))
     ranks: dict[str, list[int]] = {}
     for feat, n in totals.items():
         rs = set()
@@ -137,7 +153,6 @@ def quantiles_from_counts(counts: DataFrame, fractions: Sequence[float], n_bucke
     def value_at(feat: str, rank: int) -> float:
         return found[(feat, rank)]
 
-    out: dict[str, list[float | None]] = {}
     for feat, n in totals.items():
         vals = []
         for f in fr:
@@ -212,14 +227,17 @@ def numeric_bin_stats(df: DataFrame, features: Sequence[str], target: str, n_bin
     active = [c for c in features if len(elem_edges[c]) >= 2]
     elem_counts: dict[str, dict[int, tuple[int, int]]] = {c: {} for c in features}
     if active:
-        elem = None
-        for c in active:
-            e = right_closed_bin(F.col("v"), elem_edges[c])
-            elem = F.when(F.col("feature") == c, e) if elem is None else elem.when(F.col("feature") == c, e)
-        agg = (vc.where(F.col("v").isNotNull() & F.col("feature").isin(active))
-               .select("feature", elem.alias("elem"), "g", "b")
-               .where(F.col("elem").isNotNull())
-               .groupBy("feature", "elem").agg(F.sum("g").alias("g"), F.sum("b").alias("b")))
+        # Elementary intervals as a table (<= features x candidate edges rows: a proven bound, so it is
+        # broadcast) and a range join instead of one CASE nested by feature, which would outgrow
+        # generated-code limits with a hundred features.
+        spark = df.sparkSession
+        iv_rows = [(c, j, float(u[j]), float(u[j + 1])) for c in active for u in [elem_edges[c]] for j in range(len(u) - 1)]
+        elems = spark.createDataFrame(iv_rows, "feature string, elem int, lo double, hi double")
+        vals = vc.where(F.col("v").isNotNull() & F.col("feature").isin(active)).select("feature", "v", "g", "b")
+        cond = ((vals["feature"] == elems["feature"])
+                & (((vals["v"] > elems["lo"]) & (vals["v"] <= elems["hi"])) | ((elems["elem"] == 0) & (vals["v"] == elems["lo"]))))
+        agg = (vals.join(F.broadcast(elems), cond)
+               .groupBy(elems["feature"], elems["elem"]).agg(F.sum("g").alias("g"), F.sum("b").alias("b")))
         for r in agg.collect():  # bounded: features x elementary intervals
             elem_counts[r["feature"]][r["elem"]] = (int(r["g"]), int(r["b"]))
 

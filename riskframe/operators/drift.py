@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.bins import left_closed_index
-from riskframe.functions.exprs import PSI_FLOOR, psi_label
+from riskframe.functions.exprs import PSI_FLOOR, melt, psi_label
 from riskframe.operators.binning import clean_double, dedupe_edges, exact_quantiles
 
 DETAIL_COLS = ["bucket", "bin_edge_lower", "bin_edge_upper", "expected_count", "actual_count",
@@ -122,8 +122,8 @@ def variable_psi(expected: DataFrame, actual: DataFrame, columns: Sequence[str],
         return spark.createDataFrame([], "variable string, psi double, interpretation string")
 
     def tagged(df, is_exp):
-        b = df.select(*[_bucket_expr(clean_double(c), edges[c]).alias(c) for c in live])
-        return b.unpivot([], live, "variable", "bucket").withColumn("_e", F.lit(is_exp))
+        return melt(df, [F.lit(is_exp).alias("_e")], {c: _bucket_expr(clean_double(c), edges[c]) for c in live},
+                    name_col="variable", value_col="bucket")
 
     counts = (tagged(expected, True).unionByName(tagged(actual, False))
               .where(F.col("bucket").isNotNull())

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
+from riskframe.functions.exprs import melt
 from riskframe.operators.binning import exact_quantiles
 
 # Fixed value: fill for a categorical column that is missing everywhere.
@@ -56,8 +57,8 @@ def fit_imputer(df: DataFrame, columns: Sequence[str] | None = None, approx: boo
     if cat_cols:
         # Mode without a per-column value map in one task: counts per value (map-side combined),
         # the max count per column, then the smallest value holding it.
-        vc = (df.select(*[F.col(c).cast("string").alias(c) for c in cat_cols])
-              .unpivot([], cat_cols, "column_name", "value").where(F.col("value").isNotNull())
+        vc = (melt(df, [], {c: F.col(c).cast("string") for c in cat_cols}, name_col="column_name", value_col="value")
+              .where(F.col("value").isNotNull())
               .groupBy("column_name", "value").count())
         mx = vc.groupBy("column_name").agg(F.max("count").alias("m"))
         best = (vc.join(F.broadcast(mx), on="column_name").where(F.col("count") == F.col("m"))

@@ -14,8 +14,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
-from riskframe.functions.exprs import IV_EPS, iv_strength
+from riskframe.functions.exprs import IV_EPS, iv_strength, melt
 
 PAIRWISE_MAX_FEATURES = 40   # up to this many features: pairwise-complete SQL corr in one aggregate
 VIF_SINGULAR_TOL = 1e-10
@@ -37,11 +38,17 @@ def calculate_iv(df: DataFrame, target: str, features: Sequence[str] | None = No
     feats = [c for c in (features or [c for c in df.columns if c != target]) if c in df.columns and c != target]
     G, B = totals or class_totals(df, target)
     y = F.col(target)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    # Numbers stay doubles and categories strings: one generator, no per-value string cast.
+    arr = F.array(*[
+        F.struct(F.lit(c).alias("feature"),
+                 (F.col(c).cast("double") if isinstance(types[c], (NumericType, BooleanType)) else F.lit(None).cast("double")).alias("num"),
+                 (F.lit(None).cast("string") if isinstance(types[c], (NumericType, BooleanType)) else F.col(c).cast("string")).alias("cat"))
+        for c in feats])
     grouped = (
-        df.select(y.alias("__y"), *[F.col(c).cast("string").alias(c) for c in feats])
-        .unpivot(["__y"], feats, "feature", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
+        df.select(y.alias("__y"), F.inline(arr))
+        .where(F.col("num").isNotNull() | F.col("cat").isNotNull())
+        .groupBy("feature", "num", "cat")
         .agg(F.count_if(F.col("__y") == 0).alias("good"), F.count_if(F.col("__y") == 1).alias("bad"))
     )
     e = F.lit(eps)

@@ -16,6 +16,8 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
@@ -66,16 +68,22 @@ class WoeModel:
     def get_woe_map(self, feature: str) -> DataFrame:
         return self.bins.where(F.col("feature") == feature)
 
-    def _numeric_expr(self, c: str) -> F.Column:
-        edges, woes = self.numeric_edges[c], self.numeric_woe[c]
-        x = clean_double(c)
-        if len(edges) < 2:
-            binned = F.lit(None).cast("double")
+    def _numeric_splits(self, c: str) -> list[float]:
+        """Left-closed splits equal to the right-closed bins: (e_i, e_j] == [next_up(e_i), next_up(e_j))
+        on doubles; e_0 itself opens bin 0 (lowest edge included); outer buckets are 'no bin'."""
+        e = self.numeric_edges[c]
+        up = [float(np.nextafter(v, np.inf)) for v in e[1:]]
+        return [float("-inf"), float(e[0]), *up, float("inf")]
+
+    def _numeric_expr(self, c: str, bucket_col: str | None) -> F.Column:
+        """WOE from the bucket index: a literal array lookup (null outside the fitted range or NaN)."""
+        woes = self.numeric_woe[c]
+        if bucket_col is None:
+            woe = F.lit(None).cast("double")
         else:
-            binned = F.when(x.isNull() | (x < F.lit(edges[0])) | (x > F.lit(edges[-1])), F.lit(None).cast("double"))
-            for hi, w in zip(edges[1:], woes):
-                binned = binned.when(x <= F.lit(hi), F.lit(float(w)))
-        return self._unknown(binned, c, x.cast("string"))
+            lut = F.array(F.lit(None).cast("double"), *[F.lit(float(w)) for w in woes], F.lit(None).cast("double"))
+            woe = F.try_element_at(lut, F.col(bucket_col).cast("int") + 1)
+        return self._unknown(woe, c, F.col(c).cast("string"))
 
     def _unknown(self, woe: F.Column, c: str, shown: F.Column) -> F.Column:
         if self.handle_unknown == "error":
@@ -94,9 +102,16 @@ class WoeModel:
         present = set(df.columns)
         exprs: dict[str, F.Column] = {}
         joins: list[str] = []
+        out = df
+        # All numeric features in ONE multi-column Bucketizer (binary search per value).
+        num = [c for c in self.numeric_edges if c in present and len(self.numeric_edges[c]) >= 2]
+        if num:
+            out = out.select("*", *[F.col(c).cast("double").alias(f"__wx_{c}") for c in num])
+            out = Bucketizer(splitsArray=[self._numeric_splits(c) for c in num], inputCols=[f"__wx_{c}" for c in num],
+                             outputCols=[f"__wb_{c}" for c in num], handleInvalid="keep").transform(out)
         for c in self.numeric_edges:
             if c in present:
-                exprs[c] = self._numeric_expr(c)
+                exprs[c] = self._numeric_expr(c, f"__wb_{c}" if c in num else None)
         for c, ncat in self.categorical.items():
             if c not in present:
                 continue
@@ -110,7 +125,6 @@ class WoeModel:
                 exprs[c] = self._unknown(w, c, F.col(c).cast("string"))
             else:
                 joins.append(c)
-        out = df
         for c in joins:  # high-cardinality: shuffle (or AQE broadcast) join on the category key
             lut = self.bins.where(F.col("feature") == c).select(F.col("category").alias(f"__k_{c}"),
                                                                 F.col("woe").alias(f"__w_{c}"))
@@ -169,13 +183,14 @@ class WoeEncoder:
         # ONE scan for all features: numeric values and categories share an unpivot through a
         # struct<num, cat> value, grouped once by (feature, value) with class counts.
         y = F.col(target)
-        vals = {c: F.struct(clean_double(c).alias("num"), F.lit(None).cast("string").alias("cat")) for c in numeric}
-        vals.update({c: F.struct(F.lit(None).cast("double").alias("num"), category_key(c).alias("cat"))
-                     for c in categorical})
+        arr = F.array(
+            *[F.struct(F.lit(c).alias("feature"), clean_double(c).alias("num"), F.lit(None).cast("string").alias("cat"))
+              for c in numeric],
+            *[F.struct(F.lit(c).alias("feature"), F.lit(None).cast("double").alias("num"), category_key(c).alias("cat"))
+              for c in categorical])
         vc_all = persist(
-            df.select(y.alias("__y"), *[e.alias(c) for c, e in vals.items()])
-            .unpivot(["__y"], list(vals), "feature", "val")
-            .groupBy("feature", "val")
+            df.select(y.alias("__y"), F.inline(arr))
+            .groupBy("feature", "num", "cat")
             .agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("__y") == 0).alias("g"),
                  F.count_if(F.col("__y") == 1).alias("b"))
         )
@@ -186,7 +201,7 @@ class WoeEncoder:
                                                            F.sum("b").alias("b")).first()
         totals = (int(tot["n"] or 0), int(tot["g"] or 0), int(tot["b"] or 0))
         num_counts = (vc_all.where(F.col("feature").isin(numeric))
-                      .select("feature", F.col("val.num").alias("v"), "c", "g", "b"))
+                      .select("feature", F.col("num").alias("v"), "c", "g", "b"))
         nbins, n, G, B = numeric_bin_stats(df, numeric, target, self.n_bins, self.min_bin_size, self.method,
                                            self.approx, counts=num_counts, totals=totals)
         if G == 0 or B == 0:
@@ -206,7 +221,7 @@ class WoeEncoder:
         bins = num_df
         if categorical:
             cat = (vc_all.where(F.col("feature").isin(categorical))
-                   .select("feature", F.col("val.cat").alias("category"), F.col("g").alias("good"),
+                   .select("feature", F.col("cat").alias("category"), F.col("g").alias("good"),
                            F.col("b").alias("bad")))
             cat_counts = {r["feature"]: r["n"] for r in cat.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
             for c in categorical:
