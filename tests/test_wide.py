@@ -21,7 +21,9 @@ def test_121_features(spark):
     for j in range(5):
         pdf[f"c{j}"] = rng.choice(["a", "b", "c", None], n)
     pdf["target"] = y
-    df = spark.createDataFrame(pdf)
+    # A distributed, persisted input like a real scan: a pandas-created LocalRelation would make the
+    # optimizer evaluate every projection on the driver (ConvertToLocalRelation) and time that instead.
+    df = spark.createDataFrame(pdf).repartition(8).persist()
     feats = [c for c in pdf.columns if c != "target"]
     t0 = time.time()
     m = WoeEncoder().fit(df, feats, "target")
