@@ -28,10 +28,31 @@ def test_every_query_registered_with_unique_names():
     assert len(q) >= 60
 
 
+def _bounded_single_partition(plan: str) -> list[str]:
+    """Single-partition exchanges whose input reaches a file scan without passing an aggregate
+    (i.e. row-sized data funnelled into one task)."""
+    lines = plan.splitlines()
+    bad = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        for below in lines[i + 1:]:
+            if "Aggregate" in below:
+                break
+            if "FileScan" in below or "Scan parquet" in below:
+                bad.append(line.strip())
+                break
+    return bad
+
+
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, con, name):
     from __spark_entry__ import oracle_sql, queries
-    sdf = queries()[name](spark, SF).toPandas()
+    df = queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan, "Python evaluation in the plan"
+    assert not _bounded_single_partition(plan)
+    sdf = df.toPandas()
     ddf = con.sql(oracle_sql()[name]).df()
     sc, sr = canon(sdf)
     dc, dr = canon(ddf)
