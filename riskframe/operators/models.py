@@ -214,10 +214,14 @@ def out_of_fold_scores(df: DataFrame, features: Sequence[str], target: str, spec
     k_cols = list(keys or features)
     lab = kfold(df, k_cols, folds, spec.seed + 1, target=target, out="cv_fold")
     lab = persist(lab)
-    parts = []
-    for k in range(folds):
-        m = fit_model(lab.where(F.col("cv_fold") != k), features, target, spec, calibrate=calibrate, keys=keys)
-        parts.append(m.score(lab.where(F.col("cv_fold") == k), out=out))
+
+    def fold_fit(k: int):  # independent Spark jobs, run concurrently from driver threads
+        return fit_model(lab.where(F.col("cv_fold") != k), features, target, spec, calibrate=calibrate, keys=keys,
+                         parallelism=1)
+
+    with ThreadPoolExecutor(max_workers=min(folds, 4)) as pool:
+        fitted = list(pool.map(fold_fit, range(folds)))
+    parts = [m.score(lab.where(F.col("cv_fold") == k), out=out) for k, m in enumerate(fitted)]
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)

@@ -56,3 +56,12 @@ def test_class_guard(spark):
     df = spark.createDataFrame([(1.0, 0), (2.0, 0)], "a double, y int")
     with pytest.raises(ValueError, match="both classes"):
         fit_model(df, ["a"], "y")
+
+
+def test_evaluate_cv_out_of_fold(spark, parts):
+    from riskframe.operators.models import evaluate_cv
+    tr, _ = parts
+    r = evaluate_cv(tr, FEATS, "y", ModelSpec("logreg"), folds=3, keys=LOAN_KEY).first()
+    assert r["n"] == tr.count()  # every row scored exactly once, out of fold
+    assert abs(r["auc_mean"] - r["auc"]) < 0.02 and r["auc_std"] >= 0
+    assert r["brier_mean"] == r["brier"] and r["brier_std"] == 0.0
