@@ -22,7 +22,6 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.bins import right_closed_bin
 from riskframe.functions.exprs import melt
 from riskframe.session import persist
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from riskframe.operators.drift import calculate_psi, psi_buckets, psi_by_period, psi_report, variable_psi
 from riskframe.plans.common import out

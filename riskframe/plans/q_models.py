@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from riskframe.operators.metrics import compare_models
 from riskframe.operators.models import (

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from riskframe.functions.bins import linspace, sql_float
 from riskframe.operators.decisions import (

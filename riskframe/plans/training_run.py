@@ -26,7 +26,7 @@ from riskframe.operators.decisions import decision_metrics, find_optimal_thresho
 from riskframe.operators.drift import calculate_psi, psi_report, variable_psi
 from riskframe.operators.impute import ImputerState, fit_imputer, impute
 from riskframe.operators.loss import el_with_assumptions
-from riskframe.operators.metrics import compare_models, evaluate_all, threshold_table
+from riskframe.operators.metrics import compare_models, threshold_table
 from riskframe.operators.models import CalibratedModel, ModelSpec, fit_model, pick_best
 from riskframe.operators.reports import metrics_report
 from riskframe.operators.selection import select_features

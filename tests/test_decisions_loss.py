@@ -3,7 +3,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from riskframe.operators.decisions import (
     assign_decision, assign_risk_band, decision_metrics, find_optimal_threshold, segment_analysis,

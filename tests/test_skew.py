@@ -3,7 +3,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 import riskframe.operators.woe as woe_mod
 from riskframe.operators.binning import exact_quantiles
