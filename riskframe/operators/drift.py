@@ -60,8 +60,8 @@ def _finish(counts: DataFrame, keys: list[str], edges: dict[tuple, list[float]],
     full = grid.join(counts, on=[*keys, "bucket"], how="left").na.fill(0, ["expected_count", "actual_count"])
     w = Window.partitionBy(*keys)  # <= buckets rows per key
     ne, na = F.sum("expected_count").over(w), F.sum("actual_count").over(w)
-    ep = F.greatest(F.col("expected_count") / ne, F.lit(PSI_FLOOR))
-    ap = F.greatest(F.col("actual_count") / na, F.lit(PSI_FLOOR))
+    ep = F.greatest(F.try_divide(F.col("expected_count"), ne), F.lit(PSI_FLOOR))  # empty side -> floor; psi is NaN
+    ap = F.greatest(F.try_divide(F.col("actual_count"), na), F.lit(PSI_FLOOR))
     return full.select(*keys, "bucket", "bin_edge_lower", "bin_edge_upper",
                        F.col("expected_count").cast("long").alias("expected_count"),
                        F.col("actual_count").cast("long").alias("actual_count"),
@@ -194,8 +194,8 @@ def psi_by_period(df: DataFrame, col: str, ts_col: str, baseline_end: str, windo
             .na.fill(0, ["expected_count", "actual_count"]))
     w = Window.partitionBy("window_start")
     ne, na = F.sum("expected_count").over(w), F.sum("actual_count").over(w)
-    ep = F.greatest(F.col("expected_count") / ne, F.lit(PSI_FLOOR))
-    ap = F.greatest(F.col("actual_count") / na, F.lit(PSI_FLOOR))
+    ep = F.greatest(F.try_divide(F.col("expected_count"), ne), F.lit(PSI_FLOOR))  # empty side -> floor; psi is NaN
+    ap = F.greatest(F.try_divide(F.col("actual_count"), na), F.lit(PSI_FLOOR))
     d = full.select("window_start", ((ap - ep) * F.log(ap / ep)).alias("c"), ne.alias("ne"), na.alias("na"))
     return (d.groupBy("window_start").agg(F.sum("c").alias("psi"), F.max("ne").cast("long").alias("n_expected"),
                                           F.max("na").cast("long").alias("n_actual"))

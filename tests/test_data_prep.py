@@ -100,3 +100,9 @@ def test_stratified_split_share_per_class(spark):
         assert abs(s - 0.2) < 0.01
     again = stratified_split(loans(spark, "/root/testdata/sf0.01"), "y", LOAN_KEY, 0.2, seed=42)
     assert l.where(F.col("part") == "test").count() == again.where(F.col("part") == "test").count()
+
+
+def test_checks_on_empty_frame(spark):
+    df = spark.createDataFrame([], "a double, target int, d timestamp")
+    res = {r["check"]: r for r in run_all_checks(df, "target", "d").collect()}
+    assert res["missingness"]["passed"] and not res["schema"]["passed"]

@@ -76,3 +76,10 @@ def test_streaming_matches_batch_on_closed_windows(spark):
     for w, v in stream.items():
         assert v == pytest.approx(batch[w], abs=1e-6)
     assert len(stream) >= len(batch) - 2
+
+
+def test_empty_actual_side_gives_nan(spark):
+    e = spark.createDataFrame([(float(i),) for i in range(50)], "x double")
+    a = spark.createDataFrame([], "x double")
+    r = calculate_psi(e, a, "x").first()
+    assert r["psi"] != r["psi"]  # NaN, as for an empty side in the reference
