@@ -106,7 +106,7 @@ GROUPED_PERCENTILE_MAX_NDV = 100_000
 
 
 def quantiles_from_counts(counts: DataFrame, fractions: Sequence[float], n_buckets: int | None = None,
-                          grouped_max_ndv: int = GROUPED_PERCENTILE_MAX_NDV) -> dict[str, list[float | None]]:
+                          grouped_max_ndv: int | None = None) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles (numpy's default) from ``(feature, v, c)``.
 
     Per feature, by its checked number of distinct values:
@@ -122,7 +122,8 @@ def quantiles_from_counts(counts: DataFrame, fractions: Sequence[float], n_bucke
     totals = {r["feature"]: int(r["n"]) for r in stats}
     if not totals:
         return {}
-    small = [r["feature"] for r in stats if r["ndv"] <= grouped_max_ndv]
+    cap = GROUPED_PERCENTILE_MAX_NDV if grouped_max_ndv is None else grouped_max_ndv
+    small = [r["feature"] for r in stats if r["ndv"] <= cap]
     out: dict[str, list[float | None]] = {}
     if small:
         rows = (nonnull.where(F.col("feature").isin(small)).groupBy("feature")

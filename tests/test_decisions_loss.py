@@ -76,3 +76,13 @@ def test_sensitivity_grid_brute_force(spark):
         assert r["mean_el"] == pytest.approx(el.mean())
         assert r["median_el"] == pytest.approx(np.median(el))
         assert r["total_el"] == pytest.approx(el.sum())
+
+
+def test_el_by_band_total_row(spark):
+    from riskframe.operators.loss import expected_loss_by_group
+    pdf = _pdf(5)
+    df = assign_risk_band(spark.createDataFrame(pdf), "p")
+    rows = expected_loss_by_group(df, "p", "ead", 0.45, "risk_band", with_total=True).collect()
+    total = [r for r in rows if r["risk_band"] is None][0]
+    assert total["total_el"] == pytest.approx(float((pdf.p * pdf.ead * 0.45).sum()))
+    assert total["n_accounts"] == len(pdf)

@@ -122,3 +122,18 @@ def test_class_guard(spark):
     df = spark.createDataFrame([(1.0, 0), (2.0, 0)], "c double, target int")
     with pytest.raises(ValueError, match="both classes"):
         WoeEncoder().fit(df, ["c"], "target")
+
+
+def test_equal_width_method(spark):
+    rng = np.random.default_rng(4)
+    x = rng.uniform(0, 10, 2000)
+    y = (rng.random(2000) < x / 10).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "target": y}))
+    m = WoeEncoder(n_bins=5, min_bin_size=0.0, method="width").fit(df, ["x"], "target")
+    e = m.numeric_edges["x"]
+    lo, hi = x.min(), x.max()
+    assert len(e) == 6
+    assert e[0] == pytest.approx(lo - (hi - lo) * 0.001)  # lowest edge widened by 0.1 % of the range
+    assert np.allclose(np.diff(e[1:]), (hi - lo) / 5)
+    counts = [r["good"] + r["bad"] for r in m.bins.orderBy("bin_id").collect()]
+    assert sum(counts) == 2000
