@@ -67,20 +67,28 @@ def q_psi_report(spark, sf):
     return out(psi_report(l, "p", "split"))
 
 
-_PERIOD_SQL = with_loans(
-    psi_ctes(f"SELECT 'k' AS key, value AS x FROM events WHERE ts < TIMESTAMP '{BASELINE_END}'", "SELECT 'k' AS key, value AS x FROM events"),
-    "eb AS (SELECT bucket, ec, ne FROM psi_det)",
-    """wa AS (SELECT CAST(time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS VARCHAR) AS window_start,
+def period_psi_sql(interval: str, closed_after: str | None = None) -> str:
+    """PSI of every event-time window against the baseline. ``closed_after`` keeps only windows an
+    append-mode stream has closed: window end <= max(ts) - watermark delay."""
+    closed = (f"WHERE CAST(window_start AS TIMESTAMP) + INTERVAL '{interval}' <= "
+              f"(SELECT MAX(ts) FROM events) - INTERVAL '{closed_after}'") if closed_after else ""
+    return with_loans(
+        psi_ctes(f"SELECT 'k' AS key, value AS x FROM events WHERE ts < TIMESTAMP '{BASELINE_END}'", "SELECT 'k' AS key, value AS x FROM events"),
+        "eb AS (SELECT bucket, ec, ne FROM psi_det)",
+        f"""wa AS (SELECT CAST(time_bucket(INTERVAL '{interval}', ts, TIMESTAMP '1970-01-01') AS VARCHAR) AS window_start,
                  (SELECT COUNT(*) FROM pedo WHERE pedo.i >= 1 AND pedo.i <= pedo.k - 2 AND pedo.v <= value) AS bucket
           FROM events WHERE value IS NOT NULL)""",
-    "wc AS (SELECT window_start, bucket, COUNT(*) AS ac FROM wa GROUP BY 1, 2)",
-    "wg AS (SELECT w.window_start, eb.bucket, eb.ec, eb.ne FROM (SELECT DISTINCT window_start FROM wa) w JOIN eb ON TRUE)",
-    """wd AS (SELECT wg.window_start, wg.bucket, wg.ec, wg.ne, CAST(COALESCE(wc.ac, 0) AS DOUBLE) AS ac FROM wg
+        "wc AS (SELECT window_start, bucket, COUNT(*) AS ac FROM wa GROUP BY 1, 2)",
+        "wg AS (SELECT w.window_start, eb.bucket, eb.ec, eb.ne FROM (SELECT DISTINCT window_start FROM wa) w JOIN eb ON TRUE)",
+        """wd AS (SELECT wg.window_start, wg.bucket, wg.ec, wg.ne, CAST(COALESCE(wc.ac, 0) AS DOUBLE) AS ac FROM wg
           LEFT JOIN wc ON wg.window_start = wc.window_start AND wg.bucket = wc.bucket)""",
-    """wp AS (SELECT window_start, ne, SUM(ac) OVER (PARTITION BY window_start) AS na, GREATEST(ec / ne, 1e-10) AS ep,
+        """wp AS (SELECT window_start, ne, SUM(ac) OVER (PARTITION BY window_start) AS na, GREATEST(ec / ne, 1e-10) AS ep,
                  GREATEST(ac / SUM(ac) OVER (PARTITION BY window_start), 1e-10) AS ap FROM wd)""",
-    body=f"""SELECT window_start, {r6('SUM((ap - ep) * LN(ap / ep))', 'psi')}, {psi_label_sql('SUM((ap - ep) * LN(ap / ep))')} AS interpretation,
-  CAST(MAX(ne) AS BIGINT) AS n_expected, CAST(MAX(na) AS BIGINT) AS n_actual FROM wp GROUP BY window_start""")
+        body=f"""SELECT window_start, {r6('SUM((ap - ep) * LN(ap / ep))', 'psi')}, {psi_label_sql('SUM((ap - ep) * LN(ap / ep))')} AS interpretation,
+  CAST(MAX(ne) AS BIGINT) AS n_expected, CAST(MAX(na) AS BIGINT) AS n_actual FROM wp {closed} GROUP BY window_start""")
+
+
+_PERIOD_SQL = period_psi_sql(PERIOD)
 
 
 @register("psi_by_period", _PERIOD_SQL)

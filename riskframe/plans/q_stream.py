@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.plans.registry import register
 from riskframe.plans.common import out
+from riskframe.plans.q_drift import period_psi_sql
+from riskframe.plans.registry import register
 from riskframe.sources.tables import events_frame
 from riskframe.streaming.psi_stream import fit_baseline, start_psi_monitor
 
 BASELINE_END = "2024-01-08"
 
 
-@register("psi_stream")
+@register("psi_stream", period_psi_sql("1 day", closed_after="1 day"))
 def q_psi_stream(spark, sf):
     ev = events_frame(spark, sf)
     baseline = fit_baseline(ev.where(F.col("ts") < F.lit(BASELINE_END).cast("timestamp_ntz")), "value")
@@ -21,4 +22,5 @@ def q_psi_stream(spark, sf):
               .option("maxFilesPerTrigger", 1).parquet(sf))
     q, path = start_psi_monitor(spark, stream, baseline, "value", "ts", window="1 day", watermark="1 day")
     q.awaitTermination()
-    return out(spark.read.parquet(path).drop("batch_id"))
+    return out(spark.read.parquet(path).drop("batch_id")
+               .select("window_start", "psi", "interpretation", "n_expected", "n_actual"))
