@@ -106,7 +106,8 @@ GROUPED_PERCENTILE_MAX_NDV = 100_000
 
 
 def quantiles_from_counts(counts: DataFrame, fractions: Sequence[float], n_buckets: int | None = None,
-                          grouped_max_ndv: int | None = None) -> dict[str, list[float | None]]:
+                          grouped_max_ndv: int | None = None,
+                          feature_stats: dict[str, tuple[int, int]] | None = None) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles (numpy's default) from ``(feature, v, c)``.
 
     Per feature, by its checked number of distinct values:
@@ -118,12 +119,14 @@ def quantiles_from_counts(counts: DataFrame, fractions: Sequence[float], n_bucke
     from riskframe.operators.curves import prefix_below
     fr = [float(f) for f in fractions]
     nonnull = counts.where(F.col("v").isNotNull()).select("feature", "v", "c")
-    stats = nonnull.groupBy("feature").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("ndv")).collect()
-    totals = {r["feature"]: int(r["n"]) for r in stats}
+    if feature_stats is None:  # (non-null rows, distinct non-null values) per feature
+        rows = nonnull.groupBy("feature").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("ndv")).collect()
+        feature_stats = {r["feature"]: (int(r["n"]), int(r["ndv"])) for r in rows}
+    totals = {f: n for f, (n, ndv) in feature_stats.items() if ndv > 0}
     if not totals:
         return {}
     cap = GROUPED_PERCENTILE_MAX_NDV if grouped_max_ndv is None else grouped_max_ndv
-    small = [r["feature"] for r in stats if r["ndv"] <= cap]
+    small = [f for f in totals if feature_stats[f][1] <= cap]
     out: dict[str, list[float | None]] = {}
     if small:
         rows = (nonnull.where(F.col("feature").isin(small)).groupBy("feature")
@@ -177,7 +180,8 @@ def exact_quantiles(df: DataFrame, columns, fractions: Sequence[float]) -> dict[
 def numeric_bin_stats(df: DataFrame, features: Sequence[str], target: str, n_bins: int = 10,
                       min_bin_size: float = 0.05, method: str = "quantile", approx: bool = False,
                       accuracy: int = 100000, counts: DataFrame | None = None,
-                      totals: tuple[int, int, int] | None = None) -> tuple[list[NumericBins], int, int, int]:
+                      totals: tuple[int, int, int] | None = None,
+                      feature_stats: dict[str, tuple[int, int]] | None = None) -> tuple[list[NumericBins], int, int, int]:
     """Fit right-closed bins for numeric ``features``; returns (bins, n_rows, n_good, n_bad).
 
     One scan of ``df`` builds the per-feature value counts by class (or the caller passes
@@ -204,7 +208,7 @@ def numeric_bin_stats(df: DataFrame, features: Sequence[str], target: str, n_bin
         row = df.agg(*[F.percentile_approx(clean_double(c), union, accuracy).alias(c) for c in features]).first()
         qs_all = {c: list(row[c]) if row[c] is not None else None for c in features}
     else:
-        qs_all = quantiles_from_counts(vc, union)
+        qs_all = quantiles_from_counts(vc, union, feature_stats=feature_stats)
     mm = {}
     if method == "width":
         for r in vc.where(F.col("v").isNotNull()).groupBy("feature").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect():

@@ -194,16 +194,24 @@ class WoeEncoder:
             .agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("__y") == 0).alias("g"),
                  F.count_if(F.col("__y") == 1).alias("b"))
         )
-        first = features[0] if features else None
-        if first is None:
+        if not features:
             raise ValueError("no features to encode")
-        tot = vc_all.where(F.col("feature") == first).agg(F.sum("c").alias("n"), F.sum("g").alias("g"),
-                                                           F.sum("b").alias("b")).first()
-        totals = (int(tot["n"] or 0), int(tot["g"] or 0), int(tot["b"] or 0))
+        # ONE small job for every per-feature number the fit needs: row and class totals, non-null
+        # rows and distinct values (numeric), number of categories (categorical).
+        fs = {r["feature"]: r for r in vc_all.groupBy("feature").agg(
+            F.sum("c").alias("n"), F.sum("g").alias("g"), F.sum("b").alias("b"),
+            F.sum(F.when(F.col("num").isNotNull(), F.col("c"))).alias("n_num"), F.count("num").alias("ndv_num"),
+            F.count(F.lit(1)).alias("n_groups")).collect()}
+        first = fs.get(features[0])
+        if first is None:  # no rows at all
+            vc_all.unpersist()
+            raise ValueError("Target must contain both classes (0 and 1)")
+        totals = (int(first["n"] or 0), int(first["g"] or 0), int(first["b"] or 0))
+        num_stats = {c: (int(fs[c]["n_num"] or 0), int(fs[c]["ndv_num"])) for c in numeric}
         num_counts = (vc_all.where(F.col("feature").isin(numeric))
                       .select("feature", F.col("num").alias("v"), "c", "g", "b"))
         nbins, n, G, B = numeric_bin_stats(df, numeric, target, self.n_bins, self.min_bin_size, self.method,
-                                           self.approx, counts=num_counts, totals=totals)
+                                           self.approx, counts=num_counts, totals=totals, feature_stats=num_stats)
         if G == 0 or B == 0:
             vc_all.unpersist()
             raise ValueError("Target must contain both classes (0 and 1)")
@@ -223,9 +231,7 @@ class WoeEncoder:
             cat = (vc_all.where(F.col("feature").isin(categorical))
                    .select("feature", F.col("cat").alias("category"), F.col("g").alias("good"),
                            F.col("b").alias("bad")))
-            cat_counts = {r["feature"]: r["n"] for r in cat.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-            for c in categorical:
-                cat_counts.setdefault(c, 0)
+            cat_counts = {c: int(fs[c]["n_groups"]) for c in categorical}
             cat_bins = cat.select(
                 "feature", F.lit("categorical").alias("kind"),
                 F.lit(None).cast("int").alias("bin_id"),
