@@ -174,20 +174,22 @@ def fit_model(df: DataFrame, features: Sequence[str], target: str, spec: ModelSp
     ``keys`` (a row key) makes the fold assignment reproducible; without it the
     features themselves are hashed."""
     features = list(features)
-    n0, n1 = class_counts(df, target)
-    if n0 == 0 or n1 == 0:
-        raise ValueError("Target must contain both classes (0 and 1)")
     label = "__label"
     base = df.select(*(keys or []), *features, F.col(target).cast("double").alias(label))
     base = kfold(base, list(keys or features), folds, spec.seed, target=label) if calibrate else base.withColumn("fold", F.lit(-1))
-    assembled = persist(
-        VectorAssembler(inputCols=features, outputCol=VEC, handleInvalid="skip").transform(base)
-        .withColumn(WEIGHT, _weight_for(spec, label, n0, n1))
-        .select(VEC, label, WEIGHT, "fold")
-    )
+    # Cache the assembled rows first: the class-count job materialises the cache, so the input
+    # is read and encoded once; the weight column is a projection on top of the cache.
+    cached = persist(VectorAssembler(inputCols=features, outputCol=VEC, handleInvalid="skip").transform(base)
+                     .select(VEC, label, "fold"))
+    n0, n1 = class_counts(cached, label)
+    if n0 == 0 or n1 == 0:
+        cached.unpersist()
+        raise ValueError("Target must contain both classes (0 and 1)")
+    assembled = cached.withColumn(WEIGHT, _weight_for(spec, label, n0, n1))
     model = CalibratedModel(spec, features)
     if not calibrate:
         model.bases = [_estimator(spec, n0 + n1, label).fit(assembled)]
+        cached.unpersist()
         return model
 
     def one_fold(k: int):
@@ -204,7 +206,7 @@ def fit_model(df: DataFrame, features: Sequence[str], target: str, spec: ModelSp
         fitted = list(pool.map(one_fold, range(folds)))
     model.bases = [m for m, _ in fitted]
     model.calibrators = [c for _, c in fitted]
-    assembled.unpersist()
+    cached.unpersist()
     return model
 
 
