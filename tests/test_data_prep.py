@@ -106,3 +106,11 @@ def test_checks_on_empty_frame(spark):
     df = spark.createDataFrame([], "a double, target int, d timestamp")
     res = {r["check"]: r for r in run_all_checks(df, "target", "d").collect()}
     assert res["missingness"]["passed"] and not res["schema"]["passed"]
+
+
+def test_approximate_duplicates_close_to_exact(spark):
+    from riskframe.sources.tables import loans
+    l = loans(spark, "/root/testdata/sf0.01")
+    exact = check_duplicates(l, "l_orderkey").first()["value"]
+    approx = check_duplicates(l, "l_orderkey", approx=True).first()["value"]
+    assert abs(approx - exact) / exact < 0.03
