@@ -27,9 +27,11 @@ def woe_value(good: Column, bad: Column, total_good: Column, total_bad: Column,
 
 
 def risk_band(score: Column | str, low: float = 0.10, high: float = 0.30) -> Column:
-    """High if score >= high (wins ties), Low if < low, else Medium (missing -> Medium)."""
+    """High if score >= high (wins ties), Low if < low, else Medium (missing or NaN -> Medium)."""
     s = F.col(score) if isinstance(score, str) else score
-    return (F.when(s >= F.lit(high), "High")
+    # Spark orders NaN above every number; numpy comparisons with NaN are false -> Medium.
+    return (F.when(s.isNull() | F.isnan(s), "Medium")
+            .when(s >= F.lit(high), "High")
             .when(s < F.lit(low), "Low")
             .otherwise("Medium"))
 

@@ -76,7 +76,9 @@ def threshold_table(df: DataFrame, target: str, score: str, thresholds: Sequence
     y = F.col(target)
     buckets = (
         df.where(F.col(score).isNotNull())
-        .select(left_closed_index(F.col(score), ts).alias("b"), y.alias("_y"))
+        # a NaN score is never >= a threshold (numpy semantics): bucket 0, always approved
+        .select(F.when(F.isnan(F.col(score)), F.lit(0)).otherwise(left_closed_index(F.col(score), ts)).alias("b"),
+                y.alias("_y"))
         .groupBy("b")
         .agg(F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).cast("long").alias("bp"),
              F.sum(F.when(F.col("_y") == 0, 1).otherwise(0)).cast("long").alias("bn"))

@@ -86,3 +86,11 @@ def test_el_by_band_total_row(spark):
     total = [r for r in rows if r["risk_band"] is None][0]
     assert total["total_el"] == pytest.approx(float((pdf.p * pdf.ead * 0.45).sum()))
     assert total["n_accounts"] == len(pdf)
+
+
+def test_nan_scores_follow_numpy_comparisons(spark):
+    from riskframe.operators.metrics import threshold_table
+    df = spark.createDataFrame([(float("nan"), 1), (0.5, 1), (0.05, 0)], "p double, y int")
+    assert [r["risk_band"] for r in assign_risk_band(df, "p").collect()] == ["Medium", "High", "Low"]
+    r = threshold_table(df, "y", "p", [0.3]).first()
+    assert (r["tp"], r["fn"], r["tn"], r["fp"]) == (1, 1, 1, 0)  # NaN row approved, not declined
