@@ -22,7 +22,7 @@ def point_metrics(collapsed: DataFrame, score: str, by: Sequence[str] = (), thre
     """R5 Brier = mean (p - y)^2 and R6 F1 at ``threshold`` (positive iff p >= t; 0 if undefined)."""
     s = F.col(score)
     pos, neg = F.col("pos"), F.col("neg")
-    hit = s >= F.lit(threshold)
+    hit = (s >= F.lit(threshold)) & ~F.isnan(s)  # NaN is never >= t (numpy), though Spark orders it last
     tp = F.sum(F.when(hit, pos).otherwise(0.0))
     fp = F.sum(F.when(hit, neg).otherwise(0.0))
     fn = F.sum(F.when(~hit, pos).otherwise(0.0))
