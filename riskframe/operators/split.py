@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,12 +61,51 @@ def hash_fraction(keys: Sequence[str], seed: int) -> F.Column:
     return F.pmod(h, F.lit(HASH_RANGE)).cast("double") / float(HASH_RANGE)
 
 
+def _exact_class_thresholds(df: DataFrame, target: str, h: F.Column, fracs: Mapping, default: float) -> dict:
+    """Per class, the hash value at rank round(frac * n_c) - 1 (rows ordered by hash within the class).
+
+    Counts per (class, hash) are map-side combined, the ranks come from the bucketed prefix sums,
+    and only one value per class reaches the driver."""
+    from riskframe.operators.curves import prefix_below
+    from riskframe.session import persist
+    counts = persist(df.select(F.col(target).alias("__t"), h.alias("__h")).groupBy("__t", "__h").count())
+    sizes = {r["__t"]: int(r["n"]) for r in counts.groupBy("__t").agg(F.sum("count").alias("n")).collect()}
+    want = {t: int(np.floor(fracs.get(t, default) * n + 0.5)) for t, n in sizes.items()}  # half up, like SQL ROUND
+    pre = prefix_below(counts, "__h", by=["__t"], cols=("count",), persist_input=False)
+    conds = [(F.col("__t") == t) & (F.col("count_below") <= k - 1) & (F.lit(k - 1) < F.col("count_below") + F.col("count"))
+             for t, k in want.items() if k > 0]
+    thresholds = {t: None for t in want}  # None: no test rows in that class
+    if conds:
+        cond = conds[0]
+        for c in conds[1:]:
+            cond = cond | c
+        for r in pre.where(cond).select("__t", "__h").collect():  # one row per class
+            thresholds[r["__t"]] = r["__h"]
+    counts.unpersist()
+    return thresholds
+
+
 def stratified_split(df: DataFrame, target: str, keys: Sequence[str], test_frac: float = 0.2, seed: int = 42,
-                     class_fracs: Mapping[int, float] | None = None, out: str = "part") -> DataFrame:
+                     class_fracs: Mapping[int, float] | None = None, out: str = "part",
+                     exact: bool = False) -> DataFrame:
     """Label rows ``train``/``test`` with a per-class share ``test_frac``.
 
-    The key hash is salted per class, so each class is cut at its own threshold;
-    shares match per class up to sampling error, parts are disjoint and exhaustive."""
+    Default: the key hash is salted per class and cut at the share - no job, no shuffle; shares
+    match per class up to sampling error. ``exact``: each class contributes exactly
+    round(frac * n_c) test rows (the rows with the smallest 64-bit key hashes), found with one
+    aggregation and the bucketed prefix sums; labelling is then a comparison, no join.
+    Parts are disjoint and exhaustive either way."""
+    if exact:
+        h = F.xxhash64(*[F.col(k) for k in keys], F.col(target), F.lit(seed))
+        th = _exact_class_thresholds(df, target, h, dict(class_fracs or {}), test_frac)
+        lab = None
+        for t, v in th.items():
+            if v is None:
+                continue
+            cond = (F.col(target) == F.lit(t)) & (h <= F.lit(v))
+            lab = cond if lab is None else (lab | cond)
+        is_test = lab if lab is not None else F.lit(False)
+        return df.withColumn(out, F.when(is_test, "test").otherwise("train"))
     u = hash_fraction([*keys, target], seed)
     frac = F.lit(test_frac)
     if class_fracs:

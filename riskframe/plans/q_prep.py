@@ -60,6 +60,15 @@ def q_stratified_split(spark, sf):
     return out(lab.groupBy("y", "part").agg(F.count(F.lit(1)).alias("n")))
 
 
+@register("stratified_split_exact", with_loans(
+    "c AS (SELECT y, COUNT(*) AS n, CAST(ROUND(0.2 * COUNT(*)) AS BIGINT) AS k FROM loans GROUP BY y)",
+    body="SELECT y, 'test' AS part, k AS n FROM c UNION ALL SELECT y, 'train', n - k FROM c"))
+def q_stratified_split_exact(spark, sf):
+    """Exact per-class sizes: which rows is decided by key hash, how many is checked by the oracle."""
+    lab = stratified_split(loans(spark, sf), "y", LOAN_KEY, test_frac=0.2, seed=42, exact=True)
+    return lab.groupBy("y", "part").agg(F.count(F.lit(1)).alias("n"))
+
+
 IMPUTE_COLS = ["l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 _IMPUTE_STATE_SQL = with_loans(GAPS_CTE, "tr AS (SELECT * FROM gaps WHERE split = 'train')",

@@ -114,3 +114,14 @@ def test_approximate_duplicates_close_to_exact(spark):
     exact = check_duplicates(l, "l_orderkey").first()["value"]
     approx = check_duplicates(l, "l_orderkey", approx=True).first()["value"]
     assert abs(approx - exact) / exact < 0.03
+
+
+def test_exact_stratified_split_counts(spark):
+    from riskframe.sources.tables import LOAN_KEY, loans
+    l = loans(spark, "/root/testdata/sf0.01")
+    lab = stratified_split(l, "y", LOAN_KEY, 0.2, seed=7, exact=True)
+    got = {(r["y"], r["part"]): r["n"] for r in lab.groupBy("y", "part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["y"]: r["n"] for r in l.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for cls, n in sizes.items():
+        assert got[(cls, "test")] == round(0.2 * n)
+        assert got[(cls, "test")] + got[(cls, "train")] == n
