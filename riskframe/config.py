@@ -13,6 +13,7 @@ class RiskConfig:
     split_date: str | None = None
     oot_start: str | None = None
     test_size: float = 0.2
+    exact_split: bool = False   # exact per-class sizes (rank by key hash) instead of the share-based hash cut
     cv_folds: int = 3
     random_state: int = 42
     forbidden_columns: tuple[str, ...] = field(default_factory=tuple)

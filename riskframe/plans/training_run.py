@@ -83,7 +83,7 @@ def prepare_data(df: DataFrame, cfg: RiskConfig, keys: Sequence[str]) -> tuple[D
         lab = split_label(df, cfg.date_column, cfg.split_date, cfg.oot_start, "__part")
         parts = [lab.where(F.col("__part") == p).drop("__part") for p in ("train", "test", "oot")]
         return parts[0], parts[1], parts[2] if cfg.oot_start else None
-    lab = stratified_split(df, cfg.target, keys, cfg.test_size, cfg.random_state, out="__part")
+    lab = stratified_split(df, cfg.target, keys, cfg.test_size, cfg.random_state, out="__part", exact=cfg.exact_split)
     return (lab.where(F.col("__part") == "train").drop("__part"),
             lab.where(F.col("__part") == "test").drop("__part"), None)
 
