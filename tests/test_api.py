@@ -20,3 +20,22 @@ def test_api_names_run(spark, tmp_path):
     assert state.numeric == {} and out.count() == l.count()
     assert api.threshold_analysis(te, "y", "p").count() == 50
     assert api.clean_application_train(l).count() == l.count()
+
+
+def test_api_models_and_attribution(spark):
+    from riskframe.sources.tables import LOAN_KEY
+    l = loans(spark, "/root/testdata/sf0.001")
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    tr = l.where(F.col("split") == "train")
+    m = api.build_logreg(tr, feats, "y", keys=LOAN_KEY)
+    scored = api.predict_proba(m, tr)
+    assert scored.where(F.col("pd").isNull()).count() == 0
+    shap = api.generate_shap_explanations(m, tr, feats, LOAN_KEY, sample_size=5, n_permutations=2)
+    assert shap.count() == 15
+    sums = shap.groupBy(*LOAN_KEY).agg(F.sum("attribution").alias("s"), F.first("f_x").alias("fx"),
+                                       F.first("f_background").alias("f0")).collect()
+    assert all(abs(r["s"] - (r["fx"] - r["f0"])) < 1e-9 for r in sums)
+    imp = api.get_feature_importance(m, spark).collect()
+    assert {r["feature"] for r in imp} == set(feats)
+    rep = api.generate_metrics_json({"test": api.calculate_metrics(tr, "y", "p")}, model="p")
+    assert rep.count() == 6
