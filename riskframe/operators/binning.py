@@ -1,16 +1,18 @@
-"""Quantile edges and bin counts for many columns in few passes.
+"""Quantile edges and bin counts for many columns from ONE scan.
 
-``numeric_bin_stats`` computes, in TWO scans for all numeric features together:
+``value_counts`` reads the rows once: every (feature, value) with its row and class counts,
+map-side combined. Everything else works on that (much smaller) frame:
 
-1. the exact (or approximate) quantiles at every fraction that any bin count
-   q in 2..n_bins can need (the union of the linspace(0, 1, q+1) values), plus
-   row/class totals;
-2. class counts per *elementary interval* of the union of all candidate edges
-   (right-closed, lowest edge included) via one ``unpivot`` + ``groupBy``.
+1. exact quantiles (numpy's linear interpolation) at every fraction any bin count q in
+   2..n_bins can need (``quantiles_from_counts``): a grouped ``percentile`` with frequencies
+   for features whose distinct-value count is under a checked cap, else ranks from the
+   bucketed prefix sums and a broadcast lookup of the needed ranks;
+2. class counts per *elementary interval* of the union of all candidate edges (right-closed,
+   lowest edge included) through a broadcast range join with the small edges table.
 
-Bin counts for any candidate q are sums of elementary counts, so the
-min-bin-size search (re-binning with fewer quantiles while a bin is too small)
-runs on the driver over O(features x edges) numbers instead of one job per try.
+Bin counts for any candidate q are sums of elementary counts, so the min-bin-size search
+(re-binning with fewer quantiles while a bin is too small) runs on the driver over
+O(features x edges) numbers instead of one job per try.
 """
 
 from __future__ import annotations
