@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.split import hash_fraction
 
+MAX_BACKGROUND = 10_000  # rows of the broadcast background sample
+
 # Risk labels of the local example table.
 LOW_RISK_PD = 0.1
 HIGH_RISK_PD = 0.3
@@ -43,17 +45,19 @@ def hash_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> D
 
 def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[str], keys: Sequence[str],
                     scorer: Callable[[DataFrame], DataFrame], score_col: str = "pd", n_permutations: int = 8,
-                    seed: int = 42) -> DataFrame:
+                    seed: int = 42, max_background: int = MAX_BACKGROUND) -> DataFrame:
     """Permutation-sampled Shapley values of ``scorer`` (a DataFrame -> DataFrame adding ``score_col``).
 
     Output long table (keys..., feature, attribution, f_x, f_background). For every
     (row, permutation) the attributions sum exactly to f(x) - f(background row used)."""
     feats = list(features)
     p = len(feats)
-    bg = background.select(*feats).withColumn("__b", F.row_number().over(Window.orderBy(hash_fraction(feats, seed))) - 1)
-    n_bg = bg.count()  # bounded: the background is a sample of the caller's chosen size
+    n_bg = background.count()
     if n_bg == 0:
         raise ValueError("empty background")
+    if n_bg > max_background:  # the background is broadcast and indexed in one task: its size must be bounded
+        raise ValueError(f"background has {n_bg} rows; pass a sample of at most {max_background} (hash_sample)")
+    bg = background.select(*feats).withColumn("__b", F.row_number().over(Window.orderBy(hash_fraction(feats, seed))) - 1)
     perms = F.sequence(F.lit(0), F.lit(n_permutations - 1))
     ex = (rows.select(*keys, *[F.col(c).alias(f"__x_{c}") for c in feats])
           .withColumn("__perm", F.explode(perms))

@@ -71,3 +71,9 @@ def test_top_drivers_order(spark):
     df = spark.createDataFrame([(1, 0.1, -0.9, 0.5)], "id int, f1 double, f2 double, f3 double")
     rows = top_drivers(df, ["f1", "f2", "f3"], ["id"], k=2).orderBy("rank").collect()
     assert [r["feature"] for r in rows] == ["f2", "f3"]
+
+
+def test_background_size_is_bounded(spark):
+    df, _ = _frame(spark, 50, 3)
+    with pytest.raises(ValueError, match="background"):
+        sampled_shapley(df, df, ["a", "b", "c"], ["id"], lambda z: z.withColumn("pd", F.col("a")), max_background=10)
