@@ -63,3 +63,14 @@ def q_el_sensitivity(spark, sf):
   '{ASSUMPTION_NOTE}' AS note FROM loans"""))
 def q_el_assumptions(spark, sf):
     return out(el_with_assumptions(loans(spark, sf), "p", DEFAULT_EAD, LGD), money=MONEY)
+
+
+@register("el_by_band_total", with_loans(body=f"""SELECT {risk_band_sql('p')} AS risk_band, CAST(COUNT(*) AS BIGINT) AS n_accounts,
+  {r2('SUM(l_extendedprice)', 'total_ead')}, {r2(f'SUM({EL_SQL})', 'total_el')}, {r6('AVG(p)', 'avg_pd')},
+  {r6(str(LGD), 'avg_lgd')}, {r6(f'SUM({EL_SQL}) / SUM(l_extendedprice)', 'el_pct_of_ead')}
+FROM loans GROUP BY ROLLUP(1)"""))
+def q_el_by_band_total(spark, sf):
+    """L3 with the portfolio total as an extra row (band = NULL) from the same aggregate (rollup)."""
+    from riskframe.operators.loss import expected_loss_by_group
+    df = assign_risk_band(loans(spark, sf), "p")
+    return out(expected_loss_by_group(df, "p", EAD, LGD, "risk_band", with_total=True), money=MONEY)

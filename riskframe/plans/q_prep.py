@@ -243,3 +243,11 @@ def q_column_profile(spark, sf):
     from riskframe.operators.cleaning import profile
     _, missing = profile(loans_with_gaps(spark, sf), "y", top=20)
     return missing
+
+
+@register("target_counts", with_loans(GAPS_CTE, body="SELECT y, CAST(COUNT(*) AS BIGINT) AS count FROM gaps GROUP BY y"))
+def q_target_counts(spark, sf):
+    """The target distribution of the profile."""
+    from riskframe.operators.cleaning import profile
+    counts, _ = profile(loans_with_gaps(spark, sf), "y")
+    return counts
