@@ -191,3 +191,34 @@ def q_training_run(spark, sf):
     cfg = RiskConfig(target="y", iv_max=0.5)
     res = run_training(spark, df, cfg, LOAN_KEY)
     return out(res.report)
+
+
+# Fixed scorecard of the registered scoring query: WOE is ln(good/bad), so risk falls as WOE rises.
+SCORECARD_INTERCEPT = -0.4
+SCORECARD_COEF = -1.0
+
+
+def _scorecard_sql() -> str:
+    from riskframe.plans.q_woe import CAT, NUM, _recursive, transform_select, woe_ctes
+    from riskframe.plans.sql import GAPS_CTE
+    z = f"{SCORECARD_INTERCEPT} + " + " + ".join(f"({SCORECARD_COEF}) * {c}" for c in NUM + CAT)
+    pd_sql = f"1.0 / (1.0 + EXP(-({z})))"
+    dec = "CASE WHEN pd IS NULL OR isnan(pd) THEN 'Manual Review' WHEN pd >= 0.3 THEN 'Decline' WHEN pd < 0.1 THEN 'Approve' ELSE 'Manual Review' END"
+    return _recursive(with_loans(
+        GAPS_CTE, *woe_ctes(), f"enc AS (SELECT {', '.join('t.' + k for k in LOAN_KEY)}, {transform_select('t')} FROM gaps t WHERE t.split = 'test')",
+        f"sc AS (SELECT {KEYS_SQL}, {pd_sql} AS pd FROM enc)",
+        body=f"SELECT {KEYS_SQL}, {r6('pd', 'pd')}, {risk_band_sql('pd')} AS risk_band, {dec} AS decision FROM sc"))
+
+
+@register("scorecard_decisions", _scorecard_sql())
+def q_scorecard_decisions(spark, sf):
+    """M9 with a fixed scorecard: WOE encode -> linear logit -> band -> decision, for every test row."""
+    from riskframe.operators.decisions import assign_decision, assign_risk_band
+    from riskframe.plans.q_woe import CAT, NUM, fitted
+    from riskframe.plans.scoring import scorecard
+    from riskframe.sources.tables import loans_with_gaps
+    te = loans_with_gaps(spark, sf).where(split_filter("test")).select(*LOAN_KEY, *NUM, *CAT)
+    enc = fitted(spark, sf).transform(te)
+    sc = scorecard(enc, {c: SCORECARD_COEF for c in NUM + CAT}, SCORECARD_INTERCEPT)
+    res = assign_decision(assign_risk_band(sc, "pd"), "pd")
+    return out(res.select(*LOAN_KEY, "pd", "risk_band", "decision"))

@@ -34,3 +34,11 @@ def top_drivers(df: DataFrame, woe_features: Sequence[str], keep: Sequence[str],
     top = F.slice(F.sort_array(arr, asc=False), 1, k)
     return (df.select(*keep, F.posexplode(top).alias("pos", "d"))
             .select(*keep, (F.col("pos") + 1).alias("rank"), F.col("d.feature").alias("feature"), F.col("d.woe").alias("woe")))
+
+
+def scorecard(df: DataFrame, coefficients: dict[str, float], intercept: float, out: str = "pd") -> DataFrame:
+    """Fixed-coefficient logistic scorecard on WOE columns: pd = 1 / (1 + exp(-(b0 + sum b_j * woe_j)))."""
+    z = F.lit(float(intercept))
+    for c, b in coefficients.items():
+        z = z + F.lit(float(b)) * F.col(c)
+    return df.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(-z)))
