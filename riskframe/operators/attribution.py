@@ -38,9 +38,18 @@ def linear_attribution(df: DataFrame, features: Sequence[str], coefficients: Seq
     return df.select(*keep, F.inline(F.array(*cols)))
 
 
-def hash_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """Deterministic sample of ``n`` rows: the n smallest key hashes (a top-k, no full sort)."""
-    return df.withColumn("__h", hash_fraction(keys, seed)).orderBy("__h").limit(n).drop("__h")
+def hash_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42, population: int | None = None) -> DataFrame:
+    """Deterministic sample of ``n`` rows: the n smallest key hashes (a top-k, no full sort).
+
+    With ``population`` (a known or estimated row count) the rows are first cut at a hash of
+    about 4n/population, so the top-k runs over ~4n rows instead of n per partition; if fewer
+    than n rows pass the cut, the plain top-k is used. The result is the same either way."""
+    h = df.withColumn("__h", hash_fraction(keys, seed))
+    if population and 4 * n < population:
+        cand = h.where(F.col("__h") < F.lit(4.0 * n / population))
+        if cand.count() >= n:  # the n smallest hashes all lie below the cut
+            return cand.orderBy("__h").limit(n).drop("__h")
+    return h.orderBy("__h").limit(n).drop("__h")
 
 
 def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[str], keys: Sequence[str],

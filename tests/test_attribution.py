@@ -77,3 +77,10 @@ def test_background_size_is_bounded(spark):
     df, _ = _frame(spark, 50, 3)
     with pytest.raises(ValueError, match="background"):
         sampled_shapley(df, df, ["a", "b", "c"], ["id"], lambda z: z.withColumn("pd", F.col("a")), max_background=10)
+
+
+def test_hash_sample_population_cut_gives_same_rows(spark):
+    df, _ = _frame(spark, 3000, 5)
+    full = sorted(r["id"] for r in hash_sample(df, ["id"], 25).collect())
+    cut = sorted(r["id"] for r in hash_sample(df, ["id"], 25, population=3000).collect())
+    assert full == cut and len(full) == 25
