@@ -206,3 +206,14 @@ retrain_trigger = _rep.retrain_trigger
 
 def save_metrics_report(report: DataFrame, path: str) -> None:
     _io.save_json_table(report, path)
+
+
+def score_batch(df: DataFrame, encoder, model, low: float = 0.10, high: float = 0.30, keep: Sequence[str] = ()) -> DataFrame:
+    """Encode, score, band and decide (the scoring core of the demo app)."""
+    from riskframe.plans.scoring import score_batch as _score
+    return _score(df, encoder, model, low, high, keep)
+
+
+def scorecard(df: DataFrame, coefficients: dict[str, float], intercept: float, out: str = "pd") -> DataFrame:
+    from riskframe.plans.scoring import scorecard as _sc
+    return _sc(df, coefficients, intercept, out)
