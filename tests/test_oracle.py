@@ -66,3 +66,17 @@ def test_entry_runs(spark):
     df = entry(spark)
     rows = df.collect()
     assert len(rows) == 1 and 0 <= rows[0]["approval_rate"] <= 1
+
+
+def _rows_only():
+    from __spark_entry__ import oracle_sql, queries
+    return sorted(set(queries()) - set(oracle_sql()))
+
+
+@pytest.mark.parametrize("name", _rows_only())
+def test_rows_only_query_runs(spark, name):
+    from __spark_entry__ import queries
+    df = queries()[name](spark, SF)
+    schema = df.schema
+    assert df.count() > 0
+    assert queries()[name](spark, SF).schema == schema  # stable schema across runs
