@@ -27,7 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("RISKFRAME_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("RISKFRAME_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -37,24 +37,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session (tests, bench) without that setting gets a private
-    scratch folder; on a cluster a missing setting is an error, because a
-    machine-local folder would not survive the loss of an executor.
+    The setting is only read, never written: Spark takes it when the context starts, so a
+    cluster (or the test session) names the folder on the builder. A local-mode session
+    without it gets a scratch folder of its own; on a cluster a missing setting is an error,
+    because a machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running riskframe jobs")
-    path = tempfile.mkdtemp(prefix="riskframe-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
-    return path
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running riskframe jobs")
+        configured = tempfile.mkdtemp(prefix="riskframe-ckpt-")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
