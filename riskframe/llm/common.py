@@ -26,11 +26,11 @@ def id_crc32(col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
 
 
-def rows_with_ids(df: DataFrame, ids: DataFrame, key: str, n_ids: int) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is in ``ids`` (``n_ids`` distinct values, counted by the caller).
+def rows_with_ids(df: DataFrame, ids: DataFrame, key: str, n_ids: int, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in ``ids`` (``left_anti``: is not); the caller has counted ``n_ids`` of them.
 
     Up to BROADCAST_IDS ids travel to the rows, so that only the rows kept are shuffled
     later; beyond that both sides are shuffled by the key.
     """
     side = ids.select(key)
-    return df.join(F.broadcast(side) if n_ids <= BROADCAST_IDS else side.hint("shuffle_merge"), key, "left_semi")
+    return df.join(F.broadcast(side) if n_ids <= BROADCAST_IDS else side.hint("shuffle_merge"), key, how)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import exact_dedup
+from riskframe.llm import exact_dedup, near_dedup
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -36,3 +36,8 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY n DESC, doc_id)
 @register("op6_exact_dedup", EXACT_DEDUP_SQL)
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op2_minhash_near_dedup")
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
