@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import exact_dedup, near_dedup
+from riskframe.llm import exact_dedup, mixing, near_dedup
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -41,3 +41,32 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_minhash_near_dedup")
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+MIXING_SQL = r"""
+WITH d AS (SELECT doc_id, source, md5(cast(doc_id AS varchar)) AS deal,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+             (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
+f AS (SELECT *, sum(source_size) OVER () AS total,
+             (sum(3 * source_size) OVER u) * weight
+             + 3 * source_size * (sum(weight) OVER () - sum(weight) OVER u) <= (sum(source_size) OVER ()) * weight AS is_full
+      FROM s WINDOW u AS (ORDER BY source_size / weight RANGE UNBOUNDED PRECEDING)),
+t AS (SELECT source, source_size,
+             CASE WHEN is_full THEN cast(3 * source_size AS double)
+                  ELSE cast(total - coalesce(sum(CASE WHEN is_full THEN 3 * source_size END) OVER (), 0) AS double) * weight
+                       / (sum(CASE WHEN NOT is_full THEN weight END) OVER ()) END AS target FROM f),
+q AS (SELECT d.doc_id, d.size, t.source_size, t.target,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.deal, d.doc_id, d.size
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       cast(greatest(0, least(size, floor(target) - ahead)) + greatest(0, least(size, floor(target) - ahead - source_size))
+            + greatest(0, least(size, floor(target) - ahead - 2 * source_size)) AS BIGINT) AS taken
+FROM q
+"""
+
+
+@register("op8_fair_queue_mixing", MIXING_SQL)
+def op8_fair_queue_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.fair_queue(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
