@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import WHITE, rows_with_ids, text_or_empty
+from riskframe.session import reliable_checkpoint
 
 #: Members of a group that share one copy of the text they are compared with.
 SALT_ROWS = 256
@@ -45,14 +46,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hashed = docs.select(
         F.col(id_col).alias("doc_id"), F.length(text_or_empty(text_col)).alias("n"),
         hash_fn(norm).alias("h"), F.sha2(norm.cast("binary"), 256).alias("sha"))
-    slim = hashed.groupBy("doc_id", "n", "h", "sha").agg(F.count(F.lit(1)).alias("copies"))
+    slim = reliable_checkpoint(hashed.groupBy("doc_id", "n", "h", "sha").agg(F.count(F.lit(1)).alias("copies")))
     order = F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"))
     groups = slim.groupBy("h").agg(
         F.sum("copies").alias("size"), F.count(F.lit(1)).alias("members"), F.min(order).alias("best"))
 
-    several = slim.join(groups.filter("members > 1").drop("size"), "h").withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "n"), F.ceil(F.col("members") / SALT_ROWS)))
-    collided = _collisions(docs, several, norm, id_col, text_col)
+    several = reliable_checkpoint(slim.join(groups.filter("members > 1").drop("size"), "h").withColumn(
+        "salt", F.pmod(F.xxhash64("doc_id", "n"), F.ceil(F.col("members") / SALT_ROWS))))
+    collided = reliable_checkpoint(_collisions(docs, several, norm, id_col, text_col))
 
     # Rows that differ from the text that stays are grouped by their whole normalised text.
     moved = collided.groupBy("norm").agg(F.count(F.lit(1)).alias("size"), F.min(order).alias("best"))
