@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import exact_dedup, mixing, near_dedup
+from riskframe.llm import exact_dedup, mixing, near_dedup, packing
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -70,3 +70,8 @@ FROM q
 @register("op8_fair_queue_mixing", MIXING_SQL)
 def op8_fair_queue_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_queue(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
