@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import exact_dedup, mixing, near_dedup, packing
+import corpus_pipeline
+from riskframe.llm import exact_dedup, language_id, mixing, near_dedup, packing
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -75,3 +76,13 @@ def op8_fair_queue_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_best_fit_packing")
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op3_hyperdimensional_language_id")
+def op3_hyperdimensional_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
