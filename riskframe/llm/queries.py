@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from riskframe.llm import exact_dedup, language_id, mixing, near_dedup, packing
+from riskframe.llm import exact_dedup, fingerprint, language_id, mixing, near_dedup, packing
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -83,6 +83,11 @@ def op3_hyperdimensional_language_id(spark: SparkSession, sf_dir: str) -> DataFr
     return language_id.identified(table(spark, sf_dir, "documents"))
 
 
+@register("op9_one_permutation_fingerprints")
+def op9_one_permutation_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
