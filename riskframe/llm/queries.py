@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from riskframe.llm import exact_dedup, fingerprint, language_id, mixing, near_dedup, packing
+from riskframe.llm import exact_dedup, fingerprint, html_text, language_id, mixing, near_dedup, packing
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -73,6 +73,11 @@ def op8_fair_queue_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_queue(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op4_block_rules_html_text")
+def op4_block_rules_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @register("op5_best_fit_packing")
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
