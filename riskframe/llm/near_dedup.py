@@ -12,13 +12,16 @@ only five standard errors below the threshold.
 
 No bucket is expanded into all its pairs:
 1. Documents with equal sets are one node (their smallest id) from the start.
-2. In each of LEADER_ROUNDS rounds every bucket compares its members with one leader, another
-   one in each bucket and round; links are joined into components, and members of the leader's component
+2. Every bucket compares its members with one leader, another one in each of a document's 42 buckets;
+   links are joined into components, and members of one component
    are not compared again. This dissolves tight groups of any size in linear work.
-3. What is left are buckets with several components. There, members outside the bucket's largest component
+3. What is left are buckets with several components. Those of up to FEW members list their pairs of
+   different components that were not compared yet. In larger ones, members outside the largest component
    are compared with all members of other components, in blocks of about BLOCK members whose estimates
    numpy computes at once; only pairs that survive the estimate become rows. So every pair of
    different components that shares a band is compared: no cap, no lost link.
+4. Verification groups pairs into cells of two blocks of nodes and sends a text once to each cell that
+   needs it, so a document with thousands of candidates is not copied to each of them.
 
 Defined results: a null or blank text has no shingles, is linked with nothing and is its own component.
 A row without an id has a null component and stays. Rows that repeat an id are one document:
@@ -42,8 +45,9 @@ from riskframe.session import reliable_checkpoint
 
 REGISTERS, MANTISSA_BITS = 256, 10
 BAND, BANDS = 6, 42
-LEADER_ROUNDS = 2
 BLOCK = 128
+#: Buckets of up to so many members list their pairs of different components; larger ones go by blocks.
+FEW = 24
 #: Standard errors below the threshold at which an estimate still goes on to verification.
 SLACK = 5.0
 #: Chance that two registers with different smallest hashes look equal, times (a+b)^2/(ab) for set sizes a, b:
@@ -122,24 +126,19 @@ def _block_pairs(pct: int):
 
 
 def _verified(pct: int):
-    """Pairs whose full shingle sets reach the threshold; the sets of recent ids are kept."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, recent = WordHasher(), {}
-
-        def of(text):
-            if text not in recent:
-                if len(recent) >= 64:
-                    recent.clear()
-                recent[text] = hasher.shingles(text)
-            return recent[text]
-
-        for b in batches:
-            keep = []
-            for ta, tb in zip(b.column("ta"), b.column("tb")):
-                x, y = of(ta.as_py()), of(tb.as_py())
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= pct * (len(x) + len(y) - both))
-            yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+    """Pairs of one cell whose full shingle sets reach the threshold."""
+    def run(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        hasher = WordHasher()
+        sets: dict[int, np.ndarray] = {}
+        for node, text in zip(texts.column("node").to_pylist(), texts.column("text")):
+            sets[node] = hasher.shingles(text.as_py())
+        keep = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+            x, y = sorted((sets[a], sets[b]), key=len)
+            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+            both = int((y[at] == x).sum())
+            keep.append(both > 0 and 100 * both >= pct * (len(x) + len(y) - both))
+        return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
@@ -170,48 +169,55 @@ def _linked(src: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     bands = nodes.select("node", F.explode(keys).alias("key")).filter("key is not null")
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     open_ = reliable_checkpoint(bands.join(sizes, "key").withColumn("comp", F.col("node")))
-
-    links = None
-    for turn in range(LEADER_ROUNDS):
-        order = F.col("node").bitwiseXOR(F.xxhash64("key", F.lit(turn)))
-        lead = open_.groupBy("key").agg(F.min_by(F.struct("node", "comp"), order).alias("lead"))
-        pairs = open_.join(lead, "key").filter("comp <> lead.comp").select(
-            F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
-        links, comps, open_ = _merge(links, _confirm(src, nodes, pairs, percent), open_)
-    if not open_.isEmpty():
-        pairs = reliable_checkpoint(_rest(nodes, open_, percent))
-        links, comps, open_ = _merge(links, _verify(src, pairs, percent), open_)
-    return comps
-
-
-def _merge(links, found: DataFrame, open_: DataFrame):
-    """All links so far, their components, and the members of buckets that still hold several components."""
-    found = reliable_checkpoint(found)
-    links = found if links is None else links.union(found)
+    # sketches of the nodes that share a bucket with another one
+    nodes = reliable_checkpoint(nodes.join(open_.select("node").distinct(), "node"))
+
+    order = F.col("node").bitwiseXOR(F.xxhash64("key"))
+    lead = open_.groupBy("key").agg(F.min_by("node", order).alias("lead"))
+    first = reliable_checkpoint(open_.join(lead, "key").filter("node <> lead").select(
+        F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
+    links = reliable_checkpoint(_verify(src, _likely_pairs(nodes, first, percent), percent))
     comps = components(links)
-    members = open_.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    several = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    return links, comps, reliable_checkpoint(members.join(several, "key").select("key", "node", "size", "comp"))
-
 
-def _confirm(src: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs that pass the estimate, then verification."""
+    # members of the buckets of three and more that still hold several components
+    members = open_.filter("size > 2").drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    several = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+    members = reliable_checkpoint(members.join(several, "key").select("key", "node", "size", "comp"))
+    if members.isEmpty():
+        return comps
+    x, y = members.filter(F.col("size") <= FEW).alias("x"), members.alias("y")
+    small = x.join(y, "key").filter("x.node < y.node and x.comp <> y.comp").select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    large = _large(nodes, members.filter(F.col("size") > FEW), percent).distinct().join(first, ["a", "b"], "left_anti")
+    pairs = _likely_pairs(nodes, small, percent).union(large).distinct()
+    more = reliable_checkpoint(_verify(src, pairs, percent))
+    return comps if more.isEmpty() else components(links.union(more))
+
+
+def _likely_pairs(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs that pass the estimate."""
     one = pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra")), "a")
     two = one.join(nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb")), "b")
-    kept = two.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimated(percent), "a long, b long")
-    return _verify(src, reliable_checkpoint(kept), percent)
+    return two.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimated(percent), "a long, b long")
 
 
 def _verify(src: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    ids = reliable_checkpoint(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    texts = rows_with_ids(src, ids, "doc_id", ids.count())
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
-        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(_verified(percent), "a long, b long").distinct()
-
-
-def _rest(nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket that pass the estimate, from block against block."""
+    """Links among ``pairs``. Nodes are dealt to blocks of about BLOCK by hash; the pairs of two blocks are one cell, and
+    a text goes once to each cell that needs it, however many pairs it has there."""
+    pairs = reliable_checkpoint(pairs)
+    ids = reliable_checkpoint(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    n_ids = ids.count()
+    blocks = max(1, -(-n_ids // BLOCK))
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    pairs = pairs.withColumn("cell", part("a") * blocks + part("b"))
+    need = pairs.select(F.col("cell").alias("of_cell"), F.col("a").alias("node")).union(pairs.select("cell", "b")).distinct()
+    texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), ids, "node", n_ids)
+    sent = need.join(texts, "node").select("of_cell", "node", "text")
+    return pairs.groupBy("cell").cogroup(sent.groupBy("of_cell")).applyInArrow(_verified(percent), "a long, b long").distinct()
+
+
+def _large(nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in one large bucket that pass the estimate, from block against block."""
     largest = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
         F.max_by("comp", F.struct("c", "comp")).alias("largest"))
     split = members.join(largest, "key").withColumn("main", F.col("comp") == F.col("largest")).withColumn(
@@ -221,7 +227,7 @@ def _rest(nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     x = blocks.filter("not main").select("key", F.col("block").alias("bx"), F.col("members").alias("x"))
     y = blocks.select("key", "main", F.col("block").alias("by"), F.col("members").alias("y"))
     pairs = x.join(y, "key").filter("main or bx <= by").select("x", "y")
-    return pairs.mapInArrow(_block_pairs(percent), "a long, b long").distinct()
+    return pairs.mapInArrow(_block_pairs(percent), "a long, b long")
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:

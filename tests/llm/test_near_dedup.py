@@ -66,8 +66,8 @@ def test_matches_brute_force(spark, pct):
 
 
 def test_blocks_find_what_leaders_leave(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "LEADER_ROUNDS", 1)
     monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "FEW", 4)
     rows = corpus(3)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(df, percent=85).collect()}
