@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from riskframe.llm import exact_dedup, fingerprint, html_text, language_id, mixing, near_dedup, packing
+from riskframe.llm import exact_dedup, fingerprint, html_text, language_id, mixing, near_dedup, packing, warc
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -68,6 +68,11 @@ FROM q
 """
 
 
+@register("op7_warc_round_trip")
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @register("op8_fair_queue_mixing", MIXING_SQL)
 def op8_fair_queue_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fair_queue(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
