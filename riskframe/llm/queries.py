@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from riskframe.llm import exact_dedup, fingerprint, html_text, language_id, mixing, near_dedup, packing, warc
+from riskframe.llm import exact_dedup, fingerprint, html_text, language_id, lm, mixing, near_dedup, packing, warc
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -98,6 +98,11 @@ def op9_one_permutation_fingerprints(spark: SparkSession, sf_dir: str) -> DataFr
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@register("op10_pitman_yor_lm")
+def op10_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
