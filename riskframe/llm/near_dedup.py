@@ -16,10 +16,11 @@ No bucket is expanded into all its pairs:
    links are joined into components, and members of one component
    are not compared again. This dissolves tight groups of any size in linear work.
 3. What is left are buckets with several components. Those of up to FEW members list their pairs of
-   different components that were not compared yet. In larger ones, members outside the largest component
-   are compared with all members of other components, in blocks of about BLOCK members whose estimates
-   numpy computes at once; only pairs that survive the estimate become rows. So every pair of
-   different components that shares a band is compared: no cap, no lost link.
+   different components that were not compared yet. Nodes of larger ones are put into blocks of about BLOCK;
+   two blocks that meet in some bucket are compared once, in one task: numpy computes all estimates
+   between different components at once, likely pairs are verified on the spot, and one link for each
+   pair of components is returned. So every pair of different components that shares a band is compared: no cap,
+   no lost connection, and no row per pair.
 4. Verification groups pairs into cells of two blocks of nodes and sends a text once to each cell that
    needs it, so a document with thousands of candidates is not copied to each of them.
 
@@ -107,24 +108,43 @@ def _estimated(pct: int):
 
 
 def _block_pairs(pct: int):
-    """Surviving pairs of different components between two blocks of one bucket."""
+    """Links between the different components of two blocks: estimated, then verified on the full sets. One link
+    for each pair of components is enough, since the members of a component are linked already."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
         for batch in batches:
-            out_a, out_b = [], []
+            links = []
             for row in batch.to_pylist():
                 x, y = row["x"], row["y"]
                 xr, yr = (np.frombuffer(b"".join(m["regs"] for m in z), np.uint16).reshape(-1, REGISTERS) for z in (x, y))
-                (xi, xc, xn), (yi, yc, yn) = ([np.array([m[k] for m in z]) for k in ("node", "comp", "n")] for z in (x, y))
+                (xc, xn), (yc, yn) = ([np.array([m[k] for m in z]) for k in ("comp", "n")] for z in (x, y))
+                sets: dict[int, np.ndarray] = {}
+                done = set()
                 for i in range(len(x)):
                     keep = likely(((yr == xr[i]) & (yr > 0)).sum(1), ((yr > 0) | (xr[i] > 0)).sum(1), xn[i], yn, pct) & (yc != xc[i])
-                    hit = yi[keep]
-                    out_a.append(np.minimum(hit, xi[i]))
-                    out_b.append(np.maximum(hit, xi[i]))
-            cat = [np.concatenate(v) if v else np.empty(0, np.int64) for v in (out_a, out_b)]
-            yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int64)) for v in cat], names=["a", "b"])
+                    for j in np.flatnonzero(keep).tolist():
+                        if (xc[i], yc[j]) in done or (yc[j], xc[i]) in done:
+                            continue
+                        for m in (x[i], y[j]):
+                            if m["node"] not in sets:
+                                sets[m["node"]] = hasher.shingles(m["text"])
+                        if reaches(sets[x[i]["node"]], sets[y[j]["node"]], pct):
+                            done.add((xc[i], yc[j]))
+                            links.append((x[i]["node"], y[j]["node"]))
+            yield pa.RecordBatch.from_arrays([pa.array([k[c] for k in links], pa.int64()) for c in (0, 1)], names=["a", "b"])
     return run
 
 
+def reaches(x: np.ndarray, y: np.ndarray, pct: int) -> bool:
+    """Whether two sorted sets have a Jaccard similarity of pct / 100 or more."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x) or 100 * len(x) < pct * len(y):
+        return False
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= pct * (len(x) + len(y) - both)
+
+
 def _verified(pct: int):
     """Pairs of one cell whose full shingle sets reach the threshold."""
     def run(pairs: pa.Table, texts: pa.Table) -> pa.Table:
@@ -134,10 +154,7 @@ def _verified(pct: int):
             sets[node] = hasher.shingles(text.as_py())
         keep = []
         for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
-            x, y = sorted((sets[a], sets[b]), key=len)
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both = int((y[at] == x).sum())
-            keep.append(both > 0 and 100 * both >= pct * (len(x) + len(y) - both))
+            keep.append(reaches(sets[a], sets[b], pct))
         return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
@@ -188,9 +205,8 @@ def _linked(src: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     x, y = members.filter(F.col("size") <= FEW).alias("x"), members.alias("y")
     small = x.join(y, "key").filter("x.node < y.node and x.comp <> y.comp").select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    large = _large(nodes, members.filter(F.col("size") > FEW), percent).distinct().join(first, ["a", "b"], "left_anti")
-    pairs = _likely_pairs(nodes, small, percent).union(large).distinct()
-    more = reliable_checkpoint(_verify(src, pairs, percent))
+    more = reliable_checkpoint(_verify(src, _likely_pairs(nodes, small, percent), percent).union(
+        _large(src, nodes, members.filter(F.col("size") > FEW), percent)))
     return comps if more.isEmpty() else components(links.union(more))
 
 
@@ -216,18 +232,22 @@ def _verify(src: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.groupBy("cell").cogroup(sent.groupBy("of_cell")).applyInArrow(_verified(percent), "a long, b long").distinct()
 
 
-def _large(nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one large bucket that pass the estimate, from block against block."""
-    largest = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-        F.max_by("comp", F.struct("c", "comp")).alias("largest"))
-    split = members.join(largest, "key").withColumn("main", F.col("comp") == F.col("largest")).withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)))
-    blocks = split.join(nodes, "node").groupBy("key", "main", "block").agg(
-        F.collect_list(F.struct("node", "comp", "n", "regs")).alias("members"))
-    x = blocks.filter("not main").select("key", F.col("block").alias("bx"), F.col("members").alias("x"))
-    y = blocks.select("key", "main", F.col("block").alias("by"), F.col("members").alias("y"))
-    pairs = x.join(y, "key").filter("main or bx <= by").select("x", "y")
-    return pairs.mapInArrow(_block_pairs(percent), "a long, b long")
+def _large(src: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links between different components in large buckets, from block against block.
+
+    A node is in one block, of its largest bucket. Two blocks are compared once if some bucket has members of both."""
+    home = members.groupBy("node", "comp").agg(F.max_by("key", F.struct("size", "key")).alias("home"))
+    sizes = home.groupBy("home").agg(F.count(F.lit(1)).alias("c"))
+    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / BLOCK))
+    home = reliable_checkpoint(home.join(sizes, "home").select("node", "comp", F.xxhash64("home", salt).alias("block")))
+    texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), home, "node", home.count())
+    blocks = reliable_checkpoint(home.join(nodes, "node").join(texts, "node").groupBy("block").agg(
+        F.collect_list(F.struct("node", "comp", "n", "regs", "text")).alias("members")))
+    held = members.select("key", "node").join(home, "node").select("key", "block").distinct()
+    pairs = held.withColumnRenamed("block", "bx").join(held.withColumnRenamed("block", "by"), "key").filter("bx <= by").select("bx", "by").distinct()
+    both = pairs.join(blocks.select(F.col("block").alias("bx"), F.col("members").alias("x")), "bx").join(
+        blocks.select(F.col("block").alias("by"), F.col("members").alias("y")), "by")
+    return both.select("x", "y").mapInArrow(_block_pairs(percent), "a long, b long")
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
