@@ -7,9 +7,10 @@ derives the digest columns of its contract.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskframe.llm import exact_dedup, fingerprint, html_text, language_id, lm, mixing, near_dedup, packing, warc
+from riskframe.llm import exact_dedup, fingerprint, html_text, language_id, lm, mixing, near_dedup, packing, secrets, warc
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -39,6 +40,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@register("op1_secret_scan")
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("value_sha256", F.sha2(F.col("value").cast("binary"), 256)).drop("value")
+
+
 @register("op2_minhash_near_dedup")
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)

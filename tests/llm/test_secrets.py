@@ -1,0 +1,62 @@
+import random
+
+from pyspark.sql import functions as F
+
+from riskframe.llm import secrets
+
+SCHEMA = "doc_id long, text string, source string, value string, label int"
+
+
+def corpus(n=240):
+    rng = random.Random(8)
+    words = ["monday", "project", "library", "the", "reading", "of", "matter", "keyboard"]
+    hexa = lambda k: "".join(rng.choice("0123456789abcdef") for _ in range(k))
+    rows, secret = [], {}
+    for i in range(n):
+        text = [rng.choice(words) for _ in range(30)]
+        if i % 4 == 0:
+            secret[i] = hexa(40)
+            text[10:10] = [rng.choice(["token", "api_key", "password"]), "=", f'"{secret[i]}"']
+        if i % 4 == 1:
+            text[5:5] = [str(rng.randint(10**15, 10**16 - 1))]
+        if i % 4 == 2:
+            text[7:7] = [f"monday-project-library-{i}"]
+        rows.append((i, " ".join(text), f"s{i % 3}", "x", 1))
+    return rows + [(900, None, None, None, None), (901, "", "s", None, None), (902, "x" * 100_000 + " 1" + "y1" * 60_000, "s", None, None),
+                   (903, 'token = "' + "ab12" * 10 + '"', "s", None, None), (903, 'token = "' + "ab12" * 10 + '"', "s", None, None)], secret
+
+
+def test_secrets_stay_and_false_positives_go(spark):
+    rows, secret = corpus()
+    res = secrets.scan(spark.createDataFrame(rows, SCHEMA))
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    got = res.collect()
+    hits = {(r.doc_id, r.value) for r in got if r.is_secret}
+    assert {(d, v) for d, v in secret.items()} <= hits
+    assert {d for d, _ in hits} <= set(secret) | {903}
+    assert sum(r.doc_id == 903 for r in got) == 2
+    assert {r.doc_id for r in got if not r.is_secret} >= {i for i in range(240) if i % 4 in (1, 2)}
+
+
+def test_dictionary_and_features_by_hand(spark):
+    rows = [(1, "alpha beta " * 9 + "key: alpha-beta-99887766 end", "p", "", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    counts = {r.word: r.n for r in secrets.word_counts(df).collect()}
+    assert counts == {"alpha": 10, "beta": 10, "key": 1, "end": 1}
+    r = secrets.features(secrets.candidates(df), secrets.word_counts(df)).first()
+    assert (r.value, r.place, r.length, r.assigned, r.named, r.quoted, r.before_length, r.after_length) == (
+        "alpha-beta-99887766", 19, 19.0, 1.0, 1.0, 0.0, 4.0, 3.0)
+    assert abs(r.coverage - 9 / 19) < 1e-9 and r.digit_changes == 0
+
+
+def test_given_labels_one_label_and_empty_tables(spark):
+    rows, _ = corpus(80)
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = secrets.features(secrets.candidates(df), secrets.word_counts(df))
+    digits = found.withColumn("label", F.col("value").rlike("^[0-9]+$").cast("double"))
+    got = secrets.scan(df, digits).filter("doc_id < 900").collect()
+    assert {r.doc_id for r in got if r.is_secret} == {i for i in range(80) if i % 4 == 1}
+    assert {r.is_secret for r in secrets.scan(df, found.withColumn("label", F.lit(0.0))).collect()} == {False}
+    assert secrets.scan(df.limit(0)).count() == 0
+    assert secrets.scan(df.filter("doc_id >= 900 and doc_id < 902")).count() == 0
