@@ -63,7 +63,7 @@ def impute_missing(df: DataFrame, imputer: _imp.ImputerState | None = None, fit:
     if fit:
         imputer = _imp.fit_imputer(df)
     elif imputer is None:
-        raise ValueError("Imputer must be provided when fit=False")
+        raise ValueError("pass a fitted imputer or fit=True")
     return _imp.impute(df, imputer), imputer
 
 

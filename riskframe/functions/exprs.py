@@ -15,6 +15,12 @@ PSI_BANDS = [(0.10, "stable"), (0.25, "moderate_shift")]  # else "significant_dr
 IV_BANDS = [(0.02, "not_useful"), (0.1, "weak"), (0.3, "medium"), (0.5, "strong")]  # else "suspicious"
 
 
+def is_missing(df: DataFrame, c: str) -> Column:
+    """NULL, and NaN in floating columns, are missing everywhere in the package."""
+    missing = F.col(c).isNull()
+    return missing | F.isnan(c) if isinstance(df.schema[c].dataType, (DoubleType, FloatType)) else missing
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """num/den, 0.0 when undefined (the reference's ``x/y if y > 0 else 0``)."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
@@ -41,7 +47,7 @@ def psi_label(psi: Column | str) -> Column:
     expr = None
     for bound, label in PSI_BANDS:
         expr = F.when(c < bound, label) if expr is None else expr.when(c < bound, label)
-    return expr.otherwise("significant_drift")
+    return expr.when(c.isNotNull(), "significant_drift")
 
 
 def iv_strength(iv: Column | str) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.bins import left_closed_index
-from riskframe.functions.exprs import PSI_FLOOR, melt, psi_label
+from riskframe.functions.exprs import PSI_BANDS, PSI_FLOOR, melt, psi_label
 from riskframe.operators.binning import clean_double, dedupe_edges, exact_quantiles
 
 DETAIL_COLS = ["bucket", "bin_edge_lower", "bin_edge_upper", "expected_count", "actual_count",
@@ -118,8 +118,11 @@ def variable_psi(expected: DataFrame, actual: DataFrame, columns: Sequence[str],
     edges = _edges_for(expected, {c: clean_double(c) for c in cols}, buckets)
     live = [c for c in cols if len(edges[c]) >= 2]
     spark = expected.sparkSession
-    if not live:
-        return spark.createDataFrame([], "variable string, psi double, interpretation string")
+    # A constant (or empty) reference has a single bucket: PSI 0, stable.
+    flat = spark.createDataFrame([(c, 0.0, PSI_BANDS[0][1]) for c in cols if c not in live],
+                                 "variable string, psi double, interpretation string")
+    if not live and not detail:
+        return flat.orderBy("variable")
 
     def tagged(df, is_exp):
         return melt(df, [F.lit(is_exp).alias("_e")], {c: _bucket_expr(clean_double(c), edges[c]) for c in live},
@@ -132,7 +135,8 @@ def variable_psi(expected: DataFrame, actual: DataFrame, columns: Sequence[str],
     d = _finish(counts, ["variable"], {(c,): edges[c] for c in live}, spark)
     if detail:
         return d
-    return psi_summary(d, ["variable"]).select("variable", "psi", "interpretation").orderBy(F.col("psi").desc())
+    found = psi_summary(d, ["variable"]).select("variable", "psi", "interpretation")
+    return found.unionByName(flat).orderBy(F.col("psi").desc(), "variable")
 
 
 # The three score comparisons of the drift report (name, expected part, actual part).

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
-from riskframe.functions.exprs import melt
-from riskframe.operators.binning import exact_quantiles
+from riskframe.functions.exprs import is_missing, melt
+from riskframe.operators.binning import clean_double, exact_quantiles
 
 # Fixed value: fill for a categorical column that is missing everywhere.
 ALL_MISSING_CATEGORY = "Unknown"
@@ -39,7 +39,7 @@ def fit_imputer(df: DataFrame, columns: Sequence[str] | None = None, approx: boo
     value counts; only one value per column reaches the driver."""
     cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    has_null = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
+    has_null = df.agg(*[F.max(is_missing(df, c).cast("int")).alias(c) for c in cols]).first()
     todo = [c for c in cols if has_null[c] == 1]
     if not todo:
         return ImputerState({}, {})
@@ -48,10 +48,10 @@ def fit_imputer(df: DataFrame, columns: Sequence[str] | None = None, approx: boo
     num: dict[str, float | None] = {}
     if num_cols:
         if approx:
-            row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in num_cols]).first()
+            row = df.agg(*[F.percentile_approx(clean_double(c), 0.5, accuracy).alias(c) for c in num_cols]).first()
             num = {c: None if row[c] is None else float(row[c]) for c in num_cols}
         else:
-            med = exact_quantiles(df, {c: F.col(c).cast("double") for c in num_cols}, [0.5])
+            med = exact_quantiles(df, {c: clean_double(c) for c in num_cols}, [0.5])
             num = {c: (None if med[c][0] is None else float(med[c][0])) for c in num_cols}
     cat: dict[str, str] = {c: ALL_MISSING_CATEGORY for c in cat_cols}
     if cat_cols:
@@ -75,7 +75,7 @@ def impute(df: DataFrame, state: ImputerState) -> DataFrame:
     proj = []
     for c in df.columns:
         if c in state.numeric and state.numeric[c] is not None:
-            proj.append(F.coalesce(F.col(c).cast("double"), F.lit(state.numeric[c])).alias(c))
+            proj.append(F.coalesce(clean_double(c), F.lit(state.numeric[c])).alias(c))
         elif c in state.categorical:
             proj.append(F.coalesce(F.col(c).cast("string"), F.lit(state.categorical[c])).alias(c))
         else:

@@ -13,7 +13,7 @@ DEFAULT_LGD = 0.45
 SENS_EAD_RANGE = (5000.0, 50000.0)
 SENS_LGD_RANGE = (0.2, 0.6)
 SENS_POINTS = 5
-ASSUMPTION_NOTE = "EAD/LGD are assumed constants. Actual portfolio EL requires account-level EAD and LGD data."
+ASSUMPTION_NOTE = "One EAD and one LGD are applied to every account; use account-level figures for a portfolio estimate."
 
 
 def _c(x) -> Column:

@@ -106,7 +106,7 @@ class CalibratedModel:
     calibrators: list = field(default_factory=list)
 
     def _assembled(self, df: DataFrame) -> DataFrame:
-        return VectorAssembler(inputCols=self.features, outputCol=VEC, handleInvalid="keep").transform(df)
+        return VectorAssembler(inputCols=self.features, outputCol=VEC, handleInvalid="error").transform(df)
 
     def score(self, df: DataFrame, out: str = "pd") -> DataFrame:
         """M7: add ``out`` = mean of the fold-calibrated probabilities (or the base probability
@@ -179,7 +179,7 @@ def fit_model(df: DataFrame, features: Sequence[str], target: str, spec: ModelSp
     base = kfold(base, list(keys or features), folds, spec.seed, target=label) if calibrate else base.withColumn("fold", F.lit(-1))
     # Cache the assembled rows first: the class-count job materialises the cache, so the input
     # is read and encoded once; the weight column is a projection on top of the cache.
-    cached = persist(VectorAssembler(inputCols=features, outputCol=VEC, handleInvalid="skip").transform(base)
+    cached = persist(VectorAssembler(inputCols=features, outputCol=VEC, handleInvalid="error").transform(base)
                      .select(VEC, label, "fold"))
     n0, n1 = class_counts(cached, label)
     if n0 == 0 or n1 == 0:

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
 from riskframe.functions.exprs import IV_EPS, iv_strength
+from riskframe.operators.binning import clean_double
 
-PAIRWISE_MAX_FEATURES = 40   # up to this many features: pairwise-complete SQL corr in one aggregate
+PAIRS_PER_JOB = 400   # correlation aggregates of one pass over the table
 VIF_SINGULAR_TOL = 1e-10
 
 
@@ -70,35 +71,40 @@ def select_by_iv(iv_table: DataFrame, iv_min: float = 0.02, iv_max: float = 0.5)
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str], method: str = "pearson") -> np.ndarray:
-    """p x p correlation matrix.
+    """p x p correlation matrix over pairwise-complete rows (as in pandas), at any width.
 
-    Pearson with few features: one aggregate of pairwise ``corr`` (pairwise-complete rows,
-    like pandas). Otherwise MLlib ``Correlation`` (one distributed Gramian pass; rows with a
-    missing value are skipped). Spearman ranks through MLlib; other methods raise."""
+    Pearson: ``corr`` aggregates, PAIRS_PER_JOB pairs to a pass over the table. Spearman: MLlib ranks
+    (average ranks on ties) of all columns at once without missing values, else of each pair's complete
+    rows. Other methods raise."""
     feats = list(features)
     p = len(feats)
     if p == 0:
         return np.zeros((0, 0))
     if method not in ("pearson", "spearman"):
         raise ValueError(f"Unsupported correlation method: {method}")
-    if method == "pearson" and p <= PAIRWISE_MAX_FEATURES:
-        aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}_{j}")
-                for i, a in enumerate(feats) for j, b in enumerate(feats) if i < j]
-        m = np.eye(p)
-        if aggs:
-            row = df.agg(*aggs).first()
-            for i in range(p):
-                for j in range(i + 1, p):
-                    v = row[f"c{i}_{j}"]
-                    m[i, j] = m[j, i] = np.nan if v is None else v
-        for i, c in enumerate(feats):  # constant columns have undefined correlation
-            if np.all(np.isnan(np.delete(m[i], i))) and p > 1:
-                m[i, i] = np.nan
-        return m
-    vec = VectorAssembler(inputCols=feats, outputCol="__v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in feats]))
-    mat = Correlation.corr(vec, "__v", method).first()[0]
-    return mat.toArray()
+    values = df.select(*[clean_double(c).alias(c) for c in feats])
+    m = np.eye(p)
+    pairs = [(i, j) for i in range(p) for j in range(i + 1, p)]
+    if method == "spearman":
+        gaps = values.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in feats]).first()
+        if not any(gaps):
+            vec = VectorAssembler(inputCols=feats, outputCol="__v").transform(values)
+            return Correlation.corr(vec, "__v", method).first()[0].toArray()
+        for i, j in pairs:
+            vec = VectorAssembler(inputCols=[feats[i], feats[j]], outputCol="__v").transform(
+                values.select(feats[i], feats[j]).dropna())
+            m[i, j] = m[j, i] = Correlation.corr(vec, "__v", method).first()[0].toArray()[0, 1]
+    else:
+        for at in range(0, len(pairs), PAIRS_PER_JOB):
+            part = pairs[at:at + PAIRS_PER_JOB]
+            row = values.agg(*[F.corr(feats[i], feats[j]).alias(f"c{i}_{j}") for i, j in part]).first()
+            for i, j in part:
+                v = row[f"c{i}_{j}"]
+                m[i, j] = m[j, i] = np.nan if v is None else v
+    for i in range(p):  # constant columns have undefined correlation
+        if p > 1 and np.all(np.isnan(np.delete(m[i], i))):
+            m[i, i] = np.nan
+    return m
 
 
 def correlation_pairs(df: DataFrame, features: Sequence[str], method: str = "pearson") -> DataFrame:

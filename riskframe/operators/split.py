@@ -42,16 +42,16 @@ def time_based_split(df: DataFrame, date_column: str, split_date: str, oot_start
     """Three filtered frames. Without ``oot_start`` the OOT frame is empty with the same columns.
     ``check`` runs one conditional-count aggregate and raises on an empty train or test part."""
     if date_column not in df.columns:
-        raise ValueError(f"Date column '{date_column}' not found in data")
+        raise ValueError(f"Date column '{date_column}' is absent")
     parts = [df.where(part_predicate(date_column, name, split_date, oot_start)) for name in ("train", "test", "oot")]
     if check:
         lab = split_label(df, date_column, split_date, oot_start, "__split")
         row = lab.agg(F.count_if(F.col("__split") == "train").alias("tr"),
                       F.count_if(F.col("__split") == "test").alias("te")).first()
         if row["tr"] == 0:
-            raise ValueError("Train set is empty - check split_date")
+            raise ValueError("Train set is empty: no row before the split date")
         if row["te"] == 0:
-            raise ValueError("Test set is empty - check split_date")
+            raise ValueError("Test set is empty: no row after the split date")
     return parts[0], parts[1], parts[2]
 
 

@@ -87,8 +87,8 @@ class WoeModel:
 
     def _unknown(self, woe: F.Column, c: str, shown: F.Column) -> F.Column:
         if self.handle_unknown == "error":
-            return F.when(woe.isNull(), F.raise_error(F.concat(F.lit("Unseen value '"), F.coalesce(shown, F.lit("nan")),
-                                                               F.lit(f"' in feature '{c}'")))).otherwise(woe)
+            return F.when(woe.isNull(), F.raise_error(F.concat(F.lit("Unseen value "), F.coalesce(shown, F.lit("nan")),
+                                                               F.lit(f" of {c}")))).otherwise(woe)
         return F.coalesce(woe, F.lit(UNSEEN_WOE))
 
     def _category_map(self, c: str) -> dict[str, float]:

@@ -23,11 +23,12 @@ SPECS = {
 _CACHE: dict = {}
 
 
-def _encoded(spark, sf, part: str):
+def _encoded(spark, sf, part: str | None = None):
     from riskframe.plans.q_woe import fitted
     enc = fitted(spark, sf)
-    base = loans_with_gaps(spark, sf).where(split_filter(part)).select(*LOAN_KEY, "y", "p", *MODEL_FEATURES)
-    return enc.transform(base)
+    rows = loans_with_gaps(spark, sf)
+    rows = rows if part is None else rows.where(split_filter(part))
+    return enc.transform(rows.select(*LOAN_KEY, "y", "p", *MODEL_FEATURES))
 
 
 def model_for(spark, sf, name: str, calibrate: bool = True):
@@ -47,7 +48,7 @@ def q_class_weights(spark, sf):
 
 def _scores(spark, sf, name, calibrate):
     m = model_for(spark, sf, name, calibrate)
-    return out(m.score(_encoded(spark, sf, "test")).select(*LOAN_KEY, "y", "pd"))
+    return out(m.score(_encoded(spark, sf)).select(*LOAN_KEY, "y", "pd"))
 
 
 @register("logreg_scores")
@@ -83,8 +84,7 @@ def q_cv_metrics(spark, sf):
 @register("score_batch")
 def q_score_batch(spark, sf):
     from riskframe.plans.q_woe import fitted
-    te = loans_with_gaps(spark, sf).where(split_filter("test"))
-    res = score_batch(te, fitted(spark, sf), model_for(spark, sf, "logreg", True), keep=LOAN_KEY)
+    res = score_batch(loans_with_gaps(spark, sf), fitted(spark, sf), model_for(spark, sf, "logreg", True), keep=LOAN_KEY)
     return out(res.select(*LOAN_KEY, "pd", "risk_band", "decision"))
 
 

@@ -31,11 +31,11 @@ def _top_drivers_sql() -> str:
     from riskframe.plans.q_woe import CAT, NUM, _recursive, transform_select, woe_ctes
     from riskframe.plans.sql import GAPS_CTE
     feats = NUM + CAT
-    unp = " UNION ALL ".join(f"SELECT {KEYS_SQL}, '{c}' AS feature, {c} AS woe FROM enc" for c in feats)
+    unp = " UNION ALL ".join(f"SELECT {KEYS_SQL}, rid, '{c}' AS feature, {c} AS woe FROM enc" for c in feats)
     return _recursive(with_loans(
-        GAPS_CTE, *woe_ctes(), f"enc AS (SELECT {', '.join('t.' + k for k in LOAN_KEY)}, {transform_select('t')} FROM gaps t WHERE t.split = 'test')",
+        GAPS_CTE, *woe_ctes(), f"enc AS (SELECT {', '.join('t.' + k for k in LOAN_KEY)}, {transform_select('t')}, ROW_NUMBER() OVER () AS rid FROM gaps t)",
         f"u AS ({unp})",
-        body=f"""SELECT {KEYS_SQL}, CAST(ROW_NUMBER() OVER (PARTITION BY {KEYS_SQL} ORDER BY ABS(woe) DESC, feature DESC, woe DESC) AS INTEGER) AS rank,
+        body=f"""SELECT {KEYS_SQL}, CAST(ROW_NUMBER() OVER (PARTITION BY rid ORDER BY ABS(woe) DESC, feature DESC, woe DESC) AS INTEGER) AS rank,
   feature, {r6('woe', 'woe')} FROM u"""))
 
 
@@ -43,7 +43,7 @@ def _top_drivers_sql() -> str:
 def q_top_drivers(spark, sf):
     from riskframe.plans.q_woe import CAT, NUM, fitted
     from riskframe.sources.tables import loans_with_gaps
-    te = loans_with_gaps(spark, sf).where(split_filter("test")).select(*LOAN_KEY, *NUM, *CAT)
+    te = loans_with_gaps(spark, sf).select(*LOAN_KEY, *NUM, *CAT)
     enc = fitted(spark, sf).transform(te)
     return out(top_drivers(enc, NUM + CAT, LOAN_KEY, 10).withColumn("rank", F.col("rank").cast("int")))
 
@@ -52,7 +52,7 @@ def _linear(spark, sf):
     from riskframe.plans.q_models import MODEL_FEATURES, _encoded, model_for
     m = model_for(spark, sf, "logreg", False)
     coefs = list(m.bases[0].coefficients.toArray())
-    te = _encoded(spark, sf, "test")
+    te = _encoded(spark, sf)
     tr = _encoded(spark, sf, "train")
     return linear_attribution(te, MODEL_FEATURES, coefs, LOAN_KEY, background=tr), dict(zip(MODEL_FEATURES, coefs))
 
@@ -66,7 +66,7 @@ def q_linear_attribution(spark, sf):
 def q_sampled_shapley(spark, sf):
     from riskframe.plans.q_models import MODEL_FEATURES, _encoded, model_for
     m = model_for(spark, sf, "logreg", True)
-    rows = hash_sample(_encoded(spark, sf, "test"), LOAN_KEY, SHAPLEY_ROWS)
+    rows = hash_sample(_encoded(spark, sf), LOAN_KEY, SHAPLEY_ROWS)
     bg = hash_sample(_encoded(spark, sf, "train"), LOAN_KEY, SHAPLEY_BACKGROUND, seed=7)
     res = sampled_shapley(rows, bg, MODEL_FEATURES, LOAN_KEY, lambda z: m.score(z, out="pd"),
                           n_permutations=SHAPLEY_PERMUTATIONS)
@@ -81,7 +81,7 @@ def q_global_importance(spark, sf):
 def _diverse_sql() -> str:
     order_keys = ", ".join(f"{k} ASC" for k in LOAN_KEY)
     return with_loans(
-        "te AS (SELECT * FROM loans WHERE split = 'test')",
+        "te AS (SELECT * FROM loans)",
         f"lo AS (SELECT {KEYS_SQL}, p, 'low' AS example FROM te ORDER BY p ASC, {order_keys} LIMIT {N_EXAMPLES // 3})",
         f"hi AS (SELECT {KEYS_SQL}, p, 'high' AS example FROM te ORDER BY p DESC, {order_keys} LIMIT {N_EXAMPLES // 3})",
         f"""mid AS (SELECT {KEYS_SQL}, p, 'median' AS example FROM te ORDER BY ABS(p - (SELECT MEDIAN(p) FROM te)) ASC, {order_keys}
@@ -91,14 +91,14 @@ def _diverse_sql() -> str:
 
 @register("diverse_examples", _diverse_sql())
 def q_diverse_examples(spark, sf):
-    te = loans(spark, sf).where(split_filter("test")).select(*LOAN_KEY, "p")
+    te = loans(spark, sf).select(*LOAN_KEY, "p")
     return out(pick_diverse_examples(te, "p", LOAN_KEY, N_EXAMPLES))
 
 
 @register("local_examples")
 def q_local_examples(spark, sf):
     attr, _ = _linear(spark, sf)
-    te = loans(spark, sf).where(split_filter("test")).select(*LOAN_KEY, "p")
+    te = loans(spark, sf).select(*LOAN_KEY, "p")
     ex = pick_diverse_examples(te, "p", LOAN_KEY, N_EXAMPLES)
     return out(local_examples(attr, ex, LOAN_KEY, "p"))
 
@@ -205,19 +205,19 @@ def _scorecard_sql() -> str:
     pd_sql = f"1.0 / (1.0 + EXP(-({z})))"
     dec = "CASE WHEN pd IS NULL OR isnan(pd) THEN 'Manual Review' WHEN pd >= 0.3 THEN 'Decline' WHEN pd < 0.1 THEN 'Approve' ELSE 'Manual Review' END"
     return _recursive(with_loans(
-        GAPS_CTE, *woe_ctes(), f"enc AS (SELECT {', '.join('t.' + k for k in LOAN_KEY)}, {transform_select('t')} FROM gaps t WHERE t.split = 'test')",
+        GAPS_CTE, *woe_ctes(), f"enc AS (SELECT {', '.join('t.' + k for k in LOAN_KEY)}, {transform_select('t')} FROM gaps t)",
         f"sc AS (SELECT {KEYS_SQL}, {pd_sql} AS pd FROM enc)",
         body=f"SELECT {KEYS_SQL}, {r6('pd', 'pd')}, {risk_band_sql('pd')} AS risk_band, {dec} AS decision FROM sc"))
 
 
 @register("scorecard_decisions", _scorecard_sql())
 def q_scorecard_decisions(spark, sf):
-    """M9 with a fixed scorecard: WOE encode -> linear logit -> band -> decision, for every test row."""
+    """M9 with a fixed scorecard: WOE encode -> linear logit -> band -> decision, for every row."""
     from riskframe.operators.decisions import assign_decision, assign_risk_band
     from riskframe.plans.q_woe import CAT, NUM, fitted
     from riskframe.plans.scoring import scorecard
     from riskframe.sources.tables import loans_with_gaps
-    te = loans_with_gaps(spark, sf).where(split_filter("test")).select(*LOAN_KEY, *NUM, *CAT)
+    te = loans_with_gaps(spark, sf).select(*LOAN_KEY, *NUM, *CAT)
     enc = fitted(spark, sf).transform(te)
     sc = scorecard(enc, {c: SCORECARD_COEF for c in NUM + CAT}, SCORECARD_INTERCEPT)
     res = assign_decision(assign_risk_band(sc, "pd"), "pd")

@@ -134,10 +134,10 @@ def q_woe_categorical(spark, sf):
 
 @register("woe_transform", _recursive(with_loans(GAPS_CTE, *woe_ctes(), body=f"""SELECT {", ".join("t." + k for k in LOAN_KEY)}, t.y,
   {transform_select('t')}
-FROM gaps t WHERE t.split = 'test'""")).replace(" AS l_quantity,", " AS l_quantity,", 1))
+FROM gaps t""")).replace(" AS l_quantity,", " AS l_quantity,", 1))
 def q_woe_transform(spark, sf):
     m = fitted(spark, sf)
-    te = loans_with_gaps(spark, sf).where(split_filter("test")).select(*LOAN_KEY, "y", *NUM, *CAT)
+    te = loans_with_gaps(spark, sf).select(*LOAN_KEY, "y", *NUM, *CAT)
     return out(m.transform(te))
 
 

@@ -26,8 +26,9 @@ from riskframe.operators.decisions import decision_metrics, find_optimal_thresho
 from riskframe.operators.drift import calculate_psi, psi_report, variable_psi
 from riskframe.operators.impute import ImputerState, fit_imputer, impute
 from riskframe.operators.loss import el_with_assumptions
-from riskframe.operators.metrics import compare_models, threshold_table
+from riskframe.operators.metrics import compare_models, evaluate_all, threshold_table
 from riskframe.operators.models import CalibratedModel, ModelSpec, fit_model, pick_best
+from riskframe.operators.quality import run_all_checks
 from riskframe.operators.reports import metrics_report
 from riskframe.operators.selection import select_features
 from riskframe.operators.split import split_label, stratified_split
@@ -88,15 +89,35 @@ def prepare_data(df: DataFrame, cfg: RiskConfig, keys: Sequence[str]) -> tuple[D
             lab.where(F.col("__part") == "test").drop("__part"), None)
 
 
+@dataclass
+class Prepared:
+    """P10: parts with missing values filled by the imputer fitted on the training part, and the data checks."""
+
+    train: DataFrame
+    test: DataFrame
+    oot: DataFrame | None
+    imputer: ImputerState
+    checks: DataFrame
+
+
+def prepare_and_impute(df: DataFrame, cfg: RiskConfig, keys: Sequence[str], strict: bool = False) -> Prepared:
+    """P10 in full: checks, split, imputer fitted on train and applied to every part.
+
+    ``strict`` raises if a check fails; otherwise the check rows are part of the result."""
+    checks = run_all_checks(df, cfg.target, cfg.date_column or "", cfg.forbidden_columns, strict=strict)
+    train, test, oot = prepare_data(df, cfg, keys)
+    feats = [c for c in feature_columns(df, cfg.target, cfg.date_column, cfg.forbidden_columns) if c not in keys]
+    imputer = fit_imputer(train.select(*feats))
+    return Prepared(impute(train, imputer), impute(test, imputer), None if oot is None else impute(oot, imputer), imputer, checks)
+
+
 def run_training(spark: SparkSession, df: DataFrame, cfg: RiskConfig, keys: Sequence[str],
                  artifacts_dir: str | None = None) -> RunResult:
     target = cfg.target
-    train, test, _ = prepare_data(df, cfg, keys)
+    ready = prepare_and_impute(df, cfg, keys)
+    train, test, oot, imputer = ready.train, ready.test, ready.oot, ready.imputer
     feats = [c for c in feature_columns(df, target, cfg.date_column, cfg.forbidden_columns) if c not in keys]
 
-    imputer = fit_imputer(train.select(*feats))
-    train, test = impute(train, imputer), impute(test, imputer)
-
     encoder = WoeEncoder(cfg.n_bins, cfg.min_bin_size).fit(train.select(*feats, target), feats, target)
     train_woe = reliable_checkpoint(encoder.transform(train.select(*keys, *feats, target)))
     test_woe = encoder.transform(test.select(*keys, *feats, target))
@@ -121,11 +142,11 @@ def run_training(spark: SparkSession, df: DataFrame, cfg: RiskConfig, keys: Sequ
         return frame
 
     val_metrics = compare_models(score_all(val_part), target, names, n_bins=cfg.calibration_bins)
-    test_scored = score_all(test_woe)
+    test_scored = reliable_checkpoint(score_all(test_woe))
     test_metrics = compare_models(test_scored, target, names, n_bins=cfg.calibration_bins)
     best = pick_best(test_metrics, "model", names).first()["model"]
 
-    train_scored = models[best].score(train_woe, out="score")
+    train_scored = reliable_checkpoint(models[best].score(train_woe, out="score"))
     test_best = test_scored.withColumn("score", F.col(best))
     psi = calculate_psi(train_scored, test_best, "score", cfg.psi_buckets)
     dec = decision_metrics(test_best, target, "score", cfg.low_threshold, cfg.high_threshold)
@@ -134,10 +155,14 @@ def run_training(spark: SparkSession, df: DataFrame, cfg: RiskConfig, keys: Sequ
                                  cfg.optimal_max_bad_rate)
     el = el_with_assumptions(test_best, "score", cfg.ead_default, cfg.lgd_default)
 
-    # Drift report: train vs test; the test part doubles as OOT when there is none (as in the reference).
+    # Drift report: train vs test vs OOT; the test part doubles as OOT when none is configured.
+    oot_best = test_best
+    if oot is not None:
+        oot_woe = encoder.transform(oot.select(*keys, *feats, target))
+        oot_best = reliable_checkpoint(models[best].score(oot_woe, out="score"))
     labelled = (train_scored.select("score", F.lit("train").alias("split"))
                 .unionByName(test_best.select("score", F.lit("test").alias("split")))
-                .unionByName(test_best.select("score", F.lit("oot").alias("split"))))
+                .unionByName(oot_best.select("score", F.lit("oot").alias("split"))))
     detail = psi_report(labelled, "score", "split", cfg.psi_buckets)
     var_psi = variable_psi(train_woe, test_woe, selected, cfg.psi_buckets)
 
@@ -149,7 +174,10 @@ def run_training(spark: SparkSession, df: DataFrame, cfg: RiskConfig, keys: Sequ
         attr = linear_attribution(test_woe, selected, coefs, keys, background=train_woe)
         ranks = rank_comparison(global_importance(attr), dict(zip(selected, coefs)))
 
-    report = metrics_report({"test": test_metrics.where(F.col("model") == best).drop("model"),
+    oot_metrics = {}
+    if oot is not None:
+        oot_metrics["oot"] = evaluate_all(oot_best, target, "score", n_bins=cfg.calibration_bins)
+    report = metrics_report({**oot_metrics, "test": test_metrics.where(F.col("model") == best).drop("model"),
                              "validation": val_metrics.where(F.col("model") == best).drop("model"),
                              "psi": psi.select("psi"), "decision": dec, "expected_loss": el}, model=best)
     res = RunResult(imputer, encoder, selected, iv, models, best, test_metrics, val_metrics, psi, dec, thr, opt, el,
@@ -164,13 +192,14 @@ def save_artifacts(res: RunResult, root: str) -> dict[str, str]:
     from riskframe.sources.io import save_json_table, save_table
     paths = {
         "metrics_report": f"{root}/metrics_report", "decision_thresholds": f"{root}/decision_thresholds",
-        "psi_report": f"{root}/monitoring/psi_report", "iv_table": f"{root}/iv_table",
+        "psi_report": f"{root}/monitoring/psi_report", "iv_table": f"{root}/iv_table", "variable_psi": f"{root}/monitoring/variable_psi",
         "woe_encoder": f"{root}/woe_encoder", "best_model": f"{root}/best_model",
     }
     save_json_table(res.report, paths["metrics_report"])
     save_table(res.thresholds.orderBy("threshold"), paths["decision_thresholds"], fmt="csv", single_file=True)
     save_json_table(res.psi_detail, paths["psi_report"])
     save_json_table(res.iv_table, paths["iv_table"])
+    save_json_table(res.variable_psi, paths["variable_psi"])
     res.encoder.save(paths["woe_encoder"])
     res.models[res.best_model].save(paths["best_model"])
     return paths
