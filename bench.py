@@ -20,7 +20,7 @@ HEADLINE = [
     "decision_metrics", "threshold_table", "segment_analysis", "run_all_checks", "impute_apply",
     "woe_numeric", "woe_transform", "iv_table", "evaluate_all", "compare_models",
     "el_by_decision", "el_sensitivity", "psi_report", "psi_variables", "psi_by_period",
-    "correlation_pairs", "top_drivers", "calibrated_scores",
+    "correlation_pairs", "top_drivers", "calibrated_scores", "training_run", "rf_scores", "cv_metrics", "psi_stream",
 ]
 
 

@@ -17,6 +17,7 @@ O(features x edges) numbers instead of one job per try.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.exprs import melt
 from riskframe.session import persist
 
-EDGE_DIGITS = 9  # interior edges are rounded so equal data values land in the same bin on every engine
+EDGE_DIGITS = 9  # interior edges are rounded (tiny features: by their scale) so equal values land in the same bin on every engine
 
 
 def clean_double(c: str) -> F.Column:
@@ -44,7 +45,9 @@ def dedupe_edges(values: Sequence[float | None]) -> list[float]:
     if not vals:
         return []
     first, last = vals[0], vals[-1]
-    inner = [round(v, EDGE_DIGITS) for v in vals[1:-1]]
+    scale = max(abs(first), abs(last))
+    digits = EDGE_DIGITS if scale >= 1e-3 or scale == 0 else EDGE_DIGITS + math.ceil(-math.log10(scale))
+    inner = [min(max(round(v, digits), first), last) for v in vals[1:-1]]
     return sorted(set([first, *inner, last]))
 
 

@@ -142,7 +142,7 @@ class WoeModel:
 
     # The encoder is its bins table plus a one-line JSON of parameters.
     def save(self, path: str) -> None:
-        self.bins.coalesce(1).write.mode("overwrite").parquet(f"{path}/bins")
+        self.bins.write.mode("overwrite").parquet(f"{path}/bins")
         meta = {"global_good": self.global_good, "global_bad": self.global_bad,
                 "handle_unknown": self.handle_unknown, "params": self.params,
                 "numeric": list(self.numeric_edges), "categorical": self.categorical}

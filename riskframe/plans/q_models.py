@@ -32,7 +32,7 @@ def _encoded(spark, sf, part: str | None = None):
 
 
 def model_for(spark, sf, name: str, calibrate: bool = True):
-    key = (id(spark), sf, name, calibrate)
+    key = (spark.sparkContext.applicationId, sf, name, calibrate)
     if key not in _CACHE:
         _CACHE[key] = fit_model(_encoded(spark, sf, "train"), MODEL_FEATURES, "y", SPECS[name], calibrate=calibrate,
                                 keys=LOAN_KEY)

@@ -27,7 +27,7 @@ _MODEL_CACHE: dict = {}
 
 def fitted(spark, sf):
     """The encoder of the registered WOE queries, fitted once per (session, sf) on the train split."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _MODEL_CACHE:
         _MODEL_CACHE[key] = WoeEncoder(N_BINS, MIN_BIN).fit(_train(spark, sf).select(*NUM, *CAT, "y"), NUM + CAT, "y")
     return _MODEL_CACHE[key]

@@ -73,3 +73,9 @@ def test_out_of_time_rows_are_the_configured_ones(spark):
     n = {r.comparison: r.n_actual for r in res.psi_detail.collect()}
     assert n["score_psi_oot_vs_test"] == n_oot != n["score_psi_test_vs_train"]
     assert "oot" in {r.section for r in res.report.select("section").distinct().collect()}
+
+
+def test_edges_of_tiny_features_stay_inside_their_range():
+    from riskframe.operators.binning import dedupe_edges
+    assert dedupe_edges([1e-10, 3e-10, 5.5e-10, 9e-10]) == [1e-10, 3e-10, 5.5e-10, 9e-10]
+    assert dedupe_edges([0.5, 0.50000000001, 0.9]) == [0.5, 0.9]
