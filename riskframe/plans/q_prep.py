@@ -107,6 +107,28 @@ def q_impute_apply(spark, sf):
         F.count_if(F.col("l_discount").isNull() | F.col("l_tax").isNull()).alias("n_missing")))
 
 
+def _with_nan(spark, sf):
+    """Loans with NaN (not NULL) in place of a zero discount and tax."""
+    l = loans(spark, sf)
+    return l.select(*[F.when(F.col(c) == 0, F.lit(float("nan"))).otherwise(F.col(c)).alias(c) for c in ("l_discount", "l_tax")])
+
+
+@register("missingness_nan", with_loans(body=f"""SELECT 'l_discount' AS column_name,
+  {r6("AVG(CASE WHEN l_discount = 0 THEN 1.0 ELSE 0.0 END)", "missing_rate")} FROM loans
+UNION ALL SELECT 'l_tax', {r6("AVG(CASE WHEN l_tax = 0 THEN 1.0 ELSE 0.0 END)", "missing_rate")} FROM loans"""))
+def q_missingness_nan(spark, sf):
+    return out(missing_rates(_with_nan(spark, sf)).select("column_name", "missing_rate"))
+
+
+@register("impute_nan", with_loans("m AS (SELECT MEDIAN(CASE WHEN l_discount <> 0 THEN l_discount END) AS d, MEDIAN(CASE WHEN l_tax <> 0 THEN l_tax END) AS t FROM loans)",
+    body=f"""SELECT {r6("SUM(CASE WHEN l_discount = 0 THEN d ELSE l_discount END)", "sum_discount")},
+  {r6("SUM(CASE WHEN l_tax = 0 THEN t ELSE l_tax END)", "sum_tax")}, CAST(COUNT(*) AS BIGINT) AS n FROM loans, m"""))
+def q_impute_nan(spark, sf):
+    df = _with_nan(spark, sf)
+    return out(impute(df, fit_imputer(df)).agg(F.sum("l_discount").alias("sum_discount"), F.sum("l_tax").alias("sum_tax"),
+                                               F.count(F.lit(1)).alias("n")))
+
+
 MISSING_THR = 0.1
 
 
@@ -142,12 +164,15 @@ def q_check_target_values(spark, sf):
     return a.unionByName(b)
 
 
-@register("check_numeric_ranges", """SELECT 'c_custkey' AS column_name, CAST(SUM(CASE WHEN c_custkey < 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_negative,
+@register("check_numeric_ranges", """SELECT 'c_custkey' AS column_name, CAST(COUNT(*) FILTER (c_custkey < 0) AS BIGINT) AS n_negative,
   FALSE AS keyword_match, FALSE AS flagged FROM customer
-UNION ALL SELECT 'c_nationkey', CAST(SUM(CASE WHEN c_nationkey < 0 THEN 1 ELSE 0 END) AS BIGINT), FALSE, FALSE FROM customer
-UNION ALL SELECT 'c_acctbal', CAST(SUM(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS BIGINT), FALSE, FALSE FROM customer""")
+UNION ALL SELECT 'account_balance', CAST(COUNT(*) FILTER (c_acctbal < 0) AS BIGINT), TRUE, COUNT(*) FILTER (c_acctbal < 0) > 0 FROM customer
+UNION ALL SELECT 'Credit_Limit', CAST(COUNT(*) FILTER (c_acctbal < -2000) AS BIGINT), TRUE, COUNT(*) FILTER (c_acctbal < -2000) > 0 FROM customer
+UNION ALL SELECT 'c_acctbal', CAST(COUNT(*) FILTER (c_acctbal < 0) AS BIGINT), FALSE, FALSE FROM customer""")
 def q_check_numeric_ranges(spark, sf):
-    return negative_values(read_table(spark, sf, "customer"))
+    c = read_table(spark, sf, "customer")
+    return negative_values(c.select("c_custkey", F.col("c_acctbal").alias("account_balance"),
+                                    (F.col("c_acctbal") + 2000).alias("Credit_Limit"), "c_acctbal"))
 
 
 @register("check_constant_categories", with_loans(body="""SELECT 'l_linestatus' AS column_name, MIN(l_linestatus) = MAX(l_linestatus) AS is_constant FROM loans WHERE l_returnflag = 'A'
