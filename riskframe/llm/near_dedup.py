@@ -16,8 +16,8 @@ No bucket is expanded into all its pairs:
    links are joined into components, and members of one component
    are not compared again. This dissolves tight groups of any size in linear work.
 3. What is left are buckets with several components. Those of up to FEW members list their pairs of
-   different components that were not compared yet. Nodes of larger ones are put into blocks of about BLOCK;
-   two blocks that meet in some bucket are compared once, in one task: numpy computes all estimates
+   different components that were not compared yet. Nodes that larger ones connect are dealt to blocks of about
+   BLOCK; two blocks that meet in some bucket are compared once, in one task: numpy computes all estimates
    between different components at once, likely pairs are verified on the spot, and one link for each
    pair of components is returned. So every pair of different components that shares a band is compared: no cap,
    no lost connection, and no row per pair.
@@ -114,20 +114,21 @@ def _block_pairs(pct: int):
         hasher = WordHasher()
         for batch in batches:
             links = []
-            for row in batch.to_pylist():
-                x, y = row["x"], row["y"]
-                xr, yr = (np.frombuffer(b"".join(m["regs"] for m in z), np.uint16).reshape(-1, REGISTERS) for z in (x, y))
-                (xc, xn), (yc, yn) = ([np.array([m[k] for m in z]) for k in ("comp", "n")] for z in (x, y))
-                sets: dict[int, np.ndarray] = {}
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                x = row["x"]
+                y = x if row["y"] is None else row["y"]
+                sets = {m["node"]: hasher.shingles(m["text"]) for m in (x if y is x else x + y)}
+                xr, yr = (np.stack([registers(sets[m["node"]]) for m in z]) for z in (x, y))
+                (xc, xn), (yc, yn) = ((np.array([m["comp"] for m in z]), np.array([len(sets[m["node"]]) for m in z])) for z in (x, y))
                 done = set()
                 for i in range(len(x)):
                     keep = likely(((yr == xr[i]) & (yr > 0)).sum(1), ((yr > 0) | (xr[i] > 0)).sum(1), xn[i], yn, pct) & (yc != xc[i])
+                    if y is x:
+                        keep[: i + 1] = False
                     for j in np.flatnonzero(keep).tolist():
                         if (xc[i], yc[j]) in done or (yc[j], xc[i]) in done:
                             continue
-                        for m in (x[i], y[j]):
-                            if m["node"] not in sets:
-                                sets[m["node"]] = hasher.shingles(m["text"])
                         if reaches(sets[x[i]["node"]], sets[y[j]["node"]], pct):
                             done.add((xc[i], yc[j]))
                             links.append((x[i]["node"], y[j]["node"]))
@@ -206,7 +207,7 @@ def _linked(src: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     small = x.join(y, "key").filter("x.node < y.node and x.comp <> y.comp").select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     more = reliable_checkpoint(_verify(src, _likely_pairs(nodes, small, percent), percent).union(
-        _large(src, nodes, members.filter(F.col("size") > FEW), percent)))
+        _large(src, members.filter(F.col("size") > FEW), percent)))
     return comps if more.isEmpty() else components(links.union(more))
 
 
@@ -232,22 +233,26 @@ def _verify(src: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.groupBy("cell").cogroup(sent.groupBy("of_cell")).applyInArrow(_verified(percent), "a long, b long").distinct()
 
 
-def _large(src: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _large(src: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Links between different components in large buckets, from block against block.
 
-    A node is in one block, of its largest bucket. Two blocks are compared once if some bucket has members of both."""
-    home = members.groupBy("node", "comp").agg(F.max_by("key", F.struct("size", "key")).alias("home"))
-    sizes = home.groupBy("home").agg(F.count(F.lit(1)).alias("c"))
+    Nodes that large buckets connect are one family; a family is dealt to blocks of about BLOCK nodes, so most
+    families are one block. Two blocks are compared once if some bucket has members of both."""
+    lead = members.groupBy("key").agg(F.min("node").alias("lead"))
+    family = components(members.join(lead, "key").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
+    sizes = family.groupBy("comp").agg(F.count(F.lit(1)).alias("c"))
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / BLOCK))
-    home = reliable_checkpoint(home.join(sizes, "home").select("node", "comp", F.xxhash64("home", salt).alias("block")))
+    home = family.join(sizes, "comp").select("node", F.xxhash64("comp", salt).alias("block"))
+    home = reliable_checkpoint(home.join(members.select("node", "comp").distinct(), "node"))
     texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), home, "node", home.count())
-    blocks = reliable_checkpoint(home.join(nodes, "node").join(texts, "node").groupBy("block").agg(
-        F.collect_list(F.struct("node", "comp", "n", "regs", "text")).alias("members")))
-    held = members.select("key", "node").join(home, "node").select("key", "block").distinct()
+    blocks = reliable_checkpoint(home.join(texts, "node").groupBy("block").agg(
+        F.collect_list(F.struct("node", "comp", "text")).alias("members")))
+    held = members.select("key", "node").join(home.select("node", "block"), "node").select("key", "block").distinct()
     pairs = held.withColumnRenamed("block", "bx").join(held.withColumnRenamed("block", "by"), "key").filter("bx <= by").select("bx", "by").distinct()
-    both = pairs.join(blocks.select(F.col("block").alias("bx"), F.col("members").alias("x")), "bx").join(
-        blocks.select(F.col("block").alias("by"), F.col("members").alias("y")), "by")
-    return both.select("x", "y").mapInArrow(_block_pairs(percent), "a long, b long")
+    x, y = (blocks.select(F.col("block").alias(f"b{z}"), F.col("members").alias(z)) for z in "xy")
+    alone = pairs.filter("bx = by").join(x, "bx").select("x", F.lit(None).cast(blocks.schema["members"].dataType).alias("y"))
+    both = pairs.filter("bx < by").join(x, "bx").join(y, "by").select("x", "y")
+    return alone.unionByName(both).mapInArrow(_block_pairs(percent), "a long, b long")
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
