@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.split import hash_fraction
 
-MAX_BACKGROUND = 10_000  # rows of the broadcast background sample
+BACKGROUND_RANGE = 5_000  # background rows that one window numbers, about
 
 # Risk labels of the local example table.
 LOW_RISK_PD = 0.1
@@ -52,9 +52,22 @@ def hash_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42, popu
     return h.orderBy("__h").limit(n).drop("__h")
 
 
+def _numbered(rows: DataFrame, features: Sequence[str], seed: int, ranges: int) -> DataFrame:
+    """``rows`` with ``__b`` = 0, 1, ... in the order of their hash: numbered within hash ranges, after the
+    range's offset (one row per range is brought together)."""
+    h = rows.withColumn("__h", hash_fraction(features, seed))
+    h = h.withColumn("__range", F.least(F.floor(F.col("__h") * ranges), F.lit(ranges - 1)))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = h.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    number = F.row_number().over(Window.partitionBy("__range").orderBy("__h")) - 1
+    return h.withColumn("__i", number).join(offsets, "__range").withColumn(
+        "__b", F.col("__offset") + F.col("__i")).drop("__h", "__range", "__i", "__offset")
+
+
 def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[str], keys: Sequence[str],
                     scorer: Callable[[DataFrame], DataFrame], score_col: str = "pd", n_permutations: int = 8,
-                    seed: int = 42, max_background: int = MAX_BACKGROUND) -> DataFrame:
+                    seed: int = 42, range_rows: int = BACKGROUND_RANGE) -> DataFrame:
     """Permutation-sampled Shapley values of ``scorer`` (a DataFrame -> DataFrame adding ``score_col``).
 
     Output long table (keys..., feature, attribution, f_x, f_background). For every
@@ -64,9 +77,7 @@ def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[s
     n_bg = background.count()
     if n_bg == 0:
         raise ValueError("empty background")
-    if n_bg > max_background:  # the background is broadcast and indexed in one task: its size must be bounded
-        raise ValueError(f"background has {n_bg} rows; pass a sample of at most {max_background} (hash_sample)")
-    bg = background.select(*feats).withColumn("__b", F.row_number().over(Window.orderBy(hash_fraction(feats, seed))) - 1)
+    bg = _numbered(background.select(*feats), feats, seed, max(1, n_bg // range_rows))
     perms = F.sequence(F.lit(0), F.lit(n_permutations - 1))
     ex = (rows.select(*keys, *[F.col(c).alias(f"__x_{c}") for c in feats])
           .withColumn("__perm", F.explode(perms))
@@ -75,7 +86,7 @@ def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[s
     order = F.array(*[F.struct(F.xxhash64(*[F.col(k) for k in keys], F.col("__perm"), F.lit(i), F.lit(seed)).alias("h"),
                                F.lit(i).alias("i")) for i in range(p)])
     ex = ex.withColumn("__order", F.transform(F.array_sort(order), lambda s: s["i"]))
-    joined = ex.join(F.broadcast(bg), ex["__bidx"] == bg["__b"], "inner")
+    joined = ex.join(bg, ex["__bidx"] == bg["__b"], "inner")
     chain = joined.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(p))))
     # Feature i comes from x when its position in the permutation is < k.
     hybrid = [F.when(F.array_position(F.col("__order"), F.lit(i)) - 1 < F.col("__k"), F.col(f"__x_{c}"))
