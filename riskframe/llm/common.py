@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.session import reliable_checkpoint
+
 # Fixed values of the query contracts: white space, and its complement as a word.
 WHITE = " \t\n\x0b\x0c\r"
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -13,6 +15,17 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 BROADCAST_IDS = 1_000_000
 
 
+#: Rows of a slim table that one task of the next step reads, about.
+SLIM_ROWS = 200_000
+
+
+def slim_checkpoint(df: DataFrame) -> DataFrame:
+    """Checkpoint of a slim table, read back in as many partitions as its rows need, so that steps of a
+    loop do not write a set of shuffle files for every nearly empty partition."""
+    kept = reliable_checkpoint(df)
+    return kept.coalesce(max(1, -(-kept.count() // SLIM_ROWS)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

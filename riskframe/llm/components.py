@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.session import reliable_checkpoint
+from riskframe.llm.common import slim_checkpoint
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,8 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     its label (pointer jumping), so chains shorten by halves. Rounds are cut by checkpoint().
     """
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct()
-    both = reliable_checkpoint(both)
-    labels = reliable_checkpoint(both.groupBy(F.col("a").alias("node")).agg(
+    both = slim_checkpoint(both)
+    labels = slim_checkpoint(both.groupBy(F.col("a").alias("node")).agg(
         F.least(F.min("b"), F.first("a")).alias("comp")))
     while True:
         heard = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(
@@ -24,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
         step = labels.join(heard, "node").select("node", F.least("comp", "heard").alias("to"), F.col("comp").alias("was"))
         jump = labels.select(F.col("node").alias("to"), F.col("comp").alias("further"))
         step = step.join(jump, "to").select("node", F.least("to", "further").alias("comp"), "was")
-        step = reliable_checkpoint(step)
+        step = slim_checkpoint(step)
         if step.filter("comp <> was").isEmpty():
             return step.select("node", "comp")
         labels = step.select("node", "comp")

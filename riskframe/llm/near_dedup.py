@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import rows_with_ids
+from riskframe.llm.common import rows_with_ids, slim_checkpoint
 from riskframe.llm.components import components
 from riskframe.llm.shingles import WordHasher
 from riskframe.session import reliable_checkpoint
@@ -186,27 +186,27 @@ def _linked(src: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         chunk(b) != F.lit(bytes(width)), F.xxhash64(b, chunk(b))))
     bands = nodes.select("node", F.explode(keys).alias("key")).filter("key is not null")
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    open_ = reliable_checkpoint(bands.join(sizes, "key").withColumn("comp", F.col("node")))
+    open_ = slim_checkpoint(bands.join(sizes, "key").withColumn("comp", F.col("node")))
     # sketches of the nodes that share a bucket with another one
     nodes = reliable_checkpoint(nodes.join(open_.select("node").distinct(), "node"))
 
     order = F.col("node").bitwiseXOR(F.xxhash64("key"))
     lead = open_.groupBy("key").agg(F.min_by("node", order).alias("lead"))
-    first = reliable_checkpoint(open_.join(lead, "key").filter("node <> lead").select(
+    first = slim_checkpoint(open_.join(lead, "key").filter("node <> lead").select(
         F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
-    links = reliable_checkpoint(_verify(src, _likely_pairs(nodes, first, percent), percent))
+    links = slim_checkpoint(_verify(src, _likely_pairs(nodes, first, percent), percent))
     comps = components(links)
 
     # members of the buckets of three and more that still hold several components
     members = open_.filter("size > 2").drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     several = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    members = reliable_checkpoint(members.join(several, "key").select("key", "node", "size", "comp"))
+    members = slim_checkpoint(members.join(several, "key").select("key", "node", "size", "comp"))
     if members.isEmpty():
         return comps
     x, y = members.filter(F.col("size") <= FEW).alias("x"), members.alias("y")
     small = x.join(y, "key").filter("x.node < y.node and x.comp <> y.comp").select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = reliable_checkpoint(_verify(src, _likely_pairs(nodes, small, percent), percent).union(
+    more = slim_checkpoint(_verify(src, _likely_pairs(nodes, small, percent), percent).union(
         _large(src, members.filter(F.col("size") > FEW), percent)))
     return comps if more.isEmpty() else components(links.union(more))
 
@@ -221,8 +221,8 @@ def _likely_pairs(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame
 def _verify(src: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Links among ``pairs``. Nodes are dealt to blocks of about BLOCK by hash; the pairs of two blocks are one cell, and
     a text goes once to each cell that needs it, however many pairs it has there."""
-    pairs = reliable_checkpoint(pairs)
-    ids = reliable_checkpoint(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    pairs = slim_checkpoint(pairs)
+    ids = slim_checkpoint(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     n_ids = ids.count()
     blocks = max(1, -(-n_ids // BLOCK))
     part = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
@@ -243,7 +243,7 @@ def _large(src: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     sizes = family.groupBy("comp").agg(F.count(F.lit(1)).alias("c"))
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / BLOCK))
     home = family.join(sizes, "comp").select("node", F.xxhash64("comp", salt).alias("block"))
-    home = reliable_checkpoint(home.join(members.select("node", "comp").distinct(), "node"))
+    home = slim_checkpoint(home.join(members.select("node", "comp").distinct(), "node"))
     texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), home, "node", home.count())
     blocks = reliable_checkpoint(home.join(texts, "node").groupBy("block").agg(
         F.collect_list(F.struct("node", "comp", "text")).alias("members")))

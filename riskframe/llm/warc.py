@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskframe.llm.common import rows_with_ids
+from riskframe.llm.common import rows_with_ids, slim_checkpoint
 from riskframe.session import ensure_checkpoint_dir, reliable_checkpoint
 
 # Fixed values of the format.
@@ -101,11 +101,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"), F.octet_length("value").cast("long").alias("bytes"),
         F.when(head_end > 0, F.substring("value", F.lit(1), head_end - 1)).alias("header"))
-    slim = reliable_checkpoint(slim.withColumn("content", _content_length("header")))
+    slim = slim_checkpoint(slim.withColumn("content", _content_length("header")))
     pieces = _with_offsets(slim)
     size = len(MAGIC)
     follows = F.when(F.col("content").isNotNull(), F.col("offset") + size + F.octet_length("header") + 2 * len(RECORD_END) + F.col("content"))
-    pieces = reliable_checkpoint(pieces.select("file", "block", "seq", "offset", "bytes", "header", follows.alias("next")))
+    pieces = slim_checkpoint(pieces.select("file", "block", "seq", "offset", "bytes", "header", follows.alias("next")))
     starts = _reachable(pieces.select("file", "offset", "next"))
 
     at = pieces.join(starts.withColumn("start", F.col("offset")), ["file", "offset"], "left")
@@ -116,12 +116,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     last = last.withColumn("open", F.last("last", True).over(
         Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))).drop("last")
     at = at.join(last, ["file", "block"]).select("seq", "file", "offset", F.coalesce("within", "open").alias("record"))
-    owned = reliable_checkpoint(at.filter("record is not null"))
+    owned = slim_checkpoint(at.filter("record is not null"))
 
     # Nearly all records are one piece and pass where they are read; only the pieces of others are grouped.
     many = owned.groupBy("file", "record").agg(F.count(F.lit(1)).alias("pieces")).filter("pieces > 1")
-    parts = reliable_checkpoint(owned.join(many, ["file", "record"]).select("seq", "record", "offset"))
-    skip = reliable_checkpoint(slim.select("seq").join(owned.select("seq"), "seq", "left_anti").union(parts.select("seq")))
+    parts = slim_checkpoint(owned.join(many, ["file", "record"]).select("seq", "record", "offset"))
+    skip = slim_checkpoint(slim.select("seq").join(owned.select("seq"), "seq", "left_anti").union(parts.select("seq")))
     single = rows_with_ids(raw, skip, "seq", skip.count(), "left_anti").select("file", F.col("piece").alias("raw"))
     some = rows_with_ids(raw, parts, "seq", parts.count())
     joined = some.join(parts, "seq").groupBy("file", "record").agg(
@@ -155,19 +155,19 @@ def _with_offsets(slim: DataFrame) -> DataFrame:
 def _reachable(candidates: DataFrame) -> DataFrame:
     """(file, offset) of the candidates on the chain of successors that starts at offset 0 of each file."""
     known = candidates.select("file", "offset")
-    jump = reliable_checkpoint(candidates.filter("next is not null").join(
+    jump = slim_checkpoint(candidates.filter("next is not null").join(
         known.withColumnRenamed("offset", "next"), ["file", "next"]).select("file", "offset", "next"))
-    reached = reliable_checkpoint(known.filter("offset = 0"))
+    reached = slim_checkpoint(known.filter("offset = 0"))
     n = reached.count()
     while True:
         further = reached.join(jump, ["file", "offset"]).select("file", F.col("next").alias("offset"))
-        reached = reliable_checkpoint(reached.union(further).distinct())
+        reached = slim_checkpoint(reached.union(further).distinct())
         total = reached.count()
         if total == n:
             return reached
         n = total
         to = jump.select("file", F.col("offset").alias("next"), F.col("next").alias("far"))
-        jump = reliable_checkpoint(jump.join(to, ["file", "next"]).select("file", "offset", F.col("far").alias("next")))
+        jump = slim_checkpoint(jump.join(to, ["file", "next"]).select("file", "offset", F.col("far").alias("next")))
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
