@@ -1,21 +1,23 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-Model. Every frequent word (at least 1 in HEAVY of the training tokens, so at most HEAVY words) and the start of a text
-is a context with its own restaurant; the customers of all other contexts sit in the root directly. The restaurants share the
-root as parent: a table opened in a context is a customer of the root, whose own base is uniform over
-the V training words and one unknown word.
+Model. Every training word and the start of a text is a context with its own restaurant (words are told apart by 48 bits of
+their hash there). The restaurants share the root as parent: a table opened in a context is a customer of the root,
+whose own base is uniform over the V training words and one unknown word.
 
 Sampling. Given the number of tables of each restaurant, words are independent of each other. So words are the unit of
 distribution: a Gibbs step draws, word by word, the number of tables of each context that serves it (all seatings of its
 customers at once, through generalised Stirling numbers up to EXACT customers, then by seating the rest in small steps),
-then the root's tables; what is exchanged between steps are the table totals of the restaurants: at most
-HEAVY + 3 numbers. Draws are seeded by word bucket and step, so a lost task is repeated identically. After BURN
+then the root's tables; what is exchanged between steps are the table totals of the restaurants. Those of frequent words
+(at least 1 in HEAVY of the training tokens, so at most HEAVY words) go through the driver, with the root customers of
+frequent words; those of all other contexts are summed by hash range of the context and sent back to the
+word buckets that hold it. Draws are seeded by word bucket and step, so a lost task is repeated identically. After BURN
 steps the predictive probabilities of SAMPLES steps are averaged; a text's score is the sum of their logarithms.
 
 Data flow. Tasks turn texts into chunks of token arrays, sorted by word and packed; chunks are written once to the
 shared checkpoint folder. Tail words travel by hash bucket (buckets become more with the tokens); frequent words, which
 would make hot keys, are counted by sums over (word, context) and scored where their chunk is, from a table of
-at most HEAVY^2 numbers. Buckets return one packed array of sums per chunk, not a row per token or document.
+at most HEAVY^2 numbers, if their context is frequent too, and else travel by the hash of the context. Pairs of held-out
+texts alone are held with a count of 0, so that a bucket knows the totals of their contexts. Buckets return one packed array of sums per chunk, not a row per token or document.
 
 Defined results: a null text is the empty text, whose only token is the end. A null id counts as the empty text in the
 fold rule. Rows that repeat an id are scored one by one. Without training rows every token is unknown. Empty table: empty result.
@@ -52,8 +54,11 @@ PART_TOKENS = 4_000_000
 
 END = np.uint64(0x5EED0FE2D0C0FFEE)
 OTHER, START = 0, 1  # context numbers; frequent word i is context i + 2
+#: Numbers from here on are hashes: contexts that are no frequent words.
+TAIL = 1 << 16
 
 CHUNKS = "chunk long, bucket int, payload binary"
+ASKS = "owner int, bucket int, payload binary"
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -75,6 +80,21 @@ def unpack(payload: bytes) -> list[np.ndarray]:
     return out
 
 
+def _thin(a: np.ndarray) -> np.ndarray:
+    """The same numbers (0 or more) in as few bytes as they need."""
+    top = int(a.max()) if len(a) else 0
+    return a.astype(np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
+
+
+def _halves(ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts (below 2^48) as their lower 32 and upper 16 bits."""
+    return (ctx & np.uint64(0xFFFFFFFF)).astype(np.uint32), (ctx >> np.uint64(32)).astype(np.uint16)
+
+
+def _whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
+
+
 def _in_training(doc_id) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % FOLDS != 0
 
@@ -97,6 +117,11 @@ def _local_heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                       pa.array([total, *counts[keep].tolist()], pa.int64())], names=["word", "n"])
 
 
+def _owner(ctx: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket that sums the totals of a context outside the frequent ones."""
+    return ((ctx >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
+
+
 def _chunked(heavy: np.ndarray, buckets: int):
     def flush(docs: list, chunk: int) -> Iterator[tuple]:
         docs = sorted(docs, key=lambda d: not d[1])  # training documents come first
@@ -106,23 +131,24 @@ def _chunked(heavy: np.ndarray, buckets: int):
         doc = np.repeat(np.arange(len(docs), dtype=np.uint32), sizes)
         at = np.minimum(np.searchsorted(heavy, words), max(0, len(heavy) - 1))
         is_heavy = heavy[at] == words if len(heavy) else np.zeros(len(words), bool)
-        ctx = np.empty(len(words), np.uint16)
-        ctx[1:] = np.where(is_heavy[:-1], at[:-1] + 2, OTHER)
+        ctx = np.empty(len(words), np.uint64)
+        ctx[1:] = np.where(is_heavy[:-1], (at[:-1] + 2).astype(np.uint64), np.maximum(words[:-1] >> np.uint64(16), np.uint64(TAIL)))
         ctx[np.cumsum(sizes) - sizes] = START
         ids = np.array([-(2**63) if d[0] is None else d[0] for d in docs], np.int64)
         yield chunk, -2, pack(ids, np.array([d[0] is None for d in docs], np.int32), sizes)
         head = np.array([train, len(docs)], np.int64)
-        yield chunk, -1, pack(head, at[is_heavy].astype(np.uint16), ctx[is_heavy], doc[is_heavy])
-        words, ctx, doc = words[~is_heavy], ctx[~is_heavy], doc[~is_heavy]
-        order = np.argsort(words, kind="stable")
-        words, ctx, doc = words[order], ctx[order], doc[order]
-        bucket = ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        here = is_heavy & (ctx < TAIL)
+        yield chunk, -1, pack(head, at[here].astype(np.uint16), ctx[here].astype(np.uint16), doc[here])
+        bucket = np.where(is_heavy, _owner(ctx, buckets), ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32))
+        words, ctx, doc, bucket = words[~here], ctx[~here], doc[~here], bucket[~here]
+        order = np.lexsort((words, bucket))
+        words, ctx, doc, bucket = words[order], ctx[order], doc[order], bucket[order]
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             part = slice(cuts[k], cuts[k + 1])
             first = np.flatnonzero(np.diff(words[part], prepend=~words[part][:1]))
             runs = np.diff(first, append=cuts[k + 1] - cuts[k]).astype(np.uint32)
-            yield chunk, k, pack(head, words[part][first], runs, ctx[part], doc[part])
+            yield chunk, k, pack(head, words[part][first], _thin(runs), *_halves(ctx[part]), doc[part])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, task = WordHasher(), TaskContext.get().partitionId()
@@ -153,22 +179,21 @@ def _summed(words: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> tuple[np.ndarr
 
 
 def _bucket_counts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Training counts by (word, context) of one bucket, merged chunk by chunk."""
-    held = [np.empty(0, np.uint64), np.empty(0, np.uint16), np.empty(0, np.int64)]
+    """Training counts by (word, context) of one bucket, merged chunk by chunk; 0 for pairs of held-out texts alone."""
+    held = [np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)]
     waiting = [held]
     for payload in table.column("payload").to_pylist():
         arrays = unpack(payload)
-        if len(arrays) == 3:  # counts already
-            waiting.append([*arrays])
+        if len(arrays) == 5:  # counts already
+            waiting.append([np.repeat(arrays[0], arrays[1]), _whole(*arrays[2:4]), arrays[4].astype(np.int64)])
             continue
-        head, words, runs, ctx, doc = arrays
-        train = doc < head[0]
-        words = np.repeat(words, runs)[train]
-        waiting.append(list(_summed(words, ctx[train], np.ones(len(words), np.int64))))
+        head, words, runs, low, high, doc = arrays
+        ctx = _whole(low, high)
+        waiting.append(list(_summed(np.repeat(words, runs), ctx, (doc < head[0]).astype(np.int64))))
         if sum(len(w[0]) for w in waiting[1:]) > 2_000_000:
             waiting = [list(_summed(*[np.concatenate(c) for c in zip(*waiting)]))]
-    out = _summed(*[np.concatenate(c) for c in zip(*waiting)])
-    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "payload": pa.array([pack(*out)], pa.binary())})
+    out = _packed_counts(*_summed(*[np.concatenate(c) for c in zip(*waiting)]))
+    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "payload": pa.array([out], pa.binary())})
 
 
 def stirling(discount: float, top: int) -> np.ndarray:
@@ -211,9 +236,30 @@ def draw_tables(c: np.ndarray, weight: np.ndarray, discount: float, logs: np.nda
 class State:
     """Table totals after a step: of the contexts, of the root, and the root's customers; V and N of the corpus."""
 
-    def __init__(self, tables: np.ndarray, root_tables: float, root_customers: float, contexts: np.ndarray, vocabulary: int, tokens: int):
+    def __init__(self, tables: np.ndarray, root_tables: float, root_customers: float, contexts: np.ndarray, vocabulary: int, tokens: int,
+                 heavy: np.ndarray = np.empty(0, np.uint64), counts: np.ndarray = np.empty(0, np.int64), p: np.ndarray = np.empty(0)):
         self.tables, self.root_tables, self.root_customers = tables, root_tables, root_customers
         self.contexts, self.vocabulary, self.tokens = contexts, vocabulary, tokens
+        self.heavy, self.counts, self.p = heavy, counts, p  # frequent words: hashes, counts, root probabilities
+
+    def wider(self, tables: np.ndarray, customers: np.ndarray) -> State:
+        """With the contexts of a bucket that are no frequent words."""
+        return State(np.concatenate([self.tables, tables]), self.root_tables, self.root_customers,
+                     np.concatenate([self.contexts, customers]), self.vocabulary, self.tokens, self.heavy, self.counts, self.p)
+
+    def frequent(self, words: np.ndarray, values: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """``values`` of frequent words, else ``other``."""
+        if not len(self.heavy):
+            return other
+        at = self.number(words)
+        return np.where(at >= 0, values[at], other)
+
+    def number(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of frequent words; -1 for others."""
+        if not len(self.heavy):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.heavy, words), len(self.heavy) - 1)
+        return np.where(self.heavy[at] == words, at, -1)
 
     def new(self) -> np.ndarray:
         """Weight of the parent in each context."""
@@ -225,7 +271,8 @@ class State:
 
 
 def seat(words: np.ndarray, ctx: np.ndarray, n: np.ndarray, state: State, seed: list[int]):
-    """One Gibbs step over the words of a bucket: tables by entry; by word the root's customers and tables."""
+    """One Gibbs step over the words of a bucket: tables by entry; by word the root's customers and tables.
+    Frequent words have their root probability from the former step; their customers here are part of all."""
     rng = np.random.default_rng(seed)
     first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]])) if len(words) else np.empty(0, np.int64)
     word = np.repeat(np.arange(len(first)), np.diff(first, append=len(words)))
@@ -236,6 +283,7 @@ def seat(words: np.ndarray, ctx: np.ndarray, n: np.ndarray, state: State, seed:
     mine = ctx != OTHER
     t, s, r = np.where(mine, 0, n), total, total
     for _ in range(2):
+        p = state.frequent(words[first], state.p, p)
         t = np.where(mine, 0, n)  # customers of the other contexts are the root's own
         t[mine] = draw_tables(n[mine], state.new()[ctx[mine]] * p[word[mine]], DISCOUNT, own, rng)
         r = np.bincount(word, t, len(first)).astype(np.int64)
@@ -244,22 +292,159 @@ def seat(words: np.ndarray, ctx: np.ndarray, n: np.ndarray, state: State, seed:
     return first, word, total, t, r, s
 
 
-def _totals(states: State, step: int):
-    """Table totals of a bucket after a step, as rows (context, tables): contexts, then -1 root tables, -2 root customers."""
+def _opened(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, contexts and counts of a bucket."""
+    words, runs, low, high, n = unpack(payload)
+    return np.repeat(words, runs), _whole(low, high), n.astype(np.int64)
+
+
+def _numbers(ctx: np.ndarray, own: np.ndarray, width: int) -> np.ndarray:
+    """Numbers of contexts; those of ``own`` have the numbers from ``width`` on."""
+    return np.where(ctx < TAIL, ctx.astype(np.int64), width + np.searchsorted(own, ctx))
+
+
+def _own(ctx: np.ndarray) -> np.ndarray:
+    return np.unique(ctx[ctx >= TAIL])
+
+
+def _asks(bucket: int, own: np.ndarray, buckets: int, *values: np.ndarray) -> Iterator[tuple]:
+    """Rows (owner, bucket, payload): a bucket's part of the totals of its contexts."""
+    cuts = np.searchsorted(_owner(own, buckets), np.arange(buckets + 1))
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
+        part = slice(cuts[k], cuts[k + 1])
+        yield k, bucket, pack(own[part][:1], _thin(np.diff(own[part])), *[_thin(v[part]) for v in values])
+
+
+def _asked(payload: bytes) -> list[np.ndarray]:
+    first, steps, *values = unpack(payload)
+    return [np.cumsum(np.concatenate([first, steps.astype(np.uint64)]), dtype=np.uint64), *[v.astype(np.int64) for v in values]]
+
+
+def _answers(last: bool):
+    """Answers of one owner to each bucket. After a step (0: before the first): its totals of the contexts whose tables vary
+    there; at last, of all contexts: customers, then tables after the steps from BURN - 1 on."""
+    def run(table: pa.Table) -> pa.Table:
+        rows = [(k, b, _asked(x)) for k, b, x in zip(*[table.column(c).to_pylist() for c in ("step", "bucket", "payload")])]
+        full = [(b, x) for k, b, x in rows if k == 0] if last else [(b, x) for _, b, x in rows]
+        ids, at = np.unique(np.concatenate([x[0] for _, x in full]), return_inverse=True)
+        out = []
+        if not last:
+            totals = np.bincount(at, np.concatenate([x[-1] for _, x in full]), len(ids)).astype(np.int64)
+            totals = [totals]
+        else:
+            customers, dishes = [np.bincount(at, np.concatenate([x[i] for _, x in full]), len(ids)).astype(np.int64) for i in (1, 3)]
+            totals = [customers]
+            for step in range(BURN, BURN + SAMPLES + 1):
+                got = [x for k, _, x in rows if k == step] if step else []
+                more = np.zeros(len(ids), np.int64)
+                for x in got:
+                    more[np.searchsorted(ids, x[0])] += x[-1]
+                totals.append(dishes + more)
+        end = 0
+        for b, x in full:
+            part = at[end:end + len(x[0])]
+            end += len(x[0])
+            if not last and len(x) == 4:
+                part = part[x[2] > 0]
+            out.append((b, pack(*[_thin(v[part]) for v in totals])))
+        return pa.table({"bucket": pa.array([x[0] for x in out], pa.int32()), "owner": pa.array([table.column("owner")[0].as_py()] * len(out), pa.int32()),
+                         "payload": pa.array([x[1] for x in out], pa.binary())})
+    return run
+
+
+def _told(table: pa.Table, step: int, arrays: int = 1) -> list[np.ndarray]:
+    """Answers after a step, in the order of the bucket's contexts."""
+    rows = sorted((o, x) for k, o, x in zip(*[table.column(c).to_pylist() for c in ("step", "owner", "payload")]) if k == step)
+    return [np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64) for x in zip(*[unpack(x) for _, x in rows])] or [np.empty(0, np.int64)] * arrays
+
+
+def _step(state: State, step: int, buckets: int):
+    """A bucket's Gibbs step over what varies: rows for the owners of its contexts; for the driver (owner -1) the tables beyond the
+    first of each dish in the first contexts, the root's tables and customers, and the root customers of the frequent words."""
+    width = len(state.contexts)
+
+    def run(slim: pa.Table, told: pa.Table) -> pa.Table:
+        out = []
+        for bucket, payload in zip(slim.column("bucket").to_pylist(), slim.column("payload").to_pylist()):
+            words, ctx, n = _opened(payload)
+            own = _own(ctx)
+            ctx = _numbers(ctx, own, width)
+            tables = _told(told, 0)[0] + (_told(told, step)[0] if step else 0)
+            first, _, _, t, r, s = seat(words, ctx, n, state.wider(tables, tables), [step, bucket + 5])
+            more = np.bincount(ctx, np.where(ctx == OTHER, 0, t - 1), width + len(own)).astype(np.int64)
+            at = state.number(words[first])
+            often = np.bincount(at[at >= 0], r[at >= 0], len(state.heavy))
+            out.append((-1, bucket, pack(np.concatenate([more[:width], [s[at < 0].sum(), r[at < 0].sum()], often]).astype(np.float64))))
+            out += _asks(bucket, own, buckets, more[width:])
+        return pa.table({"owner": pa.array([x[0] for x in out], pa.int32()), "bucket": pa.array([x[1] for x in out], pa.int32()),
+                         "payload": pa.array([x[2] for x in out], pa.binary())})
+    return run
+
+
+def _slim(words: np.ndarray, ctx: np.ndarray, n: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What varies in a Gibbs step: single customers, who have one table each, count as customers of the root (context OTHER), and words
+    seen once are left out."""
+    first = np.flatnonzero(np.diff(words, prepend=~words[:1]))
+    ones = np.add.reduceat(n == 1, first, dtype=np.int64) if len(first) else np.empty(0, np.int64)
+    total = np.add.reduceat(n, first) if len(first) else ones
+    put = (ones > 0) & ((total > 1) | often[first])
+    rest = n > 1
+    return _summed(np.concatenate([words[rest], words[first][put]]), np.concatenate([ctx[rest], np.full(put.sum(), OTHER, np.uint64)]),
+                   np.concatenate([n[rest], ones[put]]))
+
+
+def _packed_counts(words: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> bytes:
+    first = np.flatnonzero(np.diff(words, prepend=~words[:1]))
+    return pack(words[first], _thin(np.diff(first, append=len(words))), *_halves(ctx), _thin(n))
+
+
+def _first_asks(heavy: np.ndarray, width: int, buckets: int):
+    """Before the first step: customers, whether the tables vary, and dishes of the contexts, for their owners; for the driver the
+    customers and dishes of the first contexts, the number of other words, of those seen once, and of all dishes, and
+    the counts of the frequent words; with owner -2 the counts that vary."""
+    frequent = State(np.empty(0), 0, 0, np.empty(0), 0, 0, heavy)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(states.contexts) + 2)
         for b in batches:
             for bucket, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words, ctx, n = unpack(payload)
-                _, _, _, t, r, s = seat(words, ctx, n, states, [step, bucket + 5])
-                tables = np.bincount(ctx, t, len(states.contexts))
-                tables[OTHER] = 0
-                sums += np.concatenate([tables, [s.sum(), r.sum()]])
-        names = [*range(len(states.contexts)), -1, -2]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(sums)], names=["context", "tables"])
+                words, ctx, n = _opened(payload)
+                at = frequent.number(words)
+                slim = _slim(words, ctx, n, at >= 0)
+                own = _own(ctx)
+                number = _numbers(ctx, own, width)
+                customers, dishes = [np.bincount(number, x, width + len(own)).astype(np.int64) for x in (n, n > 0)]
+                varies = np.isin(own, _own(slim[1]), assume_unique=True)
+                total = np.unique(words[(at < 0)], return_inverse=True)[1]
+                total = np.bincount(total, n[at < 0])
+                sums = np.concatenate([customers[:width], dishes[:width], [(total > 0).sum(), (total == 1).sum(), dishes.sum()],
+                                       np.bincount(at[at >= 0], n[at >= 0], len(heavy))])
+                out = [(-2, bucket, _packed_counts(*slim)), (-1, bucket, pack(sums.astype(np.float64))),
+                       *_asks(bucket, own, buckets, customers[width:], varies, dishes[width:])]
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()),
+                                                  pa.array([x[2] for x in out], pa.binary())], names=["owner", "bucket", "payload"])
     return run
 
 
+def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums = None
+    for b in batches:
+        for payload in b.column(0).to_pylist():
+            got = unpack(payload)[0]
+            sums = got if sums is None else sums + got
+    if sums is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int32()), pa.array(sums)], names=["at", "x"])
+
+
+def _for_driver(asked: DataFrame, size: int) -> np.ndarray:
+    rows = asked.filter("owner = -1").select("payload").mapInArrow(_sum_rows, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
+    return np.bincount([r["at"] for r in rows], [r.x for r in rows], size) if rows else np.zeros(size)
+
+
+def _exchanged(asked: DataFrame, step: int) -> DataFrame:
+    return reliable_checkpoint(asked.filter("owner >= 0").withColumn("step", F.lit(step)).groupBy("owner").applyInArrow(
+        _answers(False), "bucket int, owner int, payload binary").withColumn("step", F.lit(step)))
+
+
 def predictive(words, ctx, n, states: list[tuple[State, State]], bucket: int):
     """Mean predictive probabilities: per word its count and root probability and per-context entries
     (word number, context, probability gain); per state the weight of the root in each context."""
@@ -267,7 +452,7 @@ def predictive(words, ctx, n, states: list[tuple[State, State]], bucket: int):
     for step, (before, after) in enumerate(states, BURN):
         first, word, total, t, r, s = seat(words, ctx, n, before, [step, bucket + 5])
         base = (ROOT_STRENGTH + ROOT_DISCOUNT * after.root_tables) / (after.vocabulary + 1)
-        root = (r - ROOT_DISCOUNT * s + base) / (ROOT_STRENGTH + after.root_customers)
+        root = after.frequent(words[first], after.p, (r - ROOT_DISCOUNT * s + base) / (ROOT_STRENGTH + after.root_customers))
         gain = np.where(ctx == OTHER, 0.0, (n - DISCOUNT * t) / (STRENGTH + after.contexts[ctx]))
         out.append((root, gain))
     return first, word, total, out
@@ -282,28 +467,32 @@ def back_off(state: State) -> np.ndarray:
 
 def _tail_scores(states: list[tuple[State, State]]):
     """Sums of one bucket's tokens by chunk and document."""
-    def run(chunks: pa.Table, counts: pa.Table) -> pa.Table:
-        model = counts.column("payload").to_pylist()
-        bucket = chunks.column("bucket")[0].as_py() if chunks.num_rows else 0
-        words, ctx, n = unpack(model[0]) if model else (np.empty(0, np.uint64), np.empty(0, np.uint16), np.empty(0, np.int64))
-        first, word, total, samples = predictive(words, ctx, n, states, bucket)
-        known_words, key = words[first], word.astype(np.int64) * 65_536 + ctx
-        backs = [back_off(after) for _, after in states]
-        floor = [after.unknown() for _, after in states]
-        last = states[-1][1]
+    width = len(states[-1][1].contexts)
+
+    def run(chunks: pa.Table, model: pa.Table) -> pa.Table:
+        if not chunks.num_rows:
+            return pa.table({"chunk": pa.array([], pa.int64()), "payload": pa.array([], pa.binary())})
+        bucket = chunks.column("bucket")[0].as_py()
+        [counts] = [x for k, x in zip(model.column("step").to_pylist(), model.column("payload").to_pylist()) if k < 0]
+        words, ctx, n = _opened(counts)
+        own = _own(ctx)
+        ctx = _numbers(ctx, own, width)
+        customers, *tables = _told(model, 0, SAMPLES + 2)
+        wide = [(x.wider(before, customers), y.wider(after, customers)) for (x, y), before, after in zip(states, tables, tables[1:])]
+        first, word, total, samples = predictive(words, ctx, n, wide, bucket)
+        total = states[-1][1].frequent(words[first], states[-1][1].counts, total)
+        known_words, key = words[first], (word.astype(np.int64) << 32) + ctx
+        backs = [back_off(after) for _, after in wide]
         out = []
         for chunk, payload in zip(chunks.column("chunk").to_pylist(), chunks.column("payload").to_pylist()):
-            head, w, runs, c, doc = unpack(payload)
-            at = np.minimum(np.searchsorted(known_words, w), max(0, len(known_words) - 1))
-            known = known_words[at] == w if len(known_words) else np.zeros(len(w), bool)
-            at, known = np.repeat(at, runs), np.repeat(known, runs)
-            count = np.where(known, total[at], 0) if len(total) else np.zeros(len(at))
-            entry = np.minimum(np.searchsorted(key, at * 65_536 + c), max(0, len(key) - 1))
-            seen = known & (key[entry] == at * 65_536 + c) if len(key) else known
+            head, w, runs, low, high, doc = unpack(payload)
+            at = np.repeat(np.searchsorted(known_words, w), runs)
+            c = _numbers(_whole(low, high), own, width)
+            entry = np.searchsorted(key, (at << 32) + c)
             p = np.zeros(len(at))
-            for (root, gain), back, low in zip(samples, backs, floor):
-                p += np.where(known, root[at] if len(root) else 0, low) * back[c] + (np.where(seen, gain[entry], 0) if len(gain) else 0)
-            out.append((chunk, _sums(doc, int(head[1]), count, p / len(states), last)))
+            for (root, gain), back in zip(samples, backs):
+                p += root[at] * back[c] + gain[entry]
+            out.append((chunk, _sums(doc, int(head[1]), total[at], p / len(wide), states[-1][1])))
         return pa.table({"chunk": pa.array([x for x, _ in out], pa.int64()), "payload": pa.array([y for _, y in out], pa.binary())})
     return run
 
@@ -372,64 +561,54 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     hw, hc, hn = heavy[pairs[:, 0] >> 16], (pairs[:, 0] & 65_535).astype(np.uint16), pairs[:, 1]
 
     # Customers of the contexts, V, and the first totals: one table per dish.
-    width = len(heavy) + 2
-    start = counted.mapInArrow(_first_totals(width), "context int, customers double, dishes double").groupBy("context").agg(
-        F.sum("customers").alias("c"), F.sum("dishes").alias("d")).collect()
-    contexts, dishes = np.bincount(hc, hn, width), np.bincount(hc, minlength=width).astype(float)
-    vocabulary = len(np.unique(hw))
-    for r in start:
-        if r.context < 0:
-            vocabulary += int(r.d)
-        else:
-            contexts[r.context] += r.c
-            dishes[r.context] += r.d
-    state = State(dishes, vocabulary, contexts[OTHER] + dishes[1:].sum(), contexts, vocabulary, tokens)
+    width, often = len(heavy) + 2, len(heavy)
+    asked = reliable_checkpoint(counted.mapInArrow(_first_asks(heavy, width, buckets), ASKS))
+    slim, asks, told = asked.filter("owner = -2"), [asked], [_exchanged(asked, 0)]
+    start = _for_driver(asked, 2 * width + 3 + often)
+    contexts, first_tables = np.bincount(hc, hn, width) + start[:width], start[width:2 * width]
+    number = pairs[:, 0] >> 16
+    count = (np.bincount(number, hn, often) + start[2 * width + 3:]).astype(np.int64)
+    vocabulary, once = int(start[2 * width]) + int((count > 0).sum()), start[2 * width + 1]
+    state = State(np.bincount(hc, minlength=width) + first_tables, vocabulary, start[2 * width + 2] + len(hn), contexts, vocabulary, tokens,
+                  heavy, count, (count + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
     kept = []
     for step in range(BURN + SAMPLES):
-        rows = counted.mapInArrow(_totals(state, step), "context int, tables double").groupBy("context").agg(F.sum("tables").alias("t")).collect()
-        _, _, _, t, r, s = seat(hw, hc, hn, state, [step, 4])
-        tables = np.bincount(hc, t, width).astype(float)
-        tables[OTHER] = 0
-        sums = {-1: float(s.sum()), -2: float(r.sum())}
-        for x in rows:
-            if x.context >= 0:
-                tables[x.context] += x.t
-            else:
-                sums[x.context] += x.t
-        after = State(tables, sums[-1], sums[-2], contexts, vocabulary, tokens)
+        answers = told[0].unionByName(told[step]) if step else told[0]
+        asked = reliable_checkpoint(slim.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_step(state, step, buckets), ASKS))
+        asks.append(asked)
+        if step < BURN + SAMPLES - 1:
+            told.append(_exchanged(asked, step + 1))
+        sums = _for_driver(asked, width + 2 + often)
+        t = seat(hw, hc, hn, state, [step, 4])[3]
+        tables = np.bincount(hc, t, width) + first_tables + sums[:width]
+        r = (np.bincount(number, t, often) + sums[width + 2:]).astype(np.int64)
+        base = (ROOT_STRENGTH + ROOT_DISCOUNT * state.root_tables) / (vocabulary + 1)
+        s = draw_tables(r, np.full(often, base), ROOT_DISCOUNT, stirling(ROOT_DISCOUNT, EXACT), np.random.default_rng([step, 3]))
+        after = State(tables, once + sums[width] + s.sum(), once + sums[width + 1] + r.sum(), contexts, vocabulary, tokens, heavy, count)
+        base = (ROOT_STRENGTH + ROOT_DISCOUNT * after.root_tables) / (vocabulary + 1)
+        after.p = (r - ROOT_DISCOUNT * s + base) / (ROOT_STRENGTH + after.root_customers)
         if step >= BURN:
             kept.append((state, after))
         state = after
 
-    count, table = np.zeros(max(1, len(heavy)), np.int64), np.zeros((max(1, len(heavy)), width))
-    if len(hw):
-        first, word, total, samples = predictive(hw, hc, hn, kept, -1)
-        at = np.searchsorted(heavy, hw[first])
-        count[at] = total
-        for (root, gain), (_, after) in zip(samples, kept):
-            table[at] += root[:, None] * back_off(after)
-            table[at[word], hc] += gain
+    table = np.zeros((max(1, often), width))
+    if often:
+        _, _, _, samples = predictive(hw, hc, hn, kept, -1)
+        for (_, gain), (_, after) in zip(samples, kept):
+            table += after.p[:, None] * back_off(after)
+            table[number, hc] += gain
         table /= len(kept)
     by_chunk = chunks.filter("bucket = -1").select("chunk", "payload").mapInArrow(_heavy_scores(count, table, state), "chunk long, payload binary")
     part = F.pmod("chunk", F.lit(parts)).cast("int")
-    model = counted.select("bucket", "payload", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("to"))
+    asked = asks[0].withColumn("step", F.lit(0))
+    for k in range(max(1, BURN), BURN + SAMPLES + 1):
+        asked = asked.unionByName(asks[k].withColumn("step", F.lit(k)))
+    answers = asked.filter("owner >= 0").groupBy("owner").applyInArrow(_answers(True), "bucket int, owner int, payload binary")
+    model = counted.withColumns({"owner": F.lit(-1), "step": F.lit(-1)}).unionByName(answers.withColumn("step", F.lit(0)))
+    model = model.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     tail_sums = tail.withColumn("part", part).groupBy("bucket", "part").cogroup(
         model.withColumnRenamed("bucket", "of").groupBy("of", "to")).applyInArrow(_tail_scores(kept), "chunk long, payload binary")
     pieces = chunks.filter("bucket = -2").unionByName(
         by_chunk.union(tail_sums).select("chunk", F.lit(0).alias("bucket"), "payload"))
     return pieces.groupBy("chunk").applyInArrow(
         _documents(tokens), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
-
-def _first_totals(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        customers, dishes, words = np.zeros(width), np.zeros(width), 0
-        for b in batches:
-            for payload in b.column(1).to_pylist():
-                w, c, n = unpack(payload)
-                customers += np.bincount(c, n, width)
-                dishes += np.bincount(c, minlength=width)
-                words += len(np.unique(w))
-        yield pa.RecordBatch.from_arrays([pa.array([*range(width), -1], pa.int32()), pa.array([*customers, 0.0]), pa.array([*dishes, float(words)])],
-                                         names=["context", "customers", "dishes"])
-    return run

@@ -95,3 +95,41 @@ def test_table_draws_follow_the_seating_distribution():
     brute[2] += (1 - 0.8) + (1 - 0.8) * 2
     brute[3] += 1
     assert [math.exp(x) for x in logs[3, 1:4]] == pytest.approx([brute[1], brute[2], brute[3]])
+
+
+def test_contexts_that_are_no_frequent_words_tell_the_next_word(spark, monkeypatch):
+    """Each of 3000 words (1 in 6000 tokens or fewer) is always followed by the same one."""
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 4000)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 5000)
+    monkeypatch.setattr(lm, "PART_TOKENS", 10)
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        firsts = [rng.randrange(3000) for _ in range(30)]
+        rows.append((i, " ".join(f"left{k} right{k} of" for k in firsts), "x", 1))
+    got = lm.score(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    c = Counter(t for d, text, *_ in rows if in_training(d) for t in tokens(text))
+    n, v = sum(c.values()), len(c)
+    texts = {d: t for d, t, *_ in rows}
+    for r in got:
+        assert r.base_score == pytest.approx(sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in tokens(texts[r.doc_id])), abs=1e-6)
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > 0.7 * sum(r.base_score for r in held)
+
+
+def test_steps_over_what_varies_draw_the_same_tables():
+    rng = np.random.default_rng(8)
+    words = np.sort(rng.integers(1, 400, 1500).astype(np.uint64))
+    ctx = rng.integers(1, 30, 1500).astype(np.uint64)
+    words, ctx, n = lm._summed(words, ctx, rng.integers(0, 4, 1500))
+    heavy = np.array([7, 9, 30], np.uint64)
+    contexts = np.bincount(ctx.astype(int), n, 30)
+    state = lm.State(np.bincount(ctx.astype(int), n > 0, 30).astype(float), 400, 700, contexts, 400, int(n.sum()), heavy, heavy, np.full(3, 0.01))
+    first, _, _, t, r, s = lm.seat(words, ctx.astype(int), n, state, [1, 2])
+    w2, c2, n2 = lm._slim(words, ctx, n, np.isin(words, heavy))
+    first2, _, _, t2, r2, s2 = lm.seat(w2, c2.astype(int), n2, state, [1, 2])
+    assert len(w2) < len(words) and t[n > 1].tolist() == t2[c2 != lm.OTHER].tolist()
+    often, often2 = np.isin(words[first], heavy), np.isin(w2[first2], heavy)
+    once = (np.add.reduceat(n, first) == 1) & ~often
+    assert (s[~often].sum(), r[~often].sum()) == (s2[~often2].sum() + once.sum(), r2[~often2].sum() + once.sum())
+    assert r[often].tolist() == r2[often2].tolist()
