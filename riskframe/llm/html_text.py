@@ -5,12 +5,14 @@ stop-word density, link density and the element that holds them; the second lets
 blocks inherit the label of their nearest decided neighbours.
 
 Element rules: scripts, styles and other markup never give text. Blocks inside navigation, footers, sidebars,
-notices, adverts, forms and reader comments (by element, role, or a word of class or id) are boilerplate.
+notices, adverts, forms and reader comments (by element, role, or a class or id whose words all say so) are boilerplate.
 Where the page marks an article, blocks outside it are boilerplate as soon as it holds any text, and its
-own blocks pass with lower demands; elsewhere the text features decide alone.
+own blocks pass with lower demands; elsewhere the text features decide alone. An article that is boilerplate only by the class
+or id of itself or of what holds it is doubtful: the longest of them is the article of the page if it is longer than
+what is found without it (for reader comments: if nothing else is found).
 
 Defined results: null or empty html gives the empty text. Broken markup (tags left open, stray ends, quotes
-left open) is read to its end. Repeated rows give repeated results; an empty table gives an empty result.
+left open) is read to its end; elements that give no text but have no end are left at once, unless they are raw text. Repeated rows give repeated results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -46,6 +48,9 @@ td tfoot th thead tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style template textarea title svg math iframe object select button canvas audio video noscript datalist".split())
 MAIN_TAGS = frozenset(["article", "main"])
+#: Of these, what has no end takes the rest of the page.
+OPEN_TAGS = frozenset("script style textarea title template".split())
+NESTED_TAGS = frozenset("svg math".split())
 # kind of boilerplate by element, by role and by a word of class or id
 TAG_KINDS = {"nav": "menu", "menu": "menu", "footer": "footer", "aside": "side", "form": "form", "fieldset": "form", "dialog": "notice",
              "search": "form", "header": "header", "head": "head"}
@@ -62,13 +67,18 @@ WORD_KINDS = {word: kind for kind, words in {
     "comment": "comment comments commentlist reply replies disqus respond discussion guestbook",
     "share": "share sharing social",
 }.items() for word in words.split()}
+#: Words that may stand beside these in a class or id: footer-links is a footer, has-footer is not.
+NEUTRAL_WORDS = frozenset("""site page main global primary secondary top bottom left right box bar block container wrapper wrap inner outer area
+list item items section row col column link links body text title button panel content unit slot zone group holder the""".split())
 #: Kinds that a marked article inside them overrides (they enclose it by accident or habit).
 OVERRIDDEN = frozenset(["form", "ad", "notice", "header", "share"])
 
+WORD = "~"
+
 _TOKEN = re.compile(r"""<!--(?s:.*?)(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)""")
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-_WORDS = re.compile(r"[a-z]+")
+_WORDS = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -80,40 +90,52 @@ class Block:
     article: int
     heading: bool
     parent: int
+    doubt: str | None = None
     label: str = field(default="")
 
 
+def _word_kinds(value: str) -> list[str]:
+    """Kinds that a class or id names. Each of its parts between spaces counts as a whole."""
+    out = []
+    for token in value.split():
+        words = _WORDS.findall(_CAMEL.sub(" ", token).lower())
+        if all(w in WORD_KINDS or w in NEUTRAL_WORDS for w in words):
+            out += [WORD_KINDS[w] for w in words if w in WORD_KINDS]
+    return out
+
+
 def _kind(tag: str, attrs: str, in_article: bool) -> str | None:
-    """Kind of boilerplate that an element marks, if any."""
+    """Kind of boilerplate that an element marks, if any; with WORD before it if only class or id say so."""
     kind = TAG_KINDS.get(tag)
     if in_article and kind == "header":
         kind = None
     if kind or not attrs or "=" not in attrs and "hidden" not in attrs:
         return kind
+    by_word = None
     for name, a, b, c in _ATTR.findall(attrs):
         value = a or b or c
         name = name.lower()
         if name == "role":
             kind = ROLE_KINDS.get(value.lower())
         elif name in ("class", "id") and tag not in ("body", "html"):
-            found = [WORD_KINDS[w] for w in _WORDS.findall(_CAMEL.sub(" ", value).lower()) if w in WORD_KINDS]
-            kind = next((k for k in found if not (in_article and k == "header")), None)
+            by_word = by_word or next((WORD + k for k in _word_kinds(value) if not (in_article and k == "header")), None)
         elif name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             kind = "hidden"
         if kind:
             return kind
-    return None
+    return by_word
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order, with what the rules need to know of each."""
     out: list[Block] = []
-    stack: list[tuple[str, str | None, int, int]] = []  # element, kind, article number, element number
+    stack: list[tuple[str, str | None, int, int, str | None]] = []  # element, kind, article number, element number, doubt
+    ends: dict[str, tuple[int, int]] = {}  # next end of a raw element
     pieces: list[str] = []
     linked = articles = number = breaks = 0
 
     def state() -> tuple[str | None, int, int]:
-        return (stack[-1][1], stack[-1][2], next((n for t, _, _, n in reversed(stack) if t in BLOCK_TAGS), 0)) if stack else (None, 0, 0)
+        return (stack[-1][1], stack[-1][2], next((n for t, _, _, n, _ in reversed(stack) if t in BLOCK_TAGS), 0)) if stack else (None, 0, 0)
 
     def close_block() -> None:
         nonlocal linked, breaks
@@ -122,7 +144,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 kind, article, parent = state()
                 heading = any(t in ("h1", "h2", "h3", "h4", "h5", "h6") for t, *_ in stack[-4:])
-                out.append(Block(text, linked, kind, article, heading, parent))
+                out.append(Block(text, linked, kind, article, heading, parent, stack[-1][4] if stack else None))
             pieces.clear()
         linked = breaks = 0
 
@@ -160,8 +182,15 @@ def blocks(page: str) -> list[Block]:
                     break  # an inline end does not close blocks
             continue
         if tag in RAW_TAGS:
-            stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = stop.end() if stop else n
+            if attrs.endswith("/"):
+                continue
+            if ends.get(tag, (-1, -1))[0] < at:
+                stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                ends[tag] = stop.span() if stop else (n + 1, n)
+            begin, stop_at = ends[tag]
+            if tag not in OPEN_TAGS and (begin > n or tag not in NESTED_TAGS and re.compile(rf"<{tag}\b", re.I).search(page, at, begin)):
+                continue  # it has no end of its own
+            at = stop_at
             continue
         if tag == "br":
             breaks += 1
@@ -190,12 +219,19 @@ def blocks(page: str) -> list[Block]:
             kind = None
         number += 1
         own = _kind(tag, attrs, article > 0)
-        if tag in MAIN_TAGS and not own and (kind is None or kind in OVERRIDDEN):
-            kind = None
-            if not article:
-                articles += 1
-                article = articles
-        stack.append((tag, kind or own, article, number))
+        doubt = stack[-1][4] if stack else None
+        if tag in MAIN_TAGS:
+            if kind and kind.removeprefix(WORD) in OVERRIDDEN:
+                kind = None
+            by_word = kind or own
+            if not by_word or by_word[0] == WORD and (not own or own[0] == WORD):
+                if by_word or not article:
+                    articles += 1
+                    article = articles
+                doubt, kind, own = doubt or by_word, None, None
+        if kind and kind[0] == WORD and own and own[0] != WORD:
+            kind = own
+        stack.append((tag, kind or own, article, number, doubt))
     close_block()
     return out
 
@@ -220,9 +256,25 @@ def _first_pass(b: Block) -> str:
 
 
 def classify(found: list[Block]) -> list[Block]:
-    """Sets the labels (good or bad) by both passes."""
+    """Sets the labels (good or bad) by both passes, after settling what doubtful articles are."""
+    sizes: dict[int, int] = {}
     for b in found:
-        b.label = _first_pass(b)
+        if b.doubt:
+            sizes[b.article] = sizes.get(b.article, 0) + (len(b.text) if _first_pass(b) != "bad" else 0)
+    _labels(found, 0)
+    if any(sizes.values()):
+        have = sum(len(b.text) for b in found if b.label == "good")
+        comments = {b.article for b in found if b.doubt == WORD + "comment"}
+        able = [a for a in sizes if sizes[a] > have and not (have and a in comments)]
+        if able:
+            _labels(found, max(able, key=lambda a: (a not in comments, sizes[a], -a)))
+    return found
+
+
+def _labels(found: list[Block], taken: int) -> None:
+    """Labels where the doubtful article ``taken`` is the article, other doubtful ones are boilerplate; 0: all of these are."""
+    for b in found:
+        b.label = "bad" if (b.doubt or taken) and b.article != taken else _first_pass(b)
     marked = any(b.article and b.label in ("good", "near", "short") for b in found)
     if marked:
         for b in found:
@@ -255,7 +307,6 @@ def classify(found: list[Block]) -> list[Block]:
         decided = ["good" if b.label == "near" else d for b, d in zip(found, decided)]
     for b, d in zip(found, decided):
         b.label = d
-    return found
 
 
 def main_text(page: str | None) -> str:

@@ -53,3 +53,28 @@ def test_query_shape_nulls_long_and_clashing_columns(spark):
     got = {r.page_id: r for r in got.collect()}
     assert got[1].text == PROSE and got[1].n_chars == len(PROSE) and (got[2].text, got[2].n_chars) == ("", 0)
     assert ht.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("html, want", [
+    (f'<article class="post category-promotion tag-popular no-comments"><p>{PROSE}</p></article>', PROSE),
+    (f'<main><article class="post popular"><p>{PROSE}</p></article></main>', PROSE),
+    (f'<div class="layout has-sidebar"><article><p>{PROSE}</p></article><div class="sidebar"><p>{MORE}</p></div></div>', PROSE),
+    (f'<div class="sidebar"><article><p>{PROSE}</p><p>{PROSE}</p></article><p>{MORE}</p></div><div>{MORE}</div>', f"{PROSE}\n\n{PROSE}"),
+    (f'<div class="no-comments"><p>{PROSE}</p><p>{PROSE}</p></div>', f"{PROSE}\n\n{PROSE}"),
+    # what classes and elements rightly mark stays boilerplate
+    (f'<article><p>{PROSE}</p></article><ol class="comment-list"><li><article class="comment"><p>{PROSE} {PROSE}</p></article></ol>', PROSE),
+    (f'<div><p>{PROSE}</p><p>{PROSE}</p></div><div class="related"><article><p>{MORE}</p></article></div>', f"{PROSE}\n\n{PROSE}"),
+    (f'<div><p>{PROSE}</p><p>{PROSE}</p></div><div class="site-footer"><p>{PROSE}</p></div><aside><article>{PROSE}</article></aside>', f"{PROSE}\n\n{PROSE}"),
+    (f'<article style="display:none"><p>{PROSE}</p></article>', ""),
+    # raw elements that are empty or have no end
+    (f"<article><svg/><math /><p>{PROSE}</p></article>", PROSE),
+    (f"<article><button><p>{PROSE}</p><button>x</button><p>{MORE}</p></article>", f"{PROSE}\n\n{MORE}"),
+    *[(f"<article><{t}><p>{PROSE}</p></article>", PROSE) for t in ("button", "noscript", "select", "object", "canvas", "video")],
+    *[(f"<article><p>{PROSE}</p><{t}><p>{MORE}</p></article>", PROSE) for t in ("script", "style", "textarea", "template")],
+])
+def test_articles_are_not_lost(html, want):
+    assert ht.main_text(page(html, "")) == want
+
+
+def test_many_open_raw_elements_are_read_once():
+    assert ht.main_text("<article>" + f"<button><p>{PROSE}</p>" * 5000 + "</article>").count(PROSE) == 5000
