@@ -8,7 +8,8 @@ log-probability of its letter pairs in the corpus); dictionary coverage (share o
 corpus); its path (a hash of the source); and its neighbouring words (assignment sign, quotes, words that name
 credentials before it, word lengths beside it).
 
-The dictionary and the letter pairs are counted over all words of all documents: words are summed with a map-side part, pairs
+The dictionary and the letter pairs are counted over all words (of 3 to 32 letters) of all documents, the dictionary
+holds those seen DICTIONARY_COUNT times or more: words are summed with a map-side part, pairs
 are counted from the word counts. Features that depend on the value alone are computed once per distinct value.
 
 Labelled findings are a table (the operator takes any); where none is given, ``labelled`` supplies weak labels: a candidate
@@ -112,7 +113,7 @@ def _assigned_values() -> Column:
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Counts of all lower-cased words of letters a-z in all documents."""
+    """Counts of all lower-cased words of 3 to 32 letters a-z in all documents."""
     words = F.split(F.lower(text_or_empty(text_col)), r"[^a-z]+")
     return docs.select(F.explode(words).alias("word")).filter("length(word) between 3 and 32").groupBy("word").agg(
         F.count(F.lit(1)).alias("n"))
@@ -197,11 +198,7 @@ def classify(found: DataFrame, model, threshold: float = 0.5) -> DataFrame:
 def scan(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """All candidates of ``docs`` with features, score and is_secret. ``findings``: labelled findings with the
     feature columns and ``label``; default: weak labels on the candidates themselves."""
-    counts = reliable_checkpoint(word_counts(docs, text_col).filter(_frequent()))
+    counts = reliable_checkpoint(word_counts(docs, text_col))
     found = reliable_checkpoint(candidates(docs, id_col, text_col, path_col))
     known = reliable_checkpoint(features(found, counts))
     return classify(known, train(labelled(known) if findings is None else findings))
-
-
-def _frequent() -> Column:
-    return F.col("n") >= DICTIONARY_COUNT

@@ -82,3 +82,10 @@ def test_assigned_and_quoted_credentials_are_candidates(spark):
         assert {r.value: r.label for r in rows if r.doc_id == i} == want, CASES[i]
     assert len(rows) == sum(len(want) for _, want in CASES)
     assert all(r.quoted == 1 for r in rows if r.value in ("hunter", "correct horse battery", "c d"))
+
+
+def test_letter_pairs_of_a_scan_are_those_of_rare_words_too(spark):
+    df = spark.createDataFrame([(1, "alpha beta gamma alpha-beta-99887766", "p", "", 0)], SCHEMA)  # no word is seen five times
+    want = secrets.features(secrets.candidates(df), secrets.word_counts(df)).first().pair_score
+    got = secrets.scan(df).first().pair_score
+    assert got == want and got > -7
