@@ -71,7 +71,8 @@ def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[s
     """Permutation-sampled Shapley values of ``scorer`` (a DataFrame -> DataFrame adding ``score_col``).
 
     Output long table (keys..., feature, attribution, f_x, f_background). For every
-    (row, permutation) the attributions sum exactly to f(x) - f(background row used)."""
+    (row, permutation) the attributions sum exactly to f(x) - f(background row used). Rows that repeat their keys
+    are explained one by one."""
     feats = list(features)
     p = len(feats)
     n_bg = background.count()
@@ -79,7 +80,9 @@ def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[s
         raise ValueError("empty background")
     bg = _numbered(background.select(*feats), feats, seed, max(1, n_bg // range_rows))
     perms = F.sequence(F.lit(0), F.lit(n_permutations - 1))
-    ex = (rows.select(*keys, *[F.col(c).alias(f"__x_{c}") for c in feats])
+    ids = [*keys, "__rep"]
+    rows = rows.withColumn("__rep", F.row_number().over(Window.partitionBy(*keys).orderBy(*feats)))
+    ex = (rows.select(*ids, *[F.col(c).alias(f"__x_{c}") for c in feats])
           .withColumn("__perm", F.explode(perms))
           .withColumn("__bidx", F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.col("__perm"), F.lit(seed)), F.lit(n_bg))))
     # Random order of the features per (row, permutation): rank of a per-feature hash.
@@ -91,18 +94,18 @@ def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[s
     # Feature i comes from x when its position in the permutation is < k.
     hybrid = [F.when(F.array_position(F.col("__order"), F.lit(i)) - 1 < F.col("__k"), F.col(f"__x_{c}"))
               .otherwise(F.col(c)).alias(c) for i, c in enumerate(feats)]
-    z = chain.select(*keys, "__perm", "__k", "__order", *hybrid)
+    z = chain.select(*ids, "__perm", "__k", "__order", *hybrid)
     scored = scorer(z)
-    w = Window.partitionBy(*keys, "__perm").orderBy("__k")
-    steps = scored.select(*keys, "__perm", "__k", "__order",
+    w = Window.partitionBy(*ids, "__perm").orderBy("__k")
+    steps = scored.select(*ids, "__perm", "__k", "__order",
                           (F.col(score_col) - F.lag(score_col).over(w)).alias("__d"),
                           F.first(score_col).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__f0"),
                           F.last(score_col).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__fx"))
     feat_names = F.array(*[F.lit(c) for c in feats])
     contrib = (steps.where(F.col("__k") > 0)
                .withColumn("feature", F.element_at(feat_names, F.element_at(F.col("__order"), F.col("__k")) + 1)))
-    return (contrib.groupBy(*keys, "feature")
-            .agg(F.avg("__d").alias("attribution"), F.avg("__fx").alias("f_x"), F.avg("__f0").alias("f_background")))
+    return (contrib.groupBy(*ids, "feature")
+            .agg(F.avg("__d").alias("attribution"), F.avg("__fx").alias("f_x"), F.avg("__f0").alias("f_background")).drop("__rep"))
 
 
 def global_importance(attr: DataFrame, top: int | None = None) -> DataFrame:

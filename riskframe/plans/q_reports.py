@@ -24,7 +24,7 @@ from riskframe.sources.tables import LOAN_KEY, loans, split_filter
 
 KEYS_SQL = ", ".join(LOAN_KEY)
 N_EXAMPLES = 6
-SHAPLEY_ROWS, SHAPLEY_BACKGROUND, SHAPLEY_PERMUTATIONS = 20, 50, 8
+SHAPLEY_BACKGROUND, SHAPLEY_PERMUTATIONS = 50, 8
 
 
 def _top_drivers_sql() -> str:
@@ -66,7 +66,7 @@ def q_linear_attribution(spark, sf):
 def q_sampled_shapley(spark, sf):
     from riskframe.plans.q_models import MODEL_FEATURES, _encoded, model_for
     m = model_for(spark, sf, "logreg", True)
-    rows = hash_sample(_encoded(spark, sf), LOAN_KEY, SHAPLEY_ROWS)
+    rows = _encoded(spark, sf)
     bg = hash_sample(_encoded(spark, sf, "train"), LOAN_KEY, SHAPLEY_BACKGROUND, seed=7)
     res = sampled_shapley(rows, bg, MODEL_FEATURES, LOAN_KEY, lambda z: m.score(z, out="pd"),
                           n_permutations=SHAPLEY_PERMUTATIONS)

@@ -86,3 +86,18 @@ def test_hash_sample_population_cut_gives_same_rows(spark):
     full = sorted(r["id"] for r in hash_sample(df, ["id"], 25).collect())
     cut = sorted(r["id"] for r in hash_sample(df, ["id"], 25, population=3000).collect())
     assert full == cut and len(full) == 25
+
+
+def test_shapley_query_explains_every_row_of_the_view(spark):
+    from riskframe.plans.q_models import MODEL_FEATURES, _encoded
+    from riskframe.plans.q_reports import LOAN_KEY, q_sampled_shapley
+    sf = "/root/testdata/sf0.001"
+    got, want = q_sampled_shapley(spark, sf).groupBy(*LOAN_KEY).count(), _encoded(spark, sf).groupBy(*LOAN_KEY).count()
+    assert {tuple(r)[:-1]: r["count"] for r in got.collect()} == {tuple(r)[:-1]: r["count"] * len(MODEL_FEATURES) for r in want.collect()}
+
+
+def test_shapley_rows_that_repeat_their_keys(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 5.0), (2, 3.0)], "id int, a double")
+    bg = spark.createDataFrame([(0.0,)], "a double")
+    got = sampled_shapley(df, bg, ["a"], ["id"], lambda z: z.withColumn("pd", F.col("a")))
+    assert sorted((r.id, r.attribution) for r in got.collect()) == [(1, 1.0), (1, 5.0), (2, 3.0)]
