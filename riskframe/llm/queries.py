@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskframe.llm import exact_dedup, fingerprint, html_text, language_id, lm, mixing, near_dedup, packing, secrets, warc
+from riskframe.llm import exact_dedup, fingerprint, html_text, language_id, lm, mixing, near_dedup, packing, secrets, warc, whitening
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -110,6 +110,11 @@ def op10_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+@register("op12_qdwh_whitening")
+def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
