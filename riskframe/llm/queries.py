@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskframe.llm import exact_dedup, fingerprint, html_text, language_id, lm, mixing, near_dedup, packing, secrets, warc, whitening
+from riskframe.llm import conversation_trie, exact_dedup, fingerprint, html_text, language_id, lm, mixing, near_dedup, packing, secrets, warc, whitening
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -115,6 +115,42 @@ def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+TRIE_SQL = r"""
+WITH RECURSIVE crc(tab) AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))),
+t AS (SELECT conv_id, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS dig,
+             strlen(coalesce(text, '')) AS bytes, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, dig) - 1 AS pos FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS donor,
+             xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
+                             lambda a, b: xor(tab[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 9 AS h
+      FROM (SELECT DISTINCT conv_id FROM o), crc),
+l AS (SELECT c.conv_id, c.h, c.donor, least(c.h, count(o.pos)) AS taken FROM c LEFT JOIN o ON o.conv_id = c.donor GROUP BY c.conv_id, c.h, c.donor),
+r AS (SELECT l.conv_id, o.pos, o.dig, o.bytes FROM l JOIN o ON o.conv_id = l.donor AND o.pos < l.h
+      UNION ALL SELECT l.conv_id, o.pos - l.h + l.taken, o.dig, o.bytes FROM l JOIN o ON o.conv_id = l.conv_id AND o.pos >= l.h),
+p(conv_id, depth, path, up, bytes) AS (
+  SELECT conv_id, 0::BIGINT, sha256(''), NULL::VARCHAR, 0::BIGINT FROM c
+  UNION ALL SELECT p.conv_id, depth + 1, sha256(path || dig), path, r.bytes FROM p JOIN r ON r.conv_id = p.conv_id AND r.pos = p.depth),
+e AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+n AS (SELECT p.path, any_value(p.up) AS up, any_value(p.depth) AS depth, min(p.conv_id) AS conv_id, count(*) AS n,
+             any_value(p.bytes) AS bytes,
+             sha256(coalesce(string_agg(CASE WHEN e.depth = p.depth THEN p.conv_id::VARCHAR END, ',' ORDER BY p.conv_id), '')) AS ends
+      FROM p JOIN e ON e.conv_id = p.conv_id GROUP BY p.path),
+k AS (SELECT n.*, (SELECT count(*) FROM n AS z WHERE z.up = n.path) AS kids FROM n),
+u(path, above) AS (SELECT path, path FROM k UNION ALL SELECT u.path, k.up FROM u JOIN k ON k.path = u.above WHERE k.up IS NOT NULL),
+s AS (SELECT u.above, sum((k.n - 1) * k.bytes) AS saved, sum((k.kids = 0)::INT) AS leaves FROM u JOIN k ON k.path = u.path GROUP BY u.above)
+SELECT k.conv_id, k.depth, q.conv_id AS parent_conv_id, k.n AS n_convs, k.kids AS n_children, s.leaves::BIGINT AS n_leaves,
+       s.saved::BIGINT AS saved_tokens, k.ends AS ends_sha256
+FROM k JOIN s ON s.above = k.path LEFT JOIN k AS q ON q.path = k.up
+"""
+
+
+@register("op13_block_hash_prefix_trie", TRIE_SQL)
+def op13_block_hash_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
