@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskframe.llm import conversation_trie, exact_dedup, fingerprint, html_text, language_id, lm, mixing, near_dedup, packing, secrets, warc, whitening
+from riskframe.llm import (conversation_trie, exact_dedup, fingerprint, html_text, language_id, lm, mixing, near_dedup, packing, secrets,
+                           toxicity, warc, whitening)
 from riskframe.llm.common import table
 
 QUERIES: dict = {}
@@ -110,6 +111,11 @@ def op10_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+@register("op11_weak_toxicity")
+def op11_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op12_qdwh_whitening")
 def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
