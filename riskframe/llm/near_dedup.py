@@ -17,10 +17,10 @@ No bucket is expanded into all its pairs:
    are not compared again. This dissolves tight groups of any size in linear work.
 3. What is left are buckets with several components. Those of up to FEW members list their pairs of
    different components that were not compared yet. Nodes that larger ones connect are dealt to blocks of about
-   BLOCK; two blocks that meet in some bucket are compared once, in one task: numpy computes all estimates
-   between different components at once, likely pairs are verified on the spot, and one link for each
-   pair of components is returned. So every pair of different components that shares a band is compared: no cap,
-   no lost connection, and no row per pair.
+   BLOCK; two blocks that meet in some bucket are compared once, in one task: numpy computes the estimates between
+   different components from the registers, and likely pairs go on to verification, by the same pairs of blocks. So every
+   pair of different components that shares a band is compared: no cap and no lost connection. Rows are made only for
+   pairs within five standard errors of the threshold.
 4. Verification groups pairs into cells of two blocks of nodes and sends a text once to each cell that
    needs it, so a document with thousands of candidates is not copied to each of them.
 
@@ -108,31 +108,21 @@ def _estimated(pct: int):
 
 
 def _block_pairs(pct: int):
-    """Links between the different components of two blocks: estimated, then verified on the full sets. One link
-    for each pair of components is enough, since the members of a component are linked already."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in batches:
-            links = []
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                x = row["x"]
-                y = x if row["y"] is None else row["y"]
-                sets = {m["node"]: hasher.shingles(m["text"]) for m in (x if y is x else x + y)}
-                xr, yr = (np.stack([registers(sets[m["node"]]) for m in z]) for z in (x, y))
-                (xc, xn), (yc, yn) = ((np.array([m["comp"] for m in z]), np.array([len(sets[m["node"]]) for m in z])) for z in (x, y))
-                done = set()
-                for i in range(len(x)):
-                    keep = likely(((yr == xr[i]) & (yr > 0)).sum(1), ((yr > 0) | (xr[i] > 0)).sum(1), xn[i], yn, pct) & (yc != xc[i])
-                    if y is x:
-                        keep[: i + 1] = False
-                    for j in np.flatnonzero(keep).tolist():
-                        if (xc[i], yc[j]) in done or (yc[j], xc[i]) in done:
-                            continue
-                        if reaches(sets[x[i]["node"]], sets[y[j]["node"]], pct):
-                            done.add((xc[i], yc[j]))
-                            links.append((x[i]["node"], y[j]["node"]))
-            yield pa.RecordBatch.from_arrays([pa.array([k[c] for k in links], pa.int64()) for c in (0, 1)], names=["a", "b"])
+    """Likely pairs between the different components of two blocks (bx, by), from the registers of their nodes."""
+    def run(key: tuple[pa.Scalar, ...], nodes: pa.Table) -> pa.Table:
+        bx, by = (k.as_py() for k in key)
+        block = nodes.column("block").to_numpy()
+        node, comp, n = (nodes.column(c).to_numpy() for c in ("node", "comp", "n"))
+        regs = np.frombuffer(b"".join(nodes.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        xs, ys = np.flatnonzero(block == bx), np.flatnonzero(block == by)
+        pairs = []
+        for k, i in enumerate(xs.tolist()):
+            js = ys[k + 1 :] if bx == by else ys
+            js = js[comp[js] != comp[i]]
+            equal, filled = ((regs[js] == regs[i]) & (regs[i] > 0)).sum(1), ((regs[js] > 0) | (regs[i] > 0)).sum(1)
+            pairs += [(node[i], j) for j in node[js[likely(equal, filled, n[i], n[js], pct)]].tolist()]
+        return pa.table({"bx": pa.array([bx] * len(pairs), pa.int64()), "by": pa.array([by] * len(pairs), pa.int64()),
+                         "a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
     return run
 
 
@@ -207,7 +197,7 @@ def _linked(src: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     small = x.join(y, "key").filter("x.node < y.node and x.comp <> y.comp").select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     more = slim_checkpoint(_verify(src, _likely_pairs(nodes, small, percent), percent).union(
-        _large(src, members.filter(F.col("size") > FEW), percent)))
+        _large(src, nodes, members.filter(F.col("size") > FEW), percent)))
     return comps if more.isEmpty() else components(links.union(more))
 
 
@@ -226,33 +216,39 @@ def _verify(src: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     n_ids = ids.count()
     blocks = max(1, -(-n_ids // BLOCK))
     part = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
-    pairs = pairs.withColumn("cell", part("a") * blocks + part("b"))
+    return _verify_cells(src, pairs.withColumn("cell", part("a") * blocks + part("b")), ids, n_ids, percent)
+
+
+def _verify_cells(src: DataFrame, pairs: DataFrame, ids: DataFrame, n_ids: int, percent: int) -> DataFrame:
+    """Links among ``pairs`` (a, b, cell), cell by cell; ``ids`` are their nodes."""
     need = pairs.select(F.col("cell").alias("of_cell"), F.col("a").alias("node")).union(pairs.select("cell", "b")).distinct()
     texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), ids, "node", n_ids)
     sent = need.join(texts, "node").select("of_cell", "node", "text")
     return pairs.groupBy("cell").cogroup(sent.groupBy("of_cell")).applyInArrow(_verified(percent), "a long, b long").distinct()
 
 
-def _large(src: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _large(src: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Links between different components in large buckets, from block against block.
 
     Nodes that large buckets connect are one family; a family is dealt to blocks of about BLOCK nodes, so most
-    families are one block. Two blocks are compared once if some bucket has members of both."""
+    families are one block. Two blocks are compared once if some bucket has members of both. What travels is registers (512
+    bytes a node, whatever the length of its text); texts go only to the pairs of blocks in which they have likely partners."""
     lead = members.groupBy("key").agg(F.min("node").alias("lead"))
     family = components(members.join(lead, "key").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
     sizes = family.groupBy("comp").agg(F.count(F.lit(1)).alias("c"))
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / BLOCK))
     home = family.join(sizes, "comp").select("node", F.xxhash64("comp", salt).alias("block"))
     home = slim_checkpoint(home.join(members.select("node", "comp").distinct(), "node"))
-    texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), home, "node", home.count())
-    blocks = reliable_checkpoint(home.join(texts, "node").groupBy("block").agg(
-        F.collect_list(F.struct("node", "comp", "text")).alias("members")))
     held = members.select("key", "node").join(home.select("node", "block"), "node").select("key", "block").distinct()
+    held = slim_checkpoint(held)
     pairs = held.withColumnRenamed("block", "bx").join(held.withColumnRenamed("block", "by"), "key").filter("bx <= by").select("bx", "by").distinct()
-    x, y = (blocks.select(F.col("block").alias(f"b{z}"), F.col("members").alias(z)) for z in "xy")
-    alone = pairs.filter("bx = by").join(x, "bx").select("x", F.lit(None).cast(blocks.schema["members"].dataType).alias("y"))
-    both = pairs.filter("bx < by").join(x, "bx").join(y, "by").select("x", "y")
-    return alone.unionByName(both).mapInArrow(_block_pairs(percent), "a long, b long")
+    pairs = slim_checkpoint(pairs)
+    sketched = home.join(nodes, "node").select("block", "node", "comp", "n", "regs")
+    asked = pairs.select("bx", "by", F.explode(F.array_distinct(F.array("bx", "by"))).alias("block"))
+    found = slim_checkpoint(asked.join(sketched, "block").groupBy("bx", "by").applyInArrow(
+        _block_pairs(percent), "bx long, by long, a long, b long").select("a", "b", F.xxhash64("bx", "by").alias("cell")))
+    ids = slim_checkpoint(found.select(F.col("a").alias("node")).union(found.select("b")).distinct())
+    return _verify_cells(src, found, ids, ids.count(), percent)
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
