@@ -23,7 +23,12 @@ def slim_checkpoint(df: DataFrame) -> DataFrame:
     """Checkpoint of a slim table, read back in as many partitions as its rows need, so that steps of a
     loop do not write a set of shuffle files for every nearly empty partition."""
     kept = reliable_checkpoint(df)
-    return kept.coalesce(max(1, -(-kept.count() // SLIM_ROWS)))
+    return slim(kept, kept.count())
+
+
+def slim(kept: DataFrame, rows: int) -> DataFrame:
+    """``kept`` of so many rows in as few partitions as they need."""
+    return kept.coalesce(max(1, -(-rows // SLIM_ROWS)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

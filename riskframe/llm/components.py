@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import slim_checkpoint
+from riskframe.llm.common import slim, slim_checkpoint
+from riskframe.session import reliable_checkpoint
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,7 +25,8 @@ def components(links: DataFrame) -> DataFrame:
         step = labels.join(heard, "node").select("node", F.least("comp", "heard").alias("to"), F.col("comp").alias("was"))
         jump = labels.select(F.col("node").alias("to"), F.col("comp").alias("further"))
         step = step.join(jump, "to").select("node", F.least("to", "further").alias("comp"), "was")
-        step = slim_checkpoint(step)
-        if step.filter("comp <> was").isEmpty():
-            return step.select("node", "comp")
-        labels = step.select("node", "comp")
+        step = reliable_checkpoint(step)
+        rows, moved = step.agg(F.count(F.lit(1)), F.count(F.when(F.col("comp") != F.col("was"), 1))).first()
+        labels = slim(step.select("node", "comp"), rows)
+        if not moved:
+            return labels

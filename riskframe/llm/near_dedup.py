@@ -16,13 +16,11 @@ No bucket is expanded into all its pairs:
    links are joined into components, and members of one component
    are not compared again. This dissolves tight groups of any size in linear work.
 3. What is left are buckets with several components. Those of up to FEW members list their pairs of
-   different components that were not compared yet. Nodes that larger ones connect are dealt to blocks of about
-   BLOCK; two blocks that meet in some bucket are compared once, in one task: numpy computes the estimates between
-   different components from the registers, and likely pairs go on to verification, by the same pairs of blocks. So every
-   pair of different components that shares a band is compared: no cap and no lost connection. Rows are made only for
-   pairs within five standard errors of the threshold.
-4. Verification groups pairs into cells of two blocks of nodes and sends a text once to each cell that
-   needs it, so a document with thousands of candidates is not copied to each of them.
+   different components that were not compared yet. The members of larger ones are matched by their rarest shingles
+   (prefix filtering, exact): buckets of documents that share a passage but not the threshold make hardly any candidates.
+   So no link between documents that share a band is lost, there is no cap, and pairs are rows only where they are candidates.
+4. Verification groups pairs into cells (a node and its partners). A full set is formed once, from the whole
+   text, and sent once to each cell that needs it.
 
 Defined results: a null or blank text has no shingles, is linked with nothing and is its own component.
 A row without an id has a null component and stays. Rows that repeat an id are one document:
@@ -36,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import rows_with_ids, slim_checkpoint
@@ -46,8 +44,9 @@ from riskframe.session import reliable_checkpoint
 
 REGISTERS, MANTISSA_BITS = 256, 10
 BAND, BANDS = 6, 42
-BLOCK = 128
-#: Buckets of up to so many members list their pairs of different components; larger ones go by blocks.
+#: Pairs verified together, about.
+CELL = 128
+#: Buckets of up to so many members list their pairs of different components; larger ones go by rare shingles.
 FEW = 24
 #: Standard errors below the threshold at which an estimate still goes on to verification.
 SLACK = 5.0
@@ -107,25 +106,6 @@ def _estimated(pct: int):
     return run
 
 
-def _block_pairs(pct: int):
-    """Likely pairs between the different components of two blocks (bx, by), from the registers of their nodes."""
-    def run(key: tuple[pa.Scalar, ...], nodes: pa.Table) -> pa.Table:
-        bx, by = (k.as_py() for k in key)
-        block = nodes.column("block").to_numpy()
-        node, comp, n = (nodes.column(c).to_numpy() for c in ("node", "comp", "n"))
-        regs = np.frombuffer(b"".join(nodes.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        xs, ys = np.flatnonzero(block == bx), np.flatnonzero(block == by)
-        pairs = []
-        for k, i in enumerate(xs.tolist()):
-            js = ys[k + 1 :] if bx == by else ys
-            js = js[comp[js] != comp[i]]
-            equal, filled = ((regs[js] == regs[i]) & (regs[i] > 0)).sum(1), ((regs[js] > 0) | (regs[i] > 0)).sum(1)
-            pairs += [(node[i], j) for j in node[js[likely(equal, filled, n[i], n[js], pct)]].tolist()]
-        return pa.table({"bx": pa.array([bx] * len(pairs), pa.int64()), "by": pa.array([by] * len(pairs), pa.int64()),
-                         "a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
-    return run
-
-
 def reaches(x: np.ndarray, y: np.ndarray, pct: int) -> bool:
     """Whether two sorted sets have a Jaccard similarity of pct / 100 or more."""
     if len(x) > len(y):
@@ -136,16 +116,20 @@ def reaches(x: np.ndarray, y: np.ndarray, pct: int) -> bool:
     return 100 * both >= pct * (len(x) + len(y) - both)
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Full shingle sets, as sorted 64-bit hashes."""
+    hasher = WordHasher()
+    for b in batches:
+        for at in range(b.num_rows):
+            yield pa.RecordBatch.from_arrays([b.column("node").slice(at, 1), pa.array(
+                [hasher.shingles(b.column("text")[at].as_py()).tobytes()], pa.binary())], names=["node", "full"])
+
+
 def _verified(pct: int):
     """Pairs of one cell whose full shingle sets reach the threshold."""
-    def run(pairs: pa.Table, texts: pa.Table) -> pa.Table:
-        hasher = WordHasher()
-        sets: dict[int, np.ndarray] = {}
-        for node, text in zip(texts.column("node").to_pylist(), texts.column("text")):
-            sets[node] = hasher.shingles(text.as_py())
-        keep = []
-        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
-            keep.append(reaches(sets[a], sets[b], pct))
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        full = {node: np.frombuffer(s.as_buffer(), np.uint64) for node, s in zip(sets.column("node").to_pylist(), sets.column("full"))}
+        keep = [reaches(full[a], full[b], pct) for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist())]
         return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
@@ -176,7 +160,7 @@ def _linked(src: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         chunk(b) != F.lit(bytes(width)), F.xxhash64(b, chunk(b))))
     bands = nodes.select("node", F.explode(keys).alias("key")).filter("key is not null")
     sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    open_ = slim_checkpoint(bands.join(sizes, "key").withColumn("comp", F.col("node")))
+    open_ = slim_checkpoint(bands.join(sizes, "key").select("key", "node"))
     # sketches of the nodes that share a bucket with another one
     nodes = reliable_checkpoint(nodes.join(open_.select("node").distinct(), "node"))
 
@@ -188,8 +172,10 @@ def _linked(src: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     comps = components(links)
 
     # members of the buckets of three and more that still hold several components
-    members = open_.filter("size > 2").drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    several = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+    known = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    members = known.select("node", "comp", F.explode(keys).alias("key")).filter("key is not null")
+    several = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(
+        "size > 2 and lo <> hi").select("key", "size")
     members = slim_checkpoint(members.join(several, "key").select("key", "node", "size", "comp"))
     if members.isEmpty():
         return comps
@@ -209,46 +195,55 @@ def _likely_pairs(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame
 
 
 def _verify(src: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Links among ``pairs``. Nodes are dealt to blocks of about BLOCK by hash; the pairs of two blocks are one cell, and
-    a text goes once to each cell that needs it, however many pairs it has there."""
+    """Links among ``pairs``. The pairs of a node are one cell, that of the node with more pairs; a cell of more than
+    CELL pairs is split. Sets are formed once."""
     pairs = slim_checkpoint(pairs)
-    ids = slim_checkpoint(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    n_ids = ids.count()
-    blocks = max(1, -(-n_ids // BLOCK))
-    part = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
-    return _verify_cells(src, pairs.withColumn("cell", part("a") * blocks + part("b")), ids, n_ids, percent)
-
-
-def _verify_cells(src: DataFrame, pairs: DataFrame, ids: DataFrame, n_ids: int, percent: int) -> DataFrame:
-    """Links among ``pairs`` (a, b, cell), cell by cell; ``ids`` are their nodes."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    ids = slim_checkpoint(ends.groupBy("node").agg(F.count(F.lit(1)).alias("pairs")))
+    count = lambda c: ids.select(F.col("node").alias(c), F.col("pairs").alias(f"p{c}"))
+    known = pairs.join(count("a"), "a").join(count("b"), "b")
+    hub, other = (F.when(F.col("pa") >= F.col("pb"), F.col(x)).otherwise(F.col(y)) for x, y in ("ab", "ba"))
+    salt = F.pmod(F.xxhash64(other), F.ceil(F.greatest("pa", "pb") / CELL))
+    pairs = known.select("a", "b", F.xxhash64(hub, salt).alias("cell"))
     need = pairs.select(F.col("cell").alias("of_cell"), F.col("a").alias("node")).union(pairs.select("cell", "b")).distinct()
-    texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), ids, "node", n_ids)
-    sent = need.join(texts, "node").select("of_cell", "node", "text")
+    texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), ids, "node", ids.count())
+    sent = need.join(texts.mapInArrow(_sets, "node long, full binary"), "node").select("of_cell", "node", "full")
     return pairs.groupBy("cell").cogroup(sent.groupBy("of_cell")).applyInArrow(_verified(percent), "a long, b long").distinct()
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per node and distinct shingle."""
+    hasher = WordHasher()
+    for b in batches:
+        for node, text in zip(b.column("node").to_pylist(), b.column("text")):
+            s = hasher.shingles(text.as_py()).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), node, np.int64)), pa.array(s)], names=["node", "s"])
+
+
 def _large(src: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Links between different components in large buckets, from block against block.
-
-    Nodes that large buckets connect are one family; a family is dealt to blocks of about BLOCK nodes, so most
-    families are one block. Two blocks are compared once if some bucket has members of both. What travels is registers (512
-    bytes a node, whatever the length of its text); texts go only to the pairs of blocks in which they have likely partners."""
-    lead = members.groupBy("key").agg(F.min("node").alias("lead"))
-    family = components(members.join(lead, "key").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
-    sizes = family.groupBy("comp").agg(F.count(F.lit(1)).alias("c"))
-    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / BLOCK))
-    home = family.join(sizes, "comp").select("node", F.xxhash64("comp", salt).alias("block"))
-    home = slim_checkpoint(home.join(members.select("node", "comp").distinct(), "node"))
-    held = members.select("key", "node").join(home.select("node", "block"), "node").select("key", "block").distinct()
-    held = slim_checkpoint(held)
-    pairs = held.withColumnRenamed("block", "bx").join(held.withColumnRenamed("block", "by"), "key").filter("bx <= by").select("bx", "by").distinct()
-    pairs = slim_checkpoint(pairs)
-    sketched = home.join(nodes, "node").select("block", "node", "comp", "n", "regs")
-    asked = pairs.select("bx", "by", F.explode(F.array_distinct(F.array("bx", "by"))).alias("block"))
-    found = slim_checkpoint(asked.join(sketched, "block").groupBy("bx", "by").applyInArrow(
-        _block_pairs(percent), "bx long, by long, a long, b long").select("a", "b", F.xxhash64("bx", "by").alias("cell")))
-    ids = slim_checkpoint(found.select(F.col("a").alias("node")).union(found.select("b")).distinct())
-    return _verify_cells(src, found, ids, ids.count(), percent)
+    """Links between different components among the nodes of large buckets.
+
+    Such buckets come from passages that many documents share: their members are alike without reaching the threshold.
+    So the members' shingles are ordered from rare to frequent, and two of them are candidates only if they share
+    one of the rarest of either: sets with a similarity of p percent must share one of the first n - ceil(p n / 100) + 1, at
+    places that leave room for the overlap they need. This loses nothing. Candidates are estimated and verified as others are."""
+    held = slim_checkpoint(members.select("node", "comp").distinct().join(nodes.select("node", "n"), "node"))
+    texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), held, "node", held.count())
+    shingles = reliable_checkpoint(texts.mapInArrow(_shingle_rows, "node long, s long").distinct())
+    common = reliable_checkpoint(shingles.groupBy("s").agg(F.count(F.lit(1)).alias("f")).filter("f > 1"))
+    rarest = Window.partitionBy("node").orderBy("f", "s")
+    ranked = (shingles.join(common, "s").withColumn("rank", F.row_number().over(rarest))
+              .withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("node"))).join(held, "node")
+              .withColumn("place", F.col("n") - F.col("shared") + F.col("rank"))
+              .filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
+    ranked = reliable_checkpoint(ranked.select("s", "node", "comp", "n", "place"))
+    x, y = ranked.alias("x"), ranked.alias("y")
+    room = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    pairs = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
+                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+                   & ((100 + percent) * room >= percent * (F.col("x.n") + F.col("y.n")))).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return _verify(src, _likely_pairs(nodes, pairs, percent), percent)
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:

@@ -66,7 +66,7 @@ def test_matches_brute_force(spark, pct):
 
 
 def test_blocks_find_what_leaders_leave(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "CELL", 16)
     monkeypatch.setattr(near_dedup, "FEW", 4)
     rows = corpus(3)
     df = spark.createDataFrame(rows, "doc_id long, text string")
