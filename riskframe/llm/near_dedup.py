@@ -12,8 +12,8 @@ only five standard errors below the threshold.
 
 No bucket is expanded into all its pairs:
 1. Documents with equal sets are one node (their smallest id) from the start.
-2. Every bucket compares its members with one leader, another one in each of a document's 42 buckets;
-   links are joined into components, and members of one component
+2. Every bucket compares its members with one leader, the node with the smallest of LEADERS hashes, so that the 42 buckets
+   of a group of copies have a few leaders between them. Links are joined into components, and members of one component
    are not compared again. This dissolves tight groups of any size in linear work.
 3. What is left are buckets with several components. Those of up to FEW members list their pairs of
    different components that were not compared yet. The members of larger ones are matched by their rarest shingles
@@ -44,6 +44,8 @@ from riskframe.session import reliable_checkpoint
 
 REGISTERS, MANTISSA_BITS = 256, 10
 BAND, BANDS = 6, 42
+#: Orders by which leaders of buckets are chosen.
+LEADERS = 4
 #: Pairs verified together, about.
 CELL = 128
 #: Buckets of up to so many members list their pairs of different components; larger ones go by rare shingles.
@@ -164,7 +166,8 @@ def _linked(src: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     # sketches of the nodes that share a bucket with another one
     nodes = reliable_checkpoint(nodes.join(open_.select("node").distinct(), "node"))
 
-    order = F.col("node").bitwiseXOR(F.xxhash64("key"))
+    # the same few leaders in nearly all buckets of a group of copies, so that a member is paired with few
+    order = F.xxhash64("node", F.pmod("key", F.lit(LEADERS)))
     lead = open_.groupBy("key").agg(F.min_by("node", order).alias("lead"))
     first = slim_checkpoint(open_.join(lead, "key").filter("node <> lead").select(
         F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
