@@ -1,18 +1,10 @@
-"""Quantile edges and bin counts for many columns from ONE scan.
+"""Quantile edges and bin counts for many columns.
 
-``value_counts`` reads the rows once: every (feature, value) with its row and class counts,
-map-side combined. Everything else works on that (much smaller) frame:
-
-1. exact quantiles (numpy's linear interpolation) at every fraction any bin count q in
-   2..n_bins can need (``quantiles_from_counts``): a grouped ``percentile`` with frequencies
-   for features whose distinct-value count is under a checked cap, else ranks from the
-   bucketed prefix sums and a broadcast lookup of the needed ranks;
-2. class counts per *elementary interval* of the union of all candidate edges (right-closed,
-   lowest edge included) through a broadcast range join with the small edges table.
-
-Bin counts for any candidate q are sums of elementary counts, so the min-bin-size search
-(re-binning with fewer quantiles while a bin is too small) runs on the driver over
-O(features x edges) numbers instead of one job per try.
+Edges at every fraction that any bin count q in 2..n_bins can need are exact order statistics
+(``order_stats``: bracket and count, no value is shuffled). One more scan counts the classes per *elementary
+interval* of the union of all candidate edges (right-closed, lowest edge included). Bin counts for any
+candidate q are sums of elementary counts, so the min-bin-size search (re-binning with fewer quantiles while a bin
+is too small) runs on the driver over O(features x edges) numbers instead of one job per try.
 """
 
 from __future__ import annotations
@@ -25,8 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.exprs import melt
-from riskframe.session import persist
+from riskframe.operators import order_stats
 
 EDGE_DIGITS = 9  # interior edges are rounded (tiny features: by their scale) so equal values land in the same bin on every engine
 
@@ -92,132 +83,33 @@ def _chosen_edges(cands: dict[int, list[float]], counts_for, n_bins: int, min_co
     return edges
 
 
-def value_counts(df: DataFrame, columns, target: str | None = None) -> DataFrame:
-    """(feature, v, c[, g, b]) for every column and distinct value (null included): ONE scan,
-    map-side combined, so a value held by a third of the rows is one row per partition.
-    ``columns`` is a list of numeric column names or a dict name -> Column expression."""
-    exprs = columns if isinstance(columns, dict) else {c: clean_double(c) for c in columns}
-    ids = [F.col(target).alias("__y")] if target is not None else []
-    long = melt(df, ids, {c: e.cast("double") for c, e in exprs.items()})
-    aggs = [F.count(F.lit(1)).alias("c")]
-    if target is not None:
-        aggs += [F.count_if(F.col("__y") == 0).alias("g"), F.count_if(F.col("__y") == 1).alias("b")]
-    return long.groupBy("feature", "v").agg(*aggs)
-
-
-# Features with at most this many distinct values take the grouped exact ``percentile`` over their
-# value counts (one bounded buffer per feature); more distinct values take the prefix-sum path.
-GROUPED_PERCENTILE_MAX_NDV = 100_000
-
-
-def quantiles_from_counts(counts: DataFrame, fractions: Sequence[float], n_buckets: int | None = None,
-                          grouped_max_ndv: int | None = None,
-                          feature_stats: dict[str, tuple[int, int]] | None = None) -> dict[str, list[float | None]]:
-    """Exact linear-interpolated quantiles (numpy's default) from ``(feature, v, c)``.
-
-    Per feature, by its checked number of distinct values:
-    * few distinct values: ``percentile(v, fractions, c)`` grouped by feature - the buffer
-      holds at most ``grouped_max_ndv`` values;
-    * many: cumulative counts from the bucketed prefix sum (no single-partition window, no
-      value map in one task); the ranks each quantile needs are known from the totals, and
-      a broadcast range join keeps only the values at those ranks (<= 2 per fraction)."""
-    from riskframe.operators.curves import prefix_below
-    fr = [float(f) for f in fractions]
-    nonnull = counts.where(F.col("v").isNotNull()).select("feature", "v", "c")
-    if feature_stats is None:  # (non-null rows, distinct non-null values) per feature
-        rows = nonnull.groupBy("feature").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("ndv")).collect()
-        feature_stats = {r["feature"]: (int(r["n"]), int(r["ndv"])) for r in rows}
-    totals = {f: n for f, (n, ndv) in feature_stats.items() if ndv > 0}
-    if not totals:
-        return {}
-    cap = GROUPED_PERCENTILE_MAX_NDV if grouped_max_ndv is None else grouped_max_ndv
-    small = [f for f in totals if feature_stats[f][1] <= cap]
-    out: dict[str, list[float | None]] = {}
-    if small:
-        rows = (nonnull.where(F.col("feature").isin(small)).groupBy("feature")
-                .agg(F.percentile(F.col("v"), F.lit(fr), F.col("c")).alias("q")).collect())
-        out.update({r["feature"]: [float(x) for x in r["q"]] for r in rows})
-    totals = {f: n for f, n in totals.items() if f not in out}
-    if not totals:
-        return out
-    nonnull = nonnull.where(F.col("feature").isin(list(totals)))
-    ranks: dict[str, list[int]] = {}
-    for feat, n in totals.items():
-        rs = set()
-        for f in fr:
-            lo = int(np.floor(f * (n - 1)))
-            rs.add(lo)
-            if lo + 1 <= n - 1:
-                rs.add(lo + 1)
-        ranks[feat] = sorted(rs)
-    pre = prefix_below(nonnull, "v", by=["feature"], cols=("c",), n_buckets=n_buckets, persist_input=False)
-    # Needed ranks: <= features x fractions x 2 rows, a proven bound, so the side is broadcast.
-    spark = counts.sparkSession
-    need = spark.createDataFrame([(f, r) for f, rs in ranks.items() for r in rs], "feature string, r long")
-    hit = pre.join(F.broadcast(need), (pre["feature"] == need["feature"]) & (need["r"] >= pre["c_below"])
-                   & (need["r"] < pre["c_below"] + pre["c"]))
-    found = {(r["feature"], int(r["r"])): r["v"] for r in hit.select(pre["feature"], "r", "v").collect()}
-
-    def value_at(feat: str, rank: int) -> float:
-        return found[(feat, rank)]
-
-    for feat, n in totals.items():
-        vals = []
-        for f in fr:
-            h = f * (n - 1)
-            lo = int(np.floor(h))
-            a = value_at(feat, lo)
-            b = value_at(feat, lo + 1) if lo + 1 <= n - 1 else a
-            t = h - lo
-            vals.append(float(a + (b - a) * t) if t < 0.5 else float(b - (b - a) * (1 - t)))
-        out[feat] = vals
-    return out
-
-
 def exact_quantiles(df: DataFrame, columns, fractions: Sequence[float]) -> dict[str, list[float | None]]:
-    """Exact quantiles of many numeric columns (names or name -> Column) with distributed work only."""
-    vc = persist(value_counts(df, columns))
-    res = quantiles_from_counts(vc, fractions)
-    vc.unpersist()
-    return {c: res.get(c, [None] * len(fractions)) for c in (list(columns))}
+    """Exact quantiles (numpy's linear interpolation) of numeric columns (names or name -> Column)."""
+    exprs = columns if isinstance(columns, dict) else {c: clean_double(c) for c in columns}
+    got = order_stats.quantiles(df, exprs, [float(f) for f in fractions])
+    return {c: got[c] if got[c] is not None else [None] * len(fractions) for c in exprs}
 
 
 def numeric_bin_stats(df: DataFrame, features: Sequence[str], target: str, n_bins: int = 10,
                       min_bin_size: float = 0.05, method: str = "quantile", approx: bool = False,
-                      accuracy: int = 100000, counts: DataFrame | None = None,
-                      totals: tuple[int, int, int] | None = None,
-                      feature_stats: dict[str, tuple[int, int]] | None = None) -> tuple[list[NumericBins], int, int, int]:
+                      accuracy: int = 100000) -> tuple[list[NumericBins], int, int, int]:
     """Fit right-closed bins for numeric ``features``; returns (bins, n_rows, n_good, n_bad).
 
-    One scan of ``df`` builds the per-feature value counts by class (or the caller passes
-    ``counts`` = (feature, v, c, g, b) and ``totals`` = (n, good, bad) from a shared scan);
-    quantiles, the min-bin-size search and the bin counts all come from that smaller frame."""
+    Edges of every bin count come from one set of order statistics; one more scan counts the classes
+    between all of them, and the min-bin-size search adds up those counts on the driver."""
     features = list(features)
     per_q = quantile_fractions(n_bins)
     union = sorted(set(v for vs in per_q.values() for v in vs))
+    bounds = [f(clean_double(c)).alias(f"{k}{i}") for i, c in enumerate(features) for k, f in (("lo", F.min), ("hi", F.max))]
+    tot = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(target) == 0).alias("g"),
+                 F.count_if(F.col(target) == 1).alias("b"), *(bounds if method == "width" else [])).first()
+    n, good, bad = int(tot["n"]), int(tot["g"]), int(tot["b"])
     if not features:
-        if totals is not None:
-            return [], *totals
-        r = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(target) == 0).alias("g"),
-                   F.count_if(F.col(target) == 1).alias("b")).first()
-        return [], r["n"], r["g"], r["b"]
-    own = counts is None
-    vc = persist(value_counts(df, features, target)) if own else counts
-    if totals is None:
-        tot = vc.where(F.col("feature") == features[0]).agg(F.sum("c").alias("n"), F.sum("g").alias("g"),
-                                                             F.sum("b").alias("b")).first()
-        n, good, bad = int(tot["n"] or 0), int(tot["g"] or 0), int(tot["b"] or 0)
-    else:
-        n, good, bad = totals
-    if approx:
-        row = df.agg(*[F.percentile_approx(clean_double(c), union, accuracy).alias(c) for c in features]).first()
-        qs_all = {c: list(row[c]) if row[c] is not None else None for c in features}
-    else:
-        qs_all = quantiles_from_counts(vc, union, feature_stats=feature_stats)
-    mm = {}
-    if method == "width":
-        for r in vc.where(F.col("v").isNotNull()).groupBy("feature").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect():
-            mm[r["feature"]] = (r["lo"], r["hi"])
+        return [], n, good, bad
+    found = quantile_edges(df, features, union, approx, accuracy)
+    qs_all = {c: qs if qs and qs[0] is not None else None for c, qs in found.items()}
+    mm = {c: (tot[f"lo{i}"], tot[f"hi{i}"]) for i, c in enumerate(features)
+          if method == "width" and tot[f"lo{i}"] is not None}
 
     cands: dict[str, dict[int, list[float]]] = {}
     pos = {f: i for i, f in enumerate(union)}
@@ -230,25 +122,21 @@ def numeric_bin_stats(df: DataFrame, features: Sequence[str], target: str, n_bin
         if method == "width" and c in mm:
             cands[c][n_bins] = width_edges(mm[c][0], mm[c][1], n_bins)
 
-    # Union of candidate edges per feature: elementary right-closed intervals, counted from
-    # the value-count frame (no second scan of the rows).
+    # Union of candidate edges per feature: elementary right-closed intervals, counted in one scan. On doubles (a, b] is
+    # [next_up(a), next_up(b)); the lowest edge belongs to the first interval.
     elem_edges = {c: sorted(set(e for es in cands[c].values() for e in es)) for c in features}
     active = [c for c in features if len(elem_edges[c]) >= 2]
     elem_counts: dict[str, dict[int, tuple[int, int]]] = {c: {} for c in features}
     if active:
-        # Elementary intervals as a table (<= features x candidate edges rows: a proven bound, so it is
-        # broadcast) and a range join instead of one CASE nested by feature, which would outgrow
-        # generated-code limits with a hundred features.
-        spark = df.sparkSession
-        iv_rows = [(c, j, float(u[j]), float(u[j + 1])) for c in active for u in [elem_edges[c]] for j in range(len(u) - 1)]
-        elems = spark.createDataFrame(iv_rows, "feature string, elem int, lo double, hi double")
-        vals = vc.where(F.col("v").isNotNull() & F.col("feature").isin(active)).select("feature", "v", "g", "b")
-        cond = ((vals["feature"] == elems["feature"])
-                & (((vals["v"] > elems["lo"]) & (vals["v"] <= elems["hi"])) | ((elems["elem"] == 0) & (vals["v"] == elems["lo"]))))
-        agg = (vals.join(F.broadcast(elems), cond)
-               .groupBy(elems["feature"], elems["elem"]).agg(F.sum("g").alias("g"), F.sum("b").alias("b")))
-        for r in agg.collect():  # bounded: features x elementary intervals
-            elem_counts[r["feature"]][r["elem"]] = (int(r["g"]), int(r["b"]))
+        inner = {c: sorted({u[0], *(order_stats.next_up(e) for e in u[1:])}) for c, u in elem_edges.items() if c in active}
+        splits = {f"c{i}": [float("-inf"), *inner[c], float("inf")] for i, c in enumerate(active)}
+        values = df.select(F.col(target).alias("__y"), *(clean_double(c).alias(f"c{i}") for i, c in enumerate(active)))
+        agg = order_stats.cells(values, splits, ["__y"]).groupBy("feature", "cell").agg(
+            F.count_if(F.col("__y") == 0).alias("g"), F.count_if(F.col("__y") == 1).alias("b"))
+        for r in agg.collect():  # bounded: features x elementary intervals; cell 0 and the last one lie outside the edges
+            name = active[int(r["feature"][1:])]
+            if 0 < r["cell"] < len(elem_edges[name]):
+                elem_counts[name][r["cell"] - 1] = (int(r["g"]), int(r["b"]))
 
     out = []
     min_count = n * min_bin_size
@@ -275,6 +163,4 @@ def numeric_bin_stats(df: DataFrame, features: Sequence[str], target: str, n_bin
         edges = _chosen_edges(cands[c], lambda e: [g + b for g, b in zip(*sums(e))], n_bins, min_count)
         gs, bs = sums(edges)
         out.append(NumericBins(c, edges, gs, bs))
-    if own:
-        vc.unpersist()
     return out, n, good, bad

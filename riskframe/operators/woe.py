@@ -180,40 +180,10 @@ class WoeEncoder:
         numeric = [c for c in features if isinstance(types[c], (NumericType, BooleanType))]
         categorical = [c for c in features if c not in numeric]
 
-        # ONE scan for all features: numeric values and categories share an unpivot through a
-        # struct<num, cat> value, grouped once by (feature, value) with class counts.
-        y = F.col(target)
-        arr = F.array(
-            *[F.struct(F.lit(c).alias("feature"), clean_double(c).alias("num"), F.lit(None).cast("string").alias("cat"))
-              for c in numeric],
-            *[F.struct(F.lit(c).alias("feature"), F.lit(None).cast("double").alias("num"), category_key(c).alias("cat"))
-              for c in categorical])
-        vc_all = persist(
-            df.select(y.alias("__y"), F.inline(arr))
-            .groupBy("feature", "num", "cat")
-            .agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("__y") == 0).alias("g"),
-                 F.count_if(F.col("__y") == 1).alias("b"))
-        )
         if not features:
             raise ValueError("no features to encode")
-        # ONE small job for every per-feature number the fit needs: row and class totals, non-null
-        # rows and distinct values (numeric), number of categories (categorical).
-        fs = {r["feature"]: r for r in vc_all.groupBy("feature").agg(
-            F.sum("c").alias("n"), F.sum("g").alias("g"), F.sum("b").alias("b"),
-            F.sum(F.when(F.col("num").isNotNull(), F.col("c"))).alias("n_num"), F.count("num").alias("ndv_num"),
-            F.count(F.lit(1)).alias("n_groups")).collect()}
-        first = fs.get(features[0])
-        if first is None:  # no rows at all
-            vc_all.unpersist()
-            raise ValueError("Target must contain both classes (0 and 1)")
-        totals = (int(first["n"] or 0), int(first["g"] or 0), int(first["b"] or 0))
-        num_stats = {c: (int(fs[c]["n_num"] or 0), int(fs[c]["ndv_num"])) for c in numeric}
-        num_counts = (vc_all.where(F.col("feature").isin(numeric))
-                      .select("feature", F.col("num").alias("v"), "c", "g", "b"))
-        nbins, n, G, B = numeric_bin_stats(df, numeric, target, self.n_bins, self.min_bin_size, self.method,
-                                           self.approx, counts=num_counts, totals=totals, feature_stats=num_stats)
+        nbins, n, G, B = numeric_bin_stats(df, numeric, target, self.n_bins, self.min_bin_size, self.method, self.approx)
         if G == 0 or B == 0:
-            vc_all.unpersist()
             raise ValueError("Target must contain both classes (0 and 1)")
 
         rows = []
@@ -228,10 +198,11 @@ class WoeEncoder:
         cat_counts: dict[str, int] = {}
         bins = num_df
         if categorical:
-            cat = (vc_all.where(F.col("feature").isin(categorical))
-                   .select("feature", F.col("cat").alias("category"), F.col("g").alias("good"),
-                           F.col("b").alias("bad")))
-            cat_counts = {c: int(fs[c]["n_groups"]) for c in categorical}
+            keys = F.array(*[F.struct(F.lit(c).alias("feature"), category_key(c).alias("category")) for c in categorical])
+            cat = persist(df.select(F.col(target).alias("__y"), F.inline(keys)).groupBy("feature", "category").agg(
+                F.count_if(F.col("__y") == 0).alias("good"), F.count_if(F.col("__y") == 1).alias("bad")))
+            cat_counts = {c: 0 for c in categorical} | {
+                r["feature"]: int(r["count"]) for r in cat.groupBy("feature").count().collect()}
             cat_bins = cat.select(
                 "feature", F.lit("categorical").alias("kind"),
                 F.lit(None).cast("int").alias("bin_id"),
@@ -239,9 +210,7 @@ class WoeEncoder:
                 "category", F.col("good").cast("long").alias("good"), F.col("bad").cast("long").alias("bad"),
                 _woe_col(F.col("good"), F.col("bad"), G, B).alias("woe"),
             )
-            bins = num_df.unionByName(cat_bins)  # stays lazy on the cached value counts (distinct values only)
-        else:
-            vc_all.unpersist()
+            bins = num_df.unionByName(cat_bins)  # stays lazy on the cached category counts
         params = {"n_bins": self.n_bins, "min_bin_size": self.min_bin_size, "method": self.method}
         return WoeModel(bins, edges, woes, cat_counts, int(G), int(B), self.handle_unknown, params)
 
