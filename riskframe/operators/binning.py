@@ -9,7 +9,6 @@ is too small) runs on the driver over O(features x edges) numbers instead of one
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,9 +18,6 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import order_stats
 
-EDGE_DIGITS = 9  # interior edges are rounded (tiny features: by their scale) so equal values land in the same bin on every engine
-
-
 def clean_double(c: str) -> F.Column:
     x = F.col(c).cast("double")
     return F.when(~F.isnan(x), x)
@@ -32,14 +28,8 @@ def quantile_fractions(n_bins: int, min_q: int = 2) -> dict[int, list[float]]:
 
 
 def dedupe_edges(values: Sequence[float | None]) -> list[float]:
-    vals = [v for v in values if v is not None]
-    if not vals:
-        return []
-    first, last = vals[0], vals[-1]
-    scale = max(abs(first), abs(last))
-    digits = EDGE_DIGITS if scale >= 1e-3 or scale == 0 else EDGE_DIGITS + math.ceil(-math.log10(scale))
-    inner = [min(max(round(v, digits), first), last) for v in vals[1:-1]]
-    return sorted(set([first, *inner, last]))
+    """Distinct edges in order, unrounded."""
+    return sorted({v for v in values if v is not None})
 
 
 def quantile_edges(df: DataFrame, columns: Sequence[str], fractions: Sequence[float], approx: bool = False,

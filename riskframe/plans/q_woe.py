@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.operators.binning import dedupe_edges, quantile_edges, quantile_fractions
+from riskframe.operators.binning import dedupe_edges, numeric_bin_stats, quantile_edges, quantile_fractions
 from riskframe.operators.selection import calculate_iv, select_by_iv
 from riskframe.operators.woe import MISSING_TOKEN, WoeEncoder
 from riskframe.plans.common import out
@@ -54,7 +54,7 @@ def woe_ctes(src: str = "gaps WHERE split = 'train'") -> list[str]:
         f"qa AS (SELECT feature, quantile_cont(x, {_flist(union)}) AS es FROM long GROUP BY feature)",
         f"fr AS (SELECT feature, UNNEST(es) AS e, UNNEST({_flist(union)}) AS frac FROM qa)",
         f"qf AS (SELECT * FROM (VALUES {qf_vals}) v(q, frac))",
-        """qe AS (SELECT DISTINCT fr.feature, qf.q, CASE WHEN fr.frac = 0.0 OR fr.frac = 1.0 THEN fr.e ELSE ROUND(fr.e, 9) END AS e
+        """qe AS (SELECT DISTINCT fr.feature, qf.q, fr.e
                FROM fr JOIN qf ON fr.frac = qf.frac WHERE fr.e IS NOT NULL)""",
         """qb AS (SELECT feature, q, e AS lo, LEAD(e) OVER (PARTITION BY feature, q ORDER BY e) AS hi,
                ROW_NUMBER() OVER (PARTITION BY feature, q ORDER BY e) - 1 AS bin_id,
@@ -103,8 +103,7 @@ def _edges_sql() -> str:
     return with_loans(GAPS_CTE, "tr AS (SELECT * FROM gaps WHERE split = 'train')", f"long AS ({long_num})",
                       f"qa AS (SELECT feature, quantile_cont(x, {_flist(fr)}) AS es FROM long GROUP BY feature)",
                       f"fr AS (SELECT feature, UNNEST(es) AS e, UNNEST({_flist(fr)}) AS frac FROM qa)",
-                      """qe AS (SELECT DISTINCT feature, CASE WHEN frac = 0.0 OR frac = 1.0 THEN e ELSE ROUND(e, 9) END AS e
-                             FROM fr WHERE e IS NOT NULL)""",
+                      "qe AS (SELECT DISTINCT feature, e FROM fr WHERE e IS NOT NULL)",
                       body=f"""SELECT feature, CAST(ROW_NUMBER() OVER (PARTITION BY feature ORDER BY e) - 1 AS INTEGER) AS edge_index,
   {r6('e', 'edge')} FROM qe""")
 
@@ -117,6 +116,30 @@ def q_quantile_edges(spark, sf):
     return out(spark.createDataFrame(rows, "feature string, edge_index int, edge double"))
 
 
+# A feature of about 2,000 distinct values within 2e-8 of 1: its edges differ in the eleventh digit.
+SMALL_SPREAD = "1.0D + CAST(l_orderkey % 2003 AS DOUBLE) * 1e-11D"
+
+
+def _small_spread_sql() -> str:
+    fr = _flist(quantile_fractions(N_BINS)[N_BINS])
+    return with_loans("x AS (SELECT CAST(1.0 AS DOUBLE) + CAST(l_orderkey % 2003 AS DOUBLE) * CAST(1e-11 AS DOUBLE) AS x, y FROM loans)",
+                      f"e AS (SELECT DISTINCT UNNEST(quantile_cont(x, {fr})) AS lo FROM x)",
+                      "b AS (SELECT lo, LEAD(lo) OVER (ORDER BY lo) AS hi, ROW_NUMBER() OVER (ORDER BY lo) - 1 AS bin_id FROM e)",
+                      body="""SELECT CAST(bin_id AS INTEGER) AS bin_id, ROUND((lo - 1) * 1e11, 2) AS lower_steps, ROUND((hi - 1) * 1e11, 2) AS upper_steps,
+  CAST(SUM(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS BIGINT) AS good, CAST(SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS bad
+FROM b JOIN x ON (x.x > lo AND x.x <= hi) OR (bin_id = 0 AND x.x = lo) WHERE hi IS NOT NULL GROUP BY ALL""")
+
+
+@register("quantile_edges_small_spread", _small_spread_sql())
+def q_quantile_edges_small_spread(spark, sf):
+    df = loans_with_gaps(spark, sf).select(F.expr(SMALL_SPREAD).alias("x"), "y")
+    bins = numeric_bin_stats(df, ["x"], "y", N_BINS, MIN_BIN)[0][0]
+    rows = [(i, lo, hi, g, b) for i, (lo, hi, g, b) in enumerate(zip(bins.edges, bins.edges[1:], bins.good, bins.bad))]
+    steps = lambda c: F.round((F.col(c) - 1) * 1e11, 2).alias(f"{c}_steps")
+    return spark.createDataFrame(rows, "bin_id int, lower double, upper double, good long, bad long").select(
+        "bin_id", steps("lower"), steps("upper"), "good", "bad")
+
+
 @register("woe_numeric", _recursive(with_loans(GAPS_CTE, *woe_ctes(), body=f"""SELECT feature, CAST(bin_id AS INTEGER) AS bin_id,
   {r6('lo', 'lower')}, {r6('hi', 'upper')}, CAST(good AS BIGINT) AS good, CAST(bad AS BIGINT) AS bad, {r6('woe', 'woe')} FROM nbins""")))
 def q_woe_numeric(spark, sf):

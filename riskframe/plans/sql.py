@@ -134,7 +134,7 @@ def psi_ctes(e_src: str, a_src: str, buckets: int = 10) -> str:
 pa AS ({a_src}),
 pqa AS (SELECT key, quantile_cont(x, {fr}) AS es FROM pe WHERE x IS NOT NULL GROUP BY key),
 pfr AS (SELECT key, UNNEST(es) AS v, UNNEST({fr}) AS frac FROM pqa),
-ped AS (SELECT DISTINCT key, CASE WHEN frac = 0.0 OR frac = 1.0 THEN v ELSE ROUND(v, 9) END AS v FROM pfr),
+ped AS (SELECT DISTINCT key, v FROM pfr),
 pedo AS (SELECT key, v, ROW_NUMBER() OVER (PARTITION BY key ORDER BY v) - 1 AS i, COUNT(*) OVER (PARTITION BY key) AS k FROM ped),
 pbk AS (SELECT a.key, a.i AS bucket, a.v AS lo, b.v AS hi FROM pedo a JOIN pedo b ON a.key = b.key AND b.i = a.i + 1),
 ptag AS (SELECT key, x, 1 AS is_e FROM pe WHERE x IS NOT NULL UNION ALL SELECT key, x, 0 FROM pa WHERE x IS NOT NULL),

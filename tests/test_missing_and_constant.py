@@ -78,4 +78,4 @@ def test_out_of_time_rows_are_the_configured_ones(spark):
 def test_edges_of_tiny_features_stay_inside_their_range():
     from riskframe.operators.binning import dedupe_edges
     assert dedupe_edges([1e-10, 3e-10, 5.5e-10, 9e-10]) == [1e-10, 3e-10, 5.5e-10, 9e-10]
-    assert dedupe_edges([0.5, 0.50000000001, 0.9]) == [0.5, 0.9]
+    assert dedupe_edges([0.5, 0.50000000001, 0.5, 0.9]) == [0.5, 0.50000000001, 0.9]
