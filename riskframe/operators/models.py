@@ -22,10 +22,11 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.operators import isotonic
 from riskframe.operators.split import kfold
 from riskframe.session import persist
 
@@ -181,7 +182,9 @@ def fit_model(df: DataFrame, features: Sequence[str], target: str, spec: ModelSp
     # is read and encoded once; the weight column is a projection on top of the cache.
     cached = persist(VectorAssembler(inputCols=features, outputCol=VEC, handleInvalid="error").transform(base)
                      .select(VEC, label, "fold"))
-    n0, n1 = class_counts(cached, label)
+    by_fold = {r["fold"]: (int(r["n0"]), int(r["n1"])) for r in cached.groupBy("fold").agg(
+        F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")).collect()}
+    n0, n1 = (sum(n[c] for n in by_fold.values()) for c in (0, 1))
     if n0 == 0 or n1 == 0:
         cached.unpersist()
         raise ValueError("Target must contain both classes (0 and 1)")
@@ -193,14 +196,14 @@ def fit_model(df: DataFrame, features: Sequence[str], target: str, spec: ModelSp
         return model
 
     def one_fold(k: int):
-        tr = assembled.where(F.col("fold") != k)
-        ho = assembled.where(F.col("fold") == k)
-        n_tr = n0 + n1  # regularisation scale of the full fit (fold sizes are ~2/3 of it)
-        m = _estimator(spec, int(n_tr * (folds - 1) / folds), label).fit(tr)
+        # class weights and regularisation follow the classes of the fold's own training rows
+        held0, held1 = by_fold.get(k, (0, 0))
+        tr = cached.where(F.col("fold") != k).withColumn(WEIGHT, _weight_for(spec, label, max(n0 - held0, 1), max(n1 - held1, 1)))
+        ho = cached.where(F.col("fold") == k)
+        m = _estimator(spec, n0 + n1 - held0 - held1, label).fit(tr)
         tag = "__c"
         scored = _with_cols(m, tag).transform(ho).withColumn("__x", _raw_score(m, spec.kind, tag))
-        iso = IsotonicRegression(featuresCol="__x", labelCol=label, predictionCol="__cal", isotonic=True).fit(scored)
-        return m, iso
+        return m, isotonic.fit(scored, "__x", label)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, folds))) as pool:
         fitted = list(pool.map(one_fold, range(folds)))

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
+from riskframe.operators import isotonic
 from riskframe.operators.metrics import compare_models
 from riskframe.operators.models import (
     ModelSpec, class_weight_table, evaluate_cv, fit_model, pick_best,
@@ -99,3 +102,22 @@ def q_pick_best(spark, sf):
         scored = model_for(spark, sf, name, True).score(scored, out=name)
     metrics = compare_models(scored, "y", MODEL_ORDER)
     return out(pick_best(metrics, "model", MODEL_ORDER).select("model", "auc", "ece", "selection_score"))
+
+
+def _isotonic_sql() -> str:
+    """The max-min formula over distinct scores: the largest, over starts, of the smallest mean up to any end."""
+    return with_loans(
+        "x AS (SELECT p AS score, COUNT(*) AS n, SUM(y) AS s FROM loans GROUP BY p)",
+        "c AS (SELECT *, ROW_NUMBER() OVER o AS i, SUM(n) OVER o AS cn, SUM(s) OVER o AS cs FROM x WINDOW o AS (ORDER BY score))",
+        "m AS (SELECT a.i AS a, b.i AS b, CAST(b.cs - a.cs + a.s AS DOUBLE) / (b.cn - a.cn + a.n) AS mean FROM c a JOIN c b ON b.i >= a.i)",
+        """l AS (SELECT a, b, MIN(mean) OVER (PARTITION BY a ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS low FROM m)""",
+        "f AS (SELECT b AS i, MAX(low) AS v FROM l GROUP BY b)",
+        body=f"SELECT score, CAST(n AS BIGINT) AS n, {r6('v', 'calibrated')} FROM c JOIN f USING (i)")
+
+
+@register("isotonic_calibration", _isotonic_sql())
+def q_isotonic_calibration(spark, sf):
+    rows = loans_with_gaps(spark, sf).select("p", "y")
+    model = isotonic.fit(rows, "p", "y")
+    scores = rows.groupBy(F.col("p").alias("score")).agg(F.count(F.lit(1)).alias("n"))
+    return out(model.setFeaturesCol("score").transform(scores).select("score", "n", F.col("__cal").alias("calibrated")))
