@@ -173,8 +173,7 @@ def psi_interpretation(psi: Column | str) -> Column:
 def calculate_psi_detailed(expected: DataFrame, actual: DataFrame, col: str, buckets: int = 10
                            ) -> tuple[DataFrame, DataFrame]:
     """(summary row with psi/interpretation/sizes, bucket rows)."""
-    detail = _drift.psi_buckets(expected, actual, col, buckets)
-    return _drift.psi_summary(detail), detail
+    return _drift.calculate_psi_detailed(expected, actual, col, buckets)
 
 
 def save_psi_report(report: DataFrame, path: str) -> None:

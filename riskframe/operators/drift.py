@@ -100,6 +100,19 @@ def psi_summary(detail: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return g.withColumn("psi", psi).withColumn("interpretation", psi_label("psi"))
 
 
+def calculate_psi_detailed(expected: DataFrame, actual: DataFrame, col: str, buckets: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(one summary row with psi, interpretation and sizes, bucket rows). A reference with fewer than two distinct edges
+    has no buckets and psi 0; the sizes are those of the rows with a value."""
+    detail = psi_buckets(expected, actual, col, buckets)
+    size = lambda df, name: df.agg(F.count(clean_double(col)).alias(name))
+    sizes = size(expected, "n_expected").withColumn("_k", F.lit(1)).join(size(actual, "n_actual").withColumn("_k", F.lit(1)), "_k")
+    psi = psi_summary(detail).select("psi", F.lit(1).alias("_k"))
+    rows = sizes.join(psi, "_k", "left")
+    none = (F.col("n_expected") == 0) | (F.col("n_actual") == 0)
+    value = F.when(none, F.lit(float("nan"))).otherwise(F.coalesce("psi", F.lit(0.0)))
+    return rows.select(value.alias("psi"), "n_expected", "n_actual").withColumn("interpretation", psi_label("psi")), detail
+
+
 def calculate_psi(expected: DataFrame, actual: DataFrame, col: str, buckets: int = 10) -> DataFrame:
     """One-row PSI; 0.0 when the reference has fewer than two distinct edges."""
     s = psi_summary(psi_buckets(expected, actual, col, buckets))

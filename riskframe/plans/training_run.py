@@ -57,6 +57,7 @@ class RunResult:
     attribution: DataFrame | None = None
     rank_comparison: DataFrame | None = None
     artifacts: dict[str, str] = field(default_factory=dict)
+    checks: DataFrame | None = None
 
 
 def model_spec(cfg: RiskConfig, name: str) -> ModelSpec:
@@ -104,7 +105,7 @@ def prepare_and_impute(df: DataFrame, cfg: RiskConfig, keys: Sequence[str], stri
     """P10 in full: checks, split, imputer fitted on train and applied to every part.
 
     ``strict`` raises if a check fails; otherwise the check rows are part of the result."""
-    checks = run_all_checks(df, cfg.target, cfg.date_column or "", cfg.forbidden_columns, strict=strict)
+    checks = run_all_checks(df, cfg.target, cfg.date_column, cfg.forbidden_columns, strict=strict)
     train, test, oot = prepare_data(df, cfg, keys)
     feats = [c for c in feature_columns(df, cfg.target, cfg.date_column, cfg.forbidden_columns) if c not in keys]
     imputer = fit_imputer(train.select(*feats))
@@ -182,6 +183,7 @@ def run_training(spark: SparkSession, df: DataFrame, cfg: RiskConfig, keys: Sequ
                              "psi": psi.select("psi"), "decision": dec, "expected_loss": el}, model=best)
     res = RunResult(imputer, encoder, selected, iv, models, best, test_metrics, val_metrics, psi, dec, thr, opt, el,
                     detail, var_psi, report, attr, ranks)
+    res.checks = ready.checks
     if artifacts_dir is not None:
         res.artifacts = save_artifacts(res, artifacts_dir)
     return res
@@ -193,13 +195,15 @@ def save_artifacts(res: RunResult, root: str) -> dict[str, str]:
     paths = {
         "metrics_report": f"{root}/metrics_report", "decision_thresholds": f"{root}/decision_thresholds",
         "psi_report": f"{root}/monitoring/psi_report", "iv_table": f"{root}/iv_table", "variable_psi": f"{root}/monitoring/variable_psi",
-        "woe_encoder": f"{root}/woe_encoder", "best_model": f"{root}/best_model",
+        "woe_encoder": f"{root}/woe_encoder", "best_model": f"{root}/best_model", "data_checks": f"{root}/data_checks",
     }
     save_json_table(res.report, paths["metrics_report"])
     save_table(res.thresholds.orderBy("threshold"), paths["decision_thresholds"], fmt="csv", single_file=True)
     save_json_table(res.psi_detail, paths["psi_report"])
     save_json_table(res.iv_table, paths["iv_table"])
     save_json_table(res.variable_psi, paths["variable_psi"])
+    if res.checks is not None:
+        save_json_table(res.checks, paths["data_checks"])
     res.encoder.save(paths["woe_encoder"])
     res.models[res.best_model].save(paths["best_model"])
     return paths
@@ -213,6 +217,8 @@ def load_artifacts(spark: SparkSession, root: str) -> dict:
         "model": CalibratedModel.load(spark, f"{root}/best_model"),
         "metrics": load_json_table(spark, f"{root}/metrics_report"),
         "psi": load_json_table(spark, f"{root}/monitoring/psi_report"),
+        "variable_psi": load_json_table(spark, f"{root}/monitoring/variable_psi"),
+        "checks": load_json_table(spark, f"{root}/data_checks"),
     }
 
 

@@ -83,3 +83,13 @@ def test_empty_actual_side_gives_nan(spark):
     a = spark.createDataFrame([], "x double")
     r = calculate_psi(e, a, "x").first()
     assert r["psi"] != r["psi"]  # NaN, as for an empty side in the reference
+
+
+def test_detailed_psi_of_a_constant_reference_is_zero(spark):
+    from riskframe.operators.drift import calculate_psi_detailed
+    ref = spark.createDataFrame([(1.0,)] * 5 + [(None,)], "x double")
+    act = spark.createDataFrame([(2.0,), (3.0,), (float("nan"),)], "x double")
+    summary, detail = calculate_psi_detailed(ref, act, "x")
+    r = summary.first()
+    assert (r["psi"], r["interpretation"], r["n_expected"], r["n_actual"]) == (0.0, "stable", 5, 2) and detail.isEmpty()
+    assert calculate_psi_detailed(ref, act.limit(0), "x")[0].first()["psi"] != 0.0  # nothing to compare: not a number

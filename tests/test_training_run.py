@@ -26,3 +26,17 @@ def test_run_and_artifacts(spark, tmp_path):
     scored = score_batch(te, art["encoder"], art["model"], keep=LOAN_KEY).collect()
     assert len(scored) == 100 and all(r["decision"] in ("Approve", "Manual Review", "Decline") for r in scored)
     assert art["metrics"].count() == res.report.count()
+    checks = {r["check"]: r["passed"] for r in art["checks"].collect()}
+    assert checks["target_values"] and checks["schema"] and "date_order" not in checks and len(checks) == res.checks.count()
+    assert art["variable_psi"].count() == res.variable_psi.count()
+
+
+def test_strict_checks_without_a_date_column(spark):
+    import pytest
+
+    from riskframe.plans.training_run import prepare_and_impute
+    df = loans_with_gaps(spark, "/root/testdata/sf0.001").select(*LOAN_KEY, "l_linestatus", "l_quantity", "y")
+    ready = prepare_and_impute(df, RiskConfig(target="y"), LOAN_KEY, strict=True)
+    assert ready.checks.where("not passed").count() == 0 and ready.train.count() + ready.test.count() == df.count()
+    with pytest.raises(ValueError):
+        prepare_and_impute(df.withColumn("y", F.lit(1)), RiskConfig(target="y"), LOAN_KEY, strict=True)
