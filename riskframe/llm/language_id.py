@@ -39,13 +39,15 @@ class Space:
 
     def __init__(self) -> None:
         self.letters: dict[int, np.ndarray] = {}
-        self.is_letter = np.zeros(0x110000, bool)
+        self.is_letter = np.zeros(0x110000, bool)  # letters and the marks on them
+        self.is_base = np.zeros(0x110000, bool)  # letters
         self.known = np.zeros(0x110000, bool)
 
     def _mask(self, codes: np.ndarray) -> np.ndarray:
         if not self.known[codes].all():
             for c in np.unique(codes[~self.known[codes]]).tolist():
-                self.is_letter[c] = unicodedata.category(chr(c))[0] in "LM"
+                kind = unicodedata.category(chr(c))[0]
+                self.is_letter[c], self.is_base[c] = kind in "LM", kind == "L"
                 self.known[c] = True
         return self.is_letter[codes]
 
@@ -55,15 +57,17 @@ class Space:
         return self.letters[code]
 
     def trigrams(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Trigram keys and counts; runs of other characters are one blank, texts begin and end with one."""
+        """Trigram keys and counts; runs of other characters are one blank, texts begin and end with one. A text
+        without a letter (marks alone are none) has no trigrams."""
         if not text:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        keys, counts = [], []
+        keys, counts, base = [], [], False
         for at in range(0, len(text), BLOCK):
             codes = np.frombuffer(text[at:at + BLOCK].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
             letter = self._mask(codes)
             if not letter.any():
                 continue
+            base = base or bool(self.is_base[codes].any())
             codes = np.where(letter, codes, 32)
             keep = letter.copy()
             keep[1:] |= letter[:-1]
@@ -72,6 +76,8 @@ class Space:
             k, n = np.unique((c[:-2] << 42) | (c[1:-1] << 21) | c[2:], return_counts=True)
             keys.append(k)
             counts.append(n)
+        if not base:
+            keys = []
         if len(keys) > 1:
             k, back = np.unique(np.concatenate(keys), return_inverse=True)
             return k, np.bincount(back, np.concatenate(counts)).astype(np.int64)

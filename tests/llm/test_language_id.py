@@ -66,3 +66,9 @@ def test_empty_tables_no_labels_and_stage(spark):
     assert {r.lang_pred for r in li.identified(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     stage = li.with_language(df)
     assert stage.columns == df.columns and {r.doc_id for r in stage.collect()} == set(range(30)) | {1003, None}
+
+
+def test_marks_alone_are_no_letters():
+    space = li.Space()
+    assert not len(space.trigrams("\u0301\u0308 12 \u0301")[0])
+    assert len(space.trigrams("e\u0301")[0])
