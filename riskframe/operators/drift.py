@@ -203,11 +203,16 @@ def psi_by_period(df: DataFrame, col: str, ts_col: str, baseline_end: str, windo
     act = (df.where(clean_double(col).isNotNull())
            .groupBy(F.window(ts, window).start.cast("string").alias("window_start"), b.alias("bucket"))
            .agg(F.count(F.lit(1)).alias("actual_count")))
+    return window_psi(act, exp_counts, len(edges) - 1)
+
+
+def window_psi(actual: DataFrame, expected: DataFrame, buckets: int) -> DataFrame:
+    """PSI of every window from its counts (window_start, bucket, actual_count) against (bucket, expected_count)."""
     # Every window gets every bucket id (<= buckets rows per window, bounded by the time range).
-    ids = F.array(*[F.lit(i) for i in range(len(edges) - 1)])
-    full = (act.select("window_start").distinct().select("window_start", F.explode(ids).alias("bucket"))
-            .join(exp_counts, on="bucket", how="left")
-            .join(act, on=["window_start", "bucket"], how="left")
+    ids = F.array(*[F.lit(i) for i in range(buckets)])
+    full = (actual.select("window_start").distinct().select("window_start", F.explode(ids).alias("bucket"))
+            .join(expected, on="bucket", how="left")
+            .join(actual, on=["window_start", "bucket"], how="left")
             .na.fill(0, ["expected_count", "actual_count"]))
     w = Window.partitionBy("window_start")
     ne, na = F.sum("expected_count").over(w), F.sum("actual_count").over(w)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
 
 from riskframe.operators.drift import calculate_psi, psi_buckets, psi_by_period, psi_report, variable_psi
+from riskframe.operators.drift_state import DriftState
 from riskframe.plans.common import out
 from riskframe.plans.registry import register
 from riskframe.plans.sql import psi_ctes, psi_label_sql, r6, with_loans
-from riskframe.sources.tables import events_frame, loans, split_filter
+from riskframe.session import ensure_checkpoint_dir
+from riskframe.sources.tables import SPLIT_TEST_END, SPLIT_TRAIN_END, events_frame, loans, split_filter
 
 PSI_VARS = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
 BASELINE_END = "2024-01-08"
@@ -94,3 +99,30 @@ _PERIOD_SQL = period_psi_sql(PERIOD)
 @register("psi_by_period", _PERIOD_SQL)
 def q_psi_by_period(spark, sf):
     return out(psi_by_period(events_frame(spark, sf), "value", "ts", BASELINE_END, PERIOD))
+
+
+STATE_VARS = ["p", *PSI_VARS]
+STATE_COMPARISONS = {"test_vs_train": ((None, SPLIT_TRAIN_END), (SPLIT_TRAIN_END, SPLIT_TEST_END)),
+                     "oot_vs_train": ((None, SPLIT_TRAIN_END), (SPLIT_TEST_END, None))}
+
+
+def _state_src(expected: bool) -> str:
+    part = lambda name: "train" if expected else name.split("_")[0]
+    return " UNION ALL ".join(
+        f"SELECT '{n}|{v}' AS key, CAST({v} AS DOUBLE) AS x FROM loans WHERE split = '{part(n)}' AND l_shipdate IS NOT NULL"
+        for n in STATE_COMPARISONS for v in STATE_VARS)
+
+
+@register("drift_state_report", with_loans(
+    psi_ctes(_state_src(True), _state_src(False)),
+    body=f"""SELECT CASE WHEN split_part(key, '|', 2) = 'p' THEN 'score' ELSE 'variable' END AS section, split_part(key, '|', 1) AS comparison,
+  split_part(key, '|', 2) AS variable, {r6('SUM(contrib)', 'psi')}, {psi_label_sql('SUM(contrib)')} AS interpretation,
+  CAST(MAX(ne) AS BIGINT) AS n_expected, CAST(MAX(na) AS BIGINT) AS n_actual FROM psi_det GROUP BY key"""))
+def q_drift_state_report(spark, sf):
+    """W6 with its variable section, from counts that were appended part by part (out of time first)."""
+    l, tr, te, oot = _parts(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drift_state_report/{uuid.uuid4().hex[:12]}"
+    state = DriftState.create(tr.where(F.col("l_shipdate").isNotNull()), path, STATE_VARS, "l_shipdate")
+    for batch, part in enumerate((oot, tr, te)):
+        state.append(part, batch)
+    return out(state.summary(spark, STATE_COMPARISONS, score="p"))

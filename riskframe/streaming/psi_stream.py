@@ -22,6 +22,7 @@ from riskframe.functions.bins import left_closed_index
 from riskframe.functions.exprs import PSI_FLOOR, psi_label
 from riskframe.operators.binning import clean_double
 from riskframe.operators.drift import _edges_for
+from riskframe.operators.drift_state import DriftState
 from riskframe.session import ensure_checkpoint_dir
 
 
@@ -102,3 +103,16 @@ def start_psi_monitor(spark: SparkSession, stream: DataFrame, baseline: PsiBasel
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     return writer.start(), output_path
+
+
+def start_drift_state_stream(spark: SparkSession, stream: DataFrame, state: DriftState, late_after: str = "1 day",
+                             checkpoint_path: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Count a stream into a drift state, one batch folder per micro-batch.
+
+    Every period is readable after every micro-batch (open ones too), rows beyond ``late_after`` are counted in their
+    period and as late instead of dropped, and the query keeps no state of its own: a micro-batch replayed after a failure
+    replaces its folder with the same counts. Give ``checkpoint_path`` to go on after a restart."""
+    checkpoint_path = checkpoint_path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/drift_state/{uuid.uuid4().hex[:12]}"
+    writer = (stream.writeStream.foreachBatch(lambda batch, batch_id: state.append(batch, batch_id, late_after))
+              .option("checkpointLocation", checkpoint_path))
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
