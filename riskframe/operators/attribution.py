@@ -17,7 +17,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators.curves import prefix_below
 from riskframe.operators.split import hash_fraction
+from riskframe.session import persist
 
 BACKGROUND_RANGE = 5_000  # background rows that one window numbers, about
 
@@ -137,6 +139,43 @@ def pick_diverse_examples(df: DataFrame, score: str, keys: Sequence[str], n: int
     return outp
 
 
+def pick_spread_examples(attr: DataFrame, keys: Sequence[str], n: int = 3) -> DataFrame:
+    """X3 without scores: rows at ``n`` evenly spaced ranks of mean |attribution| over a long table, smallest first.
+
+    With N rows and step N // n the 0-based ranks are i * step + step // 2, at most N - 1 (so with fewer than ``n`` rows
+    the first comes n times, as example 0 to n - 1). Equal means are ordered by key, rows without any attribution are left
+    out, an empty table gives none. Ranks are found through the counts below each distinct mean, so neither a sort in one
+    task nor a hot mean matters: only the rows with a wanted mean are numbered, within key ranges.
+    Columns: keys, mean_abs_attribution, example (0 to n - 1), example_rank."""
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    size = persist(attr.groupBy(*keys).agg(F.avg(F.abs("attribution")).alias("mean_abs_attribution"))
+                   .where(F.col("mean_abs_attribution").isNotNull()))
+    total = size.count()
+    step = total // n
+    wanted = [(i, min(i * step + step // 2, total - 1)) for i in range(n)] if total else []
+    ranks = size.sparkSession.createDataFrame(wanted, "example int, example_rank long")
+    collapsed = size.groupBy("mean_abs_attribution").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    below = prefix_below(collapsed, "mean_abs_attribution", cols=["c"])
+    hit = below.join(F.broadcast(ranks), (F.col("example_rank") >= F.col("c_below")) &  # n rows
+                     (F.col("example_rank") < F.col("c_below") + F.col("c")))
+    hit = hit.select("mean_abs_attribution", "example", "example_rank",
+                     (F.col("example_rank") - F.col("c_below")).cast("long").alias("__at"))
+    # Rows that share a wanted mean: cut into key ranges first, so that a mean held by a third of all rows is not one group.
+    tied = size.join(F.broadcast(hit.select("mean_abs_attribution").distinct()), "mean_abs_attribution")
+    key = [F.col(k) for k in keys]
+    parts = max(1, int(size.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    tied = persist(tied.repartitionByRange(parts, "mean_abs_attribution", *key).withColumn("__part", F.spark_partition_id()))
+    before = Window.partitionBy("mean_abs_attribution").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tied.groupBy("mean_abs_attribution", "__part").agg(F.count(F.lit(1)).alias("__n")).select(
+        "mean_abs_attribution", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    inside = F.row_number().over(Window.partitionBy("mean_abs_attribution", "__part").orderBy(*key)) - 1
+    numbered = tied.withColumn("__i", inside).join(offsets, ["mean_abs_attribution", "__part"]).withColumn(
+        "__at", F.col("__i") + F.col("__offset"))
+    return numbered.join(F.broadcast(hit), ["mean_abs_attribution", "__at"]).select(
+        *keys, "mean_abs_attribution", "example", "example_rank")
+
+
 def risk_label(score: str) -> F.Column:
     """X4 label: pd < 0.1 low_risk, pd > 0.3 high_risk, else borderline."""
     s = F.col(score)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.attribution import (
     dependence_data, global_importance, hash_sample, linear_attribution, local_examples, pick_diverse_examples,
-    rank_comparison, sampled_shapley,
+    pick_spread_examples, rank_comparison, sampled_shapley,
 )
 from riskframe.operators.curves import ranking_metrics
 from riskframe.operators.decisions import decision_metrics
@@ -95,6 +95,33 @@ def q_diverse_examples(spark, sf):
     return out(pick_diverse_examples(te, "p", LOAN_KEY, N_EXAMPLES))
 
 
+# Whole-number attributions of fixed coefficients around a fixed centre: sums are exact in both engines, ties are many.
+SPREAD_COEF = {"l_quantity": (2, 25), "disc": (-3, 5), "tax": (5, 4)}
+SPREAD_SQL = {"l_quantity": "CAST(l_quantity AS DOUBLE)", "disc": "CAST(ROUND(l_discount * 100) AS DOUBLE)",
+              "tax": "CAST(ROUND(l_tax * 100) AS DOUBLE)"}
+N_SPREAD = 7
+
+
+def _spread_sql() -> str:
+    total = " + ".join(f"ABS({c} * ({SPREAD_SQL[f]} - {m}))" for f, (c, m) in SPREAD_COEF.items())
+    return with_loans(
+        f"s AS (SELECT {KEYS_SQL}, SUM({total}) / (COUNT(*) * {len(SPREAD_COEF)}) AS m FROM loans GROUP BY {KEYS_SQL})",
+        f"r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY m, {KEYS_SQL}) - 1 AS rn, COUNT(*) OVER () AS n FROM s)",
+        f"w AS (SELECT i, LEAST(i * (n // {N_SPREAD}) + (n // {N_SPREAD}) // 2, n - 1) AS rk FROM "
+        f"(SELECT UNNEST(RANGE({N_SPREAD})) AS i) x, (SELECT MAX(n) AS n FROM r) y)",
+        body=f"""SELECT {KEYS_SQL}, {r6('m', 'mean_abs_attribution')}, CAST(i AS INTEGER) AS example, CAST(rk AS BIGINT) AS example_rank
+FROM w JOIN r ON r.rn = w.rk""")
+
+
+@register("diverse_examples_spread", _spread_sql())
+def q_diverse_examples_spread(spark, sf):
+    """X3 without scores: examples at evenly spaced ranks of mean |attribution| of every loan."""
+    rows = loans(spark, sf).select(*LOAN_KEY, *[F.expr(e).alias(f) for f, e in SPREAD_SQL.items()])
+    centre = spark.createDataFrame([tuple(float(m) for _, m in SPREAD_COEF.values())], ", ".join(f"{f} double" for f in SPREAD_COEF))
+    attr = linear_attribution(rows, list(SPREAD_COEF), [c for c, _ in SPREAD_COEF.values()], LOAN_KEY, background=centre)
+    return out(pick_spread_examples(attr, LOAN_KEY, N_SPREAD))
+
+
 @register("local_examples")
 def q_local_examples(spark, sf):
     attr, _ = _linear(spark, sf)

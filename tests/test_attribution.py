@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators.attribution import (
-    global_importance, hash_sample, linear_attribution, pick_diverse_examples, rank_comparison, sampled_shapley,
+    global_importance, hash_sample, linear_attribution, pick_diverse_examples, pick_spread_examples, rank_comparison, sampled_shapley,
 )
 from riskframe.plans.scoring import top_drivers
 
@@ -101,3 +101,25 @@ def test_shapley_rows_that_repeat_their_keys(spark):
     bg = spark.createDataFrame([(0.0,)], "a double")
     got = sampled_shapley(df, bg, ["a"], ["id"], lambda z: z.withColumn("pd", F.col("a")))
     assert sorted((r.id, r.attribution) for r in got.collect()) == [(1, 1.0), (1, 5.0), (2, 3.0)]
+
+
+def test_spread_examples_at_even_ranks(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"id": np.arange(500), "a": rng.integers(-2, 3, 500).astype(float), "b": rng.integers(-1, 2, 500).astype(float)})
+    pdf.loc[:199, ["a", "b"]] = 1.0                     # one mean holds 40 % of the rows
+    long = pdf.melt("id", var_name="feature", value_name="attribution")
+    attr = spark.createDataFrame(long.sample(frac=1, random_state=1)).repartition(7)
+    order = (pdf.set_index("id").abs().mean(axis=1).reset_index(name="m").sort_values(["m", "id"], ignore_index=True))
+    for n in (1, 3, 7):
+        got = {r["example"]: r for r in pick_spread_examples(attr, ["id"], n).collect()}
+        step = len(pdf) // n
+        assert sorted(got) == list(range(n))
+        for i in range(n):
+            k = min(i * step + step // 2, len(pdf) - 1)
+            assert got[i]["example_rank"] == k and got[i]["id"] == order.id[k]
+            assert got[i]["mean_abs_attribution"] == pytest.approx(order.m[k])
+    few = pick_spread_examples(attr.where("id < 2"), ["id"], 3).collect()
+    assert [(r["id"], r["example_rank"]) for r in few] == [(0, 0)] * 3
+    assert pick_spread_examples(attr.limit(0), ["id"], 3).collect() == []
+    with pytest.raises(ValueError):
+        pick_spread_examples(attr, ["id"], 0)
