@@ -1,6 +1,6 @@
 """Information value, correlation and VIF selection (F1-F8).
 
-Spark does the row work (one shuffle for IV of all features, one pass for the
+Spark does the row work (one shuffle for IV of all features, two scans for the
 correlation matrix); the greedy correlation and VIF pruning loops then run on
 the p x p matrix on the driver, with zero further Spark jobs.
 """
@@ -10,16 +10,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
 from riskframe.functions.exprs import IV_EPS, iv_strength
 from riskframe.operators.binning import clean_double
+from riskframe.operators.curves import prefix_below
+from riskframe.session import persist
 
-PAIRS_PER_JOB = 400   # correlation aggregates of one pass over the table
+CONSTANT_TOL = 1e-13   # a variance below this share of the second moment is rounding error
 VIF_SINGULAR_TOL = 1e-10
 
 
@@ -70,12 +73,89 @@ def select_by_iv(iv_table: DataFrame, iv_min: float = 0.02, iv_max: float = 0.5)
     return iv_table.where((F.col("iv") >= iv_min) & (F.col("iv") <= iv_max)).orderBy(F.col("iv").desc(), "feature")
 
 
+def _co_moment_rows(features: Sequence[str], centre: np.ndarray, scale: np.ndarray):
+    """Task-side sums over all pairs i < j: a task keeps 4 p x p arrays, whatever its rows, and emits one row a pair."""
+    p = len(features)
+    upper = np.triu_indices(p, 1)
+
+    def run(batches):
+        n, sx, sxx, sxy = (np.zeros((p, p)) for _ in range(4))
+        for batch in batches:
+            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in features])
+            seen = ~np.isnan(x)
+            z = np.where(seen, (x - centre) / scale, 0.0)
+            m = seen.astype(float)
+            n += m.T @ m
+            sx += z.T @ m          # [i, j]: sum of i over the rows where j is present
+            sxx += (z * z).T @ m
+            sxy += z.T @ z
+        i, j = upper
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v) for v in (i.astype(np.int32), j.astype(np.int32), n[upper], sx[upper], sx.T[upper],
+                                   sxx[upper], sxx.T[upper], sxy[upper])],
+            names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+    return run
+
+
+def pair_moments(values: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Additive co-moments of every pair over its complete rows, in two scans at any width: one for the centre and
+    scale of each column (so that sums neither overflow nor cancel), one for the sums of standardised values.
+    Columns: i, j (positions, i < j), n, sx, sy, sxx, syy, sxy. Tables of the parts of a table can be summed."""
+    feats = list(features)
+    spread = lambda x: F.max(x) - F.min(x)  # noqa: E731  (squares of the values may overflow)
+    stats = values.agg(*[f(F.col(c)).alias(f"{k}{i}") for i, c in enumerate(feats)
+                         for k, f in (("m", F.avg), ("s", spread))]).first()
+    get = lambda k, default: np.array([default if stats[f"{k}{i}"] is None else stats[f"{k}{i}"]
+                                       for i in range(len(feats))], dtype=float)
+    scale = get("s", 1.0)
+    rows = values.mapInArrow(_co_moment_rows(feats, get("m", 0.0), np.where(scale == 0.0, 1.0, scale)),
+                             "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
+    return rows.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+
+
+def corr_from_moments(moments: DataFrame) -> DataFrame:
+    """(i, j, corr): null where a side is constant over the complete rows or none are complete."""
+    vx = F.col("sxx") - F.col("sx") * F.try_divide(F.col("sx"), F.col("n"))
+    vy = F.col("syy") - F.col("sy") * F.try_divide(F.col("sy"), F.col("n"))
+    cov = F.col("sxy") - F.col("sx") * F.try_divide(F.col("sy"), F.col("n"))
+    varies = (vx > F.col("sxx") * CONSTANT_TOL) & (vy > F.col("syy") * CONSTANT_TOL)
+    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cov / F.sqrt(vx) / F.sqrt(vy)))
+    return moments.select("i", "j", F.when(varies & ~F.isnan(cov), r).alias("corr"))
+
+
+def rank_correlations(values: DataFrame, features: Sequence[str], pairs: Sequence[tuple[int, int]]) -> list[Row]:
+    """Rows (i, j, corr), one a pair, of Spearman's rank correlation over each pair's complete rows, all pairs in one job.
+
+    Rows collapse to weighted distinct (pair, x, y) before the shuffle; the average rank of a value within its pair
+    comes from the prefix sums over score ranges, so no pair is sorted in one task."""
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(features[i]).alias("x"), F.col(features[j]).alias("y"))
+                      for i, j in pairs])
+    # Zero has two signs that compare equal but hash apart.
+    distinct = persist(values.select(F.inline(cells)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+                       .select("i", "j", (F.col("x") + 0.0).alias("x"), (F.col("y") + 0.0).alias("y"))
+                       .groupBy("i", "j", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("w")))
+
+    def ranks(side: str) -> DataFrame:
+        ones = distinct.groupBy("i", "j", side).agg(F.sum("w").alias("c"))
+        below = prefix_below(ones, side, ["i", "j"], ["c"], persist_input=False)
+        # Centred on the middle rank: the sums then need no correction for the mean.
+        return below.select("i", "j", side, (F.col("c_below") + F.col("c") / 2.0 - F.col("c_total") / 2.0).alias(f"r{side}"))
+
+    w, rx, ry = F.col("w"), F.col("rx"), F.col("ry")
+    sums = (distinct.join(ranks("x"), ["i", "j", "x"]).join(ranks("y"), ["i", "j", "y"])
+            .groupBy("i", "j").agg(F.sum(w * rx * rx).alias("sxx"), F.sum(w * ry * ry).alias("syy"), F.sum(w * rx * ry).alias("sxy")))
+    found = sums.select("i", "j", F.when((F.col("sxx") > 0) & (F.col("syy") > 0),
+                                         F.col("sxy") / F.sqrt("sxx") / F.sqrt("syy")).alias("corr")).collect()
+    distinct.unpersist()
+    return found
+
+
 def correlation_matrix(df: DataFrame, features: Sequence[str], method: str = "pearson") -> np.ndarray:
     """p x p correlation matrix over pairwise-complete rows (as in pandas), at any width.
 
-    Pearson: ``corr`` aggregates, PAIRS_PER_JOB pairs to a pass over the table. Spearman: MLlib ranks
-    (average ranks on ties) of all columns at once without missing values, else of each pair's complete
-    rows. Other methods raise."""
+    Pearson: two scans (``pair_moments``). Spearman: MLlib ranks (average ranks on ties) of all columns without
+    missing values at once; the pairs with a column that has some, in one job over their complete rows
+    (``rank_correlations``). Other methods raise."""
     feats = list(features)
     p = len(feats)
     if p == 0:
@@ -83,24 +163,20 @@ def correlation_matrix(df: DataFrame, features: Sequence[str], method: str = "pe
     if method not in ("pearson", "spearman"):
         raise ValueError(f"Unsupported correlation method: {method}")
     values = df.select(*[clean_double(c).alias(c) for c in feats])
-    m = np.eye(p)
-    pairs = [(i, j) for i in range(p) for j in range(i + 1, p)]
+    m = np.full((p, p), np.nan)
+    np.fill_diagonal(m, 1.0)
     if method == "spearman":
-        gaps = values.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in feats]).first()
-        if not any(gaps):
-            vec = VectorAssembler(inputCols=feats, outputCol="__v").transform(values)
-            return Correlation.corr(vec, "__v", method).first()[0].toArray()
-        for i, j in pairs:
-            vec = VectorAssembler(inputCols=[feats[i], feats[j]], outputCol="__v").transform(
-                values.select(feats[i], feats[j]).dropna())
-            m[i, j] = m[j, i] = Correlation.corr(vec, "__v", method).first()[0].toArray()[0, 1]
+        gaps = values.agg(*[F.count_if(F.col(c).isNull()).alias(f"g{i}") for i, c in enumerate(feats)], F.count(F.lit(1)).alias("n")).first()
+        full = [i for i in range(p) if gaps["n"] and not gaps[f"g{i}"]]
+        if len(full) > 1:
+            vec = VectorAssembler(inputCols=[feats[i] for i in full], outputCol="__v").transform(values.select(*[feats[i] for i in full]))
+            m[np.ix_(full, full)] = Correlation.corr(vec, "__v", method).first()[0].toArray()
+        pairs = [(i, j) for i in range(p) for j in range(i + 1, p) if gaps[f"g{i}"] or gaps[f"g{j}"]]
+        found = rank_correlations(values, feats, pairs) if pairs else []
     else:
-        for at in range(0, len(pairs), PAIRS_PER_JOB):
-            part = pairs[at:at + PAIRS_PER_JOB]
-            row = values.agg(*[F.corr(feats[i], feats[j]).alias(f"c{i}_{j}") for i, j in part]).first()
-            for i, j in part:
-                v = row[f"c{i}_{j}"]
-                m[i, j] = m[j, i] = np.nan if v is None else v
+        found = corr_from_moments(pair_moments(values, feats)).collect() if p > 1 else []  # one row a pair of columns
+    for r in found:
+        m[r["i"], r["j"]] = m[r["j"], r["i"]] = np.nan if r["corr"] is None else r["corr"]
     for i in range(p):  # constant columns have undefined correlation
         if p > 1 and np.all(np.isnan(np.delete(m[i], i))):
             m[i, i] = np.nan

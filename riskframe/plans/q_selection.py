@@ -9,8 +9,8 @@ from riskframe.operators.selection import (
 )
 from riskframe.plans.common import out
 from riskframe.plans.registry import register
-from riskframe.plans.sql import r6, with_loans
-from riskframe.sources.tables import loans
+from riskframe.plans.sql import GAPS_CTE, r6, with_loans
+from riskframe.sources.tables import loans, loans_with_gaps
 
 # Derived near-duplicate of quantity so that pruning has something to drop.
 QTY_TAX_SQL = "CAST(l_quantity AS DOUBLE) * 2.0 + l_tax"
@@ -39,6 +39,29 @@ def q_correlation_pairs(spark, sf):
     return out(correlation_pairs(_frame(spark, sf), SEL))
 
 
+# Missing values in two of four columns, ties in all: both methods over pairwise-complete rows.
+GAPS = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+
+
+def _corr_gaps_sql() -> str:
+    parts = []
+    for i, a in enumerate(GAPS):
+        for b in GAPS[i + 1:]:
+            both = f"(SELECT CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM gaps WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+            rank = lambda c: (f"RANK() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0")
+            parts.append(f"SELECT 'pearson' AS method, '{a}' AS feature_a, '{b}' AS feature_b, {r6('corr(x, y)', 'corr')} FROM {both}")
+            parts.append(f"SELECT 'spearman', '{a}', '{b}', {r6('corr(x, y)', 'corr')} "
+                         f"FROM (SELECT {rank('x')} AS x, {rank('y')} AS y FROM {both})")
+    return with_loans(GAPS_CTE, body=" UNION ALL ".join(parts))
+
+
+@register("correlation_gaps", _corr_gaps_sql())
+def q_correlation_gaps(spark, sf):
+    df = loans_with_gaps(spark, sf)
+    both = [correlation_pairs(df, GAPS, m).withColumn("method", F.lit(m)) for m in ("pearson", "spearman")]
+    return out(both[0].unionByName(both[1]).select("method", "feature_a", "feature_b", "corr"))
+
+
 def _prune_sql() -> str:
     feats = ", ".join(f"({i + 1}, '{c}')" for i, c in enumerate(SEL))
     body = f"""SELECT CAST(ROW_NUMBER() OVER () AS INTEGER) AS position, feature FROM (SELECT UNNEST(kept) AS feature FROM g WHERE pos = {len(SEL)})"""
