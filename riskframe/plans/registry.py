@@ -23,6 +23,7 @@ _MODULES = [
     "riskframe.plans.q_models",
     "riskframe.plans.q_reports",
     "riskframe.plans.q_stream",
+    "riskframe.plans.q_artifacts",
 ]
 
 

@@ -190,36 +190,30 @@ def run_training(spark: SparkSession, df: DataFrame, cfg: RiskConfig, keys: Sequ
 
 
 def save_artifacts(res: RunResult, root: str) -> dict[str, str]:
-    """Report tables as JSON Lines / CSV, encoder bins as Parquet, models through MLlib."""
+    """S3-S8 as one bundle, committed at once: report tables, thresholds as CSV, encoder bins and models through MLlib."""
+    from riskframe.sources.bundle import write_bundle
     from riskframe.sources.io import save_json_table, save_table
-    paths = {
-        "metrics_report": f"{root}/metrics_report", "decision_thresholds": f"{root}/decision_thresholds",
-        "psi_report": f"{root}/monitoring/psi_report", "iv_table": f"{root}/iv_table", "variable_psi": f"{root}/monitoring/variable_psi",
-        "woe_encoder": f"{root}/woe_encoder", "best_model": f"{root}/best_model", "data_checks": f"{root}/data_checks",
+    as_json = lambda df: lambda path: save_json_table(df, path)
+    parts = {
+        "metrics_report": as_json(res.report), "psi_report": as_json(res.psi_detail), "iv_table": as_json(res.iv_table),
+        "variable_psi": as_json(res.variable_psi),
+        "decision_thresholds": lambda path: save_table(res.thresholds.orderBy("threshold"), path, fmt="csv", single_file=True),
+        "woe_encoder": res.encoder.save, "best_model": res.models[res.best_model].save,
     }
-    save_json_table(res.report, paths["metrics_report"])
-    save_table(res.thresholds.orderBy("threshold"), paths["decision_thresholds"], fmt="csv", single_file=True)
-    save_json_table(res.psi_detail, paths["psi_report"])
-    save_json_table(res.iv_table, paths["iv_table"])
-    save_json_table(res.variable_psi, paths["variable_psi"])
     if res.checks is not None:
-        save_json_table(res.checks, paths["data_checks"])
-    res.encoder.save(paths["woe_encoder"])
-    res.models[res.best_model].save(paths["best_model"])
-    return paths
+        parts["data_checks"] = as_json(res.checks)
+    bundle = write_bundle(res.report.sparkSession, root, parts)
+    return {name: bundle.path(name) for name in parts}
 
 
 def load_artifacts(spark: SparkSession, root: str) -> dict:
-    """Everything batch scoring needs, loaded back from ``root``."""
+    """Everything batch scoring needs, from the newest committed bundle in ``root``."""
+    from riskframe.sources.bundle import load_bundle
     from riskframe.sources.io import load_json_table
-    return {
-        "encoder": WoeModel.load(spark, f"{root}/woe_encoder"),
-        "model": CalibratedModel.load(spark, f"{root}/best_model"),
-        "metrics": load_json_table(spark, f"{root}/metrics_report"),
-        "psi": load_json_table(spark, f"{root}/monitoring/psi_report"),
-        "variable_psi": load_json_table(spark, f"{root}/monitoring/variable_psi"),
-        "checks": load_json_table(spark, f"{root}/data_checks"),
-    }
+    bundle = load_bundle(spark, root)
+    out = {"encoder": WoeModel.load(spark, bundle.path("woe_encoder")), "model": CalibratedModel.load(spark, bundle.path("best_model"))}
+    tables = {"metrics": "metrics_report", "psi": "psi_report", "variable_psi": "variable_psi", "checks": "data_checks"}
+    return out | {k: load_json_table(spark, bundle.path(part)) for k, part in tables.items() if part in bundle.parts}
 
 
 def default_artifacts_dir(spark: SparkSession, name: str) -> str:
