@@ -163,7 +163,8 @@ el_by_decision = _loss.el_by_decision
 # ---- monitoring --------------------------------------------------------------------------
 calculate_psi = _drift.calculate_psi
 calculate_variable_psi = _drift.variable_psi
-generate_psi_report = _drift.psi_report
+generate_psi_report = _drift.drift_report
+psi_report_buckets = _drift.psi_report
 
 
 def psi_interpretation(psi: Column | str) -> Column:

@@ -46,3 +46,8 @@ class RiskConfig:
     optimal_objective: str = "balanced"
     optimal_min_approval: float = 0.1
     optimal_max_bad_rate: float = 0.2
+
+    @property
+    def psi_bands(self) -> list[tuple[float, str]]:
+        """Limits of the PSI interpretation; from the last one on it is significant drift."""
+        return [(self.psi_stable_threshold, "stable"), (self.psi_moderate_threshold, "moderate_shift")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -42,10 +44,10 @@ def risk_band(score: Column | str, low: float = 0.10, high: float = 0.30) -> Col
             .otherwise("Medium"))
 
 
-def psi_label(psi: Column | str) -> Column:
+def psi_label(psi: Column | str, bands: Sequence[tuple[float, str]] = PSI_BANDS) -> Column:
     c = F.col(psi) if isinstance(psi, str) else psi
     expr = None
-    for bound, label in PSI_BANDS:
+    for bound, label in bands:
         expr = F.when(c < bound, label) if expr is None else expr.when(c < bound, label)
     return expr.when(c.isNotNull(), "significant_drift")
 

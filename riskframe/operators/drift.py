@@ -90,14 +90,14 @@ def psi_buckets(expected: DataFrame, actual: DataFrame, col: str, buckets: int =
     return d.drop("_key")
 
 
-def psi_summary(detail: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def psi_summary(detail: DataFrame, keys: Sequence[str] = (), bands=PSI_BANDS) -> DataFrame:
     """psi = sum of contributions (NaN when a side is empty), interpretation, sizes.
     A key with fewer than two distinct edges has no bucket rows and is absent (PSI 0 by definition)."""
     g = detail.groupBy(*keys).agg(
         F.sum("psi_contribution").alias("psi"), F.max("n_expected").alias("n_expected"),
         F.max("n_actual").alias("n_actual"))
     psi = F.when((F.col("n_expected") == 0) | (F.col("n_actual") == 0), F.lit(float("nan"))).otherwise(F.col("psi"))
-    return g.withColumn("psi", psi).withColumn("interpretation", psi_label("psi"))
+    return g.withColumn("psi", psi).withColumn("interpretation", psi_label("psi", bands))
 
 
 def calculate_psi_detailed(expected: DataFrame, actual: DataFrame, col: str, buckets: int = 10) -> tuple[DataFrame, DataFrame]:
@@ -113,16 +113,16 @@ def calculate_psi_detailed(expected: DataFrame, actual: DataFrame, col: str, buc
     return rows.select(value.alias("psi"), "n_expected", "n_actual").withColumn("interpretation", psi_label("psi")), detail
 
 
-def calculate_psi(expected: DataFrame, actual: DataFrame, col: str, buckets: int = 10) -> DataFrame:
+def calculate_psi(expected: DataFrame, actual: DataFrame, col: str, buckets: int = 10, bands=PSI_BANDS) -> DataFrame:
     """One-row PSI; 0.0 when the reference has fewer than two distinct edges."""
-    s = psi_summary(psi_buckets(expected, actual, col, buckets))
+    s = psi_summary(psi_buckets(expected, actual, col, buckets), bands=bands)
     one = expected.sparkSession.range(1).select(F.lit(1).alias("_k"))
     return one.join(s.withColumn("_k", F.lit(1)), on="_k", how="left").select(
-        F.coalesce("psi", F.lit(0.0)).alias("psi"), F.coalesce("interpretation", F.lit("stable")).alias("interpretation"))
+        F.coalesce("psi", F.lit(0.0)).alias("psi"), F.coalesce("interpretation", F.lit(bands[0][1])).alias("interpretation"))
 
 
 def variable_psi(expected: DataFrame, actual: DataFrame, columns: Sequence[str], buckets: int = 10,
-                 detail: bool = False) -> DataFrame:
+                 detail: bool = False, bands=PSI_BANDS) -> DataFrame:
     """PSI per numeric column present in both frames, sorted desc. One edge job, one bucket job."""
     from pyspark.sql.types import BooleanType, NumericType
     cols = [c for c in columns if c in expected.columns and c in actual.columns
@@ -132,7 +132,7 @@ def variable_psi(expected: DataFrame, actual: DataFrame, columns: Sequence[str],
     live = [c for c in cols if len(edges[c]) >= 2]
     spark = expected.sparkSession
     # A constant (or empty) reference has a single bucket: PSI 0, stable.
-    flat = spark.createDataFrame([(c, 0.0, PSI_BANDS[0][1]) for c in cols if c not in live],
+    flat = spark.createDataFrame([(c, 0.0, bands[0][1]) for c in cols if c not in live],
                                  "variable string, psi double, interpretation string")
     if not live and not detail:
         return flat.orderBy("variable")
@@ -148,7 +148,7 @@ def variable_psi(expected: DataFrame, actual: DataFrame, columns: Sequence[str],
     d = _finish(counts, ["variable"], {(c,): edges[c] for c in live}, spark)
     if detail:
         return d
-    found = psi_summary(d, ["variable"]).select("variable", "psi", "interpretation")
+    found = psi_summary(d, ["variable"], bands).select("variable", "psi", "interpretation")
     return found.unionByName(flat).orderBy(F.col("psi").desc(), "variable")
 
 
@@ -170,6 +170,9 @@ def psi_report(df: DataFrame, score: str, split_col: str = "split", buckets: int
     edges_by_ref = _edges_for(df, {r: F.when(F.col(split_col) == r, x) for r in refs}, buckets)
     live = [(n, e, a) for n, e, a in comparisons if len(edges_by_ref[e]) >= 2]
     spark = df.sparkSession
+    if not live:  # constant references have no buckets
+        none = spark.createDataFrame([], "comparison string, bucket int, expected_count long, actual_count long")
+        return _finish(none, ["comparison"], {}, spark)
     tags = []
     for n, e, a in live:
         tags.append(F.when(F.col(split_col) == e, F.struct(F.lit(n).alias("comparison"), F.lit(True).alias("_e"))))
@@ -187,6 +190,22 @@ def psi_report(df: DataFrame, score: str, split_col: str = "split", buckets: int
     return _finish(counts, ["comparison"], {(n,): edges_by_ref[e] for n, e, _ in live}, spark)
 
 
+def drift_report(df: DataFrame, score: str, split_col: str = "split", variables: Sequence[str] = (), buckets: int = 10,
+                 comparisons=REPORT_COMPARISONS, variable_parts: tuple[str, str] = ("train", "oot"), bands=PSI_BANDS) -> DataFrame:
+    """W6 in full, one row a finding: section "score" for each comparison of the score, section "variable" for each numeric
+    variable between two parts. Columns: section, name, psi, interpretation. A constant reference has PSI 0."""
+    scores = psi_summary(psi_report(df, score, split_col, buckets, comparisons), ["comparison"], bands)
+    names = df.sparkSession.createDataFrame([(n,) for n, _, _ in comparisons], "name string")
+    scores = names.join(scores.withColumnRenamed("comparison", "name"), "name", "left").select(
+        F.lit("score").alias("section"), "name", F.coalesce("psi", F.lit(0.0)).alias("psi"),
+        F.coalesce("interpretation", F.lit(bands[0][1])).alias("interpretation"))
+    if not variables:
+        return scores
+    expected, actual = (df.where(F.col(split_col) == p) for p in variable_parts)
+    found = variable_psi(expected, actual, variables, buckets, bands=bands)
+    return scores.unionByName(found.select(F.lit("variable").alias("section"), F.col("variable").alias("name"), "psi", "interpretation"))
+
+
 def psi_by_period(df: DataFrame, col: str, ts_col: str, baseline_end: str, window: str = "7 days",
                   buckets: int = 10) -> DataFrame:
     """Baseline edges from rows before ``baseline_end``; PSI of every tumbling window

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from riskframe.operators.drift import calculate_psi, psi_buckets, psi_by_period, psi_report, variable_psi
+from riskframe.operators.drift import calculate_psi, drift_report, psi_buckets, psi_by_period, psi_report, variable_psi
 from riskframe.operators.drift_state import DriftState
 from riskframe.plans.common import out
 from riskframe.plans.registry import register
@@ -101,6 +101,21 @@ def q_psi_by_period(spark, sf):
     return out(psi_by_period(events_frame(spark, sf), "value", "ts", BASELINE_END, PERIOD))
 
 
+def _labelled(src: str) -> str:
+    return src.replace("SELECT '", "SELECT 'score|")
+
+
+@register("drift_report", with_loans(
+    psi_ctes(f"{_labelled(_REPORT_E)} UNION ALL {_vars_src('train').replace(chr(39) + 'l_', chr(39) + 'variable|l_')}",
+             f"{_labelled(_REPORT_A)} UNION ALL {_vars_src('oot').replace(chr(39) + 'l_', chr(39) + 'variable|l_')}"),
+    body=f"""SELECT split_part(key, '|', 1) AS section, split_part(key, '|', 2) AS name, {r6('SUM(contrib)', 'psi')},
+  {psi_label_sql('SUM(contrib)')} AS interpretation FROM psi_det GROUP BY key"""))
+def q_drift_report(spark, sf):
+    """W6 with its variable section from the rows."""
+    l, _, _, _ = _parts(spark, sf)
+    return out(drift_report(l, "p", "split", PSI_VARS))
+
+
 STATE_VARS = ["p", *PSI_VARS]
 STATE_COMPARISONS = {"test_vs_train": ((None, SPLIT_TRAIN_END), (SPLIT_TRAIN_END, SPLIT_TEST_END)),
                      "oot_vs_train": ((None, SPLIT_TRAIN_END), (SPLIT_TEST_END, None))}

@@ -149,7 +149,7 @@ def run_training(spark: SparkSession, df: DataFrame, cfg: RiskConfig, keys: Sequ
 
     train_scored = reliable_checkpoint(models[best].score(train_woe, out="score"))
     test_best = test_scored.withColumn("score", F.col(best))
-    psi = calculate_psi(train_scored, test_best, "score", cfg.psi_buckets)
+    psi = calculate_psi(train_scored, test_best, "score", cfg.psi_buckets, cfg.psi_bands)
     dec = decision_metrics(test_best, target, "score", cfg.low_threshold, cfg.high_threshold)
     thr = threshold_table(test_best, target, "score", linspace(0.01, 0.50, 50))
     opt = find_optimal_threshold(test_best, target, "score", cfg.optimal_objective, cfg.optimal_min_approval,
@@ -165,7 +165,7 @@ def run_training(spark: SparkSession, df: DataFrame, cfg: RiskConfig, keys: Sequ
                 .unionByName(test_best.select("score", F.lit("test").alias("split")))
                 .unionByName(oot_best.select("score", F.lit("oot").alias("split"))))
     detail = psi_report(labelled, "score", "split", cfg.psi_buckets)
-    var_psi = variable_psi(train_woe, test_woe, selected, cfg.psi_buckets)
+    var_psi = variable_psi(train_woe, test_woe, selected, cfg.psi_buckets, bands=cfg.psi_bands)
 
     attr = ranks = None
     if cfg.generate_attribution and "logreg" in models:

@@ -93,3 +93,42 @@ def test_detailed_psi_of_a_constant_reference_is_zero(spark):
     r = summary.first()
     assert (r["psi"], r["interpretation"], r["n_expected"], r["n_actual"]) == (0.0, "stable", 5, 2) and detail.isEmpty()
     assert calculate_psi_detailed(ref, act.limit(0), "x")[0].first()["psi"] != 0.0  # nothing to compare: not a number
+
+
+def test_report_with_variable_section_and_own_limits(spark):
+    import numpy as np
+    import pandas as pd
+
+    from riskframe.config import RiskConfig
+    from riskframe.operators.drift import calculate_psi, drift_report, variable_psi
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"split": np.repeat(["train", "test", "oot"], 200), "s": rng.random(600), "v": rng.normal(size=600),
+                        "one": 1.0, "word": "w"})
+    pdf.loc[pdf.split == "oot", "v"] += 1.0
+    df = spark.createDataFrame(pdf)
+    got = {(r["section"], r["name"]): r for r in drift_report(df, "s", variables=["v", "one", "word"]).collect()}
+    part = {p: df.where(df.split == p) for p in ("train", "test", "oot")}
+    assert len(got) == 5 and got["variable", "one"]["psi"] == 0.0
+    assert abs(got["score", "score_psi_oot_vs_test"]["psi"] - calculate_psi(part["test"], part["oot"], "s").first()["psi"]) < 1e-12
+    v = variable_psi(part["train"], part["oot"], ["v"]).first()
+    assert abs(got["variable", "v"]["psi"] - v["psi"]) < 1e-12 and got["variable", "v"]["interpretation"] == "significant_drift"
+    flat = {r["name"]: r["psi"] for r in drift_report(df, "one").collect()}
+    assert set(flat.values()) == {0.0} and len(flat) == 3
+    loose = RiskConfig(psi_stable_threshold=9.0, psi_moderate_threshold=10.0).psi_bands
+    assert variable_psi(part["train"], part["oot"], ["v"], bands=loose).first()["interpretation"] == "stable"
+
+
+def test_each_check_can_raise(spark):
+    import pytest
+
+    from riskframe.operators import quality as q
+    df = spark.createDataFrame([(1, -5.0, "x", "2024-01-01"), (1, -5.0, "x", "2024-01-01"), (2, None, "x", None)],
+                               "y int, amount double, c string, d string")
+    calls = [lambda s: q.check_schema(df.drop("d"), "y", "d", strict=s), lambda s: q.check_target_values(df, "y", strict=s),
+             lambda s: q.check_duplicates(df, strict=s), lambda s: q.check_missingness(df, 0.2, strict=s),
+             lambda s: q.check_numeric_ranges(df, ("amount",), strict=s), lambda s: q.check_categorical_values(df, strict=s),
+             lambda s: q.check_date_order(df, "d", strict=s)]
+    for call in calls:
+        assert call(False).where("not passed").count() == 1
+        with pytest.raises(ValueError):
+            call(True)
