@@ -5,17 +5,25 @@
   fold, fit the base estimator on the other folds, fit an isotonic map on the
   held-out fold (on the logistic margin for logistic regression, on the
   probability for trees) and average the calibrated outputs of all folds;
-* the assembled training frame is persisted once and shared by all fits; fold
-  fits run concurrently from driver threads (independent Spark jobs).
+* equal rows are counted once and kept as one row with their number, shared by all
+  fits; fold fits run concurrently from driver threads (independent Spark jobs);
+* logistic regression and isotonic maps weigh a counted row by its number: the same
+  sums. A forest whose rows repeat draws each tree's bootstrap on the counted rows
+  (Poisson(n) for n equal rows is the sum of their n Poisson(1) draws) and fits its
+  trees there one by one, so its passes cost as much as there are distinct rows. Rows
+  that hardly repeat, and boosted trees, are fitted row by row.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel,
     RandomForestClassifier,
@@ -28,10 +36,15 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import isotonic
 from riskframe.operators.split import kfold
-from riskframe.session import persist
+from riskframe.session import persist, reliable_checkpoint
 
 VEC = "__features"
 WEIGHT = "__weight"
+COUNT = "__n"
+#: Distinct rows up to which trees are fitted on counted rows, if the rows are REPEATS times as many at least.
+COUNTED, REPEATS = 200_000, 4
+#: Counted rows that one task reads, about; trees fitted at once.
+COUNTED_TASK, TREES_AT_ONCE = 20_000, 4
 
 
 @dataclass(frozen=True)
@@ -80,6 +93,52 @@ def _estimator(spec: ModelSpec, n: int, label: str):
     raise ValueError(f"unknown model kind {spec.kind}")
 
 
+def _drawn(seed: int, trees: int):
+    """Counted rows with their bootstrap numbers in each tree, drawn from the row itself: the same in any partitioning."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            draws = [np.random.default_rng([seed, row & (2**64 - 1)]).poisson(n, trees).astype(float)
+                     for row, n in zip(b.column("__row").to_pylist(), b.column(COUNT).to_pylist())]
+            yield b.append_column("__draws", pa.array(draws, pa.list_(pa.float64()))).drop_columns(["__row"])
+    return run
+
+
+def _fit_forest(spec: ModelSpec, counted: DataFrame, features: Sequence[str], weight: F.Column, label: str):
+    """The forest of MLlib's settings on counted rows: every tree weighs a row by its own bootstrap number."""
+    rows = counted.select(*features, label, COUNT, weight.alias(WEIGHT), F.xxhash64(*features, label, "fold").alias("__row")).sortWithinPartitions("__row")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" if f.name.isidentifier() else f"`{f.name}` {f.dataType.simpleString()}"
+                       for f in rows.drop("__row").schema.fields)
+    drawn = rows.mapInArrow(_drawn(spec.seed, spec.n_trees), f"{fields}, __draws array<double>")
+    drawn = persist(VectorAssembler(inputCols=list(features), outputCol=VEC, handleInvalid="error").transform(drawn)
+                    .select(VEC, label, WEIGHT, "__draws"))
+
+    def one_tree(t: int):
+        sample = drawn.select(VEC, label, (F.col(WEIGHT) * F.col("__draws")[t]).alias(WEIGHT)).where(F.col(WEIGHT) > 0)
+        # many trees choose among the square root of the features at each node; a single one would take all
+        return RandomForestClassifier(featuresCol=VEC, labelCol=label, weightCol=WEIGHT, numTrees=1, maxDepth=spec.max_depth,
+                                      bootstrap=False, featureSubsetStrategy="sqrt", seed=spec.seed + t).fit(sample)
+
+    drawn.count()
+    with ThreadPoolExecutor(max_workers=TREES_AT_ONCE) as pool:
+        fitted = list(pool.map(one_tree, range(spec.n_trees)))
+    drawn.unpersist()
+    return _joined(counted.sparkSession, fitted)
+
+
+def _joined(spark: SparkSession, forests: list[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+    """One forest of the trees of several."""
+    sc = spark.sparkContext
+    made = sc._jvm.org.apache.spark.ml.classification
+    trees = [t._java_obj for f in forests for t in f.trees]
+    array = sc._gateway.new_array(made.DecisionTreeClassificationModel, len(trees))
+    for i, t in enumerate(trees):
+        array[i] = t
+    first = forests[0]
+    forest = RandomForestClassificationModel(made.RandomForestClassificationModel(
+        first.uid, array, first.numFeatures, first.numClasses))
+    return first._copyValues(forest, {first.numTrees: len(trees)})
+
+
 def _weight_for(spec: ModelSpec, target: str, n0: int, n1: int) -> F.Column:
     if spec.kind == "gbt":  # positive-class weight n_neg / n_pos, negatives 1
         return F.when(F.col(target) == 1, F.lit(n0 / max(n1, 1))).otherwise(F.lit(1.0))
@@ -167,6 +226,24 @@ class CalibratedModel:
         return cls(spec, meta["features"], bases, cals)
 
 
+def score_all(df: DataFrame, models: dict[str, CalibratedModel]) -> DataFrame:
+    """M7 for several models: a score column by name. Where the rows have up to COUNTED different feature vectors, each
+    vector is scored once and the rows look their scores up (broadcast, no shuffle); else every row is scored."""
+    def chain(rows: DataFrame) -> DataFrame:
+        for name, m in models.items():
+            rows = m.score(rows, out=name)
+        return rows
+
+    feats = list(dict.fromkeys(f for m in models.values() for f in m.features))
+    vectors = reliable_checkpoint(df.select(*feats).distinct().limit(COUNTED + 1))
+    if vectors.count() > COUNTED:
+        return chain(df)
+    scored = reliable_checkpoint(chain(vectors.repartition(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
+    scored = F.broadcast(scored.select(*[F.col(f).alias(f"__of_{i}") for i, f in enumerate(feats)], *models))
+    same = [F.col(f).eqNullSafe(F.col(f"__of_{i}")) for i, f in enumerate(feats)]
+    return df.join(scored, same, "left").select(*df.columns, *models)
+
+
 def fit_model(df: DataFrame, features: Sequence[str], target: str, spec: ModelSpec = ModelSpec(),
               calibrate: bool = True, folds: int = 3, keys: Sequence[str] | None = None,
               parallelism: int = 3) -> CalibratedModel:
@@ -178,32 +255,44 @@ def fit_model(df: DataFrame, features: Sequence[str], target: str, spec: ModelSp
     label = "__label"
     base = df.select(*(keys or []), *features, F.col(target).cast("double").alias(label))
     base = kfold(base, list(keys or features), folds, spec.seed, target=label) if calibrate else base.withColumn("fold", F.lit(-1))
-    # Cache the assembled rows first: the class-count job materialises the cache, so the input
-    # is read and encoded once; the weight column is a projection on top of the cache.
-    cached = persist(VectorAssembler(inputCols=features, outputCol=VEC, handleInvalid="error").transform(base)
-                     .select(VEC, label, "fold"))
-    by_fold = {r["fold"]: (int(r["n0"]), int(r["n1"])) for r in cached.groupBy("fold").agg(
-        F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")).collect()}
-    n0, n1 = (sum(n[c] for n in by_fold.values()) for c in (0, 1))
+    # Equal rows become one first: the input is read and encoded once, and the fits share what is left.
+    counted = reliable_checkpoint(base.groupBy(*features, label, "fold").agg(F.count(F.lit(1)).alias(COUNT)))
+    by_fold = {r["fold"]: r for r in counted.groupBy("fold").agg(
+        F.sum(F.when(F.col(label) == 0, F.col(COUNT)).otherwise(0)).alias("n0"),
+        F.sum(F.when(F.col(label) == 1, F.col(COUNT)).otherwise(0)).alias("n1"), F.sum(COUNT).alias("n"),
+        F.count(F.lit(1)).alias("distinct")).collect()}
+    classes = {k: (int(r["n0"]), int(r["n1"])) for k, r in by_fold.items()}
+    n0, n1 = (sum(n[c] for n in classes.values()) for c in (0, 1))
     if n0 == 0 or n1 == 0:
-        cached.unpersist()
         raise ValueError("Target must contain both classes (0 and 1)")
-    assembled = cached.withColumn(WEIGHT, _weight_for(spec, label, n0, n1))
+    rows, distinct = (sum(int(r[c]) for r in by_fold.values()) for c in ("n", "distinct"))
+    counted = counted.coalesce(max(1, math.ceil(distinct / COUNTED_TASK)))
+    by_count = distinct <= COUNTED and distinct * REPEATS <= rows
+    if spec.kind == "gbt" or (spec.kind == "rf" and not by_count):
+        counted = counted.withColumn(COUNT, F.explode(F.array_repeat(F.lit(1), F.col(COUNT).cast("int"))))
+    cached = persist(VectorAssembler(inputCols=features, outputCol=VEC, handleInvalid="error").transform(counted)
+                     .select(*(features if spec.kind == "rf" and by_count else []), VEC, label, "fold", COUNT))
+
+    def fit(part: DataFrame, m0: int, m1: int, n: int):
+        weight = _weight_for(spec, label, m0, m1)
+        if spec.kind == "rf" and by_count:
+            return _fit_forest(spec, part, features, weight, label)
+        return _estimator(spec, n, label).fit(part.withColumn(WEIGHT, weight * F.col(COUNT)))
+
     model = CalibratedModel(spec, features)
     if not calibrate:
-        model.bases = [_estimator(spec, n0 + n1, label).fit(assembled)]
+        model.bases = [fit(cached, n0, n1, n0 + n1)]
         cached.unpersist()
         return model
 
     def one_fold(k: int):
         # class weights and regularisation follow the classes of the fold's own training rows
-        held0, held1 = by_fold.get(k, (0, 0))
-        tr = cached.where(F.col("fold") != k).withColumn(WEIGHT, _weight_for(spec, label, max(n0 - held0, 1), max(n1 - held1, 1)))
+        held0, held1 = classes.get(k, (0, 0))
         ho = cached.where(F.col("fold") == k)
-        m = _estimator(spec, n0 + n1 - held0 - held1, label).fit(tr)
+        m = fit(cached.where(F.col("fold") != k), max(n0 - held0, 1), max(n1 - held1, 1), n0 + n1 - held0 - held1)
         tag = "__c"
         scored = _with_cols(m, tag).transform(ho).withColumn("__x", _raw_score(m, spec.kind, tag))
-        return m, isotonic.fit(scored, "__x", label)
+        return m, isotonic.fit(scored, "__x", label, weight=COUNT)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, folds))) as pool:
         fitted = list(pool.map(one_fold, range(folds)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import isotonic
 from riskframe.operators.metrics import compare_models
 from riskframe.operators.models import (
-    ModelSpec, class_weight_table, evaluate_cv, fit_model, pick_best,
+    ModelSpec, class_weight_table, evaluate_cv, fit_model, pick_best, score_all,
 )
 from riskframe.plans.common import out
 from riskframe.plans.registry import register
@@ -51,7 +51,7 @@ def q_class_weights(spark, sf):
 
 def _scores(spark, sf, name, calibrate):
     m = model_for(spark, sf, name, calibrate)
-    return out(m.score(_encoded(spark, sf)).select(*LOAN_KEY, "y", "pd"))
+    return out(score_all(_encoded(spark, sf), {"pd": m}).select(*LOAN_KEY, "y", "pd"))
 
 
 @register("logreg_scores")
@@ -97,9 +97,7 @@ MODEL_ORDER = ["logreg", "rf"]
 @register("pick_best")
 def q_pick_best(spark, sf):
     te = _encoded(spark, sf, "test")
-    scored = te
-    for name in MODEL_ORDER:
-        scored = model_for(spark, sf, name, True).score(scored, out=name)
+    scored = score_all(te, {name: model_for(spark, sf, name, True) for name in MODEL_ORDER})
     metrics = compare_models(scored, "y", MODEL_ORDER)
     return out(pick_best(metrics, "model", MODEL_ORDER).select("model", "auc", "ece", "selection_score"))
 
