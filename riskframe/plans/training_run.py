@@ -27,7 +27,7 @@ from riskframe.operators.drift import calculate_psi, psi_report, variable_psi
 from riskframe.operators.impute import ImputerState, fit_imputer, impute
 from riskframe.operators.loss import el_with_assumptions
 from riskframe.operators.metrics import compare_models, evaluate_all, threshold_table
-from riskframe.operators.models import CalibratedModel, ModelSpec, fit_model, pick_best
+from riskframe.operators.models import CalibratedModel, ModelSpec, fit_model, pick_best, score_all
 from riskframe.operators.quality import run_all_checks
 from riskframe.operators.reports import metrics_report
 from riskframe.operators.selection import select_features
@@ -137,17 +137,12 @@ def run_training(spark: SparkSession, df: DataFrame, cfg: RiskConfig, keys: Sequ
     models = train_all_models(fit_part, selected, cfg, keys)
     names = list(models)
 
-    def score_all(frame: DataFrame) -> DataFrame:
-        for n, m in models.items():
-            frame = m.score(frame, out=n)
-        return frame
-
-    val_metrics = compare_models(score_all(val_part), target, names, n_bins=cfg.calibration_bins)
-    test_scored = reliable_checkpoint(score_all(test_woe))
+    val_metrics = compare_models(score_all(val_part, models), target, names, n_bins=cfg.calibration_bins)
+    test_scored = reliable_checkpoint(score_all(test_woe, models))
     test_metrics = compare_models(test_scored, target, names, n_bins=cfg.calibration_bins)
     best = pick_best(test_metrics, "model", names).first()["model"]
 
-    train_scored = reliable_checkpoint(models[best].score(train_woe, out="score"))
+    train_scored = reliable_checkpoint(score_all(train_woe, {"score": models[best]}))
     test_best = test_scored.withColumn("score", F.col(best))
     psi = calculate_psi(train_scored, test_best, "score", cfg.psi_buckets, cfg.psi_bands)
     dec = decision_metrics(test_best, target, "score", cfg.low_threshold, cfg.high_threshold)
@@ -160,7 +155,7 @@ def run_training(spark: SparkSession, df: DataFrame, cfg: RiskConfig, keys: Sequ
     oot_best = test_best
     if oot is not None:
         oot_woe = encoder.transform(oot.select(*keys, *feats, target))
-        oot_best = reliable_checkpoint(models[best].score(oot_woe, out="score"))
+        oot_best = reliable_checkpoint(score_all(oot_woe, {"score": models[best]}))
     labelled = (train_scored.select("score", F.lit("train").alias("split"))
                 .unionByName(test_best.select("score", F.lit("test").alias("split")))
                 .unionByName(oot_best.select("score", F.lit("oot").alias("split"))))
