@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.curves import prefix_below
 from riskframe.operators.split import hash_fraction
-from riskframe.session import persist
+from riskframe.session import persist, reliable_checkpoint
 
 BACKGROUND_RANGE = 5_000  # background rows that one window numbers, about
+MIXTURES = 2_000_000  # mixed vectors up to which all are scored once, before the rows look their steps up
+STEPS = 256  # features x permutations written out as expressions at most
 
 # Risk labels of the local example table.
 LOW_RISK_PD = 0.1
@@ -77,10 +79,18 @@ def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[s
     are explained one by one."""
     feats = list(features)
     p = len(feats)
+    background = reliable_checkpoint(background.select(*feats))
     n_bg = background.count()
     if n_bg == 0:
         raise ValueError("empty background")
-    bg = _numbered(background.select(*feats), feats, seed, max(1, n_bg // range_rows))
+    bg = _numbered(background, feats, seed, max(1, n_bg // range_rows))
+    most = MIXTURES // (n_bg << p)
+    if most and p * n_permutations <= STEPS:
+        vectors = reliable_checkpoint(rows.select(*feats).distinct().limit(most + 1))
+        if vectors.count() <= most:
+            found = _looked_up(rows, vectors, bg, n_bg, feats, keys, scorer, score_col, n_permutations, seed)
+            if found is not None:
+                return found
     perms = F.sequence(F.lit(0), F.lit(n_permutations - 1))
     ids = [*keys, "__rep"]
     rows = rows.withColumn("__rep", F.row_number().over(Window.partitionBy(*keys).orderBy(*feats)))
@@ -110,6 +120,53 @@ def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[s
             .agg(F.avg("__d").alias("attribution"), F.avg("__fx").alias("f_x"), F.avg("__f0").alias("f_background")).drop("__rep"))
 
 
+def _looked_up(rows: DataFrame, vectors: DataFrame, bg: DataFrame, n_bg: int, feats: list[str], keys: Sequence[str],
+               scorer: Callable[[DataFrame], DataFrame], score_col: str, n_permutations: int, seed: int) -> DataFrame | None:
+    """``sampled_shapley`` where the rows have few different vectors: every mixture of a vector and a background row is
+    scored once (bit i of its mask: feature i is the vector's), and a row looks up the two ends of each of its steps.
+    The same chains and scores, without a shuffle of the rows."""
+    p = len(feats)
+    of = [f"__of_{i}" for i in range(p)]
+    mixed = vectors.select(*[F.col(c).alias(o) for c, o in zip(feats, of)]).crossJoin(bg).withColumn(
+        "__mask", F.explode(F.sequence(F.lit(0), F.lit((1 << p) - 1))))
+    hybrid = [F.when(F.col("__mask").bitwiseAND(F.lit(1 << i)) != 0, F.col(o)).otherwise(F.col(c)).alias(c)
+              for i, (c, o) in enumerate(zip(feats, of))]
+    at = (F.col("__b") * F.lit(1 << p) + F.col("__mask")).cast("int").alias("__at")
+    mixed = mixed.select(*of, at, *hybrid).repartition(*of)
+    table = scorer(mixed).groupBy(*of).agg(F.array_sort(F.collect_list(F.struct("__at", F.col(score_col).alias("f")))).alias("__f"))
+    table = reliable_checkpoint(table.select(*of, F.col("__f")["f"].alias("__f")))
+    if table.filter(F.exists("__f", lambda f: f.isNull())).count():
+        return None  # steps without a score do not count, which sums do not tell
+    found = rows.join(F.broadcast(table), [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(feats, of)])
+
+    key = [F.col(k) for k in keys]
+    sums = [f"__s{i}" for i in range(p + 2)]  # of the features' steps, of f(x), of f(background)
+    found = found.select(*keys, "__f", *[F.lit(0.0).alias(c) for c in sums])
+    score = lambda mask: F.get("__f", F.col("__b") + mask)
+
+    def before(i: int) -> F.Column:
+        """Mask of the features that come before feature i in the order of their hashes."""
+        mask = F.lit(0)
+        for j in (j for j in range(p) if j != i):
+            h, own = F.col(f"__h{j}"), F.col(f"__h{i}")
+            mask = mask + F.when(h <= own if j < i else h < own, F.lit(1 << j)).otherwise(F.lit(0))
+        return mask
+
+    for t in range(n_permutations):  # one small projection after another: one of all would be too long to compile
+        found = found.select(
+            *keys, "__f", *sums, (F.pmod(F.xxhash64(*key, F.lit(t), F.lit(seed)), F.lit(n_bg)) * F.lit(1 << p)).cast("int").alias("__b"),
+            *[F.xxhash64(*key, F.lit(t), F.lit(i), F.lit(seed)).alias(f"__h{i}") for i in range(p)])
+        found = found.select(*keys, "__f", *sums, "__b", *[before(i).alias(f"__m{i}") for i in range(p)])
+        steps = [score(F.col(f"__m{i}") + F.lit(1 << i)) - score(F.col(f"__m{i}")) for i in range(p)]
+        found = found.select(*keys, "__f", *[(F.col(c) + v).alias(c) for c, v in zip(
+            sums, [*steps, score(F.lit((1 << p) - 1)), score(F.lit(0))])])
+    means = [F.col(c) / F.lit(float(n_permutations)) for c in sums]
+    found = found.select(*keys, F.array(*means[:p]).alias("__steps"), means[p].alias("f_x"), means[p + 1].alias("f_background"))
+    names = F.array(*[F.lit(c) for c in feats])
+    return (found.select(*keys, F.posexplode("__steps").alias("__i", "attribution"), "f_x", "f_background")
+            .select(*keys, F.get(names, F.col("__i")).alias("feature"), "attribution", "f_x", "f_background"))
+
+
 def global_importance(attr: DataFrame, top: int | None = None) -> DataFrame:
     """Mean |attribution| per feature, descending (top ``top`` if given)."""
     g = attr.groupBy("feature").agg(F.avg(F.abs("attribution")).alias("mean_abs_attribution"))

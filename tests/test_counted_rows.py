@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.operators import models
+from riskframe.operators import attribution, models
 from riskframe.operators.models import CalibratedModel, ModelSpec, fit_model, score_all
 
 FEATS = ["a", "b", "c"]
@@ -59,3 +59,20 @@ def test_each_vector_is_scored_once(rows, monkeypatch):
     assert sorted(got.select("id", "p", "q").collect()) == sorted(score(m, score(m, rows, "p"), "q").select("id", "p", "q").collect())
     monkeypatch.setattr(models, "COUNTED", 3)
     assert sorted(score_all(rows, {"p": m}).select("id", "p").collect()) == sorted(got.select("id", "p").collect())
+
+
+def test_shapley_scores_each_mixture_once(rows, monkeypatch):
+    scored = []
+
+    def scorer(z):
+        scored.append(z.count())
+        return z.withColumn("pd", F.col("a") * F.col("b") + F.col("c") * F.col("c") * F.col("a") - F.col("b"))
+
+    some = rows.limit(300).union(rows.limit(20))  # repeated keys are explained one by one
+    run = lambda: sorted(attribution.sampled_shapley(some, rows.limit(5), FEATS, ["id"], scorer, n_permutations=4).collect())
+    got = run()
+    assert scored == [some.select(*FEATS).distinct().count() * rows.limit(5).count() * 2 ** len(FEATS)]
+    monkeypatch.setattr(attribution, "MIXTURES", 0)
+    by_row = run()
+    assert len(got) == 320 * 3 and [r[:2] for r in got] == [r[:2] for r in by_row]
+    assert np.array([r[2:] for r in got]) == pytest.approx(np.array([r[2:] for r in by_row]), abs=1e-12)
