@@ -148,7 +148,8 @@ def _chunked(heavy: np.ndarray, buckets: int):
             part = slice(cuts[k], cuts[k + 1])
             first = np.flatnonzero(np.diff(words[part], prepend=~words[part][:1]))
             runs = np.diff(first, append=cuts[k + 1] - cuts[k]).astype(np.uint32)
-            yield chunk, k, pack(head, words[part][first], _thin(runs), *_halves(ctx[part]), doc[part])
+            own, number = np.unique(ctx[part], return_inverse=True)  # contexts repeat: each is written once
+            yield chunk, k, pack(head, words[part][first], _thin(runs), *_halves(own), _thin(number), _thin(doc[part]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, task = WordHasher(), TaskContext.get().partitionId()
@@ -187,8 +188,8 @@ def _bucket_counts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         if len(arrays) == 5:  # counts already
             waiting.append([np.repeat(arrays[0], arrays[1]), _whole(*arrays[2:4]), arrays[4].astype(np.int64)])
             continue
-        head, words, runs, low, high, doc = arrays
-        ctx = _whole(low, high)
+        head, words, runs, low, high, number, doc = arrays
+        ctx = _whole(low, high)[number]
         waiting.append(list(_summed(np.repeat(words, runs), ctx, (doc < head[0]).astype(np.int64))))
         if sum(len(w[0]) for w in waiting[1:]) > 2_000_000:
             waiting = [list(_summed(*[np.concatenate(c) for c in zip(*waiting)]))]
@@ -485,9 +486,9 @@ def _tail_scores(states: list[tuple[State, State]]):
         backs = [back_off(after) for _, after in wide]
         out = []
         for chunk, payload in zip(chunks.column("chunk").to_pylist(), chunks.column("payload").to_pylist()):
-            head, w, runs, low, high, doc = unpack(payload)
+            head, w, runs, low, high, number, doc = unpack(payload)
             at = np.repeat(np.searchsorted(known_words, w), runs)
-            c = _numbers(_whole(low, high), own, width)
+            c = _numbers(_whole(low, high), own, width)[number]
             entry = np.searchsorted(key, (at << 32) + c)
             p = np.zeros(len(at))
             for (root, gain), back in zip(samples, backs):
