@@ -18,7 +18,9 @@ No bucket is expanded into all its pairs:
 3. What is left are buckets with several components. Those of up to FEW members list their pairs of
    different components that were not compared yet. The members of larger ones are matched by their rarest shingles
    (prefix filtering, exact): buckets of documents that share a passage but not the threshold make hardly any candidates.
-   So no link between documents that share a band is lost, there is no cap, and pairs are rows only where they are candidates.
+   Where many share even such a shingle (edited copies of one text, near the threshold), blocks of nodes meet in a task,
+   which links their components; rows are blocks and members, never pairs.
+   So no link between components that share a band is lost, there is no cap, and pairs are rows only where few are candidates.
 4. Verification groups pairs into cells (a node and its partners). A full set is formed once, from the whole
    text, and sent once to each cell that needs it.
 
@@ -50,6 +52,8 @@ LEADERS = 4
 CELL = 128
 #: Buckets of up to so many members list their pairs of different components; larger ones go by rare shingles.
 FEW = 24
+#: Members of a block of nodes that share a frequent shingle, and shingles of all of them, about.
+BLOCK, BLOCK_SHINGLES = 256, 1_000_000
 #: Standard errors below the threshold at which an estimate still goes on to verification.
 SLACK = 5.0
 #: Chance that two registers with different smallest hashes look equal, times (a+b)^2/(ab) for set sizes a, b:
@@ -207,7 +211,7 @@ def _verify(src: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     known = pairs.join(count("a"), "a").join(count("b"), "b")
     hub, other = (F.when(F.col("pa") >= F.col("pb"), F.col(x)).otherwise(F.col(y)) for x, y in ("ab", "ba"))
     salt = F.pmod(F.xxhash64(other), F.ceil(F.greatest("pa", "pb") / CELL))
-    pairs = known.select("a", "b", F.xxhash64(hub, salt).alias("cell"))
+    pairs = slim_checkpoint(known.select("a", "b", F.xxhash64(hub, salt).alias("cell")))
     need = pairs.select(F.col("cell").alias("of_cell"), F.col("a").alias("node")).union(pairs.select("cell", "b")).distinct()
     texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), ids, "node", ids.count())
     sent = need.join(texts.mapInArrow(_sets, "node long, full binary"), "node").select("of_cell", "node", "full")
@@ -229,7 +233,8 @@ def _large(src: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -
     Such buckets come from passages that many documents share: their members are alike without reaching the threshold.
     So the members' shingles are ordered from rare to frequent, and two of them are candidates only if they share
     one of the rarest of either: sets with a similarity of p percent must share one of the first n - ceil(p n / 100) + 1, at
-    places that leave room for the overlap they need. This loses nothing. Candidates are estimated and verified as others are."""
+    places that leave room for the overlap they need. This loses nothing. Candidates by a shingle of few nodes are estimated
+    and verified as others are; those by a shingle of more than FEW are found block by block."""
     held = slim_checkpoint(members.select("node", "comp").distinct().join(nodes.select("node", "n"), "node"))
     texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), held, "node", held.count())
     shingles = reliable_checkpoint(texts.mapInArrow(_shingle_rows, "node long, s long").distinct())
@@ -240,13 +245,62 @@ def _large(src: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -
               .withColumn("place", F.col("n") - F.col("shared") + F.col("rank"))
               .filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
     ranked = reliable_checkpoint(ranked.select("s", "node", "comp", "n", "place"))
-    x, y = ranked.alias("x"), ranked.alias("y")
+    posted = ranked.groupBy("s").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    ranked = reliable_checkpoint(ranked.join(posted.select("s", "size"), "s"))
+    x, y = ranked.filter(F.col("size") <= FEW).alias("x"), ranked.alias("y")
     room = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     pairs = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
                    & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
                    & ((100 + percent) * room >= percent * (F.col("x.n") + F.col("y.n")))).select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    return _verify(src, _likely_pairs(nodes, pairs, percent), percent)
+    return _verify(src, _likely_pairs(nodes, pairs, percent), percent).union(
+        _by_blocks(src, ranked.filter(F.col("size") > FEW), percent))
+
+
+def _by_blocks(src: DataFrame, many: DataFrame, percent: int) -> DataFrame:
+    """Links that join the components of nodes sharing a shingle ``s`` with more than FEW others.
+
+    Nodes with the same rarest such shingle are dealt to blocks of about BLOCK nodes and BLOCK_SHINGLES shingles, and two
+    blocks meet in one task if they share one of these shingles. So rows are blocks and their members, not pairs, and a task holds two blocks."""
+    home = many.groupBy("node").agg(F.min_by("s", F.struct("size", "s")).alias("s"), F.first("n").alias("n"), F.first("comp").alias("comp"))
+    home = slim_checkpoint(home)
+    sizes = home.groupBy("s").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
+    home = slim_checkpoint(home.join(sizes, "s").select(
+        "node", "comp", F.xxhash64("s", F.pmod(F.xxhash64("node"), "parts")).alias("block")))
+    held = home.count()
+    if not held:
+        return home.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    at = many.select("node", "s").join(home, "node").select("s", "block").distinct()
+    x, y = at.alias("x"), at.alias("y")
+    meet = slim_checkpoint(x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.block") <= F.col("y.block"))).select(
+        F.col("x.block").alias("ba"), F.col("y.block").alias("bb")).distinct())
+    sides = meet.select("ba", "bb", F.lit(0).alias("side"), F.col("ba").alias("block")).union(
+        meet.filter("ba <> bb").select("ba", "bb", F.lit(1), "bb"))
+    texts = rows_with_ids(src.withColumnRenamed("doc_id", "node"), home, "node", held)
+    sets = texts.mapInArrow(_sets, "node long, full binary").dropDuplicates(["node", "full"])
+    sent = sides.join(home, "block").join(sets, "node").select("ba", "bb", "side", "node", "comp", "full")
+    return sent.groupBy("ba", "bb").applyInArrow(_joined(percent), "a long, b long")
+
+
+def _joined(pct: int):
+    """Links that join the components of one block, or of two blocks with each other. Nodes joined by links of this
+    task count as one component, and are not compared again."""
+    def run(rows: pa.Table) -> pa.Table:
+        side, node = rows.column("side").to_numpy(), rows.column("node").to_numpy()
+        own = np.unique(rows.column("comp").to_numpy(), return_inverse=True)[1]
+        full = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("full")]
+        n, regs = np.array([len(f) for f in full]), np.stack([registers(f) for f in full])
+        across, out = side.any(), []
+        for i in np.flatnonzero(side == 0).tolist() if across else range(len(node)):
+            other = np.flatnonzero((own != own[i]) & ((side == 1) if across else (np.arange(len(node)) > i)))
+            same = ((regs[other] == regs[i]) & (regs[i] > 0)).sum(1)
+            other = other[likely(same, ((regs[other] > 0) | (regs[i] > 0)).sum(1), n[other], n[i], pct)]
+            for j in other.tolist():
+                if own[j] != own[i] and reaches(full[i], full[j], pct):
+                    out.append((node[i], node[j]))
+                    own[own == own[j]] = own[i]
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+    return run
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,50 @@ def test_blocks_find_what_leaders_leave(spark, monkeypatch):
     assert got == brute(rows, 85)
 
 
+def edited_copies(count, seed=7):
+    """One text with so many edited copies, most of them just not near each other."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base, rows = [word() for _ in range(200)], []
+    for i in range(count):
+        copy = list(base)
+        for at in rng.sample(range(0, 200, 5), rng.choice([1, 2, 3, 3, 3])):
+            copy[at] = word()
+        rows.append((i + 1, " ".join(copy)))
+    return rows
+
+
+def test_pairs_of_a_group_of_edited_copies_do_not_grow_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 32)
+    compared, likely_pairs = [], near_dedup._likely_pairs
+
+    def counted(nodes, pairs, percent):
+        compared.append(pairs.count())
+        return likely_pairs(nodes, pairs, percent)
+    monkeypatch.setattr(near_dedup, "_likely_pairs", counted)
+    rows = edited_copies(300)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(df, percent=91).collect()}
+    assert got == brute(rows, 91)
+    assert sum(compared[2:]) <= 5 * len(rows)  # of the large buckets; 300 texts have 44,850 pairs
+
+
+def test_blocks_join_what_single_pairs_do(spark):
+    sets = [np.sort(np.unique(np.concatenate([np.arange(100 - k), 1000 * i + 500 + np.arange(k)]))).astype(np.uint64)
+            for i, k in enumerate([0, 5, 10, 20, 4, 40])]
+    sets.append(np.arange(10_000, 10_050, dtype=np.uint64))
+
+    def joined(side, comp):
+        rows = pa.table({"side": side, "node": list(range(7)), "comp": comp, "full": pa.array([s.tobytes() for s in sets], pa.binary())})
+        out = near_dedup._joined(85)(rows)
+        return list(zip(out.column("a").to_pylist(), out.column("b").to_pylist()))
+    one = joined([0] * 7, list(range(7)))
+    links = [(i, j) for i in range(7) for j in range(i + 1, 7) if near_dedup.reaches(sets[i], sets[j], 85)]
+    assert {x for pair in links for x in pair} == {x for pair in one for x in pair} and set(one) <= set(links)
+    assert joined([0] * 7, [1] * 7) == []
+    assert all({a, b} & {4, 5, 6} and {a, b} & {0, 1, 2, 3} for a, b in joined([0, 0, 0, 0, 1, 1, 1], list(range(7))))
+
+
 def test_odd_rows_and_stage(spark):
     df = spark.createDataFrame([(None, "a b c d e f", 1), (2, "a b c d e f", 1), (1, "a b c d e f", 2), (1, "a b c d e f", 2),
                                 (7, None, 3)], "doc_id long, text string, comp int")
