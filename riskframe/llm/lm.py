@@ -13,11 +13,15 @@ frequent words; those of all other contexts are summed by hash range of the cont
 word buckets that hold it. Draws are seeded by word bucket and step, so a lost task is repeated identically. After BURN
 steps the predictive probabilities of SAMPLES steps are averaged; a text's score is the sum of their logarithms.
 
-Data flow. Tasks turn texts into chunks of token arrays, sorted by word and packed; chunks are written once to the
-shared checkpoint folder. Tail words travel by hash bucket (buckets become more with the tokens); frequent words, which
-would make hot keys, are counted by sums over (word, context) and scored where their chunk is, from a table of
-at most HEAVY^2 numbers, if their context is frequent too, and else travel by the hash of the context. Pairs of held-out
-texts alone are held with a count of 0, so that a bucket knows the totals of their contexts. Buckets return one packed array of sums per chunk, not a row per token or document.
+Data flow. Tasks turn texts into chunks of token arrays, sorted by word and packed; their parts are shuffled once, to the
+partition of a hash bucket of the words (buckets become more with the tokens), and counting and scoring both read them there:
+counts and totals come to the partitions that hold the tokens. Frequent words, which would make hot keys, stay with their
+chunk if their context is frequent too (they are counted by sums over (word, context) and scored from a table of at most
+HEAVY^2 numbers), and else travel by the hash of the context. Contexts travel as two-byte numbers if they are among the KNOWN
+most frequent words, which is a code only. Pairs of held-out texts alone are held with a count of 0, so that a bucket knows
+the totals of their contexts. Buckets return one packed array of sums per chunk, not a row per token or document. A lost
+executor's parts are made again from the texts, so ``docs`` must give its rows in the same order when it is read again, as
+a table does; checkpoint it before if it does not.
 
 Defined results: a null text is the empty text, whose only token is the end. A null id counts as the empty text in the
 fold rule. Rows that repeat an id are scored one by one. Without training rows every token is unknown. Empty table: empty result.
@@ -56,15 +60,17 @@ END = np.uint64(0x5EED0FE2D0C0FFEE)
 OTHER, START = 0, 1  # context numbers; frequent word i is context i + 2
 #: Numbers from here on are hashes: contexts that are no frequent words.
 TAIL = 1 << 16
+#: Words whose contexts travel in two bytes, at most; the number of all others.
+KNOWN, LISTED = 60_000, 0xFFFF
 
 CHUNKS = "chunk long, bucket int, payload binary"
 ASKS = "owner int, bucket int, payload binary"
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed binary."""
+    """Arrays as one compressed binary; the first bytes of an array's numbers come first, then the second ones."""
     head = np.array([len(arrays)] + [v for a in arrays for v in (np.dtype(a.dtype).num, len(a))], "<i8").tobytes()
-    raw = head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
+    raw = head + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
@@ -75,7 +81,8 @@ def unpack(payload: bytes) -> list[np.ndarray]:
     at, out = 8 + 16 * n, []
     for num, size in meta:
         kind = np.dtype([t for t in (np.uint64, np.int64, np.uint32, np.int32, np.uint16, np.float64) if np.dtype(t).num == num][0])
-        out.append(np.frombuffer(raw, kind, size, at))
+        planes = np.frombuffer(raw, np.uint8, size * kind.itemsize, at).reshape(kind.itemsize, size)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
         at += size * kind.itemsize
     return out
 
@@ -86,8 +93,35 @@ def _thin(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
+class Contexts:
+    """Contexts (below 2^48) as numbers of two bytes: those below ``width`` are their own numbers, then come the KNOWN most frequent
+    words; others have the number LISTED and are listed in order, as their lower 32 and upper 16 bits. It is a code only."""
+
+    def __init__(self, width: int, words: np.ndarray) -> None:
+        self.width = width
+        self.values = np.concatenate([np.arange(width, dtype=np.uint64), _as_context(words)])
+        self.order = width + np.argsort(self.values[width:], kind="stable")
+        self.sorted = self.values[self.order]
+
+    def split(self, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        number = np.minimum(ctx, np.uint64(LISTED)).astype(np.uint16)
+        tail = np.flatnonzero(ctx >= TAIL)
+        if len(self.order):
+            at = self.order[np.minimum(np.searchsorted(self.sorted, ctx[tail]), len(self.order) - 1)]
+            number[tail] = np.where(self.values[at] == ctx[tail], at, LISTED)
+        return number, *_halves(ctx[number == LISTED])
+
+    def whole(self, number: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        out = self.values[np.where(number == LISTED, 0, number)]
+        out[number == LISTED] = _whole(low, high)
+        return out
+
+
+def _as_context(words: np.ndarray) -> np.ndarray:
+    return np.maximum(words >> np.uint64(16), np.uint64(TAIL))
+
+
 def _halves(ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts (below 2^48) as their lower 32 and upper 16 bits."""
     return (ctx & np.uint64(0xFFFFFFFF)).astype(np.uint32), (ctx >> np.uint64(32)).astype(np.uint16)
 
 
@@ -95,12 +129,21 @@ def _whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
 
 
+def _steps(words: np.ndarray) -> np.ndarray:
+    """Sorted words as their differences."""
+    return np.diff(words, prepend=np.uint64(0))
+
+
+def _from_steps(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint64)
+
+
 def _in_training(doc_id) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % FOLDS != 0
 
 
 def _local_heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: frequent words with their counts, and the number of tokens (word null)."""
+    """Per task: the more frequent words with their counts, and the number of tokens (word null)."""
     hasher, words, counts, total = WordHasher(), np.empty(0, np.uint64), np.empty(0, np.int64), 0
     for b in batches:
         got = [hasher.word_hashes(hasher.words(t)) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if _in_training(d)]
@@ -110,9 +153,9 @@ def _local_heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             weight = np.ones(len(back), np.int64)
             weight[: len(counts)] = counts
             counts = np.bincount(back, weight, len(words)).astype(np.int64)
-            keep = counts >= total / (8 * HEAVY) - 1  # what is rarer so far can't count much in the task's share
+            keep = counts >= total / (8 * KNOWN) - 1  # what is rarer so far can't count much in the task's share
             words, counts = words[keep], counts[keep]
-    keep = counts >= total / (4 * HEAVY)
+    keep = counts >= total / (4 * KNOWN)
     yield pa.RecordBatch.from_arrays([pa.array([None, *words[keep].view(np.int64).tolist()], pa.int64()),
                                       pa.array([total, *counts[keep].tolist()], pa.int64())], names=["word", "n"])
 
@@ -122,34 +165,44 @@ def _owner(ctx: np.ndarray, buckets: int) -> np.ndarray:
     return ((ctx >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def _chunked(heavy: np.ndarray, buckets: int):
+def _chunked(heavy: np.ndarray, known: np.ndarray, buckets: int):
+    """Texts as chunks; ``heavy`` sorted, ``known`` the other words whose contexts have numbers."""
+    listed = np.concatenate([heavy, known])
+    order = np.argsort(listed)
+    listed, number_of = listed[order], (order + 2).astype(np.uint16)
+    width = len(heavy) + 2
+
     def flush(docs: list, chunk: int) -> Iterator[tuple]:
         docs = sorted(docs, key=lambda d: not d[1])  # training documents come first
         train = sum(d[1] for d in docs)
         sizes = np.array([len(d[2]) for d in docs])
         words = np.concatenate([d[2] for d in docs])
         doc = np.repeat(np.arange(len(docs), dtype=np.uint32), sizes)
-        at = np.minimum(np.searchsorted(heavy, words), max(0, len(heavy) - 1))
-        is_heavy = heavy[at] == words if len(heavy) else np.zeros(len(words), bool)
-        ctx = np.empty(len(words), np.uint64)
-        ctx[1:] = np.where(is_heavy[:-1], (at[:-1] + 2).astype(np.uint64), np.maximum(words[:-1] >> np.uint64(16), np.uint64(TAIL)))
-        ctx[np.cumsum(sizes) - sizes] = START
+        own = np.full(len(words), LISTED, np.uint16)  # the number that a word has as a context
+        if len(listed):
+            at = np.minimum(np.searchsorted(listed, words), len(listed) - 1)
+            own = np.where(listed[at] == words, number_of[at], own)
+        is_heavy = own < width
+        number, ctx = np.empty(len(words), np.uint16), np.empty(len(words), np.uint64)
+        number[1:], ctx[1:] = own[:-1], np.where(is_heavy[:-1], own[:-1].astype(np.uint64), _as_context(words[:-1]))
+        starts = np.cumsum(sizes) - sizes
+        number[starts], ctx[starts] = START, START
         ids = np.array([-(2**63) if d[0] is None else d[0] for d in docs], np.int64)
         yield chunk, -2, pack(ids, np.array([d[0] is None for d in docs], np.int32), sizes)
         head = np.array([train, len(docs)], np.int64)
         here = is_heavy & (ctx < TAIL)
-        yield chunk, -1, pack(head, at[here].astype(np.uint16), ctx[here].astype(np.uint16), doc[here])
+        yield chunk, -1, pack(head, own[here] - np.uint16(2), ctx[here].astype(np.uint16), doc[here])
         bucket = np.where(is_heavy, _owner(ctx, buckets), ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32))
-        words, ctx, doc, bucket = words[~here], ctx[~here], doc[~here], bucket[~here]
-        order = np.lexsort((words, bucket))
-        words, ctx, doc, bucket = words[order], ctx[order], doc[order], bucket[order]
+        order = np.flatnonzero(~here)
+        order = order[np.lexsort((words[order], bucket[order]))]
+        words, number, ctx, doc, bucket = words[order], number[order], ctx[order], doc[order], bucket[order]
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             part = slice(cuts[k], cuts[k + 1])
             first = np.flatnonzero(np.diff(words[part], prepend=~words[part][:1]))
             runs = np.diff(first, append=cuts[k + 1] - cuts[k]).astype(np.uint32)
-            own, number = np.unique(ctx[part], return_inverse=True)  # contexts repeat: each is written once
-            yield chunk, k, pack(head, words[part][first], _thin(runs), *_halves(own), _thin(number), _thin(doc[part]))
+            yield chunk, k, pack(head, _steps(words[part][first]), _thin(runs), number[part], *_halves(ctx[part][number[part] == LISTED]),
+                                 _thin(doc[part]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, task = WordHasher(), TaskContext.get().partitionId()
@@ -179,22 +232,41 @@ def _summed(words: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> tuple[np.ndarr
     return words[first], ctx[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _bucket_counts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+def _bucket_counts(payloads: list[bytes], contexts: Contexts) -> bytes:
     """Training counts by (word, context) of one bucket, merged chunk by chunk; 0 for pairs of held-out texts alone."""
     held = [np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)]
     waiting = [held]
-    for payload in table.column("payload").to_pylist():
+    for payload in payloads:
         arrays = unpack(payload)
-        if len(arrays) == 5:  # counts already
-            waiting.append([np.repeat(arrays[0], arrays[1]), _whole(*arrays[2:4]), arrays[4].astype(np.int64)])
+        if len(arrays) == 6:  # counts already
+            waiting.append(list(_opened(payload, contexts)))
             continue
-        head, words, runs, low, high, number, doc = arrays
-        ctx = _whole(low, high)[number]
-        waiting.append(list(_summed(np.repeat(words, runs), ctx, (doc < head[0]).astype(np.int64))))
+        head, words, runs, number, low, high, doc = arrays
+        waiting.append(list(_summed(np.repeat(_from_steps(words), runs), contexts.whole(number, low, high), (doc < head[0]).astype(np.int64))))
         if sum(len(w[0]) for w in waiting[1:]) > 2_000_000:
             waiting = [list(_summed(*[np.concatenate(c) for c in zip(*waiting)]))]
-    out = _packed_counts(*_summed(*[np.concatenate(c) for c in zip(*waiting)]))
-    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "payload": pa.array([out], pa.binary())})
+    return _packed_counts(*_summed(*[np.concatenate(c) for c in zip(*waiting)]), contexts)
+
+
+def _counts(contexts: Contexts):
+    """Of the chunks' parts (or counts) of one task: counts by bucket; with bucket -1 those of frequent words in frequent contexts."""
+    def run(rows) -> Iterator[tuple]:
+        parts, keys, n = {}, np.empty(0, np.int64), np.empty(0, np.int64)
+        for _, bucket, payload in rows:
+            if bucket >= 0:
+                parts.setdefault(bucket, []).append(payload)
+            elif bucket == -1:
+                arrays = unpack(payload)
+                if len(arrays) == 4:
+                    head, w, c, doc = arrays
+                    arrays = (w.astype(np.int64) * 65_536 + c)[doc < head[0]], np.ones((doc < head[0]).sum(), np.int64)
+                keys, at = np.unique(np.concatenate([keys, arrays[0]]), return_inverse=True)
+                n = np.bincount(at, np.concatenate([n, arrays[1]]), len(keys)).astype(np.int64)
+        if len(keys):
+            yield 0, -1, pack(keys, n)
+        for bucket, payloads in parts.items():
+            yield 0, bucket, _bucket_counts(payloads, contexts)
+    return run
 
 
 def stirling(discount: float, top: int) -> np.ndarray:
@@ -293,10 +365,10 @@ def seat(words: np.ndarray, ctx: np.ndarray, n: np.ndarray, state: State, seed:
     return first, word, total, t, r, s
 
 
-def _opened(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _opened(payload: bytes, contexts: Contexts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, contexts and counts of a bucket."""
-    words, runs, low, high, n = unpack(payload)
-    return np.repeat(words, runs), _whole(low, high), n.astype(np.int64)
+    words, runs, number, low, high, n = unpack(payload)
+    return np.repeat(_from_steps(words), runs), contexts.whole(number, low, high), n.astype(np.int64)
 
 
 def _numbers(ctx: np.ndarray, own: np.ndarray, width: int) -> np.ndarray:
@@ -353,32 +425,31 @@ def _answers(last: bool):
     return run
 
 
-def _told(table: pa.Table, step: int, arrays: int = 1) -> list[np.ndarray]:
+def _told(answers: list, bucket: int, step: int, arrays: int = 1) -> list[np.ndarray]:
     """Answers after a step, in the order of the bucket's contexts."""
-    rows = sorted((o, x) for k, o, x in zip(*[table.column(c).to_pylist() for c in ("step", "owner", "payload")]) if k == step)
+    rows = sorted((o, x) for b, o, x, k in answers if (b, k) == (bucket, step))
     return [np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64) for x in zip(*[unpack(x) for _, x in rows])] or [np.empty(0, np.int64)] * arrays
 
 
-def _step(state: State, step: int, buckets: int):
+def _step(state: State, step: int, buckets: int, contexts: Contexts):
     """A bucket's Gibbs step over what varies: rows for the owners of its contexts; for the driver (owner -1) the tables beyond the
     first of each dish in the first contexts, the root's tables and customers, and the root customers of the frequent words."""
     width = len(state.contexts)
 
-    def run(slim: pa.Table, told: pa.Table) -> pa.Table:
-        out = []
-        for bucket, payload in zip(slim.column("bucket").to_pylist(), slim.column("payload").to_pylist()):
-            words, ctx, n = _opened(payload)
+    def run(both: tuple[list, list]) -> list[tuple]:
+        out, (slim, told) = [], both
+        for _, bucket, payload in slim:
+            words, ctx, n = _opened(payload, contexts)
             own = _own(ctx)
             ctx = _numbers(ctx, own, width)
-            tables = _told(told, 0)[0] + (_told(told, step)[0] if step else 0)
+            tables = _told(told, bucket, 0)[0] + (_told(told, bucket, step)[0] if step else 0)
             first, _, _, t, r, s = seat(words, ctx, n, state.wider(tables, tables), [step, bucket + 5])
             more = np.bincount(ctx, np.where(ctx == OTHER, 0, t - 1), width + len(own)).astype(np.int64)
             at = state.number(words[first])
             often = np.bincount(at[at >= 0], r[at >= 0], len(state.heavy))
             out.append((-1, bucket, pack(np.concatenate([more[:width], [s[at < 0].sum(), r[at < 0].sum()], often]).astype(np.float64))))
             out += _asks(bucket, own, buckets, more[width:])
-        return pa.table({"owner": pa.array([x[0] for x in out], pa.int32()), "bucket": pa.array([x[1] for x in out], pa.int32()),
-                         "payload": pa.array([x[2] for x in out], pa.binary())})
+        return out
     return run
 
 
@@ -394,12 +465,12 @@ def _slim(words: np.ndarray, ctx: np.ndarray, n: np.ndarray, often: np.ndarray)
                    np.concatenate([n[rest], ones[put]]))
 
 
-def _packed_counts(words: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> bytes:
+def _packed_counts(words: np.ndarray, ctx: np.ndarray, n: np.ndarray, contexts: Contexts) -> bytes:
     first = np.flatnonzero(np.diff(words, prepend=~words[:1]))
-    return pack(words[first], _thin(np.diff(first, append=len(words))), *_halves(ctx), _thin(n))
+    return pack(_steps(words[first]), _thin(np.diff(first, append=len(words))), *contexts.split(ctx), _thin(n))
 
 
-def _first_asks(heavy: np.ndarray, width: int, buckets: int):
+def _first_asks(heavy: np.ndarray, width: int, buckets: int, contexts: Contexts):
     """Before the first step: customers, whether the tables vary, and dishes of the contexts, for their owners; for the driver the
     customers and dishes of the first contexts, the number of other words, of those seen once, and of all dishes, and
     the counts of the frequent words; with owner -2 the counts that vary."""
@@ -408,7 +479,7 @@ def _first_asks(heavy: np.ndarray, width: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for bucket, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words, ctx, n = _opened(payload)
+                words, ctx, n = _opened(payload, contexts)
                 at = frequent.number(words)
                 slim = _slim(words, ctx, n, at >= 0)
                 own = _own(ctx)
@@ -419,7 +490,7 @@ def _first_asks(heavy: np.ndarray, width: int, buckets: int):
                 total = np.bincount(total, n[at < 0])
                 sums = np.concatenate([customers[:width], dishes[:width], [(total > 0).sum(), (total == 1).sum(), dishes.sum()],
                                        np.bincount(at[at >= 0], n[at >= 0], len(heavy))])
-                out = [(-2, bucket, _packed_counts(*slim)), (-1, bucket, pack(sums.astype(np.float64))),
+                out = [(-2, bucket, _packed_counts(*slim, contexts)), (-1, bucket, pack(sums.astype(np.float64))),
                        *_asks(bucket, own, buckets, customers[width:], varies, dishes[width:])]
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()),
                                                   pa.array([x[2] for x in out], pa.binary())], names=["owner", "bucket", "payload"])
@@ -466,35 +537,48 @@ def back_off(state: State) -> np.ndarray:
     return out
 
 
-def _tail_scores(states: list[tuple[State, State]]):
-    """Sums of one bucket's tokens by chunk and document."""
-    width = len(states[-1][1].contexts)
+def _scores(states: list[tuple[State, State]], contexts: Contexts, table: np.ndarray):
+    """Of the chunks' parts of one task beside the model of their buckets: sums by chunk and document. ``table`` has the probabilities of
+    frequent words in frequent contexts; the chunks' ids are passed on."""
+    width, last = len(states[-1][1].contexts), states[-1][1]
 
-    def run(chunks: pa.Table, model: pa.Table) -> pa.Table:
-        if not chunks.num_rows:
-            return pa.table({"chunk": pa.array([], pa.int64()), "payload": pa.array([], pa.binary())})
-        bucket = chunks.column("bucket")[0].as_py()
-        [counts] = [x for k, x in zip(model.column("step").to_pylist(), model.column("payload").to_pylist()) if k < 0]
-        words, ctx, n = _opened(counts)
+    def tail(bucket: int, pieces: list, counts: bytes, answers: list) -> Iterator[tuple]:
+        words, ctx, n = _opened(counts, contexts)
         own = _own(ctx)
         ctx = _numbers(ctx, own, width)
-        customers, *tables = _told(model, 0, SAMPLES + 2)
+        customers, *tables = _told(answers, bucket, 0, SAMPLES + 2)
         wide = [(x.wider(before, customers), y.wider(after, customers)) for (x, y), before, after in zip(states, tables, tables[1:])]
         first, word, total, samples = predictive(words, ctx, n, wide, bucket)
-        total = states[-1][1].frequent(words[first], states[-1][1].counts, total)
+        total = last.frequent(words[first], last.counts, total)
         known_words, key = words[first], (word.astype(np.int64) << 32) + ctx
         backs = [back_off(after) for _, after in wide]
-        out = []
-        for chunk, payload in zip(chunks.column("chunk").to_pylist(), chunks.column("payload").to_pylist()):
-            head, w, runs, low, high, number, doc = unpack(payload)
-            at = np.repeat(np.searchsorted(known_words, w), runs)
-            c = _numbers(_whole(low, high), own, width)[number]
+        numbered = np.zeros(LISTED + 1, np.int64)
+        numbered[:len(contexts.values)] = _numbers(contexts.values, own, width)
+        for chunk, payload in pieces:
+            head, w, runs, number, low, high, doc = unpack(payload)
+            at = np.repeat(np.searchsorted(known_words, _from_steps(w)), runs)
+            c = numbered[number]
+            c[number == LISTED] = _numbers(_whole(low, high), own, width)
             entry = np.searchsorted(key, (at << 32) + c)
             p = np.zeros(len(at))
             for (root, gain), back in zip(samples, backs):
                 p += root[at] * back[c] + gain[entry]
-            out.append((chunk, _sums(doc, int(head[1]), total[at], p / len(wide), states[-1][1])))
-        return pa.table({"chunk": pa.array([x for x, _ in out], pa.int64()), "payload": pa.array([y for _, y in out], pa.binary())})
+            yield chunk, 0, _sums(doc, int(head[1]), total[at], p / len(wide), last)
+
+    def run(both: tuple[list, list]) -> Iterator[tuple]:
+        pieces, model = both
+        parts = {}
+        for chunk, bucket, payload in pieces:
+            if bucket >= 0:
+                parts.setdefault(bucket, []).append((chunk, payload))
+            elif bucket == -1:
+                head, w, c, doc = unpack(payload)
+                yield chunk, 0, _sums(doc, int(head[1]), last.counts[w], table[w, c], last) if len(w) else _sums(doc, int(head[1]), w, w, last)
+            else:
+                yield chunk, bucket, payload
+        for bucket, mine in parts.items():
+            [counts] = [x for b, _, x, k in model if (b, k) == (bucket, -1)]
+            yield from tail(bucket, mine, counts, model)
     return run
 
 
@@ -503,25 +587,13 @@ def _sums(doc: np.ndarray, docs: int, count: np.ndarray, p: np.ndarray, state: S
     return pack(np.bincount(doc, base, docs), np.bincount(doc, np.log10(p), docs), np.bincount(doc, count > 0, docs).astype(np.uint32))
 
 
-def _heavy_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for payload in b.column(0).to_pylist():
-            head, w, c, doc = unpack(payload)
-            key, n = np.unique((w.astype(np.int64) * 65_536 + c)[doc < head[0]], return_counts=True)
+            key, n = unpack(payload)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n, pa.int64())], names=["key", "n"])
 
 
-def _heavy_scores(count: np.ndarray, table: np.ndarray, state: State):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for payload in b.column(1).to_pylist():
-                head, w, c, doc = unpack(payload)
-                out.append(_sums(doc, int(head[1]), count[w], table[w, c], state) if len(w) else _sums(doc, int(head[1]), w, w, state))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["chunk", "payload"])
-    return run
-
-
 def _documents(tokens: int):
     def run(table: pa.Table) -> pa.Table:
         sums = None
@@ -545,26 +617,42 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     found = src.mapInArrow(_local_heavy, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     found = reliable_checkpoint(found)
     tokens = int(found.filter("word is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    often = found.filter((F.col("word").isNotNull()) & (F.col("n") >= tokens / HEAVY)).select("word").collect()  # at most HEAVY
-    heavy = np.sort(np.array([r.word for r in often], np.int64).view(np.uint64))
+    often = found.filter(F.col("word").isNotNull()).orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()
+    n, often = [often.column(c).to_numpy() for c in ("n", "word")]
+    often = often.view(np.uint64)
+    heavy, known = np.sort(often[n >= tokens / HEAVY]), often[n < tokens / HEAVY]  # at most HEAVY; the others by falling count
     buckets = max(1, math.ceil(tokens / BUCKET_TOKENS))
     parts = max(1, math.ceil(tokens / HEAVY / PART_TOKENS))
+    width, often = len(heavy) + 2, len(heavy)
+    code = Contexts(width, known)
+    spark, slots = docs.sparkSession, buckets * parts
+
+    def dealt(rows, slot):
+        """Rows shuffled to the partitions of their slots: ``parts`` slots for each bucket."""
+        return rows.map(lambda r: (slot(r), tuple(r))).partitionBy(slots, int).values()
 
-    chunks = reliable_checkpoint(src.mapInArrow(_chunked(heavy, buckets), CHUNKS))
-    tail = chunks.filter("bucket >= 0")
-    counted = tail.groupBy("bucket", F.pmod("chunk", F.lit(parts)).alias("part")).applyInArrow(_bucket_counts, "bucket int, payload binary")
+    def home(r) -> int:
+        return r[1] * parts if r[1] >= 0 else 0
+
+    def spread(r) -> int:
+        turn = r[0] + (r[0] >> 32)
+        return r[1] * parts + turn % parts if r[1] >= 0 else turn % slots
+
+    # The chunks' parts are shuffled once; counting and scoring read them where they lie.
+    chunks = dealt(src.mapInArrow(_chunked(heavy, known, buckets), CHUNKS).rdd, spread)
+    counted = chunks.mapPartitions(_counts(code))
     if parts > 1:
-        counted = counted.groupBy("bucket").applyInArrow(_bucket_counts, "bucket int, payload binary")
-    counted = reliable_checkpoint(counted)
-    pairs = np.array([(r.key, r.n) for r in chunks.filter("bucket = -1").select("payload").mapInArrow(
-        _heavy_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()], np.int64).reshape(-1, 2)
+        counted = dealt(counted, home).mapPartitions(_counts(code))
+    counted = reliable_checkpoint(spark.createDataFrame(counted, CHUNKS).drop("chunk"))
+    pairs = np.array([(r.key, r.n) for r in counted.filter("bucket = -1").select("payload").mapInArrow(
+        _pairs, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()], np.int64).reshape(-1, 2)
+    counted = counted.filter("bucket >= 0")
     pairs = pairs[np.argsort(pairs[:, 0])]
     hw, hc, hn = heavy[pairs[:, 0] >> 16], (pairs[:, 0] & 65_535).astype(np.uint16), pairs[:, 1]
 
     # Customers of the contexts, V, and the first totals: one table per dish.
-    width, often = len(heavy) + 2, len(heavy)
-    asked = reliable_checkpoint(counted.mapInArrow(_first_asks(heavy, width, buckets), ASKS))
-    slim, asks, told = asked.filter("owner = -2"), [asked], [_exchanged(asked, 0)]
+    asked = reliable_checkpoint(counted.mapInArrow(_first_asks(heavy, width, buckets, code), ASKS))
+    slim, asks, told = asked.filter("owner = -2").rdd.map(tuple), [asked], [_exchanged(asked, 0)]
     start = _for_driver(asked, 2 * width + 3 + often)
     contexts, first_tables = np.bincount(hc, hn, width) + start[:width], start[width:2 * width]
     number = pairs[:, 0] >> 16
@@ -575,7 +663,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     kept = []
     for step in range(BURN + SAMPLES):
         answers = told[0].unionByName(told[step]) if step else told[0]
-        asked = reliable_checkpoint(slim.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_step(state, step, buckets), ASKS))
+        beside = slim.glom().zip(dealt(answers.rdd, lambda r: r[0] * parts).glom())
+        asked = reliable_checkpoint(spark.createDataFrame(beside.flatMap(_step(state, step, buckets, code)), ASKS))
         asks.append(asked)
         if step < BURN + SAMPLES - 1:
             told.append(_exchanged(asked, step + 1))
@@ -599,17 +688,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             table += after.p[:, None] * back_off(after)
             table[number, hc] += gain
         table /= len(kept)
-    by_chunk = chunks.filter("bucket = -1").select("chunk", "payload").mapInArrow(_heavy_scores(count, table, state), "chunk long, payload binary")
-    part = F.pmod("chunk", F.lit(parts)).cast("int")
     asked = asks[0].withColumn("step", F.lit(0))
     for k in range(max(1, BURN), BURN + SAMPLES + 1):
         asked = asked.unionByName(asks[k].withColumn("step", F.lit(k)))
     answers = asked.filter("owner >= 0").groupBy("owner").applyInArrow(_answers(True), "bucket int, owner int, payload binary")
-    model = counted.withColumns({"owner": F.lit(-1), "step": F.lit(-1)}).unionByName(answers.withColumn("step", F.lit(0)))
-    model = model.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    tail_sums = tail.withColumn("part", part).groupBy("bucket", "part").cogroup(
-        model.withColumnRenamed("bucket", "of").groupBy("of", "to")).applyInArrow(_tail_scores(kept), "chunk long, payload binary")
-    pieces = chunks.filter("bucket = -2").unionByName(
-        by_chunk.union(tail_sums).select("chunk", F.lit(0).alias("bucket"), "payload"))
+    model = counted.select("bucket", F.lit(-1).alias("owner"), "payload", F.lit(-1).alias("step")).unionByName(answers.withColumn("step", F.lit(0)))
+    model = dealt(model.rdd.flatMap(lambda r: [(r[0], r[1], r[2], r[3], k) for k in range(parts)]), lambda r: r[0] * parts + r[4])
+    pieces = chunks.glom().zip(model.map(lambda r: r[:4]).glom()).flatMap(_scores(kept, code, table))
+    pieces = spark.createDataFrame(pieces, CHUNKS)
     return pieces.groupBy("chunk").applyInArrow(
         _documents(tokens), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from riskframe.llm import lm
+from riskframe.session import reliable_checkpoint
 
 SCHEMA = "doc_id long, text string, score string, chunk int"
 
@@ -133,3 +134,41 @@ def test_steps_over_what_varies_draw_the_same_tables():
     once = (np.add.reduceat(n, first) == 1) & ~often
     assert (s[~often].sum(), r[~often].sum()) == (s2[~often2].sum() + once.sum(), r2[~often2].sum() + once.sum())
     assert r[often].tolist() == r2[often2].tolist()
+
+
+def test_contexts_travel_as_numbers():
+    rng = np.random.default_rng(2)
+    known = rng.integers(0, 2**63, 500, dtype=np.uint64)
+    known[0] = 5  # its context would be below TAIL
+    code = lm.Contexts(12, known)
+    ctx = np.concatenate([np.arange(12, dtype=np.uint64), lm._as_context(known), rng.integers(lm.TAIL, 2**48, 300, dtype=np.uint64)])
+    rng.shuffle(ctx)
+    number, low, high = code.split(ctx)
+    assert len(low) == len(high) == (number == lm.LISTED).sum() <= 300
+    assert code.whole(number, low, high).tolist() == ctx.tolist()
+    none = lm.Contexts(12, known[:0])
+    assert none.whole(*none.split(ctx)).tolist() == ctx.tolist()
+    arrays = [np.arange(300, dtype=np.uint64) << np.uint64(40), np.arange(7, dtype=np.uint16), np.empty(0, np.uint32), np.array([-1.5, 2.0])]
+    assert [(x.dtype, x.tolist()) for x in lm.unpack(lm.pack(*arrays))] == [(x.dtype, x.tolist()) for x in arrays]
+    words = np.sort(rng.integers(0, 2**64, 99, dtype=np.uint64))
+    assert lm._from_steps(lm._steps(words)).tolist() == words.tolist()
+
+
+def test_tokens_are_written_once(spark, monkeypatch):
+    """The chunks' parts are shuffled, but kept in no checkpoint; checkpoints have the counts, which repeated texts don't add to."""
+    def kept(rows):
+        sizes = []
+
+        def spy(df):
+            out = reliable_checkpoint(df)
+            assert "chunk" not in out.columns
+            sizes.append(sum(len(r.payload) for r in out.filter("bucket >= 0").select("payload").collect()) if "payload" in out.columns else 0)
+            return out
+        monkeypatch.setattr(lm, "reliable_checkpoint", spy)
+        scores = {r.doc_id: r for r in lm.score(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+        assert len(scores) == len(rows)
+        return sum(sizes)
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(100)), "x", 1) for i in range(300)]
+    once = kept(rows)
+    assert kept(rows + [(1000 * k + d, t, s, c) for k in range(1, 6) for d, t, s, c in rows]) < 3 * once
