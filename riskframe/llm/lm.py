@@ -285,13 +285,15 @@ def stirling(discount: float, top: int) -> np.ndarray:
 def draw_tables(c: np.ndarray, weight: np.ndarray, discount: float, logs: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Number of tables of dishes with ``c`` customers, where a new table weighs ``weight``."""
     t = np.minimum(c, 1)
-    small = np.minimum(c, EXACT)
+    small = np.minimum(c, EXACT).astype(np.uint8)
     order = np.argsort(small, kind="stable")
     cuts = np.searchsorted(small[order], np.arange(2, EXACT + 2))
+    del small
     for size in range(2, EXACT + 1):
         of = order[cuts[size - 2]:cuts[size - 1]]
-        for at in range(0, len(of), 65_536):
-            part = of[at:at + 65_536]
+        room = (1 << 18) // size
+        for at in range(0, len(of), room):
+            part = of[at:at + room]
             logp = logs[size, 1:size + 1] + np.arange(1, size + 1) * np.log(weight[part])[:, None]
             p = np.cumsum(np.exp(logp - logp.max(1, keepdims=True)), axis=1)
             t[part] = 1 + (p < rng.random(len(part))[:, None] * p[:, -1:]).sum(1)
@@ -348,7 +350,7 @@ def seat(words: np.ndarray, ctx: np.ndarray, n: np.ndarray, state: State, seed:
     Frequent words have their root probability from the former step; their customers here are part of all."""
     rng = np.random.default_rng(seed)
     first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]])) if len(words) else np.empty(0, np.int64)
-    word = np.repeat(np.arange(len(first)), np.diff(first, append=len(words)))
+    word = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(first, append=len(words)))
     total = np.add.reduceat(n, first) if len(first) else n
     base = (ROOT_STRENGTH + ROOT_DISCOUNT * state.root_tables) / (state.vocabulary + 1)
     p = (total + 0.1) / (state.tokens + 0.1 * (state.vocabulary + 1))
@@ -373,7 +375,7 @@ def _opened(payload: bytes, contexts: Contexts) -> tuple[np.ndarray, np.ndarray,
 
 def _numbers(ctx: np.ndarray, own: np.ndarray, width: int) -> np.ndarray:
     """Numbers of contexts; those of ``own`` have the numbers from ``width`` on."""
-    return np.where(ctx < TAIL, ctx.astype(np.int64), width + np.searchsorted(own, ctx))
+    return np.where(ctx < TAIL, ctx.astype(np.int32), (width + np.searchsorted(own, ctx)).astype(np.int32))
 
 
 def _own(ctx: np.ndarray) -> np.ndarray:
@@ -552,6 +554,7 @@ def _scores(states: list[tuple[State, State]], contexts: Contexts, table: np.nda
         total = last.frequent(words[first], last.counts, total)
         known_words, key = words[first], (word.astype(np.int64) << 32) + ctx
         backs = [back_off(after) for _, after in wide]
+        del words, ctx, n, word
         numbered = np.zeros(LISTED + 1, np.int64)
         numbered[:len(contexts.values)] = _numbers(contexts.values, own, width)
         for chunk, payload in pieces:
@@ -583,8 +586,11 @@ def _scores(states: list[tuple[State, State]], contexts: Contexts, table: np.nda
 
 
 def _sums(doc: np.ndarray, docs: int, count: np.ndarray, p: np.ndarray, state: State) -> bytes:
+    """Sums of the documents that have tokens here: a bucket has few of them once there are many buckets."""
     base = np.log10((count + 0.1) / (state.tokens + 0.1 * (state.vocabulary + 1)))
-    return pack(np.bincount(doc, base, docs), np.bincount(doc, np.log10(p), docs), np.bincount(doc, count > 0, docs).astype(np.uint32))
+    own = np.flatnonzero(np.bincount(doc, minlength=docs))
+    return pack(_steps(own.astype(np.uint64)).astype(np.uint32), np.bincount(doc, base, docs)[own], np.bincount(doc, np.log10(p), docs)[own],
+                _thin(np.bincount(doc, count > 0, docs)[own].astype(np.uint32)))
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -596,13 +602,12 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _documents(tokens: int):
     def run(table: pa.Table) -> pa.Table:
-        sums = None
-        for bucket, payload in zip(table.column("bucket").to_pylist(), table.column("payload").to_pylist()):
-            if bucket == -2:
-                ids, no_id, sizes = unpack(payload)
-            else:
-                got = [x.astype(np.float64) for x in unpack(payload)]
-                sums = got if sums is None else [x + y for x, y in zip(sums, got)]
+        rows = sorted(zip(table.column("bucket").to_pylist(), table.column("payload").to_pylist()), key=lambda r: r[0])
+        ids, no_id, sizes = unpack(rows[0][1])
+        sums = np.zeros((3, len(ids)))
+        for _, payload in rows[1:]:
+            steps, *got = unpack(payload)
+            sums[:, _from_steps(steps).astype(np.int64)] += got
         ids = [None if z else i for i, z in zip(ids.tolist(), no_id.tolist())]
         n = len(ids)
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array([not _in_training(i) for i in ids], pa.bool_()),

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskframe.llm import lm
@@ -172,3 +173,17 @@ def test_tokens_are_written_once(spark, monkeypatch):
     rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(100)), "x", 1) for i in range(300)]
     once = kept(rows)
     assert kept(rows + [(1000 * k + d, t, s, c) for k in range(1, 6) for d, t, s, c in rows]) < 3 * once
+
+
+def test_sums_of_the_documents_that_occur():
+    state = lm.State(np.zeros(2), 0, 0, np.zeros(2), 9, 100)
+    doc = np.array([3, 700, 3, 1899], np.uint16)
+    payload = lm._sums(doc, 1900, np.array([0, 5, 6, 7]), np.full(4, 0.1), state)
+    steps, base, score, known = lm.unpack(payload)
+    assert lm._from_steps(steps).tolist() == [3, 700, 1899] and known.tolist() == [1, 1, 1]
+    assert score.tolist() == pytest.approx([-2, -1, -1]) and base[1] == pytest.approx(math.log10(5.1 / 101))
+    assert len(payload) < 250
+    ids = lm.pack(np.arange(1900), np.zeros(1900, np.int32), np.ones(1900, np.int64))
+    none = lm._sums(doc[:0], 1900, doc[:0], np.empty(0), state)
+    got = lm._documents(100)(pa.table({"bucket": [0, 0, -2, 0], "payload": [payload, none, ids, payload]})).to_pydict()
+    assert got["doc_id"] == list(range(1900)) and sum(got["n_known"]) == 6 and got["score"][3] == pytest.approx(-4)
