@@ -145,16 +145,28 @@ def _in_training(doc_id) -> bool:
 def _local_heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: the more frequent words with their counts, and the number of tokens (word null)."""
     hasher, words, counts, total = WordHasher(), np.empty(0, np.uint64), np.empty(0, np.int64), 0
-    for b in batches:
-        got = [hasher.word_hashes(hasher.words(t)) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if _in_training(d)]
+
+    def pieces() -> Iterator[list[np.ndarray]]:
+        got, held = [], 0
+        for b in batches:
+            for d, t in zip(b.column(0).to_pylist(), b.column(1)):
+                if _in_training(d):
+                    got.append(hasher.word_hashes(hasher.words(t.as_py())))
+                    held += len(got[-1]) + 1
+                    if held >= CHUNK_TOKENS:
+                        yield got
+                        got, held = [], 0
         if got:
-            total += sum(map(len, got)) + len(got)
-            words, back = np.unique(np.concatenate([words, *got, np.full(len(got), END)]), return_inverse=True)
-            weight = np.ones(len(back), np.int64)
-            weight[: len(counts)] = counts
-            counts = np.bincount(back, weight, len(words)).astype(np.int64)
-            keep = counts >= total / (8 * KNOWN) - 1  # what is rarer so far can't count much in the task's share
-            words, counts = words[keep], counts[keep]
+            yield got
+
+    for got in pieces():
+        total += sum(map(len, got)) + len(got)
+        words, back = np.unique(np.concatenate([words, *got, np.full(len(got), END)]), return_inverse=True)
+        weight = np.ones(len(back), np.int64)
+        weight[: len(counts)] = counts
+        counts = np.bincount(back, weight, len(words)).astype(np.int64)
+        keep = counts >= total / (8 * KNOWN) - 1  # what is rarer so far can't count much in the task's share
+        words, counts = words[keep], counts[keep]
     keep = counts >= total / (4 * KNOWN)
     yield pa.RecordBatch.from_arrays([pa.array([None, *words[keep].view(np.int64).tolist()], pa.int64()),
                                       pa.array([total, *counts[keep].tolist()], pa.int64())], names=["word", "n"])
