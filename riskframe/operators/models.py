@@ -10,8 +10,10 @@
 * logistic regression and isotonic maps weigh a counted row by its number: the same
   sums. A forest whose rows repeat draws each tree's bootstrap on the counted rows
   (Poisson(n) for n equal rows is the sum of their n Poisson(1) draws) and fits its
-  trees there one by one, so its passes cost as much as there are distinct rows. Rows
-  that hardly repeat, and boosted trees, are fitted row by row.
+  trees there one by one, so its passes cost as much as there are distinct rows.
+  Boosted trees do the same with the share of rows that each tree sees (Binomial(n,
+  share) is the sum of n single draws) and the pseudo-residuals, which equal rows
+  share. Trees on rows that hardly repeat are fitted row by row.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegressionModel
+from pyspark.ml.regression import IsotonicRegressionModel, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,24 +95,35 @@ def _estimator(spec: ModelSpec, n: int, label: str):
     raise ValueError(f"unknown model kind {spec.kind}")
 
 
-def _drawn(seed: int, trees: int):
-    """Counted rows with their bootstrap numbers in each tree, drawn from the row itself: the same in any partitioning."""
+def _drawn(seed: int, trees: int, share: float | None = None):
+    """Counted rows with their bootstrap numbers in each tree (or, with ``share``, the numbers drawn without replacement
+    at that rate), drawn from the row itself: the same in any partitioning."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            draws = [np.random.default_rng([seed, row & (2**64 - 1)]).poisson(n, trees).astype(float)
-                     for row, n in zip(b.column("__row").to_pylist(), b.column(COUNT).to_pylist())]
+            draws = []
+            for row, n in zip(b.column("__row").to_pylist(), b.column(COUNT).to_pylist()):
+                rng = np.random.default_rng([seed, row & (2**64 - 1)])
+                draws.append((rng.poisson(n, trees) if share is None else rng.binomial(n, share, trees)).astype(float))
             yield b.append_column("__draws", pa.array(draws, pa.list_(pa.float64()))).drop_columns(["__row"])
     return run
 
 
-def _fit_forest(spec: ModelSpec, counted: DataFrame, features: Sequence[str], weight: F.Column, label: str):
-    """The forest of MLlib's settings on counted rows: every tree weighs a row by its own bootstrap number."""
+def _drawn_rows(spec: ModelSpec, counted: DataFrame, features: Sequence[str], weight: F.Column, label: str,
+                share: float | None = None) -> DataFrame:
+    """Counted rows, assembled and cached, with their weight and ``__draws`` by tree."""
     rows = counted.select(*features, label, COUNT, weight.alias(WEIGHT), F.xxhash64(*features, label, "fold").alias("__row")).sortWithinPartitions("__row")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" if f.name.isidentifier() else f"`{f.name}` {f.dataType.simpleString()}"
                        for f in rows.drop("__row").schema.fields)
-    drawn = rows.mapInArrow(_drawn(spec.seed, spec.n_trees), f"{fields}, __draws array<double>")
+    drawn = rows.mapInArrow(_drawn(spec.seed, spec.n_trees, share), f"{fields}, __draws array<double>")
     drawn = persist(VectorAssembler(inputCols=list(features), outputCol=VEC, handleInvalid="error").transform(drawn)
                     .select(VEC, label, WEIGHT, "__draws"))
+    drawn.count()
+    return drawn
+
+
+def _fit_forest(spec: ModelSpec, counted: DataFrame, features: Sequence[str], weight: F.Column, label: str):
+    """The forest of MLlib's settings on counted rows: every tree weighs a row by its own bootstrap number."""
+    drawn = _drawn_rows(spec, counted, features, weight, label)
 
     def one_tree(t: int):
         sample = drawn.select(VEC, label, (F.col(WEIGHT) * F.col("__draws")[t]).alias(WEIGHT)).where(F.col(WEIGHT) > 0)
@@ -118,7 +131,6 @@ def _fit_forest(spec: ModelSpec, counted: DataFrame, features: Sequence[str], we
         return RandomForestClassifier(featuresCol=VEC, labelCol=label, weightCol=WEIGHT, numTrees=1, maxDepth=spec.max_depth,
                                       bootstrap=False, featureSubsetStrategy="sqrt", seed=spec.seed + t).fit(sample)
 
-    drawn.count()
     with ThreadPoolExecutor(max_workers=TREES_AT_ONCE) as pool:
         fitted = list(pool.map(one_tree, range(spec.n_trees)))
     drawn.unpersist()
@@ -139,6 +151,39 @@ def _joined(spark: SparkSession, forests: list[RandomForestClassificationModel])
     return first._copyValues(forest, {first.numTrees: len(trees)})
 
 
+def _fit_boosted(spec: ModelSpec, counted: DataFrame, features: Sequence[str], weight: F.Column, label: str, n: int):
+    """MLlib's boosted trees on counted rows: every tree weighs a row by the number of its equal rows that it draws. The
+    first fits the classes as -1 and 1, the next ones the pseudo-residuals of the log loss, with the learning rate."""
+    drawn = _drawn_rows(spec, counted, features, weight, label, spec.subsample)
+    sign = F.lit(2.0) * F.col(label) - F.lit(1.0)
+    trees, model = [], None
+    for t in range(spec.n_trees):
+        if model is None:
+            rows, target = drawn, sign
+        else:
+            rows = _with_cols(model, "__g").transform(drawn)
+            target = F.lit(4.0) * sign / (F.lit(1.0) + F.exp(F.lit(2.0) * sign * vector_to_array("__g_raw")[1]))
+        sample = rows.select(VEC, target.alias("__residual"), (F.col(WEIGHT) * F.col("__draws")[t]).alias(WEIGHT)).where(F.col(WEIGHT) > 0)
+        trees.append(RandomForestRegressor(
+            featuresCol=VEC, labelCol="__residual", weightCol=WEIGHT, numTrees=1, maxDepth=spec.max_depth, bootstrap=False,
+            featureSubsetStrategy=str(spec.colsample), seed=spec.seed + t).fit(sample))
+        model = _estimator(spec, n, label)._copyValues(_summed(counted.sparkSession, trees, spec.learning_rate))
+    drawn.unpersist()
+    return model
+
+
+def _summed(spark: SparkSession, trees: list[RandomForestRegressionModel], learning_rate: float) -> GBTClassificationModel:
+    """Boosted model of single trees: the first counts in full, the others by the learning rate."""
+    sc = spark.sparkContext
+    array = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
+    weights = sc._gateway.new_array(sc._jvm.double, len(trees))
+    for i, t in enumerate(trees):
+        array[i], weights[i] = t.trees[0]._java_obj, learning_rate if i else 1.0
+    first = trees[0]
+    return GBTClassificationModel(sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        first.uid.replace("RandomForestRegressor", "GBTClassifier"), array, weights, first.numFeatures, 2))
+
+
 def _weight_for(spec: ModelSpec, target: str, n0: int, n1: int) -> F.Column:
     if spec.kind == "gbt":  # positive-class weight n_neg / n_pos, negatives 1
         return F.when(F.col(target) == 1, F.lit(n0 / max(n1, 1))).otherwise(F.lit(1.0))
@@ -268,15 +313,17 @@ def fit_model(df: DataFrame, features: Sequence[str], target: str, spec: ModelSp
     rows, distinct = (sum(int(r[c]) for r in by_fold.values()) for c in ("n", "distinct"))
     counted = counted.coalesce(max(1, math.ceil(distinct / COUNTED_TASK)))
     by_count = distinct <= COUNTED and distinct * REPEATS <= rows
-    if spec.kind == "gbt" or (spec.kind == "rf" and not by_count):
+    trees_by_count = by_count and spec.kind != "logreg"
+    if spec.kind != "logreg" and not by_count:
         counted = counted.withColumn(COUNT, F.explode(F.array_repeat(F.lit(1), F.col(COUNT).cast("int"))))
     cached = persist(VectorAssembler(inputCols=features, outputCol=VEC, handleInvalid="error").transform(counted)
-                     .select(*(features if spec.kind == "rf" and by_count else []), VEC, label, "fold", COUNT))
+                     .select(*(features if trees_by_count else []), VEC, label, "fold", COUNT))
 
     def fit(part: DataFrame, m0: int, m1: int, n: int):
         weight = _weight_for(spec, label, m0, m1)
-        if spec.kind == "rf" and by_count:
-            return _fit_forest(spec, part, features, weight, label)
+        if trees_by_count:
+            return (_fit_forest(spec, part, features, weight, label) if spec.kind == "rf"
+                    else _fit_boosted(spec, part, features, weight, label, n))
         return _estimator(spec, n, label).fit(part.withColumn(WEIGHT, weight * F.col(COUNT)))
 
     model = CalibratedModel(spec, features)

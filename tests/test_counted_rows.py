@@ -76,3 +76,38 @@ def test_shapley_scores_each_mixture_once(rows, monkeypatch):
     by_row = run()
     assert len(got) == 320 * 3 and [r[:2] for r in got] == [r[:2] for r in by_row]
     assert np.array([r[2:] for r in got]) == pytest.approx(np.array([r[2:] for r in by_row]), abs=1e-12)
+
+
+def test_boosted_trees_read_counted_rows(spark, rows, tmp_path, monkeypatch):
+    from pyspark.ml.base import Estimator
+    seen = []
+    fit = Estimator.fit
+    monkeypatch.setattr(Estimator, "fit", lambda self, df, *a: (seen.append(df.count()), fit(self, df, *a))[1])
+    spec = ModelSpec("gbt", n_trees=5, max_depth=3, subsample=0.8, colsample=0.8)
+    counted = fit_model(rows, FEATS, "y", spec, calibrate=False, keys=["id"])
+    assert max(seen) <= rows.select(*FEATS, "y").distinct().count() < 4000
+    other = fit_model(rows.repartition(7), FEATS, "y", spec, calibrate=False, keys=["id"])
+    assert counted.bases[0].toDebugString.split("\n", 1)[1] == other.bases[0].toDebugString.split("\n", 1)[1]
+    assert dict(counted.feature_importance(spark).collect())["a"] > 0.5
+    counted.save(str(tmp_path))
+    again = CalibratedModel.load(spark, str(tmp_path))
+    assert sorted(again.score(rows).select("id", "pd").collect()) == sorted(counted.score(rows).select("id", "pd").collect())
+
+
+@pytest.mark.parametrize("share, most", [(1.0, 1e-9), (0.8, 0.05)])
+def test_counted_boosted_trees_are_those_by_rows(rows, monkeypatch, share, most):
+    """Where each tree sees all rows, the same trees up to sums; else other draws of the same share."""
+    spec = ModelSpec("gbt", n_trees=6, max_depth=3, subsample=share, colsample=1.0)
+    counted = fit_model(rows, FEATS, "y", spec, calibrate=False, keys=["id"])
+    monkeypatch.setattr(models, "COUNTED", 0)
+    plain = fit_model(rows, FEATS, "y", spec, calibrate=False, keys=["id"])
+    got = np.array(plain.score(counted.score(rows.select(*FEATS).distinct(), "x"), "z").select("x", "z").collect())
+    assert np.abs(got[:, 0] - got[:, 1]).max() < most and got[:, 0].std() > 0.1
+
+
+def test_drawn_shares_are_binomial():
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"__n": [40] * 3000, "__row": list(range(3000))})
+    [out] = models._drawn(1, 2, 0.75)(iter([batch]))
+    draws = np.array(out.column("__draws").to_pylist())
+    assert abs(draws.mean() - 30) < 0.3 and abs(draws.var() - 7.5) < 0.8 and draws.max() <= 40
