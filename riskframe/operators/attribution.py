@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,6 @@ from riskframe.session import persist, reliable_checkpoint
 
 BACKGROUND_RANGE = 5_000  # background rows that one window numbers, about
 MIXTURES = 2_000_000  # mixed vectors up to which all are scored once, before the rows look their steps up
-STEPS = 256  # features x permutations written out as expressions at most
 
 # Risk labels of the local example table.
 LOW_RISK_PD = 0.1
@@ -85,7 +86,7 @@ def sampled_shapley(rows: DataFrame, background: DataFrame, features: Sequence[s
         raise ValueError("empty background")
     bg = _numbered(background, feats, seed, max(1, n_bg // range_rows))
     most = MIXTURES // (n_bg << p)
-    if most and p * n_permutations <= STEPS:
+    if most and -2**31 <= seed < 2**31:
         vectors = reliable_checkpoint(rows.select(*feats).distinct().limit(most + 1))
         if vectors.count() <= most:
             found = _looked_up(rows, vectors, bg, n_bg, feats, keys, scorer, score_col, n_permutations, seed)
@@ -124,47 +125,71 @@ def _looked_up(rows: DataFrame, vectors: DataFrame, bg: DataFrame, n_bg: int, fe
                scorer: Callable[[DataFrame], DataFrame], score_col: str, n_permutations: int, seed: int) -> DataFrame | None:
     """``sampled_shapley`` where the rows have few different vectors: every mixture of a vector and a background row is
     scored once (bit i of its mask: feature i is the vector's), and a row looks up the two ends of each of its steps.
-    The same chains and scores, without a shuffle of the rows."""
+    The same chains and scores, without a shuffle of the rows. The scores (up to MIXTURES) go to every Python worker; a row
+    sends the hash of its keys and the number of its vector there."""
     p = len(feats)
     of = [f"__of_{i}" for i in range(p)]
-    mixed = vectors.select(*[F.col(c).alias(o) for c, o in zip(feats, of)]).crossJoin(bg).withColumn(
-        "__mask", F.explode(F.sequence(F.lit(0), F.lit((1 << p) - 1))))
+    number = F.row_number().over(Window.orderBy(*of)) - 1  # of at most MIXTURES vectors
+    vectors = reliable_checkpoint(vectors.select(*[F.col(c).alias(o) for c, o in zip(feats, of)]).withColumn("__v", number))
+    mixed = vectors.crossJoin(bg).withColumn("__mask", F.explode(F.sequence(F.lit(0), F.lit((1 << p) - 1))))
     hybrid = [F.when(F.col("__mask").bitwiseAND(F.lit(1 << i)) != 0, F.col(o)).otherwise(F.col(c)).alias(c)
               for i, (c, o) in enumerate(zip(feats, of))]
-    at = (F.col("__b") * F.lit(1 << p) + F.col("__mask")).cast("int").alias("__at")
-    mixed = mixed.select(*of, at, *hybrid).repartition(*of)
-    table = scorer(mixed).groupBy(*of).agg(F.array_sort(F.collect_list(F.struct("__at", F.col(score_col).alias("f")))).alias("__f"))
-    table = reliable_checkpoint(table.select(*of, F.col("__f")["f"].alias("__f")))
-    if table.filter(F.exists("__f", lambda f: f.isNull())).count():
+    at = ((F.col("__v") * F.lit(n_bg) + F.col("__b")) * F.lit(1 << p) + F.col("__mask")).cast("long").alias("__at")
+    mixed = mixed.repartition("__v").select(at, *hybrid)
+    table = scorer(mixed).select("__at", F.col(score_col).cast("double").alias("f")).toArrow()  # up to MIXTURES numbers
+    if table["f"].null_count or table.num_rows != vectors.count() * n_bg << p:
         return None  # steps without a score do not count, which sums do not tell
-    found = rows.join(F.broadcast(table), [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(feats, of)])
-
-    key = [F.col(k) for k in keys]
-    sums = [f"__s{i}" for i in range(p + 2)]  # of the features' steps, of f(x), of f(background)
-    found = found.select(*keys, "__f", *[F.lit(0.0).alias(c) for c in sums])
-    score = lambda mask: F.get("__f", F.col("__b") + mask)
-
-    def before(i: int) -> F.Column:
-        """Mask of the features that come before feature i in the order of their hashes."""
-        mask = F.lit(0)
-        for j in (j for j in range(p) if j != i):
-            h, own = F.col(f"__h{j}"), F.col(f"__h{i}")
-            mask = mask + F.when(h <= own if j < i else h < own, F.lit(1 << j)).otherwise(F.lit(0))
-        return mask
-
-    for t in range(n_permutations):  # one small projection after another: one of all would be too long to compile
-        found = found.select(
-            *keys, "__f", *sums, (F.pmod(F.xxhash64(*key, F.lit(t), F.lit(seed)), F.lit(n_bg)) * F.lit(1 << p)).cast("int").alias("__b"),
-            *[F.xxhash64(*key, F.lit(t), F.lit(i), F.lit(seed)).alias(f"__h{i}") for i in range(p)])
-        found = found.select(*keys, "__f", *sums, "__b", *[before(i).alias(f"__m{i}") for i in range(p)])
-        steps = [score(F.col(f"__m{i}") + F.lit(1 << i)) - score(F.col(f"__m{i}")) for i in range(p)]
-        found = found.select(*keys, "__f", *[(F.col(c) + v).alias(c) for c, v in zip(
-            sums, [*steps, score(F.lit((1 << p) - 1)), score(F.lit(0))])])
-    means = [F.col(c) / F.lit(float(n_permutations)) for c in sums]
-    found = found.select(*keys, F.array(*means[:p]).alias("__steps"), means[p].alias("f_x"), means[p + 1].alias("f_background"))
-    names = F.array(*[F.lit(c) for c in feats])
-    return (found.select(*keys, F.posexplode("__steps").alias("__i", "attribution"), "f_x", "f_background")
-            .select(*keys, F.get(names, F.col("__i")).alias("feature"), "attribution", "f_x", "f_background"))
+    scores = np.empty(table.num_rows)
+    scores[table["__at"].to_numpy()] = table["f"].to_numpy()
+    means = F.arrow_udf(_means(scores, n_bg, p, n_permutations, seed), "array<double>")
+
+    found = rows.join(F.broadcast(vectors), [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(feats, of)])
+    key = F.xxhash64(*keys) if keys else F.lit(42).cast("long")
+    found = found.select(*keys, key.alias("__key"), "__v").select(*keys, means("__key", "__v").alias("__s"))
+    steps = F.array(*[F.struct(F.lit(c).alias("feature"), F.get("__s", F.lit(i)).alias("attribution")) for i, c in enumerate(feats)])
+    found = found.select(*keys, steps.alias("__steps"), F.get("__s", F.lit(p)).alias("f_x"), F.get("__s", F.lit(p + 1)).alias("f_background"))
+    return found.select(*keys, F.inline("__steps"), "f_x", "f_background")
+
+
+def _hash_int(value: int, key: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of an int after the columns whose hash is ``key`` (unsigned, as the result)."""
+    u = np.uint64
+    h = key + u(0x27D4EB2F165667C5 + 4)
+    h ^= u((value & 0xFFFFFFFF) * 0x9E3779B185EBCA87 & (1 << 64) - 1)
+    h = ((h << u(23)) | (h >> u(41))) * u(0xC2B2AE3D27D4EB4F) + u(0x165667B19E3779F9)
+    h ^= h >> u(33)
+    h *= u(0xC2B2AE3D27D4EB4F)
+    h ^= h >> u(29)
+    h *= u(0x165667B19E3779F9)
+    h ^= h >> u(32)
+    return h
+
+
+def _means(scores: np.ndarray, n_bg: int, p: int, n_permutations: int, seed: int):
+    """From hash of the keys and number of the vector to the means over permutations of the features' steps, f(x) and
+    f(background), drawn as ``sampled_shapley`` draws them."""
+    def run(key: pa.Array, vector: pa.Array) -> pa.Array:
+        hashed = key.to_numpy().view(np.uint64)
+        first = vector.to_numpy().astype(np.int64) * (n_bg << p)
+        sums = np.zeros((len(hashed), p + 2))
+        for t in range(n_permutations):
+            by_perm = _hash_int(t, hashed)
+            at = first + (_hash_int(seed, by_perm).view(np.int64) % n_bg << p)
+            order = [_hash_int(seed, _hash_int(i, by_perm)).view(np.int64) for i in range(p)]
+            before = [np.zeros(len(at), np.int64) for _ in range(p)]  # mask of the features that come before each
+            for i in range(p):
+                for j in range(i):
+                    later = order[j] > order[i]
+                    before[j] += later.astype(np.int64) << i
+                    before[i] += (~later).astype(np.int64) << j
+            for i in range(p):
+                start = at + before[i]
+                sums[:, i] += scores[start + (1 << i)] - scores[start]
+            sums[:, p] += scores[at + ((1 << p) - 1)]
+            sums[:, p + 1] += scores[at]
+        sums /= n_permutations
+        return pa.ListArray.from_arrays(np.arange(0, sums.size + 1, p + 2, dtype=np.int32), sums.ravel())
+    return run
 
 
 def global_importance(attr: DataFrame, top: int | None = None) -> DataFrame:

@@ -123,3 +123,42 @@ def test_spread_examples_at_even_ranks(spark):
     assert pick_spread_examples(attr.limit(0), ["id"], 3).collect() == []
     with pytest.raises(ValueError):
         pick_spread_examples(attr, ["id"], 0)
+
+
+def test_shapley_hash_is_that_of_the_engine(spark):
+    from riskframe.operators.attribution import _hash_int
+    draws = [(0, 0), (3, 42), (7, -5), (-2**31, 2**31 - 1)]
+    got = spark.range(500).select(F.xxhash64("id", F.col("id").cast("string")).alias("key"), *[
+        F.xxhash64("id", F.col("id").cast("string"), F.lit(t), F.lit(i)).alias(f"h{n}") for n, (t, i) in enumerate(draws)]).toPandas()
+    for n, (t, i) in enumerate(draws):
+        assert (_hash_int(i, _hash_int(t, got.key.to_numpy().view(np.uint64))).view(np.int64) == got[f"h{n}"]).all()
+
+
+def test_shapley_steps_are_compiled(spark):
+    """The machine code compiler leaves methods of more than 8,000 bytes to the interpreter, some fifty times slower."""
+    import re
+    df = spark.range(100).select("id", *[(F.col("id") % n).cast("double").alias(c) for c, n in (("a", 3), ("b", 4), ("c", 5))])
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = sampled_shapley(df, df.limit(5), ["a", "b", "c"], ["id"], lambda z: z.withColumn("pd", F.col("a") * F.col("b")))
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", got._jdf.queryExecution().explainString(mode))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8000
+
+
+def test_shapley_of_missing_scores_no_rows_and_missing_features(spark, monkeypatch):
+    from riskframe.operators import attribution
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else float(i % 3), float("nan") if i % 7 == 0 else i % 2 * 1.0)
+                                for i in range(60)], "id int, a double, b double")
+    bg = df.where("id in (1, 2, 4)")
+    filled = lambda c, v: F.when(F.col(c).isNull() | F.isnan(c), F.lit(v)).otherwise(F.col(c))
+    scorers = [lambda z: z.withColumn("pd", filled("a", 0.5) * filled("b", 7.0)),
+               lambda z: z.withColumn("pd", F.when(F.col("a") != 2, filled("b", 7.0)))]
+    run = lambda d, f: sorted(map(str, sampled_shapley(d, bg, ["a", "b"], ["id"], f, n_permutations=4).collect()))
+    assert run(df.where("id < 0"), scorers[0]) == []
+    got = [run(df, f) for f in scorers]
+    monkeypatch.setattr(attribution, "MIXTURES", 0)
+    assert got == [run(df, f) for f in scorers] and len(got[0]) == 120
